@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,23 @@ from pyspark.sql import DataFrame, SparkSession
 STEP_BYTES = 1_500_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="archivolt-ship-")) / "archivolt.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, by any path that Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ALNUM_WORDS, find_words, mix, steps, text_bytes
+from archivolt.llm._common import ALNUM_WORDS, find_words, mix, ship, steps, text_bytes
 
 WINDOW = 13
 GRAM = 5
@@ -225,6 +225,7 @@ def decontaminate(
     results = {"n_words", "n_hit", "n_items", "items", "hit_spans", "contaminated"}
     carry = [c for c in (docs.columns if carry is None else carry) if c not in results]
     sc = docs.sparkSession.sparkContext
+    ship(docs.sparkSession)
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
     source = docs.select(*dict.fromkeys([*carry, text_col]))
     if len(blocks) == 1:

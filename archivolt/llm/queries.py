@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination
+from archivolt.llm import decontamination, near_duplicates
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns of benchmark decontamination over all documents."""
     found = decontamination.decontaminate(
@@ -24,7 +29,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to callable."""
-    return {"op10_decontamination": op10_decontamination}
+    return {
+        "op9_near_duplicates": op9_near_duplicates,
+        "op10_decontamination": op10_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
