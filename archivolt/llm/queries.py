@@ -7,12 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, near_duplicates
+from archivolt.llm import decontamination, near_duplicates, piece_codec, sharding, token_files
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every whole text, and the text that they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_codec.encode_decode(docs, _tokenizer("piece_bpe_32k.model"), carry=["doc_id"])
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards whose row counts differ by one at most."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law")
+    )
+    return sharding.shuffle_into_shards(docs, 16).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to seekable files in ascending order of doc_id and read back from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.token_file_round_trip(docs, _tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -30,6 +58,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Name to callable."""
     return {
+        "op4_sentencepiece": op4_sentencepiece,
+        "op5_sharding": op5_sharding,
+        "op7_token_files": op7_token_files,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_decontamination": op10_decontamination,
     }
