@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, near_duplicates, piece_codec, sharding, token_files
+from archivolt.llm import decontamination, line_rules, near_duplicates, piece_codec, sharding, token_files
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of cross-document line frequency."""
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"]
+    return line_rules.line_quality(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def _tokenizer(name: str) -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -58,6 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Name to callable."""
     return {
+        "op1_line_quality": op1_line_quality,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
         "op7_token_files": op7_token_files,
