@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, piece_codec, sharding, token_files
+from archivolt.llm import decontamination, line_rules, near_duplicates, piece_codec, secret_scan, sharding, token_files
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,18 @@ def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns, and strings that pass the randomness tests."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = secret_scan.KINDS[:3]
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(secret_scan.KINDS).alias("spans"),
+    )
+
+
 def _tokenizer(name: str) -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -65,6 +77,7 @@ def queries() -> dict[str, Query]:
     """Name to callable."""
     return {
         "op1_line_quality": op1_line_quality,
+        "op3_secret_scan": op3_secret_scan,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
         "op7_token_files": op7_token_files,
