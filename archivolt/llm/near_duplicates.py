@@ -7,13 +7,13 @@ Words are lower-cased (A-Z) runs between ASCII white space; a document's set is
    with probability (1 - 0.75^4)^36, about 1e-6.
 2. Buckets of one member are dropped. In every other bucket one hub is chosen, the member whose buckets are largest over
    all bands, and every member is compared with the hub alone, so a bucket of n members gives n - 1 pairs.
-3. Candidates are pruned by odd sketches: each sample flips one bit of a 1,024-bit map, and the XOR of two maps has at most
-   two bits for each sample that differs. A pair is dropped above 140 bits: 70 of 144 samples differ with probability
-   below 1e-9 at similarity 0.75. What is left is confirmed on the full sets.
+3. Candidates are pruned by odd sketches: 1,024 samples each flip one bit of a 4,096-bit map. At similarity 0.75 the XOR of
+   two maps has 453 set bits on average with a deviation under 30; a pair is dropped above 610, which loses a link with
+   probability below 1e-6 and drops nearly all pairs under 0.65. What is left is confirmed on the full sets.
 4. Links are closed to components by alternating star contraction. Buckets whose members still lie in different
    components are completed: the members outside the bucket's largest component meet every member of another component,
-   with the sketch test inside the join condition, so only survivors become rows. Members already connected are not
-   compared. No bucket is gathered in one task; all joins are on keys that adaptive execution can split.
+   with sizes, sketches and full sets compared inside the join condition, so only links become rows. Members already
+   connected are not compared. Large buckets are cut into blocks of some ``BLOCK`` members, each a join key of its own.
 
 What moves: for each document its class key and 36 band hashes; sketches, sets and texts move only for documents in
 buckets of two or more. Nothing is collected to the driver but counts. Intermediate tables are written in the shared
@@ -41,8 +41,9 @@ from archivolt.llm._common import SPACE_WORDS, drop_written, find_words, gram_ha
 
 SHINGLE = 5
 BANDS, ROWS = 36, 4
-SKETCH_BITS = 1024
-MOST_BITS = 140
+SKETCH_SAMPLES, SKETCH_BITS, MOST_BITS = 1024, 4096, 610
+#: Members of a bucket that one join key holds, about.
+BLOCK = 1024
 #: Ids up to this many (8 bytes each) are broadcast to select documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -51,7 +52,7 @@ def _constants(n: int, salt: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)) | np.uint64(1)
 
 
-_TIMES, _PLUS = _constants(BANDS * ROWS, 11), _constants(BANDS * ROWS, 13)
+_TIMES, _PLUS = _constants(SKETCH_SAMPLES, 11), _constants(SKETCH_SAMPLES, 13)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -75,14 +76,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[n
     return out, bounds, keys
 
 
-def samples(grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """MinHash samples of the documents that have shingles (one row for each sample), and which those are."""
+def samples(grams: np.ndarray, bounds: np.ndarray, k: int = BANDS * ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """``k`` MinHash samples of the documents that have shingles (one row for each sample), and which those are."""
     full = np.flatnonzero(np.diff(bounds))
     starts = bounds[full]
-    out = np.empty((BANDS * ROWS, len(full)), np.uint64)
+    out = np.empty((k, len(full)), np.uint64)
     if len(full):
         buffer = np.empty_like(grams)
-        for j in range(BANDS * ROWS):
+        for j in range(k):
             np.multiply(grams, _TIMES[j], out=buffer)
             np.add(buffer, _PLUS[j], out=buffer)
             np.minimum.reduceat(buffer, starts, out=out[j])
@@ -103,7 +104,7 @@ def band_hashes(minima: np.ndarray) -> np.ndarray:
 def odd_sketches(minima: np.ndarray) -> np.ndarray:
     """Parity bitmaps: sample j with minimum v flips the bit that hash(j, v) names."""
     docs = minima.shape[1]
-    bits = mix(minima + _PLUS[:, None] * np.uint64(3)) >> np.uint64(64 - 10)
+    bits = mix(minima + _PLUS[: len(minima), None] * np.uint64(3)) >> np.uint64(65 - SKETCH_BITS.bit_length())
     flat = bits.astype(np.int64) + np.arange(docs) * SKETCH_BITS
     parity = np.bincount(flat.ravel(), minlength=docs * SKETCH_BITS).astype(np.uint8) & 1
     return np.packbits(parity.reshape(docs, SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
@@ -136,7 +137,7 @@ def _members(docs: DataFrame) -> DataFrame:
             data, off = text_bytes(batch.column("text"))
             for a, b in steps(off):
                 grams, bounds, _ = shingles(data, off[a : b + 1])
-                minima, full = samples(grams, bounds)
+                minima, full = samples(grams, bounds, SKETCH_SAMPLES)
                 sets = [np.unique(grams[bounds[d] : bounds[d + 1]]) for d in full]
                 sizes = np.array([len(s) for s in sets], np.int32)
                 ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
@@ -181,6 +182,13 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("hi").alias("id"), F.col("lo").alias("label"))
 
 
+def _linked(na: Column, nb: Column, xa: Column, xb: Column, threshold: tuple[int, int]) -> Column:
+    """Whether two full sets reach the threshold."""
+    num, den = threshold
+    shared = F.size(F.array_intersect(xa, xb)).cast("long")
+    return shared * den >= (na + nb - shared) * num
+
+
 def _confirmed(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) whose sketches are close and whose full sets reach the threshold."""
 
@@ -190,9 +198,7 @@ def _confirmed(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int])
     near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
     near = near.where(_bits_apart(F.col("xa"), F.col("xb")) <= MOST_BITS).select("a", "b")
     full = near.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
-    shared = F.size(F.array_intersect("xa", "xb")).cast("long")
-    num, den = threshold
-    return full.withColumn("s", shared).where(F.col("s") * den >= (F.col("na") + F.col("nb") - F.col("s")) * num).select("a", "b")
+    return full.where(_linked(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), threshold)).select("a", "b")
 
 
 def near_duplicates(
@@ -229,15 +235,21 @@ def near_duplicates(
     tally = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     major = F.max(F.struct("n", "label")).getField("label").alias("major")
     open_ = tally.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), major).where("labels > 1 and n > 2")
-    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub"), "open")
+    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
     if not open_.isEmpty():
-        sketches = members.select("id", "sketch").dropDuplicates(["id"])
-        inside = written(placed.join(open_, "bucket").where("id <> hub").join(sketches, "id"), "inside")
-        x = inside.where("label <> major").select("bucket", F.col("id").alias("ia"), F.col("label").alias("la"), F.col("sketch").alias("sa"))
-        y = inside.select("bucket", F.col("id").alias("ib"), F.col("label").alias("lb"), F.col("sketch").alias("sb"))
-        close = (x["bucket"] == y["bucket"]) & (F.col("la") != F.col("lb")) & (_bits_apart(F.col("sa"), F.col("sb")) <= MOST_BITS)
-        rest = x.join(y, close).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct()
-        more = written(_confirmed(rest, members, threshold), "more_links")
+        full = members.dropDuplicates(["id"])
+        inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub").join(full, "id"), "inside")
+        x = inside.where("label <> major").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        y = inside.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        x, y = x.alias("x"), y.alias("y")
+        num, den = threshold
+        col = F.col
+        same = (col("x.bucket") == col("y.bucket")) & (col("x.block") == col("y.block")) & (col("x.label") != col("y.label"))
+        sized = (col("x.n") * den >= col("y.n") * num) & (col("y.n") * den >= col("x.n") * num)
+        close = _bits_apart(col("x.sketch"), col("y.sketch")) <= MOST_BITS
+        link = _linked(col("x.n"), col("y.n"), col("x.grams"), col("y.grams"), threshold)
+        rest = x.join(y, same & sized & close & link).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        more = written(rest.distinct(), "more_links")
         if not more.isEmpty():
             labels = components(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
 
