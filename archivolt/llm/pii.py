@@ -10,7 +10,7 @@ treated: there the term reveals it.
 
 Scale: the first pass (Arrow, no exchange) finds base spans, and for lines with an entity their terms. Counts are combined
 by (entity, term) and are over all documents. Line counts are needed only for terms that meet an entity often enough: these
-terms' hashes are broadcast as a filter when there are at most ``BROADCAST_TERMS``, and joined by a shuffle of the tasks'
+terms are broadcast as a filter when there are at most ``BROADCAST_TERMS``, and joined by a shuffle of the tasks'
 term counts beyond. A hot entity spreads over its terms; nothing is gathered by entity.
 
 Defined results: a null text is empty (and stays null when sanitised). Rows that agree in id and text share their spans;
@@ -22,13 +22,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import SPACE_WORDS, find_words, ship, signed, steps, text_bytes, written
+from archivolt.llm._common import ship, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -40,8 +39,8 @@ PATTERNS = {
 }
 _FIND = {k: re.compile(p) for k, p in PATTERNS.items()}
 _DIGIT = re.compile("[0-9]")
-#: Hashes of terms up to this many (8 bytes each) are broadcast.
-BROADCAST_TERMS = 1_000_000
+#: Up to this many terms, or term spans, are broadcast.
+BROADCAST_TERMS = 200_000
 MIN_TERM = 3
 _EDGES = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -97,8 +96,7 @@ def line_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[s
         at = end + 1
 
 
-_SPANS = T._parse_datatype_string("array<struct<s:int,e:int,k:int>>")
-_TERMS = "id long, th long, entity string, lh long, term string, s int, e int"
+_SPANS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("s", "e", "k")]))
 _ARROW_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("k", pa.int32())]))
 
 
@@ -115,74 +113,165 @@ def find_base(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+_TERM_FIELDS = [("id", pa.int64()), ("th", pa.int64()), ("entity", pa.string()), ("lh", pa.int64()), ("term", pa.string())]
+_TERM_FIELDS += [("s", pa.int32()), ("e", pa.int32()), ("fresh", pa.int64())]
+
+
 def _entity_terms(docs: DataFrame) -> DataFrame:
-    """(id, th, t) to one row for each entity, its line and each term of the line."""
-    import xxhash  # noqa: F401  the workers need it
+    """(id, th, t) to one row for each entity, its line and each term of the line; and one with the empty term for the line.
+
+    ``lh`` is the line's hash; ``fresh`` is 1 where a term first occurs in the line.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in ("id", "th", "entity", "lh", "term", "s", "e")}
+            rows = []
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "t")), strict=True):
                 spans = base_spans(text)
                 for entity, line, terms in line_terms(text, spans) if spans else ():
                     lh = xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
+                    rows.append((doc, th, entity, lh, "", 0, 0, 1))
+                    seen = set()
                     for term, a, b in terms:
-                        for name, value in zip(rows, (doc, th, entity, lh, term, a, b), strict=True):
-                            rows[name].append(value)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], names=list(rows))
-
-    return docs.mapInArrow(run, _TERMS)
-
-
-def _term_hash(words: list[bytes]) -> np.ndarray:
-    """Hashes of folded words, as find_words gives them."""
-    data, off = text_bytes(pa.array([w.decode() for w in words], pa.large_string()))
-    found = find_words(data, off, SPACE_WORDS)
-    return found.hashes
-
-
-def _strip(found) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of words without ASCII punctuation around them."""
-    edge = np.zeros(256, bool)
-    edge[list(_EDGES)] = True
-    starts, ends = found.starts.copy(), found.ends.copy()
-    while True:
-        cut = (starts < ends) & edge[found.folded[np.minimum(starts, len(found.folded) - 1)]] if len(starts) else np.zeros(0, bool)
-        if not cut.any():
-            break
-        starts[cut] += 1
-    while True:
-        cut = (starts < ends) & edge[found.folded[np.maximum(ends - 1, 0)]] if len(starts) else np.zeros(0, bool)
-        if not cut.any():
-            break
-        ends[cut] -= 1
-    return starts, ends
+                        rows.append((doc, th, entity, lh, term, a, b, int(term not in seen)))
+                        seen.add(term)
+            columns = zip(*rows, strict=True) if rows else [[] for _ in _TERM_FIELDS]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TERM_FIELDS, strict=True)], names=[n for n, _ in _TERM_FIELDS])
+
+    return docs.mapInArrow(run, "id long, th long, entity string, lh long, term string, s int, e int, fresh long")
 
 
 def _term_lines(docs: DataFrame, wanted) -> DataFrame:
-    """(t) to (term, lines): for each batch, in how many lines a term occurs. ``wanted``: a broadcast set of terms, or None.
+    """(t) to (term, lines): for each batch, in how many lines a term occurs; the empty term stands for all lines.
 
-    Terms are compared in lower case as Python has it, which goes beyond ASCII.
+    ``wanted`` is a broadcast set of terms, or None for all.
     """
-    word = re.compile("[^\x20\x09-\x0D]+")
     edges = _EDGES.decode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = wanted.value if wanted is not None else None
+        word = re.compile("[^\x20\x09-\x0D]+")
         for batch in batches:
-            counts: dict[str, int] = {}
-            lines = 0
+            counts, lines = {}, 0
             for text in batch.column("t").to_pylist():
                 for line in text.split("\n"):
                     lines += 1
-                    own = {w.strip(edges).lower() for w in set(word.findall(line))}
-                    for w in own & keep if keep is not None else own:
+                    own = {w.strip(edges).lower() for w in word.findall(line)}
+                    for w in own if keep is None else own & keep:
                         if len(w) >= MIN_TERM:
                             counts[w] = counts.get(w, 0) + 1
             counts[""] = lines
             yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "lines": pa.array(list(counts.values()), pa.int64())})
 
     return docs.mapInArrow(run, "term string, lines long")
+
+
+def disclosures(texts: DataFrame, terms: DataFrame, *, support: int, generalise_at: float) -> DataFrame | None:
+    """(entity, term, disclosure) of sensitive terms, from counts over all lines; None when no term has the support.
+
+    ``texts`` has all texts as ``t``; ``terms`` is what ``_entity_terms`` found in them.
+    """
+    spark = texts.sparkSession
+    lines = terms.groupBy("entity", "term", "lh").agg(F.sum("fresh").alias("joint"))
+    met = lines.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint"))
+    met = written(met.where((F.col("term") == "") | (F.col("support") >= support)), "entity_terms")
+    often = met.where("term <> ''")
+    names = often.select("term").distinct()
+    n = names.count()
+    if not n:
+        return None
+    wanted = spark.sparkContext.broadcast(frozenset(r[0] for r in names.collect())) if n <= BROADCAST_TERMS else None
+    counted = _term_lines(texts, wanted).groupBy("term").agg(F.sum("lines").alias("lines"))
+    counted = written(counted if wanted is not None else counted.join(names, "term", "left_semi").union(counted.where("term = ''")), "term_lines")
+    total = float(counted.where("term = ''").first()["lines"])
+    entities = met.where("term = ''").select("entity", F.col("joint").alias("entity_lines"))
+    both = often.join(counted, "term").join(entities, "entity")
+    prior = F.col("entity_lines") / F.lit(total)
+    gained = F.log(F.col("joint") / F.col("lines") / prior) / -F.log(prior)
+    found = both.where(F.col("entity_lines") < total).withColumn("disclosure", gained)
+    return found.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
+
+
+def find_personal_data(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    support: int = 3,
+    generalise_at: float = 0.9,
+    remove_at: float = 0.97,
+) -> DataFrame:
+    """One row per document: the carried columns, ``base`` (spans s, e, k with k the rank of the kind in KINDS) and ``terms``
+    (spans s, e, k of sensitive terms; k is 1 to remove and 0 to generalise), both in order of start. Carried columns whose
+    names clash with results are left out."""
+    spark = docs.sparkSession
+    ship(spark)
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("base", "terms")]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumn("__av_th", F.xxhash64(text))
+    texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
+    terms = written(_entity_terms(texts), "line_terms")
+    sensitive = disclosures(texts.select("t"), terms, support=support, generalise_at=generalise_at)
+    base = find_base(keyed.select(*dict.fromkeys([*carry, id_col, text_col, "__av_th"])), text_col, [*dict.fromkeys([*carry, id_col]), "__av_th"])
+    none = F.array().cast(_SPANS)
+    if sensitive is None:
+        return base.select(*carry, F.col("__av_base").alias("base"), none.alias("terms"))
+    action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
+    strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
+    places = terms.where("term <> ''").join(strongest, ["entity", "term"]).groupBy("id", "th", "s", "e").agg(F.max("k").alias("k"))
+    places = written(places.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e", "k"))).alias("terms")), "term_spans")
+    if (places.agg(F.sum(F.size("terms"))).first()[0] or 0) <= BROADCAST_TERMS:
+        places = F.broadcast(places)
+    both = base.alias("b").join(places.alias("p"), F.col(f"b.{id_col}").eqNullSafe(F.col("p.id")) & (F.col("__av_th") == F.col("p.th")), "left")
+    return both.select(*(F.col(f"b.`{c}`") for c in carry), F.col("__av_base").alias("base"), F.coalesce("p.terms", none).alias("terms"))
+
+
+def shape(term: str) -> str:
+    """A term's general form: letters as x or X, digits as #."""
+    return "".join("#" if c.isdigit() else ("X" if c.isupper() else "x") if c.isalpha() else c for c in term)
+
+
+def cleaned(text: str, base: list[dict], terms: list[dict]) -> str:
+    """The text with personal data replaced by its kind, and sensitive terms removed or generalised."""
+    spans = [(x["s"], x["e"], f"[{KINDS[x['k']].upper()}]") for x in base]
+    spans += [(x["s"], x["e"], "[TERM]" if x["k"] else shape(text[x["s"] : x["e"]])) for x in terms]
+    out, at = [], 0
+    for a, b, new in sorted(spans):
+        if a >= at:
+            out += [text[at:a], new]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents with their texts cleaned; other columns stay."""
+    found = find_personal_data(docs, id_col=id_col, text_col=text_col, **options)
+    columns = [c for c in docs.columns if c in found.columns]
+    schema = found.select(*columns).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                cleaned(t, b, p) if t and (b or p) else t
+                for t, b, p in zip(*(batch.column(c).to_pylist() for c in (text_col, "base", "terms")), strict=True)
+            ]
+            own = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(own, names=columns)
+
+    return found.mapInArrow(run, schema)
+
+
+def span_text(kinds: tuple[str, ...] = KINDS, terms: str | None = None) -> Column:
+    """kind:start:end of the column ``base``, and of ``terms`` if given, by start, then by kind, joined by commas."""
+
+    def named(rank: Column, kind: Column, x: Column) -> Column:
+        return F.struct(x["s"].alias("s"), rank.cast("int").alias("k"), x["e"].alias("e"), F.concat_ws(":", kind, x["s"], x["e"]).alias("t"))
+
+    names = F.array(*(F.lit(k) for k in kinds))
+    every = F.transform("base", lambda x: named(x["k"], names[x["k"]], x))
+    if terms is not None:
+        every = F.concat(every, F.transform(terms, lambda x: named(F.lit(len(kinds)), F.lit("term"), x)))
+    return F.array_join(F.transform(F.sort_array(every), lambda x: x["t"]), ",")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, piece_codec, secret_scan, sharding, token_files
+from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, secret_scan, sharding, token_files
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(docs, 16).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that disclose it."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    counts = [
+        F.size(F.filter("base", lambda x: x["k"] == 0)).cast("long").alias("n_email"),
+        F.size(F.filter("base", lambda x: x["k"] == 1)).cast("long").alias("n_ip"),
+        F.size(F.filter("base", lambda x: x["k"] == 2)).cast("long").alias("n_card"),
+        F.size(F.filter("base", lambda x: x["k"] == 3)).cast("long").alias("n_phone"),
+    ]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(), 256).alias("base_sha256"), pii.span_text(terms="terms").alias("spans"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to seekable files in ascending order of doc_id and read back from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op3_secret_scan": op3_secret_scan,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
+        "op6_pii": op6_pii,
         "op7_token_files": op7_token_files,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_decontamination": op10_decontamination,
