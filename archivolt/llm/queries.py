@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, secret_scan, sharding, token_files
+from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, secret_scan, sharding, token_files
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of the documents labelled good, and the verdict by language."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_model.classify(table(spark, sf_dir, "documents"), good)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns, and strings that pass the randomness tests."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
@@ -89,6 +95,7 @@ def queries() -> dict[str, Query]:
     """Name to callable."""
     return {
         "op1_line_quality": op1_line_quality,
+        "op2_quality_model": op2_quality_model,
         "op3_secret_scan": op3_secret_scan,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
