@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, secret_scan, sharding, token_files
+from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, secret_scan, sharding, token_files, warc
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(docs, _tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response."""
+    responses = warc.responses_of_pages(table(spark, sf_dir, "pages"))
+    found = warc.derive_records(responses, carry=["page_id"])
+    return found.select(
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "content_type", "content_length", F.sha2("block", 256).alias("block_sha256")
+    )
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -101,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op5_sharding": op5_sharding,
         "op6_pii": op6_pii,
         "op7_token_files": op7_token_files,
+        "op8_warc_derivatives": op8_warc_derivatives,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_decontamination": op10_decontamination,
     }
