@@ -27,6 +27,8 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Up to this many removed lines are broadcast.
+BROADCAST_LINES = 500_000
 
 
 def _word_array(text: Column) -> Column:
@@ -81,7 +83,9 @@ def base_counts(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
     after = F.filter(p, lambda x, i: i > 0)
     gaps = F.zip_with(p, after, lambda x, y: F.coalesce(F.least(y - x, F.lit(WINDOW)), F.lit(WINDOW)))
     covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return df.select(*kept, covered.alias("n_repeat_words"))
+    # a row number times nothing: a filter on the counts must not be pushed below, where it would repeat all of this
+    barrier = F.monotonically_increasing_id().bitwiseAND(F.lit(0))
+    return df.select(*kept, (covered + barrier).alias("n_repeat_words"))
 
 
 def _lines(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFrame:
@@ -138,6 +142,10 @@ def line_quality(
     source = docs.withColumn("__av_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     base = base_counts(source, text_col, [id_col, *rest, "__av_th"])
     lost = removed_lines(docs, id_col=id_col, host_col=host_col, text_col=text_col, min_documents=min_documents, share=share)
+    if with_text:  # whole texts move unless what is joined is small
+        lost = written(lost, "removed_lines")
+        if (lost.agg(F.sum(F.size("positions"))).first()[0] or 0) <= BROADCAST_LINES:
+            lost = F.broadcast(lost)
     both = base.alias("b").join(lost.alias("r"), F.col(f"b.{id_col}").eqNullSafe(F.col("r.id")) & (F.col("__av_th") == F.col("r.th")), "left")
     removed = F.coalesce(F.col("removed_words"), F.lit(0)).cast("long")
     left = F.col("n_words") - removed

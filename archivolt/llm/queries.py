@@ -37,7 +37,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
 
@@ -47,7 +47,7 @@ def _tokenizer(name: str) -> str:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every whole text, and the text that they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return piece_codec.encode_decode(docs, _tokenizer("piece_bpe_32k.model"), carry=["doc_id"])
+    return piece_codec.encode_decode(docs, tokenizer_path("piece_bpe_32k.model"), carry=["doc_id"])
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to seekable files in ascending order of doc_id and read back from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_files.token_file_round_trip(docs, _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return token_files.token_file_round_trip(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
 def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +100,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the training-data pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     """Name to callable."""
+    import corpus_pipeline  # noqa: F401  without it there is no pipeline to register
+
     return {
+        "pipeline": pipeline,
         "op1_line_quality": op1_line_quality,
         "op2_quality_model": op2_quality_model,
         "op3_secret_scan": op3_secret_scan,
