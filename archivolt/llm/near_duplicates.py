@@ -10,7 +10,8 @@ Words are lower-cased (A-Z) runs between ASCII white space; a document's set is
 3. Candidates are pruned by odd sketches: 1,024 samples each flip one bit of a 4,096-bit map. At similarity 0.75 the XOR of
    two maps has 453 set bits on average with a deviation under 30; a pair is dropped above 610, which loses a link with
    probability below 1e-6 and drops nearly all pairs under 0.65. What is left is confirmed on the full sets.
-4. Links are closed to components by alternating star contraction. Buckets whose members still lie in different
+4. Links are closed to components: up to ``ONE_TASK_LINKS`` by union-find in one task, more by alternating star contraction.
+   Buckets whose members still lie in different
    components are completed: the members outside the bucket's largest component meet every member of another component,
    with sizes, sketches and full sets compared inside the join condition, so only links become rows. Members already
    connected are not compared. Large buckets are cut into blocks of some ``BLOCK`` members, each a join key of its own.
@@ -42,6 +43,8 @@ from archivolt.llm._common import SPACE_WORDS, drop_written, find_words, gram_ha
 SHINGLE = 5
 BANDS, ROWS = 36, 4
 SKETCH_SAMPLES, SKETCH_BITS, MOST_BITS = 1024, 4096, 610
+#: Up to this many links (16 bytes each) are closed in one task, more by star contraction over the cluster.
+ONE_TASK_LINKS = 1_000_000
 #: Members of a bucket that one join key holds, about.
 BLOCK = 1024
 #: Ids up to this many (8 bytes each) are broadcast to select documents; more are joined by a shuffle.
@@ -160,14 +163,39 @@ def _bits_apart(x: Column, y: Column) -> Column:
     return reduce(lambda p, q: p + q, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH_BITS // 64)])
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(a, b) links to (id, label): every linked id with the smallest id that it reaches."""
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of the links of one task, which are bounded in number."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.get(top, top)) != top:
+            top = up
+        while (up := root.get(x, x)) != top:
+            root[x], x = top, up
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    ids = [i for i in root if find(i) != i]
+    yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "label": pa.array([find(i) for i in ids], pa.int64())})
+
+
+def components(edges: DataFrame, one_task: int = ONE_TASK_LINKS) -> DataFrame:
+    """(a, b) links to (id, label): every linked id, but a component's smallest, with the smallest id that it reaches.
+
+    Up to ``one_task`` links are closed in one task; more by star contraction. Both give the same labels.
+    """
 
     def signature(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first())
 
     now = written(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "edges")
     seen = signature(now)
+    if seen[0] <= one_task:
+        return written(now.repartition(1).mapInArrow(_union_find, "id long, label long"), "labels")
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo"), F.col("hi")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
