@@ -146,7 +146,7 @@ def discovery_thresholds(tested: DataFrame, q: float) -> dict[int, int]:
     return out
 
 
-def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: float = 0.1, min_bits: float = 66.0) -> DataFrame:
+def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: float = 0.001, min_bits: float = 66.0) -> DataFrame:
     """One row per document: id, and arrays of (s, e) spans for each of assign, access, hex and random, in order of start."""
     scanned = written(scan(docs, id_col, text_col), "secret_spans")
     runs = scanned.select("id", "th", F.explode("runs").alias("r")).select("id", "th", "r.*")
