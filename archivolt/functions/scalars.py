@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -50,13 +51,13 @@ def _czech(text: str | None) -> str | None:
     return "\x00".join(("\x01".join(first), "".join(second), text))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def norm_label(value: pd.Series) -> pd.Series:
     """NFC, no-break spaces as spaces, case folded, white space collapsed; null gives the empty string."""
     return value.map(_norm, na_action=None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def czech_key(value: pd.Series) -> pd.Series:
     """Sort key: "ch" is a letter, carons make letters, other accents break ties, then everything else."""
     return value.map(_czech)
@@ -72,13 +73,13 @@ def similarity(a: str | None, b: str | None) -> float:
     return max(SequenceMatcher(None, x, y).ratio(), words)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def gloss_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """See ``similarity``."""
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def mcnemar_exact(b: pd.Series, c: pd.Series) -> pd.Series:
     """Two-sided exact binomial test of two discordant counts; 1 without any."""
 

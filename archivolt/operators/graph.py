@@ -5,6 +5,8 @@ Nodes have ids, edges are (child, parent). Depth is bounded by the vocabulary's;
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,20 +33,27 @@ def choose_parents(terms: DataFrame, near: DataFrame, broader: DataFrame) -> Dat
     return both.select(F.col("pos").alias("child"), F.coalesce("first", "second").alias("parent"), via.alias("via"), conflict.alias("conflict"))
 
 
-def break_cycles(edges: DataFrame) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage in the session's checkpoint folder; one is set only where none is."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="archivolt-"))
+    return df.checkpoint()
+
+
+def break_cycles(edges: DataFrame, doublings: int = 7) -> DataFrame:
     """Edges without the one that leaves the smallest node of each cycle.
 
-    A node is on a cycle when it reaches itself; parents are unique, so each cycle is found from each of its nodes.
+    Parents are unique, so pointers can be doubled: after 2^doublings steps (above the hierarchy's depth) only chains that run
+    into a cycle are left, their ends are the nodes on cycles, and the least node that such an end has met is its cycle's.
     """
-    spark = edges.sparkSession
-    walk = """
-      WITH RECURSIVE walk(start, node, n, low) AS (
-        SELECT child, parent, 1, least(child, parent) FROM {edges}
-        UNION ALL
-        SELECT w.start, e.parent, w.n + 1, least(w.low, e.parent) FROM walk w JOIN {edges} e ON w.node = e.child
-        WHERE w.node <> w.start AND w.n < 90)
-      SELECT DISTINCT start AS child FROM walk WHERE node = start AND start = low"""
-    return edges.join(spark.sql(walk, edges=edges), "child", "left_anti")
+    jump = edges.select(F.col("child").alias("start"), F.col("parent").alias("node"), F.least("child", "parent").alias("low"))
+    for _ in range(doublings):
+        far = jump.select(F.col("start").alias("node"), F.col("node").alias("next"), F.col("low").alias("far"))
+        jump = _cut(jump.join(far, "node").select("start", F.col("next").alias("node"), F.least("low", "far").alias("low")))
+    cyclic = jump.select(F.col("node").alias("start")).distinct()
+    first = jump.join(cyclic, "start", "left_semi").where("start = low").select(F.col("start").alias("child"))
+    return edges.join(first, "child", "left_anti")
 
 
 def roots_of(nodes: DataFrame, edges: DataFrame) -> DataFrame:
