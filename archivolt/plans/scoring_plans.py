@@ -136,7 +136,7 @@ def line_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page and line statistics of every source: documents are its pages, conversations' turns its lines."""
-    d = _t(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), F.when(F.col("n_chars") % 3 > 0, F.col("n_chars") % 997 / 1000.0).alias("quality_score"), F.when(F.col("n_chars") < 500, "empty").otherwise("text").alias("content_status"))
+    d = _t(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), F.when(F.col("n_chars") % 3 > 0, (F.col("n_chars") % 997).cast("double")).alias("quality_score"), F.when(F.col("n_chars") < 500, "empty").otherwise("text").alias("content_status"))
     c = _t(spark, sf_dir, "conversations").select(F.concat(F.lit("src"), F.col("conv_id") % 20).alias("doc_id"), F.when(F.col("turn") > 0, F.col("role")).alias("categ"), F.when(F.col("turn") == 2, "block").alias("unit"))
     out = records.quality_summary(d, c)
     shown = F.array_join(F.transform("by_categ", lambda x: F.concat_ws("=", x["categ"], x["n"].cast("string"))), ",")
@@ -259,7 +259,7 @@ SELECT coalesce(o.o_orderkey, pt.o_orderkey) AS o_orderkey, o.o_orderstatus, pt.
 SELECT l_orderkey % 50 AS doc_id, count(*) AS n FROM lineitem l WHERE l_orderkey % 50 IN (SELECT o_orderkey % 50 FROM orders) AND NOT EXISTS (
   SELECT 1 FROM orders o WHERE o.o_orderkey % 50 = l.l_orderkey % 50 AND o.o_custkey % 100 = l.l_suppkey AND o.o_orderkey % 4 + 1 = l.l_linenumber) GROUP BY ALL""",
     "quality_summary": """
-WITH d AS (SELECT source AS doc_id, CASE WHEN n_chars % 3 > 0 THEN n_chars % 997 / 1000.0::DOUBLE END AS q, CASE WHEN n_chars < 500 THEN 'empty' ELSE 'text' END AS st FROM documents),
+WITH d AS (SELECT source AS doc_id, CASE WHEN n_chars % 3 > 0 THEN CAST(n_chars % 997 AS DOUBLE) END AS q, CASE WHEN n_chars < 500 THEN 'empty' ELSE 'text' END AS st FROM documents),
 c AS (SELECT 'src' || (conv_id % 20) AS doc_id, CASE WHEN turn > 0 THEN role END AS categ, turn = 2 AS block FROM conversations),
 pg AS (SELECT doc_id, count(*) AS pages_total, count(*) FILTER (st = 'empty') AS pages_empty, count(q) AS pages_scored, round(avg(q), 6) AS score_mean, round(median(q), 6) AS score_median,
   min(q) AS score_min, max(q) AS score_max FROM d GROUP BY doc_id),
