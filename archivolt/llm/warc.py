@@ -51,7 +51,7 @@ def plain_text(page: str) -> str:
     """A page's text: no markup, scripts, styles or comments; entities resolved; a line for each block; no blank lines."""
 
     def gap(m: re.Match) -> str:
-        return "\n" if m[2] and m[2].lower() in BLOCKS else "" if m[2] else " "
+        return "\n" if m[2] and m[2].lower() in BLOCKS else ""
 
     text = html.unescape(_MARKUP.sub(gap, page))
     lines = (" ".join(line.split()) for line in re.split(r"[\n\r\x0b\x0c\x85  ]", text))
