@@ -5,6 +5,7 @@ Everything that must outlive a lost executor is written under the folder that ``
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step takes at once; a longer document is a step of its own.
 STEP_BYTES = 1_500_000
+_LIBC = ctypes.CDLL(None)
 
 
 _SHIPPED: set[str] = set()
@@ -91,13 +93,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), off
 
 
+def trim_memory() -> None:
+    """Gives memory that a worker has freed back to the system, which reused workers otherwise keep."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def steps(offsets: np.ndarray, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes of text."""
+    """Row ranges of about ``limit`` bytes of text; freed memory is given back before and after."""
+    trim_memory()
     a, n = 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
         yield a, b
         a = b
+    trim_memory()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -27,6 +27,8 @@ from archivolt.llm._common import ship, steps, text_bytes
 from archivolt.llm.chunks import ChunkTable, distinct_chunks
 
 MARK = "▁"
+#: Entries of a worker's table; they have four values each.
+TABLE_ENTRIES = 150_000
 _MARK = MARK.encode()
 
 
@@ -78,16 +80,17 @@ class PieceCodec:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         check_model(self.sp)
         self.lone = [self.sp.piece_to_id(MARK)]
-        self.table = ChunkTable(self._encode, 4)
+        self.table = ChunkTable(self._encode, 4, TABLE_ENTRIES)
 
     def _encode(self, chunks: list[bytes]) -> list[tuple]:
         """Of each chunk: number of ids, ids as bytes, ids as decimals with commas, decoded bytes with the first marker."""
         texts = [(c[1:] if c[0] == 32 else c[3:]).decode() for c in chunks]
         ids = [i if t else self.lone for t, i in zip(texts, self.sp.encode(texts, num_threads=1), strict=True)]
         plain = self.sp.decode(ids, num_threads=1)
-        return [
-            (len(i), np.array(i, np.int32).tobytes(), (",".join(map(str, i)) + ",").encode(), b" " + p.encode())
-            for i, p in zip(ids, plain, strict=True)
+        decoded = [b" " + p.encode() for p in plain]
+        return [  # a chunk that decodes to itself is kept once
+            (len(i), np.array(i, np.int32).tobytes(), (",".join(map(str, i)) + ",").encode(), c if c == d else d)
+            for c, i, d in zip(chunks, ids, decoded, strict=True)
         ]
 
     def run(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[bytes], list[bytes], list[bytes]]]:
@@ -130,7 +133,7 @@ def encode_decode(
         codec = _codec(model_path)
         for batch in batches:
             data, off = text_bytes(batch.column(text_col))
-            for a, b in steps(off, 4_000_000):
+            for a, b in steps(off, 2_000_000):
                 rows = []
                 for n, ids, decimals, plain in codec.run(data, off[a : b + 1]):
                     text = b"".join(plain)[1:]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ship, written
+from archivolt.llm._common import ship, trim_memory, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -109,6 +109,7 @@ def find_base(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
         for batch in batches:
             spans = [[{"s": a, "e": b, "k": k} for a, b, k in base_spans(t)] if t else [] for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(spans, _ARROW_SPANS)], names=schema.names)
+            trim_memory()
 
     return docs.mapInArrow(run, schema)
 
@@ -260,6 +261,8 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             ]
             own = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(own, names=columns)
+            del texts, own
+            trim_memory()
 
     return found.mapInArrow(run, schema)
 
