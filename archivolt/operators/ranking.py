@@ -92,7 +92,10 @@ def rank_statistical(docs: DataFrame, top: int = 10, max_words: int = 3, id_col:
                 rows += [(doc, i, k, s / best) for i, (k, s) in enumerate(found, 1)]
             yield pd.DataFrame(rows, columns=[id_col, "rank", "keyword", "score"])
 
-    return docs.select(id_col, text_col).mapInPandas(run, f"`{id_col}` {kind}, rank int, keyword string, score double")
+    source, cores = docs.select(id_col, text_col), docs.sparkSession.sparkContext.defaultParallelism
+    if source.rdd.getNumPartitions() < cores:  # a small file is dealt out to all cores
+        source = source.repartition(cores)
+    return source.mapInPandas(run, f"`{id_col}` {kind}, rank int, keyword string, score double")
 
 
 def maximal_marginal_relevance(vectors: np.ndarray, query: np.ndarray, top: int, diversity: float) -> list[int]:
