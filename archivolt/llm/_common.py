@@ -40,8 +40,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder, by any path that Spark can read."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the data folder, by any path that Spark can read. Texts that come in fewer splits than there are cores (one
+    small file) are dealt out to all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores // 2:
+        return df.repartition(cores)
+    return df
 
 
 def shared_dir(spark: SparkSession) -> str:
