@@ -52,11 +52,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards whose row counts differ by one at most."""
-    text = F.coalesce("text", F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law")
-    )
-    return sharding.shuffle_into_shards(docs, 16).withColumn("grown_shard", F.lit(None).cast("int"))
+    docs = table(spark, sf_dir, "documents").withColumn("law", F.lit("rows"))
+    found = sharding.text_digests(sharding.shuffle_into_shards(docs, 16), carry=["doc_id", "law", "shard", "slot"])
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,15 +7,16 @@ labels, rows are exchanged, and each shard is permuted again, which together is
 Scale: shards are cut into blocks of about ``block_rows`` rows, which take the shards' place in the matrix, so no task
 holds a whole shard; a slot is the block's place in its shard plus the place within the block. The driver draws for racks
 of partitions only; a task draws its own partition's counts from its rack's. What the driver holds and sends is a count for
-each partition and a row of block counts for each rack. The rows' places (partition, position) are frozen by a checkpoint
-in the shared folder first, and every draw depends on the seed and these places alone, so a repeated task repeats its
-result. Rows are exchanged once.
+each partition and a row of block counts for each rack. Whole rows are frozen with their places (partition, position) in a
+Parquet table in the shared folder first, and every draw depends on the seed and these places alone, so a repeated task
+repeats its result. Rows are exchanged once, with all their columns; a block that exceeds memory is sorted on disk.
 
 Defined results: null texts have size 1 and checksum 0. Repeated rows are rows of their own. No rows give no shards.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ship
+from archivolt.llm._common import ship, text_bytes, written
 
 RACK = 64
 BLOCK_ROWS = 1 << 16
@@ -95,7 +96,8 @@ def shuffle_into_shards(df: DataFrame, shards: int, *, seed: int = 20240607, blo
     ship(spark)
     df = df.drop("shard", "slot")
     place = F.monotonically_increasing_id()
-    frozen = df.withColumns({"__av_part": F.shiftright(place, 33).cast("int"), "__av_at": place.bitwiseAND(F.lit((1 << 33) - 1))}).checkpoint()
+    frozen = df.withColumns({"__av_part": F.shiftright(place, 33).cast("int"), "__av_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
+    frozen = written(frozen, "placed_rows")
     counted = {r[0]: r[1] for r in frozen.groupBy("__av_part").count().collect()}
     parts = np.array([counted.get(p, 0) for p in range(max(counted, default=-1) + 1)], np.int64)
     sizes, of = block_sizes(int(parts.sum()), shards, block_rows)
@@ -127,3 +129,21 @@ def shuffle_into_shards(df: DataFrame, shards: int, *, seed: int = 20240607, blo
         blocks = spark.createDataFrame([(i, int(s), int(b)) for i, (s, b) in enumerate(zip(of, base, strict=True))], "__av_block int, shard int, __av_base long")
         out = ranked.join(blocks, "__av_block").withColumn("slot", F.col("__av_base") + F.col("__av_rank"))
     return out.select(*df.columns, "shard", "slot")
+
+
+def text_digests(shuffled: DataFrame, *, text_col: str = "text", carry: list[str]) -> DataFrame:
+    """The carried columns with ``size`` (bytes of text, and one) and ``text_crc32`` of the texts that arrived in the shards.
+
+    Arrow takes whole rows, so no column is pruned before the exchange.
+    """
+    fields = [f for f in shuffled.schema.fields if f.name in carry]
+    schema = T.StructType([*fields, T.StructField("size", T.LongType()), T.StructField("text_crc32", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column(text_col))
+            crc = [zlib.crc32(data[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            own = [*(batch.column(f.name) for f in fields), pa.array(np.diff(off) + 1), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(own, names=schema.names)
+
+    return shuffled.mapInArrow(run, schema)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from archivolt.llm import chunks, decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, secret_scan, sharding, token_files, warc
+from archivolt.llm import chunks, decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, queries, secret_scan, sharding, token_files, warc
 from archivolt.llm._common import text_bytes
 from archivolt.llm.queries import tokenizer_path
 
@@ -215,6 +215,23 @@ def test_shards_are_exact_and_uniform(spark):
     assert sharding.shuffle_into_shards(df.where("false"), 4).count() == 0 and len(again) == 1000
 
 
+def test_shards_carry_whole_rows(spark, monkeypatch):
+    seen = []
+    shuffle = sharding.shuffle_into_shards
+    monkeypatch.setattr(sharding, "shuffle_into_shards", lambda df, *a, **b: seen.append(df.columns) or shuffle(df, *a, **b))
+    found = queries.op5_sharding(spark, "/root/testdata/sf0.001")
+    assert {"doc_id", "text", "lang", "source", "n_chars"} <= set(seen[0])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    window = next(x for x in plan.split("\n") if "Window" in x)
+    below = plan[plan.index(window) :].split("\n")[1]
+    assert all(c in below for c in ("text#", "lang#", "source#", "n_chars#"))
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in found.collect()} == {i: (len(t) + 1, zlib.crc32(t)) for i, t in texts.items()}
+    rows = shuffle(frame(spark, [*ODD, "long " * 400_000]), 3)
+    got = sharding.text_digests(rows, carry=["doc_id"]).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len(t := (x or "").encode()) + 1, zlib.crc32(t)) for i, x in enumerate([*ODD, "long " * 400_000])}
+
+
 def test_hypergeometric_counts():
     rng = np.random.default_rng(0)
     left = np.array([3, 0, 5, 2])
