@@ -3,15 +3,17 @@
 Base patterns (e-mail, IP, card and phone numbers) give the protected entities. How strongly a term reveals one is
 estimated from the corpus: with p(e|t) the share of the lines holding term t that also hold entity e, and p(e) the share of
 all lines that hold e, the disclosure of e by t is PMI(e; t) / IC(e) = log(p(e|t) / p(e)) / -log p(e). It is 1 when the
-term gives the entity away and 0 when they are independent. A term is sensitive to an entity when its disclosure exceeds
-``generalise_at`` and the two meet in ``support`` different lines at least (copies of a line count once there); above
-``remove_at`` it is removed, below it is generalised to its shape. Only occurrences on lines that hold the entity are
-treated: there the term reveals it.
+term gives the entity away and 0 when they are independent. No pair is too rare to count: p(e|t) is drawn towards p(e) by
+the weight of one line against the s different lines in which the two meet (copies of a line add none), so that it is about
+half of its observed share for s = 1. A term is sensitive to an entity when its disclosure reaches ``generalise_at``; from
+``remove_at`` on it is removed, below it is generalised to its shape. So a word seen once, beside an entity seen once, is
+generalised in a corpus of some thousand lines or more, and removed on firmer evidence. Only occurrences on lines that hold
+the entity are treated: there the term reveals it.
 
 Scale: the first pass (Arrow, no exchange) finds base spans, and for lines with an entity their terms. Counts are combined
-by (entity, term) and are over all documents. Line counts are needed only for terms that meet an entity often enough: these
-terms are broadcast as a filter when there are at most ``BROADCAST_TERMS``, and joined by a shuffle of the tasks'
-term counts beyond. A hot entity spreads over its terms; nothing is gathered by entity.
+by (entity, term) and are over all documents. Line counts are needed only for terms that meet an entity: these terms are
+broadcast as a filter when there are at most ``BROADCAST_TERMS``, and joined by a shuffle of the tasks' term counts
+beyond. A hot entity spreads over its terms; nothing is gathered by entity.
 
 Defined results: a null text is empty (and stays null when sanitised). Rows that agree in id and text share their spans;
 each is returned. Entities are compared in lower case, numbers by their digits.
@@ -169,17 +171,17 @@ def _term_lines(docs: DataFrame, wanted) -> DataFrame:
     return docs.mapInArrow(run, "term string, lines long")
 
 
-def disclosures(texts: DataFrame, terms: DataFrame, *, support: int, generalise_at: float) -> DataFrame | None:
-    """(entity, term, disclosure) of sensitive terms, from counts over all lines; None when no term has the support.
+def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) -> DataFrame | None:
+    """(entity, term, disclosure) of sensitive terms, from counts over all lines; None when no term meets an entity.
 
     ``texts`` has all texts as ``t``; ``terms`` is what ``_entity_terms`` found in them.
     """
     spark = texts.sparkSession
     lines = terms.groupBy("entity", "term", "lh").agg(F.sum("fresh").alias("joint"))
     met = lines.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint"))
-    met = written(met.where((F.col("term") == "") | (F.col("support") >= support)), "entity_terms")
-    often = met.where("term <> ''")
-    names = often.select("term").distinct()
+    met = written(met, "entity_terms")
+    pairs = met.where("term <> ''")
+    names = written(pairs.select("term").distinct(), "terms")
     n = names.count()
     if not n:
         return None
@@ -188,9 +190,11 @@ def disclosures(texts: DataFrame, terms: DataFrame, *, support: int, generalise_
     counted = written(counted if wanted is not None else counted.join(names, "term", "left_semi").union(counted.where("term = ''")), "term_lines")
     total = float(counted.where("term = ''").first()["lines"])
     entities = met.where("term = ''").select("entity", F.col("joint").alias("entity_lines"))
-    both = often.join(counted, "term").join(entities, "entity")
+    both = pairs.join(counted, "term").join(entities, "entity")
     prior = F.col("entity_lines") / F.lit(total)
-    gained = F.log(F.col("joint") / F.col("lines") / prior) / -F.log(prior)
+    s = F.col("support")
+    drawn = (F.col("joint") / F.col("lines") * s + prior) / (s + 1)
+    gained = F.log(drawn / prior) / -F.log(prior)
     found = both.where(F.col("entity_lines") < total).withColumn("disclosure", gained)
     return found.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
 
@@ -201,7 +205,6 @@ def find_personal_data(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: list[str] | None = None,
-    support: int = 3,
     generalise_at: float = 0.9,
     remove_at: float = 0.97,
 ) -> DataFrame:
@@ -215,7 +218,7 @@ def find_personal_data(
     keyed = docs.withColumn("__av_th", F.xxhash64(text))
     texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
     terms = written(_entity_terms(texts), "line_terms")
-    sensitive = disclosures(texts.select("t"), terms, support=support, generalise_at=generalise_at)
+    sensitive = disclosures(texts.select("t"), terms, generalise_at=generalise_at)
     base = find_base(keyed.select(*dict.fromkeys([*carry, id_col, text_col, "__av_th"])), text_col, [*dict.fromkeys([*carry, id_col]), "__av_th"])
     none = F.array().cast(_SPANS)
     if sensitive is None:

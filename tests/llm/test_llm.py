@@ -326,6 +326,18 @@ def test_personal_data(spark):
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
 
+def test_rare_terms_disclose_personal_data(spark):
+    texts = ["we met Zyxomma at z@firm.org now", *(f"we met at noon now, number {i % 7}" for i in range(3000))]
+    (got,) = (r for r in pii.find_personal_data(frame(spark, texts), carry=["doc_id", "text"]).collect() if r.doc_id == 0)
+    assert [(got.text[x.s : x.e], x.k) for x in got.terms] == [("Zyxomma", 0)]
+    n = len(texts)
+    drawn = (1 + 1 / n) / 2
+    assert 0.9 < np.log(drawn * n) / np.log(n) < 0.97
+    again = [f"{t} {i}" for i, t in enumerate(texts[:1] * 8)] + texts[1:]  # firmer evidence removes
+    found = {r.doc_id: r for r in pii.find_personal_data(frame(spark, again), carry=["doc_id", "text"]).collect()}
+    assert all((found[i].text[x.s : x.e], x.k) == ("Zyxomma", 1) for i in range(8) for x in found[i].terms[:1])
+
+
 def test_quality_model(spark):
     good = [" ".join(words(120, i, 60)) for i in range(40)]
     junk = ["".join(random.Random(i).choice("#%&XQZ!") for _ in range(300)) for i in range(5)]
