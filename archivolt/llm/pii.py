@@ -1,19 +1,23 @@
 """PII by information-theoretic sanitisation.
 
 Base patterns (e-mail, IP, card and phone numbers) give the protected entities. How strongly a term reveals one is
-estimated from the corpus: with p(e|t) the share of the lines holding term t that also hold entity e, and p(e) the share of
-all lines that hold e, the disclosure of e by t is PMI(e; t) / IC(e) = log(p(e|t) / p(e)) / -log p(e). It is 1 when the
-term gives the entity away and 0 when they are independent. No pair is too rare to count: p(e|t) is drawn towards p(e) by
-the weight of one line against the s different lines in which the two meet (copies of a line add none), so that it is about
-half of its observed share for s = 1. A term is sensitive to an entity when its disclosure reaches ``generalise_at``; from
-``remove_at`` on it is removed, below it is generalised to its shape. So a word seen once, beside an entity seen once, is
-generalised in a corpus of some thousand lines or more, and removed on firmer evidence. Only occurrences on lines that hold
-the entity are treated: there the term reveals it.
-
-Scale: the first pass (Arrow, no exchange) finds base spans, and for lines with an entity their terms. Counts are combined
-by (entity, term) and are over all documents. Line counts are needed only for terms that meet an entity: these terms are
-broadcast as a filter when there are at most ``BROADCAST_TERMS``, and joined by a shuffle of the tasks' term counts
-beyond. A hot entity spreads over its terms; nothing is gathered by entity.
+estimated from the corpus: term t and entity e meet in a document when t stands within ``window`` lines of e. With p(e|t)
+the share of the documents holding t in which the two meet, and p(e) the share of all documents that hold e, the disclosure
+of e by t is PMI(e; t) / IC(e) = log(p(e|t) / p(e)) / -log p(e). It is 1 when the term gives the entity away and 0 when they
+are independent. No pair is too rare to count: p(e|t) is drawn towards p(e) by the weight of one document against the s
+documents in which the two meet (copies of the line that holds t add none), so that it is about half of its observed share
+for s = 1. A term is sensitive to an entity when its disclosure reaches ``generalise_at``; from ``remove_at`` on it is
+removed, below it is generalised to its shape. So a word of one document, beside an entity of that document alone, is
+generalised in a corpus of some thousand documents or more, and removed on firmer evidence. Every occurrence of a sensitive
+term is treated in all documents that hold the entity. Terms have no minimum length.
+
+Scale: the first pass (Arrow, no exchange) finds base spans, and for documents with an entity the terms near it and the
+places of all terms. Counts are combined by (entity, term) and are over all documents. Document counts are needed only for
+terms that meet an entity: tasks send the counts of terms whose hash is in a broadcast filter of at most ``FILTER_WORDS``
+words of 64 bits, and a join drops what else passes it.
+Places are joined with sensitive terms by term, then with their document's
+entities; a sensitive term is seldom found apart from its entity, so the join has about as many rows as pairs have meetings.
+A hot entity spreads over its terms; nothing is gathered by entity.
 
 Defined results: a null text is empty (and stays null when sanitised). Rows that agree in id and text share their spans;
 each is returned. Entities are compared in lower case, numbers by their digits.
@@ -22,8 +26,11 @@ each is returned. Entities are compared in lower case, numbers by their digits.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +48,12 @@ PATTERNS = {
 }
 _FIND = {k: re.compile(p) for k, p in PATTERNS.items()}
 _DIGIT = re.compile("[0-9]")
-#: Up to this many terms, or term spans, are broadcast.
+#: 64-bit words of the filter of terms, a power of two; 16 MB at most.
+FILTER_WORDS = 1 << 21
+#: Up to this many term spans are broadcast.
 BROADCAST_TERMS = 200_000
-MIN_TERM = 3
+WINDOW = 2
+_WORD = re.compile("[^\x20\x09-\x0D]+")
 _EDGES = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -80,22 +90,38 @@ def entity_of(kind: str, found: str) -> str:
     return f"{kind}:{found.lower() if kind in ('email', 'ip') else ''.join(_DIGIT.findall(found))}"
 
 
-def line_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, str, list[tuple[str, int, int]]]]:
-    """For each line with an entity and each entity of it: the entity, the line, and the line's terms with their places."""
-    at = 0
-    for line in text.split("\n"):
-        end = at + len(line)
-        own = [s for s in spans if s[0] < end and s[1] > at]
-        if own:
-            terms = []
-            for m in re.finditer("[^\x20\x09-\x0D]+", line):
-                bare = m[0].strip(_EDGES.decode())
-                a = at + m.start() + m[0].find(bare) if bare else 0
-                if len(bare) >= MIN_TERM and not any(s[0] < a + len(bare) and s[1] > a for s in own):
-                    terms.append((bare.lower(), a, a + len(bare)))
-            for entity in sorted({entity_of(KINDS[s[2]], text[s[0] : s[1]]) for s in own}):
-                yield entity, line, terms
-        at = end + 1
+def context_terms(text: str, spans: list[tuple[int, int, int]], window: int = WINDOW) -> tuple[list[str], list[list[tuple[str, int, int]]], dict[str, list[int]]]:
+    """The lines; of each line the terms with their places, but those that overlap personal data; and of each entity the
+    lines within ``window`` lines of it."""
+    lines = text.split("\n")
+    starts = [0]
+    for line in lines[:-1]:
+        starts.append(starts[-1] + len(line) + 1)
+    own: dict[int, list[tuple[int, int]]] = {}
+    near: dict[str, set[int]] = {}
+    for a, b, k in spans:
+        at = bisect_right(starts, a) - 1  # no pattern goes beyond a line
+        own.setdefault(at, []).append((a, b))
+        near.setdefault(entity_of(KINDS[k], text[a:b]), set()).update(range(max(0, at - window), min(len(lines), at + window + 1)))
+    edges, terms = _EDGES.decode(), []
+    for i, line in enumerate(lines):
+        taken, ends = [], []
+        for a, b in own.get(i, ()):  # by start: runs of overlapping spans as one
+            if taken and a < ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                taken.append(a)
+                ends.append(b)
+        found = []
+        for m in _WORD.finditer(line):
+            bare = m[0].strip(edges)
+            if bare:
+                a = starts[i] + m.start() + m[0].find(bare)
+                after = bisect_right(ends, a)  # the first run that ends behind the term's start
+                if after == len(ends) or taken[after] >= a + len(bare):
+                    found.append((bare.lower(), a, a + len(bare)))
+        terms.append(found)
+    return lines, terms, {e: sorted(x) for e, x in sorted(near.items())}
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("s", "e", "k")]))
@@ -117,85 +143,121 @@ def find_base(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
 
 
 _TERM_FIELDS = [("id", pa.int64()), ("th", pa.int64()), ("entity", pa.string()), ("lh", pa.int64()), ("term", pa.string())]
-_TERM_FIELDS += [("s", pa.int32()), ("e", pa.int32()), ("fresh", pa.int64())]
+_TERM_FIELDS += [("s", pa.int32()), ("e", pa.int32())]
+_ROWS = 100_000
 
 
-def _entity_terms(docs: DataFrame) -> DataFrame:
-    """(id, th, t) to one row for each entity, its line and each term of the line; and one with the empty term for the line.
+def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
+    """(id, th, t) to three kinds of rows for each document with an entity: each entity with the empty term; each entity with
+    each term near it, once, and the hash of the first line near it that holds the term; and, with a null entity, each place
+    of each term."""
 
-    ``lh`` is the line's hash; ``fresh`` is 1 where a term first occurs in the line.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(doc: int, th: int, text: str) -> Iterator[tuple]:
         import xxhash
 
+        spans = base_spans(text)
+        if not spans:
+            return
+        lines, terms, near = context_terms(text, spans, window)
+        hashes: dict[int, int] = {}
+        for entity, at in near.items():
+            yield doc, th, entity, 0, "", 0, 0
+            seen = set()
+            for i in at:
+                if i not in hashes:
+                    hashes[i] = xxhash.xxh64_intdigest(lines[i].encode()) - (1 << 63)
+                for term, _, _ in terms[i]:
+                    if term not in seen:
+                        seen.add(term)
+                        yield doc, th, entity, hashes[i], term, 0, 0
+        for line in terms:
+            for term, a, b in line:
+                yield doc, th, None, 0, term, a, b
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [[] for _ in _TERM_FIELDS]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TERM_FIELDS, strict=True)], names=[n for n, _ in _TERM_FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in batches:
-            rows = []
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "t")), strict=True):
-                spans = base_spans(text)
-                for entity, line, terms in line_terms(text, spans) if spans else ():
-                    lh = xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
-                    rows.append((doc, th, entity, lh, "", 0, 0, 1))
-                    seen = set()
-                    for term, a, b in terms:
-                        rows.append((doc, th, entity, lh, term, a, b, int(term not in seen)))
-                        seen.add(term)
-            columns = zip(*rows, strict=True) if rows else [[] for _ in _TERM_FIELDS]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TERM_FIELDS, strict=True)], names=[n for n, _ in _TERM_FIELDS])
+                for row in found(doc, th, text):
+                    rows.append(row)
+                    if len(rows) >= _ROWS:
+                        yield batch_of(rows)
+                        rows = []
+        yield batch_of(rows)
+
+    return docs.mapInArrow(run, "id long, th long, entity string, lh long, term string, s int, e int")
+
+
+def _filter_of(terms: DataFrame) -> np.ndarray:
+    """A bit for each term's hash, in ``FILTER_WORDS`` words."""
+    h = F.xxhash64("term")
+    word = F.shiftright(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word")
+    found = terms.select(word, F.expr("shiftleft(1L, cast(xxhash64(term) & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(FILTER_WORDS, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
 
-    return docs.mapInArrow(run, "id long, th long, entity string, lh long, term string, s int, e int, fresh long")
 
+def _passing(terms: list[str], filter_: np.ndarray) -> np.ndarray:
+    """Places of the terms whose bit is set."""
+    import xxhash
 
-def _term_lines(docs: DataFrame, wanted) -> DataFrame:
-    """(t) to (term, lines): for each batch, in how many lines a term occurs; the empty term stands for all lines.
+    h = np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in terms), np.uint64, len(terms))
+    bits = filter_[((h >> np.uint64(6)) & np.uint64(FILTER_WORDS - 1)).astype(np.int64)]
+    return np.flatnonzero((bits >> (h & np.uint64(63))) & np.uint64(1))
 
-    ``wanted`` is a broadcast set of terms, or None for all.
+
+def _term_documents(docs: DataFrame, wanted) -> DataFrame:
+    """(t) to (term, documents): for each batch, in how many documents a term occurs; the empty term stands for all of them.
+
+    Only terms that pass the broadcast filter ``wanted`` are sent.
     """
     edges = _EDGES.decode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = wanted.value if wanted is not None else None
-        word = re.compile("[^\x20\x09-\x0D]+")
         for batch in batches:
-            counts, lines = {}, 0
+            counts: Counter[str] = Counter()
             for text in batch.column("t").to_pylist():
-                for line in text.split("\n"):
-                    lines += 1
-                    own = {w.strip(edges).lower() for w in word.findall(line)}
-                    for w in own if keep is None else own & keep:
-                        if len(w) >= MIN_TERM:
-                            counts[w] = counts.get(w, 0) + 1
-            counts[""] = lines
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "lines": pa.array(list(counts.values()), pa.int64())})
+                counts.update({w.strip(edges).lower() for w in set(_WORD.findall(text))})
+            counts.pop("", None)
+            terms = list(counts)
+            own = [terms[i] for i in _passing(terms, wanted.value)]
+            columns = {"term": pa.array(["", *own], pa.string()), "documents": pa.array([batch.num_rows, *(counts[t] for t in own)], pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns)
+            del counts, terms, own, columns
+            trim_memory()
 
-    return docs.mapInArrow(run, "term string, lines long")
+    return docs.mapInArrow(run, "term string, documents long")
 
 
 def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) -> DataFrame | None:
-    """(entity, term, disclosure) of sensitive terms, from counts over all lines; None when no term meets an entity.
+    """(entity, term, disclosure) of sensitive terms, from counts over all documents; None when no term meets an entity.
 
     ``texts`` has all texts as ``t``; ``terms`` is what ``_entity_terms`` found in them.
     """
     spark = texts.sparkSession
-    lines = terms.groupBy("entity", "term", "lh").agg(F.sum("fresh").alias("joint"))
+    lines = terms.where("entity is not null").groupBy("entity", "term", "lh").agg(F.count(F.lit(1)).alias("joint"))
     met = lines.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint"))
     met = written(met, "entity_terms")
     pairs = met.where("term <> ''")
     names = written(pairs.select("term").distinct(), "terms")
-    n = names.count()
-    if not n:
+    if names.isEmpty():
         return None
-    wanted = spark.sparkContext.broadcast(frozenset(r[0] for r in names.collect())) if n <= BROADCAST_TERMS else None
-    counted = _term_lines(texts, wanted).groupBy("term").agg(F.sum("lines").alias("lines"))
-    counted = written(counted if wanted is not None else counted.join(names, "term", "left_semi").union(counted.where("term = ''")), "term_lines")
-    total = float(counted.where("term = ''").first()["lines"])
-    entities = met.where("term = ''").select("entity", F.col("joint").alias("entity_lines"))
+    wanted = spark.sparkContext.broadcast(_filter_of(names))
+    counted = _term_documents(texts, wanted).groupBy("term").agg(F.sum("documents").alias("documents"))
+    counted = written(counted, "term_documents")
+    total = float(counted.where("term = ''").first()["documents"])
+    entities = met.where("term = ''").select("entity", F.col("joint").alias("entity_documents"))
     both = pairs.join(counted, "term").join(entities, "entity")
-    prior = F.col("entity_lines") / F.lit(total)
+    prior = F.col("entity_documents") / F.lit(total)
     s = F.col("support")
-    drawn = (F.col("joint") / F.col("lines") * s + prior) / (s + 1)
+    drawn = (F.col("joint") / F.col("documents") * s + prior) / (s + 1)
     gained = F.log(drawn / prior) / -F.log(prior)
-    found = both.where(F.col("entity_lines") < total).withColumn("disclosure", gained)
+    found = both.where(F.col("entity_documents") < total).withColumn("disclosure", gained)
     return found.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
 
 
@@ -205,6 +267,7 @@ def find_personal_data(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: list[str] | None = None,
+    window: int = WINDOW,
     generalise_at: float = 0.9,
     remove_at: float = 0.97,
 ) -> DataFrame:
@@ -217,7 +280,7 @@ def find_personal_data(
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.withColumn("__av_th", F.xxhash64(text))
     texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
-    terms = written(_entity_terms(texts), "line_terms")
+    terms = written(_entity_terms(texts, window), "entity_contexts")
     sensitive = disclosures(texts.select("t"), terms, generalise_at=generalise_at)
     base = find_base(keyed.select(*dict.fromkeys([*carry, id_col, text_col, "__av_th"])), text_col, [*dict.fromkeys([*carry, id_col]), "__av_th"])
     none = F.array().cast(_SPANS)
@@ -225,7 +288,11 @@ def find_personal_data(
         return base.select(*carry, F.col("__av_base").alias("base"), none.alias("terms"))
     action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
     strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
-    places = terms.where("term <> ''").join(strongest, ["entity", "term"]).groupBy("id", "th", "s", "e").agg(F.max("k").alias("k"))
+    held = terms.where("term = ''").select("id", "th", "entity").distinct()
+    hits = terms.where("entity is null").select("id", "th", "term", "s", "e").join(strongest, "term")
+    same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.entity") == F.col("h.entity"))
+    hits = hits.alias("o").join(held.alias("h"), same, "left_semi")
+    places = hits.groupBy("id", "th", "s", "e").agg(F.max("k").alias("k"))
     places = written(places.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e", "k"))).alias("terms")), "term_spans")
     if (places.agg(F.sum(F.size("terms"))).first()[0] or 0) <= BROADCAST_TERMS:
         places = F.broadcast(places)

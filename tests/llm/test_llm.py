@@ -338,6 +338,32 @@ def test_rare_terms_disclose_personal_data(spark):
     assert all((found[i].text[x.s : x.e], x.k) == ("Zyxomma", 1) for i in range(8) for x in found[i].terms[:1])
 
 
+def test_terms_near_personal_data_are_treated_in_the_whole_document(spark):
+    plain = "name mail we met at noon filler later signs number 1 2 3"
+    texts = ["Name: Zyxomma\nMail: z@firm.org\nfiller\n\nfiller\n\nlater (Zyxomma) signs\nfaraway", "王\nmail q@firm.org, Xu", *[plain] * 3000, "faraway 王1"]
+    found = {r.doc_id: r for r in pii.find_personal_data(frame(spark, texts), carry=["doc_id", "text"]).collect()}
+    terms = {i: [(x.s, r.text[x.s : x.e]) for x in r.terms] for i, r in found.items()}
+    at = texts[0].rindex("Zyxomma")
+    assert terms[0] == [(6, "Zyxomma"), (at, "Zyxomma")]
+    assert terms[1] == [(0, "王"), (texts[1].index("Xu"), "Xu")] and not any(terms[i] for i in range(2, len(texts)))
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert "Zyxomma" not in clean[0] and clean[1] == "x\nmail [EMAIL], Xx"
+
+
+def test_terms_beside_overlapping_spans():
+    text = "a1 +420 123 456 789-0, 4111 1111 1111 1111.x b@c.de,e <f> .,\n\n \ng"
+    spans = pii.base_spans(text)
+    _, terms, near = pii.context_terms(text, spans, 1)
+    free = [t for line in terms for t in line]
+    want = []
+    for m in WORD.finditer(text):
+        bare = m[0].strip(pii._EDGES.decode())
+        a = m.start() + m[0].find(bare)
+        if bare and not any(s < a + len(bare) and e > a for s, e, _ in spans):
+            want.append((bare.lower(), a, a + len(bare)))
+    assert free == want and all(x == [0, 1] for x in near.values()) and len(near) == len(spans)
+
+
 def test_quality_model(spark):
     good = [" ".join(words(120, i, 60)) for i in range(40)]
     junk = ["".join(random.Random(i).choice("#%&XQZ!") for _ in range(300)) for i in range(5)]
