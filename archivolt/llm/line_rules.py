@@ -3,7 +3,8 @@
 Lines are normalised (lower case, ASCII white space collapsed and trimmed) and hashed. For each host the distinct
 documents of every line are counted, documents with equal texts as one, so exact copies alone make no line frequent. A
 line that occurs in more documents of a host than the limit allows is removed everywhere but in its first document
-(smallest id). The limit is the larger of ``min_documents`` and ``share`` of the host's documents. A document that loses
+(smallest id). The limit is ``min_documents`` at any size of the host; a caller may ask for ``share`` of the host's distinct
+texts where that is more. A document that loses
 lines and keeps fewer than ``min_words`` words, or less than ``min_left`` of its words, is depleted and rejected. The
 base rules (length, repeated eight-word windows) come first.
 
@@ -100,22 +101,25 @@ def _lines(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFr
     return base.select("host", "id", "th", "pos", F.xxhash64("plain").alias("lh"), words.cast("long").alias("words"))
 
 
-def frequent_lines(lines: DataFrame, docs: DataFrame, host_col: str, min_documents: int, share: float) -> DataFrame:
+def frequent_lines(lines: DataFrame, docs: DataFrame, host_col: str, text_col: str, min_documents: int, share: float) -> DataFrame:
     """(host, lh, first): lines above their host's limit, with the first document's id and text hash."""
     once = lines.groupBy("host", "lh", "th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"))
     counted = once.groupBy("host", "lh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "th")).alias("first"))
     counted = counted.where(F.col("n") > min_documents)
-    hosts = docs.groupBy(F.col(host_col).alias("host")).agg(F.count(F.lit(1)).alias("all"))
+    if share <= 0:
+        return counted.select("host", "lh", F.col("first.first.id").alias("first_id"), F.col("first.th").alias("first_th"))
+    texts = docs.select(F.col(host_col).alias("host"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")).distinct()
+    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     joined = counted.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
     return joined.where(F.col("n") > F.col("all") * share).select("c.host", "lh", F.col("first.first.id").alias("first_id"), F.col("first.th").alias("first_th"))
 
 
 def removed_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_documents: int = 50, share: float = 0.02
+    docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_documents: int = 50, share: float = 0.0
 ) -> DataFrame:
     """(id, th, removed positions, removed words) of the documents that lose lines; ``th`` is the text's hash."""
     lines = _lines(docs, id_col, host_col, text_col)
-    frequent = written(frequent_lines(lines, docs, host_col, min_documents, share), "frequent_lines")
+    frequent = written(frequent_lines(lines, docs, host_col, text_col, min_documents, share), "frequent_lines")
     hits = lines.alias("l").join(frequent.alias("f"), (F.col("l.lh") == F.col("f.lh")) & F.col("l.host").eqNullSafe(F.col("f.host")))
     own = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))
     hits = hits.where(~own).select("id", "th", "pos", "words").distinct()
@@ -129,7 +133,7 @@ def line_quality(
     host_col: str = "source",
     text_col: str = "text",
     min_documents: int = 50,
-    share: float = 0.02,
+    share: float = 0.0,
     min_words: int = 20,
     min_left: float = 0.3,
     with_text: bool = False,

@@ -74,6 +74,15 @@ def test_quality_rules(spark):
     assert line_rules.line_quality(df.where("false")).count() == 0
 
 
+def test_line_limit_is_the_same_for_large_hosts(spark):
+    texts = [f"{' '.join(words(30, i))}\n{'over the limit' if i < 51 else 'at the limit' if i < 101 else 'own line'} {i if i > 100 else ''}" for i in range(3000)]
+    got = {r.doc_id: r.removed_words for r in line_rules.line_quality(frame(spark, texts)).collect()}
+    assert got == {i: 3 * (0 < i < 51) for i in range(3000)}
+    copies = texts[:60] + [texts[0]] * 3000  # copies don't raise a share of the host's texts
+    found = line_rules.removed_lines(frame(spark, copies), min_documents=2, share=0.02).select("id").distinct().collect()
+    assert {r.id for r in found} >= set(range(1, 60)) - {51}
+
+
 def brute_near(texts):
     sets = {}
     for i, t in enumerate(texts):
