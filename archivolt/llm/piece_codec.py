@@ -1,34 +1,45 @@
-"""SentencePiece encoding and decoding with a distinct-chunk table.
+"""SentencePiece encoding and decoding with a distinct-chunk table of the corpus.
 
 The normalised text begins with a whitespace marker and has one in place of every space. When no piece holds a marker
-after another character, no piece crosses the start of a marker run, and pieces can be merged within such a chunk alone:
-each distinct marked word is segmented once by the library, and ids are joined back by position. Decoding uses the same
-table: a chunk's ids never share a byte sequence with the next chunk's, so decoded chunks are joined by position too.
-
-The table is kept for each worker rather than for the whole corpus: a table of all distinct chunks would have to be
-joined to every position of every document, which shuffles the corpus twice, while segmenting a chunk again in another
-task costs a few microseconds. Documents are read once, nothing is shuffled, and memory is bounded (see ``chunks``).
-
-Defined results: null and empty texts have no ids and decode to the empty text. A model whose pieces can cross markers,
-or that normalises or trims, is refused.
+after another character, no piece crosses the start of a marker run, and pieces can be merged within such a chunk alone.
+So each distinct marked word of the corpus is segmented once and its ids are joined back by position:
+
+1. A pass over the texts (Arrow) names the distinct chunks of each block of ``BLOCK_BYTES`` of text, dealt into parts of the
+   table by a checksum of the chunk: rows (part, block, chunks).
+2. An exchange by part brings all requests for a chunk to one task, which segments it once and answers every block.
+3. An exchange by block puts a block's answers into a folder of their own in the shared folder.
+4. A second pass cuts the texts into the same blocks, reads each block's answers and joins them by position. A block is known
+   by a digest of its chunks, so one that is cut otherwise the second time finds no answers and is segmented on the spot.
+
+Texts do not move. What is exchanged is a block's distinct chunks and their ids, which grow slower than the text; a part of
+the table is in memory once at a time, as is a block. A frequent chunk has a row for each block at most. Decoding uses the
+same table: a chunk's ids never share a byte sequence with the next chunk's, so decoded chunks are joined by position too.
+
+Defined results: null and empty texts have no ids and decode to the empty text. A very long text is a block of its own.
+Repeated rows are encoded each; documents' other columns are carried as they are, but those whose names clash with results.
+No documents give no rows. A model whose pieces can cross markers, or that normalises or trims, is refused.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ship, steps, text_bytes
-from archivolt.llm.chunks import ChunkTable, distinct_chunks
+from archivolt.llm._common import scratch_path, ship, steps, text_bytes, trim_memory
+from archivolt.llm.chunks import distinct_chunks
 
 MARK = "▁"
-#: Entries of a worker's table; they have four values each.
-TABLE_ENTRIES = 150_000
+#: Bytes of text in a block, within which each distinct chunk is asked for once.
+BLOCK_BYTES = 8_000_000
+#: Times the session's shuffle partitions: into so many parts the table of distinct chunks is dealt.
+PARTS_PER_PARTITION = 4
 _MARK = MARK.encode()
 
 
@@ -72,7 +83,7 @@ def mark_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class PieceCodec:
-    """Encodes and decodes whole texts through a chunk table; made once in each worker."""
+    """Encodes and decodes chunks; made once in each worker."""
 
     def __init__(self, model_path: str):
         import sentencepiece
@@ -80,29 +91,15 @@ class PieceCodec:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         check_model(self.sp)
         self.lone = [self.sp.piece_to_id(MARK)]
-        self.table = ChunkTable(self._encode, 4, TABLE_ENTRIES)
 
-    def _encode(self, chunks: list[bytes]) -> list[tuple]:
-        """Of each chunk: number of ids, ids as bytes, ids as decimals with commas, decoded bytes with the first marker."""
+    def encode(self, chunks: list[bytes]) -> tuple[list[bytes], list[bytes | None]]:
+        """Of each chunk: its ids as decimals with commas, and its decoded bytes with the first marker, None if that is the
+        chunk itself."""
         texts = [(c[1:] if c[0] == 32 else c[3:]).decode() for c in chunks]
         ids = [i if t else self.lone for t, i in zip(texts, self.sp.encode(texts, num_threads=1), strict=True)]
-        plain = self.sp.decode(ids, num_threads=1)
-        decoded = [b" " + p.encode() for p in plain]
-        return [  # a chunk that decodes to itself is kept once
-            (len(i), np.array(i, np.int32).tobytes(), (",".join(map(str, i)) + ",").encode(), c if c == d else d)
-            for c, i, d in zip(chunks, ids, decoded, strict=True)
-        ]
-
-    def run(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[bytes], list[bytes], list[bytes]]]:
-        """For each document: number of ids, and its chunks' ids, decimals and decoded bytes."""
-        out, starts, bounds = mark_chunks(data, offsets)
-        chunks, at = distinct_chunks(out, starts)
-        n, ids, decimals, plain = self.table.columns_of(chunks)
-        counts = np.concatenate(([0], np.cumsum(np.array(n, np.int64)[at]))) if len(at) else np.zeros(1, np.int64)
-        at = at.tolist()
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own = at[a:b]
-            yield int(counts[b] - counts[a]), [ids[i] for i in own], [decimals[i] for i in own], [plain[i] for i in own]
+        plain = (b" " + p.encode() for p in self.sp.decode(ids, num_threads=1))
+        decimals = [(",".join(map(str, i)) + ",").encode() for i in ids]
+        return decimals, [None if c == d else d for c, d in zip(chunks, plain, strict=True)]
 
 
 _CODECS: dict[str, PieceCodec] = {}
@@ -114,13 +111,93 @@ def _codec(model_path: str) -> PieceCodec:
     return _CODECS[model_path]
 
 
+class Block:
+    """Some documents cut into chunks: the distinct ones, where each stands, and the parts of the table that hold them."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, parts: int):
+        out, starts, self.bounds = mark_chunks(data, offsets)
+        self.chunks, self.at = distinct_chunks(out, starts)
+        part = np.array([zlib.crc32(c) for c in self.chunks], np.int64) % parts
+        self.order = np.argsort(part, kind="stable")
+        self.parts, self.first = np.unique(part[self.order], return_index=True)
+        sizes = np.array([len(c) for c in self.chunks], np.int64)
+        self.key = hashlib.blake2b(sizes.tobytes() + b"".join(self.chunks), digest_size=16).hexdigest()
+
+    def requests(self) -> Iterator[tuple[int, list[bytes]]]:
+        """The chunks of each part, in the block's order."""
+        for part, own in zip(self.parts.tolist(), np.split(self.order, self.first[1:]), strict=True):
+            yield part, [self.chunks[i] for i in own.tolist()]
+
+    def placed(self, answers: pa.Table) -> tuple[list[bytes], list[bytes | None]] | None:
+        """The answers to all requests, by chunk; None unless they are complete."""
+        answers = answers.sort_by("part")
+        part = answers["part"].to_numpy()
+        if len(part) > len(self.parts):  # equal blocks have equal answers
+            answers = answers.take(pa.array(np.unique(part, return_index=True)[1]))
+        decimals, plain = (answers[c].combine_chunks().flatten().to_pylist() for c in ("decimals", "plain"))
+        if answers["part"].to_pylist() != self.parts.tolist() or len(decimals) != len(self.chunks):
+            return None
+        back = np.empty(len(self.order), np.int64)
+        back[self.order] = np.arange(len(self.order))
+        return [decimals[i] for i in back.tolist()], [plain[i] for i in back.tolist()]
+
+
+_REQUEST = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.StringType()), T.StructField("chunks", T.ArrayType(T.BinaryType()))])
+_ANSWER = "part int, block string, decimals array<binary>, plain array<binary>"
+
+
+def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, path: str) -> None:
+    """Writes the answers to every block's requests, a folder for each block."""
+
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column(0))
+            for a, b in steps(off, BLOCK_BYTES):
+                block = Block(data, off[a : b + 1], parts)
+                rows = list(block.requests())
+                own = {"part": pa.array([p for p, _ in rows], pa.int32()), "block": pa.array([block.key] * len(rows), pa.string())}
+                yield pa.RecordBatch.from_pydict(own | {"chunks": pa.array([c for _, c in rows], pa.list_(pa.binary()))})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, now, known = _codec(model_path), -1, {}
+        for batch in batches:
+            decimals, plain = [], []
+            for part, chunks in zip(batch.column("part").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
+                if part != now:
+                    now, known = part, {}
+                new = [c for c in chunks if c not in known]
+                if new:
+                    known.update(zip(new, zip(*codec.encode(new), strict=True), strict=True))
+                found = [known[c] for c in chunks]
+                decimals.append([d for d, _ in found])
+                plain.append([p for _, p in found])
+            own = [pa.array(x, pa.list_(pa.binary())) for x in (decimals, plain)]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("block"), *own], names=["part", "block", "decimals", "plain"])
+        trim_memory()
+
+    asked = docs.select(text_col).mapInArrow(request, _REQUEST)
+    dealt = asked.repartition("part").sortWithinPartitions("part", "block").mapInArrow(answer, _ANSWER)
+    dealt.repartition("block").write.partitionBy("block").parquet(path)
+
+
+def _read_block(path: str, key: str) -> pa.Table | None:
+    import pyarrow.parquet as pq
+
+    fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    found = [f.path for f in fs.get_file_info(pafs.FileSelector(f"{inner}/block={key}", allow_not_found=True)) if f.path.endswith(".parquet")]
+    if not found:
+        return None
+    return pa.concat_tables([pq.ParquetFile(fs.open_input_file(f)).read(["part", "decimals", "plain"]) for f in found])
+
+
 def encode_decode(
     docs: DataFrame, model_path: str, *, text_col: str = "text", carry: list[str] | None = None, with_ids: bool = False, with_text: bool = False
 ) -> DataFrame:
     """One row per document: the carried columns, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256
     (of the decoded text), and on request the ids and the decoded text. ``model_path`` is a path on every machine. Carried
     columns whose names clash with results are left out."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     results = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     results += [("ids", T.ArrayType(T.IntegerType()))] * with_ids + [("decoded", T.StringType())] * with_text
     names = {n for n, _ in results}
@@ -128,17 +205,27 @@ def encode_decode(
     source = docs.select(*dict.fromkeys([*carry, text_col]))
     fields = [f for f in source.schema.fields if f.name in carry]
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in results)])
+    parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "chunk_answers")
+    _answers(docs, model_path, text_col, parts, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model_path)
         for batch in batches:
             data, off = text_bytes(batch.column(text_col))
-            for a, b in steps(off, 2_000_000):
+            for a, b in steps(off, BLOCK_BYTES):
+                block = Block(data, off[a : b + 1], parts)
+                answers = _read_block(path, block.key)
+                found = block.placed(answers) if answers is not None else None
+                decimals, plain = found or _codec(model_path).encode(block.chunks)
+                plain = [c if p is None else p for c, p in zip(block.chunks, plain, strict=True)]
+                counts = np.array([d.count(b",") for d in decimals], np.int64)
+                total = np.concatenate(([0], np.cumsum(counts[block.at]))) if len(block.at) else np.zeros(1, np.int64)
                 rows = []
-                for n, ids, decimals, plain in codec.run(data, off[a : b + 1]):
-                    text = b"".join(plain)[1:]
-                    row = [n, hashlib.sha256(b"".join(decimals)[:-1]).hexdigest(), hashlib.sha256(text).hexdigest()]
-                    row += [np.frombuffer(b"".join(ids), np.int32)] * with_ids + [text.decode()] * with_text
+                for x, y in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True):
+                    own = block.at[x:y].tolist()
+                    ids, text = b"".join([decimals[i] for i in own])[:-1], b"".join([plain[i] for i in own])[1:]
+                    row = [int(total[y] - total[x]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()]
+                    row += [np.fromstring(ids.decode(), np.int32, sep=",") if ids else np.zeros(0, np.int32)] * with_ids + [text.decode()] * with_text
                     rows.append(row)
                 got = [pa.array(x, pa.list_(pa.int32()) if n == "ids" else None) for (n, _), x in zip(results, zip(*rows, strict=True), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name)[a:b] for f in fields), *got], names=schema.names)
