@@ -19,15 +19,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step takes at once; a longer document is a step of its own.
 STEP_BYTES = 1_500_000
+#: Bytes of an Arrow batch on its way to a Python worker, unless the session has set its own; a row may exceed it.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LIBC = ctypes.CDLL(None)
 
 
+#: Spark's own default of that setting.
+_DEFAULT_BATCH = "67108864b"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for each application, so that it need not be installed there."""
+    """Sends this package to the Python workers, once for each application, so that it need not be installed there.
+
+    Arrow batches of a session that has not set their size are bounded, since two copies of each are in memory at once.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parents[1]
@@ -50,12 +60,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one is set only where the session names none, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder; a temporary one is set only in local mode where the session names none, as in tests."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="archivolt-"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="archivolt-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
 
@@ -73,14 +84,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Deletes a table that ``written`` made, once nothing lazy reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/archivolt-" in parent:
-            path = jvm.org.apache.hadoop.fs.Path(parent)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+def drop_written(*frames: DataFrame) -> None:
+    """Deletes tables that ``written`` made, once nothing lazy reads them any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/archivolt-" in parent:
+                path = sc._jvm.org.apache.hadoop.fs.Path(parent)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

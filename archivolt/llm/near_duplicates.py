@@ -11,17 +11,18 @@ Words are lower-cased (A-Z) runs between ASCII white space; a document's set is
    two maps has 453 set bits on average with a deviation under 30; a pair is dropped above 610, which loses a link with
    probability below 1e-6 and drops nearly all pairs under 0.65. What is left is confirmed on the full sets.
 4. Links are closed to components: up to ``ONE_TASK_LINKS`` by union-find in one task, more by alternating star contraction.
-   Buckets whose members still lie in different
-   components are completed: the members outside the bucket's largest component meet every member of another component,
-   with sizes, sketches and full sets compared inside the join condition, so only links become rows. Members already
-   connected are not compared. Large buckets are cut into blocks of some ``BLOCK`` members, each a join key of its own.
+   Buckets whose members still lie in different components are completed: the members outside the bucket's largest
+   component meet every member of another component. Only ids, sizes and sketches are moved for that; a bucket is cut into
+   a grid of blocks of some ``BLOCK`` members on either side, each cell a group of bounded size, in which sketches of
+   fitting sizes are compared as arrays. Close ones alone become rows, and full sets are fetched for these alone.
 
 What moves: for each document its class key and 36 band hashes; sketches, sets and texts move only for documents in
 buckets of two or more. Nothing is collected to the driver but counts. Intermediate tables are written in the shared
 checkpoint folder, so a lost executor repeats only its own tasks.
 
-The cost of step 4 grows with (members outside the largest component) x (members) of a bucket: for a bucket of many
-documents that share three quarters of four samples but are no near copies, that is quadratic in comparisons, not in rows.
+The cost of step 4 grows with (members outside the largest component) x (members of fitting size) of a bucket: for a bucket
+of many documents that share four samples but are no near copies, that is quadratic in sketch comparisons (about 0.1
+microseconds each, spread over the grid's cells), not in rows or in memory.
 
 Defined results: null or empty texts have an empty set, link with nothing and are kept. Rows that share an id count as
 one document, and each is returned. Rows with a null id link with nothing: component_id null, kept true.
@@ -44,9 +45,11 @@ SHINGLE = 5
 BANDS, ROWS = 36, 4
 SKETCH_SAMPLES, SKETCH_BITS, MOST_BITS = 1024, 4096, 610
 #: Up to this many links (16 bytes each) are closed in one task, more by star contraction over the cluster.
-ONE_TASK_LINKS = 1_000_000
-#: Members of a bucket that one join key holds, about.
+ONE_TASK_LINKS = 250_000
+#: Members of a bucket on each side of a cell of its grid, about.
 BLOCK = 1024
+#: Sketches of one side that are compared at once.
+ROWS_AT_ONCE = 32
 #: Ids up to this many (8 bytes each) are broadcast to select documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -195,7 +198,9 @@ def components(edges: DataFrame, one_task: int = ONE_TASK_LINKS) -> DataFrame:
     now = written(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "edges")
     seen = signature(now)
     if seen[0] <= one_task:
-        return written(now.repartition(1).mapInArrow(_union_find, "id long, label long"), "labels")
+        labels = written(now.repartition(1).mapInArrow(_union_find, "id long, label long"), "labels")
+        drop_written(now)
+        return labels
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo"), F.col("hi")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -217,22 +222,86 @@ def _linked(na: Column, nb: Column, xa: Column, xb: Column, threshold: tuple[int
     return shared * den >= (na + nb - shared) * num
 
 
-def _confirmed(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose sketches are close and whose full sets reach the threshold."""
+def _side(members: DataFrame, letter: str, column: str) -> DataFrame:
+    return members.select(F.col("id").alias(letter), F.col("n").alias(f"n{letter}"), F.col(column).alias(f"x{letter}"))
 
-    def side(letter: str, column: str) -> DataFrame:
-        return members.select(F.col("id").alias(letter), F.col("n").alias(f"n{letter}"), F.col(column).alias(f"x{letter}"))
 
-    near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
-    near = near.where(_bits_apart(F.col("xa"), F.col("xb")) <= MOST_BITS).select("a", "b")
-    full = near.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
+def _with_sets(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the threshold."""
+    full = pairs.join(_side(members, "a", "grams"), "a").join(_side(members, "b", "grams"), "b")
     return full.where(_linked(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), threshold)).select("a", "b")
 
 
+def _confirmed(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of fitting sizes whose sketches are close and whose full sets reach the threshold."""
+    num, den = threshold
+    sized = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
+    near = pairs.join(_side(members, "a", "sketch"), "a").join(_side(members, "b", "sketch"), "b")
+    near = near.where(sized & (_bits_apart(F.col("xa"), F.col("xb")) <= MOST_BITS)).select("a", "b")
+    return _with_sets(near, members, threshold)
+
+
+def _close_pairs(x: tuple, y: tuple, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs of two groups (id, label, n, sketches) with other labels, fitting sizes and close sketches."""
+    num, den = threshold
+    xi, xl, xn, xs = x
+    order = np.argsort(y[2], kind="stable")
+    yi, yl, yn, ys = (v[order] for v in y)
+    lo, hi = np.searchsorted(yn, -(-xn * num // den), "left"), np.searchsorted(yn, xn * den // num, "right")
+    by_size = np.argsort(xn, kind="stable")
+    found = []
+    for k in range(0, len(xi), ROWS_AT_ONCE):
+        own = by_size[k : k + ROWS_AT_ONCE]
+        a, b = int(lo[own].min()), int(hi[own].max())
+        if a >= b:
+            continue
+        apart = np.zeros((len(own), b - a), np.uint16)
+        for w in range(xs.shape[1]):
+            apart += np.bitwise_count(xs[own, w, None] ^ ys[None, a:b, w])
+        place = np.arange(a, b)
+        fit = (apart <= MOST_BITS) & (xl[own, None] != yl[None, a:b]) & (place >= lo[own, None]) & (place < hi[own, None])
+        i, j = np.nonzero(fit)
+        found.append((xi[own[i]], yi[a + j]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _completing_pairs(placed: DataFrame, open_: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(a, b), close by their sketches, of members that share an open bucket and lie in different components.
+
+    ``placed``: bucket, id, label; ``open_``: bucket, major, hub, blocks.
+    """
+    sketches = members.select("id", "n", "sketch").dropDuplicates(["id"])
+    inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub").join(sketches, "id"), "inside")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x = inside.where("label <> major").select("*", own.alias("bx")).select("*", every.alias("by"), F.lit(True).alias("outside"))
+    y = inside.select("*", own.alias("by")).select("*", every.alias("bx"), F.lit(False).alias("outside"))
+    columns = ["bucket", "bx", "by", "outside", "id", "label", "n", "sketch"]
+    cells = x.select(*columns).union(y.select(*columns))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        outside = table["outside"].to_numpy()
+        ids, labels, n = (table[c].to_numpy() for c in ("id", "label", "n"))
+        flat = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        sides = [(ids[m], labels[m], n[m], flat[m]) for m in (outside, ~outside)]
+        a, b = _close_pairs(*sides, threshold) if len(sides[0][0]) and len(sides[1][0]) else (np.zeros(0, np.int64),) * 2
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return cells.groupBy("bucket", "bx", "by").applyInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (75, 100)
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (75, 100), block: int = BLOCK
 ) -> DataFrame:
-    """One row per document: id, n_shingles (set size), component_id (smallest id reachable over links), kept."""
+    """One row per document: id, n_shingles (set size), component_id (smallest id reachable over links), kept.
+
+    Other columns of ``docs``, whatever their names, are not read. Ids must be numbers that fit a long. A very long text is
+    one vectorised step of its own (some 40 bytes of memory for each of its bytes).
+    """
     ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed_docs = written(_signatures(source), "signatures")
@@ -251,11 +320,13 @@ def near_duplicates(
     ids = written(degrees.select("id"), "ids")
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     members = written(_members(source.join(chosen, "id", "left_semi")), "members")
+    drop_written(ids)
 
     ordered = [F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")]
     pairs = buckets.join(hubs, "bucket").where("id <> hub").select(*ordered).distinct()
     links = written(_confirmed(pairs, members, threshold), "links")
     labels = components(links)
+    drop_written(links)
 
     # buckets that still span components
     label = F.coalesce("label", "id").alias("label")
@@ -263,23 +334,15 @@ def near_duplicates(
     tally = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     major = F.max(F.struct("n", "label")).getField("label").alias("major")
     open_ = tally.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), major).where("labels > 1 and n > 2")
-    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
+    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "open")
+    drop_written(buckets, hubs)
     if not open_.isEmpty():
-        full = members.dropDuplicates(["id"])
-        inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub").join(full, "id"), "inside")
-        x = inside.where("label <> major").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        y = inside.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        x, y = x.alias("x"), y.alias("y")
-        num, den = threshold
-        col = F.col
-        same = (col("x.bucket") == col("y.bucket")) & (col("x.block") == col("y.block")) & (col("x.label") != col("y.label"))
-        sized = (col("x.n") * den >= col("y.n") * num) & (col("y.n") * den >= col("x.n") * num)
-        close = _bits_apart(col("x.sketch"), col("y.sketch")) <= MOST_BITS
-        link = _linked(col("x.n"), col("y.n"), col("x.grams"), col("y.grams"), threshold)
-        rest = x.join(y, same & sized & close & link).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        more = written(rest.distinct(), "more_links")
+        close = _completing_pairs(placed, open_, members, threshold)
+        more = written(_with_sets(close, members, threshold), "more_links")
         if not more.isEmpty():
             labels = components(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
+        drop_written(more)
+    drop_written(placed, open_, members)
 
     ends = labels.select(F.col("id").alias("rep"), "label")
     linked = classes.join(ends, "rep", "left").select("id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
