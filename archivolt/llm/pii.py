@@ -11,16 +11,20 @@ removed, below it is generalised to its shape. So a word of one document, beside
 generalised in a corpus of some thousand documents or more, and removed on firmer evidence. Every occurrence of a sensitive
 term is treated in all documents that hold the entity. Terms have no minimum length.
 
-Scale: the first pass (Arrow, no exchange) finds base spans, and for documents with an entity the terms near it and the
-places of all terms. Counts are combined by (entity, term) and are over all documents. Document counts are needed only for
-terms that meet an entity: tasks send the counts of terms whose hash is in a broadcast filter of at most ``FILTER_WORDS``
-words of 64 bits, and a join drops what else passes it.
-Places are joined with sensitive terms by term, then with their document's
-entities; a sensitive term is seldom found apart from its entity, so the join has about as many rows as pairs have meetings.
-A hot entity spreads over its terms; nothing is gathered by entity.
+Scale: the first pass (Arrow, no exchange) finds base spans, and for documents with an entity the pairs of entities and
+terms near them and all their terms; entities and terms travel as 64-bit hashes, and one document's rows leave in batches of
+bounded size. Counts are combined by (entity, term) and are over all documents. Document counts are needed only for terms
+that meet an entity: tasks send the counts of terms whose hash is in a broadcast filter of at most ``FILTER_WORDS`` words of
+64 bits, and a join drops what else passes it. Documents' terms are joined with sensitive ones by term, then with their
+document's entities; a sensitive term is seldom found apart from its entity, so the join has about as many rows as pairs
+have meetings. A hot entity spreads over its terms; nothing is gathered by entity. The last pass gets each document's
+sensitive terms and finds their places, in one Python step. Those lists are broadcast up to ``BROADCAST_TERMS`` terms.
 
 Defined results: a null text is empty (and stays null when sanitised). Rows that agree in id and text share their spans;
-each is returned. Entities are compared in lower case, numbers by their digits.
+each is returned, and count as documents each. Entities are compared in lower case, numbers by their digits. Base spans are
+found in time linear in the text, so that a very long token or number does no harm; a line of m entities and n terms has m
+times n pairs. Ids must be numbers that fit a long. Other columns may have any name; carried ones that clash with results
+are left out. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ship, trim_memory, written
+from archivolt.llm._common import drop_written, ship, trim_memory, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -46,7 +50,17 @@ PATTERNS = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_FIND = {k: re.compile(p) for k, p in PATTERNS.items()}
+#: The same patterns for a search in linear time: no run of characters is tried again from within. The first of each pair is
+#: tried where the last match ended, the second is searched for from there.
+_FIND = {
+    "email": (
+        re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+        re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ),
+    "ip": (re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"), re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")),
+    "card": (re.compile(r"[0-9](?:[\x20-]?[0-9])++"), re.compile(r"[0-9](?:[\x20-]?[0-9])++")),
+    "phone": (re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+}
 _DIGIT = re.compile("[0-9]")
 #: 64-bit words of the filter of terms, a power of two; 16 MB at most.
 FILTER_WORDS = 1 << 21
@@ -75,13 +89,22 @@ def _passes(kind: str, found: str) -> bool:
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
 
+def _matches(kind: str, text: str) -> Iterator[re.Match]:
+    """Leftmost non-overlapping matches of a base pattern."""
+    here, later = _FIND[kind]
+    at = 0
+    while found := (at and here.match(text, at)) or later.search(text, at):
+        yield found
+        at = found.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, rank of the kind) of a text's personal data, by start, then by kind."""
     out = []
     for rank, kind in enumerate(KINDS):
         if kind == "email" and "@" not in text or kind == "phone" and "+" not in text or kind != "email" and not _DIGIT.search(text):
             continue
-        out += [(m.start(), m.end(), rank) for m in _FIND[kind].finditer(text) if _passes(kind, m[0])]
+        out += [(m.start(), m.end(), rank) for m in _matches(kind, text) if _passes(kind, m[0])]
     return sorted(out, key=lambda x: (x[0], x[2]))
 
 
@@ -128,110 +151,116 @@ _SPANS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("
 _ARROW_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("k", pa.int32())]))
 
 
-def find_base(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
-    """The carried columns and ``__av_base``, the base spans of whole texts."""
-    fields = [f for f in docs.schema.fields if f.name in carry]
-    schema = T.StructType([*fields, T.StructField("__av_base", _SPANS)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [[{"s": a, "e": b, "k": k} for a, b, k in base_spans(t)] if t else [] for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(spans, _ARROW_SPANS)], names=schema.names)
-            trim_memory()
+def hash_of(value: str) -> int:
+    """The 64-bit hash under which an entity, a term or a line travels; 0 stands for none."""
+    import xxhash
 
-    return docs.mapInArrow(run, schema)
+    return xxhash.xxh64_intdigest(value.encode(), 42) - (1 << 63)
 
 
-_TERM_FIELDS = [("id", pa.int64()), ("th", pa.int64()), ("entity", pa.string()), ("lh", pa.int64()), ("term", pa.string())]
-_TERM_FIELDS += [("s", pa.int32()), ("e", pa.int32())]
+_ROW = [("id", pa.int64()), ("th", pa.int64()), ("entity", pa.int64()), ("term", pa.int64()), ("lh", pa.int64())]
 _ROWS = 100_000
 
 
 def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
-    """(id, th, t) to three kinds of rows for each document with an entity: each entity with the empty term; each entity with
-    each term near it, once, and the hash of the first line near it that holds the term; and, with a null entity, each place
-    of each term."""
-
-    def found(doc: int, th: int, text: str) -> Iterator[tuple]:
-        import xxhash
+    """(id, th, t) to three kinds of rows for each document with an entity: each entity, with the term 0; each entity with
+    each term near it, once, and the hash of the first line near it that holds the term; and, with a null entity, each term
+    of the document, once."""
 
+    def found(text: str) -> Iterator[tuple]:
         spans = base_spans(text)
         if not spans:
             return
         lines, terms, near = context_terms(text, spans, window)
+        names: dict[str, int] = {}
+        for t in terms:
+            for term, _, _ in t:
+                if term not in names:
+                    names[term] = hash_of(term)
+        own = [list(dict.fromkeys(names[term] for term, _, _ in t)) for t in terms]
         hashes: dict[int, int] = {}
         for entity, at in near.items():
-            yield doc, th, entity, 0, "", 0, 0
-            seen = set()
+            e, first = hash_of(entity), {}
+            yield e, 0, 0
             for i in at:
                 if i not in hashes:
-                    hashes[i] = xxhash.xxh64_intdigest(lines[i].encode()) - (1 << 63)
-                for term, _, _ in terms[i]:
-                    if term not in seen:
-                        seen.add(term)
-                        yield doc, th, entity, hashes[i], term, 0, 0
-        for line in terms:
-            for term, a, b in line:
-                yield doc, th, None, 0, term, a, b
+                    hashes[i] = hash_of(lines[i])
+                for term in own[i]:
+                    first.setdefault(term, hashes[i])
+            for term, line in first.items():
+                yield e, term, line
+        for term in dict.fromkeys(t for x in own for t in x):
+            yield None, term, 0
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows, strict=True) if rows else [[] for _ in _TERM_FIELDS]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TERM_FIELDS, strict=True)], names=[n for n, _ in _TERM_FIELDS])
+        columns = zip(*rows, strict=True) if rows else [[] for _ in _ROW]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _ROW, strict=True)], names=[n for n, _ in _ROW])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "t")), strict=True):
-                for row in found(doc, th, text):
-                    rows.append(row)
+                for row in found(text):
+                    rows.append((doc, th, *row))
                     if len(rows) >= _ROWS:
                         yield batch_of(rows)
                         rows = []
+            trim_memory()
         yield batch_of(rows)
 
-    return docs.mapInArrow(run, "id long, th long, entity string, lh long, term string, s int, e int")
+    return docs.mapInArrow(run, "id long, th long, entity long, term long, lh long")
 
 
 def _filter_of(terms: DataFrame) -> np.ndarray:
-    """A bit for each term's hash, in ``FILTER_WORDS`` words."""
-    h = F.xxhash64("term")
-    word = F.shiftright(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word")
-    found = terms.select(word, F.expr("shiftleft(1L, cast(xxhash64(term) & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    """A bit for each term, in ``FILTER_WORDS`` words."""
+    word = F.shiftright("term", 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word")
+    bit = F.expr("shiftleft(1L, cast(term & 63 as int))").alias("bit")
+    found = terms.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(FILTER_WORDS, np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def _passing(terms: list[str], filter_: np.ndarray) -> np.ndarray:
+def _passing(hashes: np.ndarray, filter_: np.ndarray) -> np.ndarray:
     """Places of the terms whose bit is set."""
-    import xxhash
-
-    h = np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in terms), np.uint64, len(terms))
+    h = hashes.view(np.uint64)
     bits = filter_[((h >> np.uint64(6)) & np.uint64(FILTER_WORDS - 1)).astype(np.int64)]
     return np.flatnonzero((bits >> (h & np.uint64(63))) & np.uint64(1))
 
 
-def _term_documents(docs: DataFrame, wanted) -> DataFrame:
-    """(t) to (term, documents): for each batch, in how many documents a term occurs; the empty term stands for all of them.
+#: Distinct terms that a task holds before it sends their counts.
+_HELD = 200_000
 
-    Only terms that pass the broadcast filter ``wanted`` are sent.
-    """
+
+def _term_documents(docs: DataFrame, wanted) -> DataFrame:
+    """(t) to (term, documents): in how many documents of a task, or of a part of it, a term occurs; the term 0 stands for all
+    of them. Only terms that pass the broadcast filter ``wanted`` are sent."""
     edges = _EDGES.decode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        rows = 0
+
+        def sent() -> pa.RecordBatch:
+            counts.pop("", None)
+            hashes = np.fromiter(map(hash_of, counts), np.int64, len(counts))
+            at = _passing(hashes, wanted.value)
+            own = np.fromiter(counts.values(), np.int64, len(counts))[at]
+            return pa.RecordBatch.from_pydict({"term": np.append(hashes[at], 0), "documents": np.append(own, rows)})
+
         for batch in batches:
-            counts: Counter[str] = Counter()
             for text in batch.column("t").to_pylist():
                 counts.update({w.strip(edges).lower() for w in set(_WORD.findall(text))})
-            counts.pop("", None)
-            terms = list(counts)
-            own = [terms[i] for i in _passing(terms, wanted.value)]
-            columns = {"term": pa.array(["", *own], pa.string()), "documents": pa.array([batch.num_rows, *(counts[t] for t in own)], pa.int64())}
-            yield pa.RecordBatch.from_pydict(columns)
-            del counts, terms, own, columns
-            trim_memory()
+                rows += 1
+                if len(counts) >= _HELD:
+                    yield sent()
+                    counts.clear()
+                    rows = 0
+        yield sent()
+        counts.clear()
+        trim_memory()
 
-    return docs.mapInArrow(run, "term string, documents long")
+    return docs.mapInArrow(run, "term long, documents long")
 
 
 def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) -> DataFrame | None:
@@ -243,15 +272,13 @@ def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) ->
     lines = terms.where("entity is not null").groupBy("entity", "term", "lh").agg(F.count(F.lit(1)).alias("joint"))
     met = lines.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint"))
     met = written(met, "entity_terms")
-    pairs = met.where("term <> ''")
-    names = written(pairs.select("term").distinct(), "terms")
-    if names.isEmpty():
+    pairs = met.where("term <> 0")
+    if pairs.isEmpty():
         return None
-    wanted = spark.sparkContext.broadcast(_filter_of(names))
-    counted = _term_documents(texts, wanted).groupBy("term").agg(F.sum("documents").alias("documents"))
-    counted = written(counted, "term_documents")
-    total = float(counted.where("term = ''").first()["documents"])
-    entities = met.where("term = ''").select("entity", F.col("joint").alias("entity_documents"))
+    wanted = spark.sparkContext.broadcast(_filter_of(pairs))
+    counted = written(_term_documents(texts, wanted).groupBy("term").agg(F.sum("documents").alias("documents")), "term_documents")
+    total = float(counted.where("term = 0").first()["documents"])
+    entities = met.where("term = 0").select("entity", F.col("joint").alias("entity_documents"))
     both = pairs.join(counted, "term").join(entities, "entity")
     prior = F.col("entity_documents") / F.lit(total)
     s = F.col("support")
@@ -261,6 +288,58 @@ def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) ->
     return found.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
 
 
+def _sensitive_terms(docs: DataFrame, id_col: str, text_col: str, window: int, generalise_at: float, remove_at: float) -> DataFrame:
+    """The documents with ``__av_terms``, each one's sensitive terms (h, k): k is 1 to remove and 0 to generalise."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumn("__av_th", F.xxhash64(text))
+    texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
+    terms = written(_entity_terms(texts, window), "entity_contexts")
+    sensitive = disclosures(texts.select("t"), terms, generalise_at=generalise_at)
+    none = F.array().cast("array<struct<h:bigint,k:int>>")
+    if sensitive is None:
+        return keyed.withColumn("__av_terms", none).drop("__av_th")
+    action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
+    strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
+    held = terms.where("term = 0").select("id", "th", "entity").distinct()
+    hits = terms.where("entity is null").select("id", "th", "term").distinct().join(strongest, "term")
+    same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.entity") == F.col("h.entity"))
+    hits = hits.alias("o").join(held.alias("h"), same, "left_semi").groupBy("id", "th", "term").agg(F.max("k").alias("k"))
+    lists = hits.groupBy("id", "th").agg(F.collect_list(F.struct(F.col("term").alias("h"), "k")).alias("terms"))
+    lists = written(lists, "document_terms")
+    drop_written(terms)
+    if (lists.agg(F.sum(F.size("terms"))).first()[0] or 0) <= BROADCAST_TERMS:
+        lists = F.broadcast(lists)
+    both = keyed.alias("d").join(lists.alias("p"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("p.id")) & (F.col("__av_th") == F.col("p.th")), "left")
+    return both.select(*(F.col(f"d.`{c}`") for c in docs.columns), F.coalesce("p.terms", none).alias("__av_terms"))
+
+
+def term_places(text: str, spans: list[tuple[int, int, int]], wanted: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(start, end, k) of every place of the wanted terms (by hash, with k) that overlaps no base span."""
+    known: dict[str, int | None] = {}
+    out = []
+    for line in context_terms(text, spans)[1]:
+        for term, a, b in line:
+            if term not in known:
+                known[term] = wanted.get(hash_of(term))
+            if known[term] is not None:
+                out.append((a, b, known[term]))
+    return out
+
+
+def _treated(text: str | None, wanted: list[dict] | None) -> tuple[list, list]:
+    """Base spans and term spans of a text."""
+    spans = base_spans(text) if text else []
+    return spans, term_places(text, spans, {x["h"]: x["k"] for x in wanted}) if wanted and spans else []
+
+
+_SPANS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("s", "e", "k")]))
+_ARROW_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("k", pa.int32())]))
+
+
+def _span_rows(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"s": a, "e": b, "k": k} for a, b, k in spans]
+
+
 def find_personal_data(
     docs: DataFrame,
     *,
@@ -274,30 +353,20 @@ def find_personal_data(
     """One row per document: the carried columns, ``base`` (spans s, e, k with k the rank of the kind in KINDS) and ``terms``
     (spans s, e, k of sensitive terms; k is 1 to remove and 0 to generalise), both in order of start. Carried columns whose
     names clash with results are left out."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("base", "terms")]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("__av_th", F.xxhash64(text))
-    texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
-    terms = written(_entity_terms(texts, window), "entity_contexts")
-    sensitive = disclosures(texts.select("t"), terms, generalise_at=generalise_at)
-    base = find_base(keyed.select(*dict.fromkeys([*carry, id_col, text_col, "__av_th"])), text_col, [*dict.fromkeys([*carry, id_col]), "__av_th"])
-    none = F.array().cast(_SPANS)
-    if sensitive is None:
-        return base.select(*carry, F.col("__av_base").alias("base"), none.alias("terms"))
-    action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
-    strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
-    held = terms.where("term = ''").select("id", "th", "entity").distinct()
-    hits = terms.where("entity is null").select("id", "th", "term", "s", "e").join(strongest, "term")
-    same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.entity") == F.col("h.entity"))
-    hits = hits.alias("o").join(held.alias("h"), same, "left_semi")
-    places = hits.groupBy("id", "th", "s", "e").agg(F.max("k").alias("k"))
-    places = written(places.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e", "k"))).alias("terms")), "term_spans")
-    if (places.agg(F.sum(F.size("terms"))).first()[0] or 0) <= BROADCAST_TERMS:
-        places = F.broadcast(places)
-    both = base.alias("b").join(places.alias("p"), F.col(f"b.{id_col}").eqNullSafe(F.col("p.id")) & (F.col("__av_th") == F.col("p.th")), "left")
-    return both.select(*(F.col(f"b.`{c}`") for c in carry), F.col("__av_base").alias("base"), F.coalesce("p.terms", none).alias("terms"))
+    found = _sensitive_terms(docs.select(*dict.fromkeys([*carry, id_col, text_col])), id_col, text_col, window, generalise_at, remove_at)
+    fields = [f for f in found.schema.fields if f.name in carry]
+    schema = T.StructType([*fields, T.StructField("base", _SPANS), T.StructField("terms", _SPANS)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [_treated(t, w) for t, w in zip(batch.column(text_col).to_pylist(), batch.column("__av_terms").to_pylist(), strict=True)]
+            own = [pa.array([_span_rows(p[i]) for p in pairs], _ARROW_SPANS) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), *own], names=schema.names)
+            trim_memory()
+
+    return found.mapInArrow(run, schema)
 
 
 def shape(term: str) -> str:
@@ -305,10 +374,10 @@ def shape(term: str) -> str:
     return "".join("#" if c.isdigit() else ("X" if c.isupper() else "x") if c.isalpha() else c for c in term)
 
 
-def cleaned(text: str, base: list[dict], terms: list[dict]) -> str:
+def cleaned(text: str, base: list[tuple[int, int, int]], terms: list[tuple[int, int, int]]) -> str:
     """The text with personal data replaced by its kind, and sensitive terms removed or generalised."""
-    spans = [(x["s"], x["e"], f"[{KINDS[x['k']].upper()}]") for x in base]
-    spans += [(x["s"], x["e"], "[TERM]" if x["k"] else shape(text[x["s"] : x["e"]])) for x in terms]
+    spans = [(a, b, f"[{KINDS[k].upper()}]") for a, b, k in base]
+    spans += [(a, b, "[TERM]" if k else shape(text[a:b])) for a, b, k in terms]
     out, at = [], 0
     for a, b, new in sorted(spans):
         if a >= at:
@@ -317,20 +386,19 @@ def cleaned(text: str, base: list[dict], terms: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def sanitise(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, generalise_at: float = 0.9, remove_at: float = 0.97
+) -> DataFrame:
     """The documents with their texts cleaned; other columns stay."""
-    found = find_personal_data(docs, id_col=id_col, text_col=text_col, **options)
-    columns = [c for c in docs.columns if c in found.columns]
-    schema = found.select(*columns).schema
+    ship(docs.sparkSession)
+    found = _sensitive_terms(docs, id_col, text_col, window, generalise_at, remove_at)
+    schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                cleaned(t, b, p) if t and (b or p) else t
-                for t, b, p in zip(*(batch.column(c).to_pylist() for c in (text_col, "base", "terms")), strict=True)
-            ]
-            own = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(own, names=columns)
+            texts = [cleaned(t, *_treated(t, w)) if t else t for t, w in zip(batch.column(text_col).to_pylist(), batch.column("__av_terms").to_pylist(), strict=True)]
+            own = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in schema.names]
+            yield pa.RecordBatch.from_arrays(own, names=schema.names)
             del texts, own
             trim_memory()
 
