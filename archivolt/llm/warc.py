@@ -6,12 +6,16 @@ headers, its digests, the page's title, language and outlinks, and names the con
 digest of the response's payload as WARC-Source-Digest. Record ids follow from the response's id and the type, so a
 repeated task makes the same records.
 
-Scale: row by row, without an exchange; a task holds one batch of pages. Reading takes whole files from Spark's binary
-source, member by member; writing makes one file for each partition, and only files that the manifest names count.
+Scale: row by row, without an exchange; a task holds one batch of pages. Markup is read by one scanner that never goes back,
+so the time is linear in the page. Reading takes whole files from Spark's binary source, a gzip member at a time; writing
+makes one file for each partition, and only files that the manifest names count.
 
 Defined results: a null page is an empty payload, whose text is empty; a null URL leaves the target URI out. A response
-without an HTTP header is all payload. Text that isn't UTF-8 is decoded with replacement. Repeated pages give repeated
-records. Malformed markup never fails: an open comment, script or style runs to the end, a stray ``<`` is text.
+without an HTTP header is all payload. Chunked and gzip or deflate bodies are decoded for the text, as far as they can be;
+digests are of the payload as it stands. The text is decoded by the header's charset, else as UTF-8, with replacement. A
+payload that is text but not HTML is its own text, one that is no text has an empty one. Repeated pages give repeated
+records; no pages give none; other columns are carried only where asked for. Malformed markup never fails: an open comment,
+script or style runs to the end; a ``<`` that begins no tag is text, as is a tag that another ``<`` or the page's end cuts off.
 """
 
 from __future__ import annotations
@@ -33,29 +37,107 @@ from pyspark.sql import types as T
 from archivolt.llm._common import ship
 
 CRLF = b"\r\n"
+_BATCH_BYTES = 4 << 20
 #: Elements that begin and end a line of text.
 BLOCKS = frozenset(
     "address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main"
     " nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(?:/?([a-zA-Z][a-zA-Z0-9]*)(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>|[!?/][^>]*>)",
-    re.S | re.I,
-)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Elements whose content is no text.
+SILENT = frozenset("script style noscript template".split())
+_NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9]*)")
+_STOP = re.compile(r"[<>\"']")
+_ATTRIBUTE = r"(?:^|[\s\"'/]){}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+_HREF, _LANG = (re.compile(_ATTRIBUTE.format(n), re.I) for n in ("href", "lang"))
+_BREAKS = re.compile(r"[\n\r\x0b\x0c\x85\u2028\u2029]")
+
+
+def _tag_end(page: str, at: int, unclosed: set[str]) -> tuple[int, bool]:
+    """Where the tag whose attributes begin at ``at`` ends, and whether it does: behind its ``>``, or where it is cut off.
+
+    ``unclosed`` gathers quotes that never come again, which then are plain characters.
+    """
+    while m := _STOP.search(page, at):
+        c = m[0]
+        if c == ">":
+            return m.end(), True
+        if c == "<":
+            return m.start(), False
+        close = -1 if c in unclosed else page.find(c, m.end())
+        if close < 0:
+            unclosed.add(c)
+            at = m.end()
+        else:
+            at = close + 1
+    return len(page), False
+
+
+def scan(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name, content) of a page in order, each character once: text; open and close with the element's lower-case name
+    and the attributes. Comments, declarations and the content of silent elements are left out."""
+    at, low, unclosed = 0, None, set()
+    while (begin := page.find("<", at)) >= 0:
+        if begin > at:
+            yield "text", "", page[at:begin]
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else len(page)
+        elif m := _NAME.match(page, begin + 1):
+            name, closing = m[1].lower(), m[0][0] == "/"
+            at, whole = _tag_end(page, m.end(), unclosed)
+            if not whole:
+                yield "text", "", page[begin:at]
+                continue
+            yield "close" if closing else "open", name, page[m.end() : at - 1]
+            if name in SILENT and not closing:
+                low = page.lower() if low is None else low
+                at = low.find(f"</{name}", at) if len(low) == len(page) else _find_close(page, name, at)
+                at = len(page) if at < 0 else at
+        elif page[begin + 1 : begin + 2] in ("!", "?", "/"):
+            end = page.find(">", begin + 2)
+            at = end + 1 if end >= 0 else len(page)
+            if end < 0:
+                yield "text", "", page[begin:]
+        else:
+            yield "text", "", "<"
+            at = begin + 1
+    if at < len(page):
+        yield "text", "", page[at:]
+
+
+def _find_close(page: str, name: str, at: int) -> int:
+    """For pages whose lower case has another length."""
+    m = re.compile(f"</{name}", re.I).search(page, at)
+    return m.start() if m else -1
+
+
+def read_page(page: str) -> tuple[str, str | None, str | None, list[str]]:
+    """A page's text (entities resolved, a line for each block, no blank lines), its title, language and links."""
+    parts, links, title, own, language = [], [], None, None, None
+    for kind, name, content in scan(page):
+        if kind == "text":
+            parts.append(content)
+            if own is not None:
+                own.append(content)
+            continue
+        if name in BLOCKS:
+            parts.append("\n")
+        if name == "title":
+            if kind == "open" and title is None:
+                own = []
+            elif kind == "close" and own is not None:
+                title, own = _clean(html.unescape("".join(own))), None
+        elif kind == "open" and name == "a" and (m := _HREF.search(content)):
+            links.append(html.unescape(m[1] or m[2] or m[3] or ""))
+        elif kind == "open" and name == "html" and language is None and (m := _LANG.search(content)):
+            language = (m[1] or m[2] or m[3] or "").strip().lower() or None
+    lines = (" ".join(line.split()) for line in _BREAKS.split(html.unescape("".join(parts))))
+    return "\n".join(line for line in lines if line), title, language, links
 
 
 def plain_text(page: str) -> str:
-    """A page's text: no markup, scripts, styles or comments; entities resolved; a line for each block; no blank lines."""
-
-    def gap(m: re.Match) -> str:
-        return "\n" if m[2] and m[2].lower() in BLOCKS else ""
-
-    text = html.unescape(_MARKUP.sub(gap, page))
-    lines = (" ".join(line.split()) for line in re.split(r"[\n\r\x0b\x0c\x85  ]", text))
-    return "\n".join(line for line in lines if line)
+    """See ``read_page``."""
+    return read_page(page)[0]
 
 
 def digest(block: bytes) -> str:
@@ -82,21 +164,57 @@ def _clean(value: str) -> str:
     return " ".join(value.split())
 
 
+def dechunked(body: bytes) -> bytes:
+    """A chunked body's content, as far as it is well formed; a body that isn't chunked stays."""
+    out, at = [], 0
+    while (end := body.find(CRLF, at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            break
+        if not size:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+    return b"".join(out) if out else body
+
+
+def decoded_payload(headers: list[tuple[str, str]], payload: bytes) -> tuple[str, bool]:
+    """The payload as text, and whether it is markup; empty where it is no text."""
+    own = {n.lower(): v for n, v in headers}
+    if "chunked" in own.get("transfer-encoding", "").lower():
+        payload = dechunked(payload)
+    if (coding := own.get("content-encoding", "").strip().lower()) in ("gzip", "x-gzip", "deflate"):
+        stream = zlib.decompressobj(47 if coding != "deflate" or payload[:1] == b"\x78" else -15)
+        try:
+            payload = stream.decompress(payload)
+        except zlib.error:
+            pass
+    kind, _, rest = own.get("content-type", "text/html").partition(";")
+    kind = kind.strip().lower()
+    charset = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", rest, re.I)
+    try:
+        text = payload.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        text = payload.decode("utf-8", "replace")
+    markup = "html" in kind or kind.endswith("xml") or not kind
+    return (text, markup) if markup or kind.startswith("text/") else ("", False)
+
+
 def derivatives(response: str, uri: str | None, date: str | None, block: bytes) -> list[tuple[str, str, list[tuple[str, str]], bytes]]:
     """(type, id, headers, block) of the metadata and the conversion record of one response."""
     headers, payload = split_response(block)
-    page = payload.decode("utf-8", "replace")
+    page, markup = decoded_payload(headers, payload)
+    text, title, language, links = read_page(page) if markup else (page, None, None, [])
     source = digest(payload)
     ids = {k: record_id(k, response) for k in ("metadata", "conversion")}
-    text = plain_text(page).encode()
     fields = [("source-status" if not n else f"source-header-{n.lower()}", v) for n, v in headers]
     fields += [("source-block-digest", digest(block)), ("source-payload-digest", source), ("conversion-record", ids["conversion"])]
-    if title := _TITLE.search(page):
-        fields.append(("title", _clean(html.unescape(title[1]))))
-    if lang := _LANG.search(page):
-        fields.append(("language", lang[1].lower()))
-    for m in _LINK.finditer(page):
-        link = html.unescape(m[1] or m[2] or m[3] or "")
+    if title is not None:
+        fields.append(("title", title))
+    if language is not None:
+        fields.append(("language", language))
+    for link in links:
         try:
             link = urljoin(uri or "", link)
         except ValueError:
@@ -104,7 +222,7 @@ def derivatives(response: str, uri: str | None, date: str | None, block: bytes)
         fields.append(("outlink", _clean(link)))
     described = "".join(f"{n}: {v}\r\n" for n, v in fields).encode()
     out = []
-    for kind, content, own in (("metadata", "application/warc-fields", described), ("conversion", "text/plain; charset=utf-8", text)):
+    for kind, content, own in (("metadata", "application/warc-fields", described), ("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace"))):
         named = [("WARC-Type", kind), ("WARC-Record-ID", ids[kind]), ("WARC-Date", date or "1970-01-01T00:00:00Z"), ("WARC-Refers-To", response)]
         if uri is not None:
             named += [("WARC-Target-URI", uri), ("WARC-Refers-To-Target-URI", uri)]
@@ -120,13 +238,23 @@ def serialise(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + "".join(f"{n}: {v}\r\n" for n, v in headers).encode() + CRLF + block + CRLF * 2
 
 
+def _members(data: memoryview, piece: int = 1 << 16) -> Iterator[bytes]:
+    """The members of a gzip file, one after another, in steps of ``piece`` bytes."""
+    at = 0
+    while at < len(data):
+        member, out = zlib.decompressobj(31), []
+        while at < len(data) and not member.eof:
+            out.append(member.decompress(data[at : at + piece]))
+            at += min(piece, len(data) - at)
+        at -= len(member.unused_data)
+        yield b"".join(out)
+
+
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers with names in lower case, block) of every record of a file, plain or one gzip member for each record."""
     if data[:2] == b"\x1f\x8b":
-        while data:
-            member = zlib.decompressobj(31)
-            yield from parse_records(member.decompress(data) + member.flush())
-            data = member.unused_data
+        for member in _members(memoryview(data)):
+            yield from parse_records(member)
         return
     at = 0
     while (start := data.find(b"WARC/", at)) >= 0:
@@ -146,14 +274,22 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     ship(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [("record_id", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("block", pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             for content in batch.column("content"):
                 for h, block in parse_records(content.as_py()):
                     if h.get("warc-type") == "response":
-                        row = {"record_id": [h.get("warc-record-id")], "target_uri": pa.array([h.get("warc-target-uri")], pa.string())}
-                        row |= {"warc_date": pa.array([h.get("warc-date")], pa.string()), "block": pa.array([block], pa.binary())}
-                        yield pa.RecordBatch.from_pydict(row)
+                        rows.append((h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), block))
+                        size += len(block)
+                    if size >= _BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+        yield batch_of(rows)
 
     return files.mapInArrow(run, _RESPONSE)
 
