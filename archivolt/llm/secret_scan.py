@@ -1,23 +1,32 @@
 """Secret scan: base patterns, and a randomness test battery with false-discovery control; DataFrame functions only.
 
 Candidates are maximal runs of 20 or more characters of ``[A-Za-z0-9+/_-]`` with up to two ``=`` behind, which overlap no
-base span. The encoding is inferred from the characters (decimal, hexadecimal, base 32, upper or lower base 36, base 62,
-base 64); runs of letters alone are words, not encodings of bytes. A secret looks uniform over its encoding's alphabet, so
-three tests of that are made: chi-squared uniformity, runs above and below the alphabet's middle, and serial correlation at
-lag one. Their squared z-scores are summed (chi-squared with three degrees of freedom, by the Wilson-Hilferty cube root).
-
-Short strings say little, so discoveries are controlled by length: within each band of lengths the Benjamini-Hochberg rule
-at ``q`` finds the candidates that are *not* random. The others are reported, if they hold ``min_bits`` bits at least.
+base span; a run that mixes signs of both base-64 alphabets is cut at its signs. The encoding is inferred from the characters
+(decimal, hexadecimal, base 32, upper or lower base 36, base 62, base 64, letters alone). A secret looks uniform over its
+encoding's alphabet, so three tests of that are made: chi-squared uniformity, runs above and below the alphabet's middle, and
+serial correlation at lag one. Their squared z-scores are summed (chi-squared with three degrees of freedom, by the
+Wilson-Hilferty cube root). Candidates that fail at the level ``alpha`` are not random and never reported.
+
+Not to be told from random isn't enough, least of all for short strings, so what is reported is controlled too. The null
+hypothesis there is a plain string: its letters, in either case, come from written words. Its p-value is the lower tail of the
+letters' likelihood under the frequencies of letters in text against uniform ones (a normal law with the mean and deviation
+of as many letters of text), so it depends on the length. Within each band of lengths the Benjamini-Hochberg rule at ``q``
+bounds the share of plain strings among the reported candidates. Strings almost without letters have no power and are left
+to the base patterns.
 
 Scale: one pass over the texts, without an exchange; it leaves spans and candidates, which are few, in a table in the
 shared folder. Ranks are not computed by sorting: p-values are counted in ``STEPS`` steps for each band, a table of bounded
 size, from which the thresholds follow. Spans are found from the pieces between matches, in order.
 
-Defined results: a null text is empty. Rows that agree in id and text share their spans; each is returned.
+Defined results: a null text is empty. Rows that agree in id and text share their spans, and each is returned; their
+candidates count once for each row. Other columns, whatever their names, are not read. A very long text or token is a row
+like any other. No documents give no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +58,26 @@ ENCODINGS = (
     ("base62", "^[A-Za-z0-9]+$", "[0-9]", _D + _U + _L),
     ("base64", "^[A-Za-z0-9+/]+$", "[0-9+]", _U + _L + _D + "+/"),
     ("base64url", "^[A-Za-z0-9_-]+$", "[0-9]", _U + _L + _D + "-_"),
+    ("lower", "^[a-z]+$", "[a-z]", _L),
+    ("upper", "^[A-Z]+$", "[A-Z]", _U),
+    ("letters", "^[A-Za-z]+$", "[A-Za-z]", _U + _L),
 )
+#: The published frequencies of the letters a to z in English text, per cent.
+LETTER_PERCENT = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
+
+
+def letter_scores(letters: str = _L) -> tuple[list[float], float, float]:
+    """Of each letter the logarithm of its frequency in text against a uniform one; the score's mean and deviation in text."""
+    own = [LETTER_PERCENT[ord(c) - ord("a")] for c in letters]
+    share = [x / sum(own) for x in own]
+    scores = [math.log(x * len(own)) for x in share]
+    mean = sum(p * x for p, x in zip(share, scores, strict=True))
+    return scores, mean, math.sqrt(sum(p * (x - mean) ** 2 for p, x in zip(share, scores, strict=True)))
+
+
+def _normal_tail(z: Column) -> Column:
+    """Probability of a standard normal value below ``z``, by a logistic approximation."""
+    return F.lit(1.0) / (1 + F.exp(F.greatest(F.least(-1.5976 * z - 0.07056 * z * z * z, F.lit(700.0)), F.lit(-700.0))))
 
 
 def _spans(text: Column, pattern: str, group: int | None = None, least: int = 0) -> Column:
@@ -71,6 +99,14 @@ def _spans(text: Column, pattern: str, group: int | None = None, least: int = 0)
     return F.filter(every, lambda x: F.length(x["g"]) >= least) if least else every
 
 
+def _unmixed(run: Column) -> Column:
+    """A run as an array; one with signs of both base-64 alphabets is cut at its signs."""
+    v = run["v"]
+    parts = F.transform(_spans(v, "[A-Za-z0-9]{20,}"), lambda x: F.struct((run["s"] + x["s"]).alias("s"), (run["s"] + x["e"]).alias("e"), x["v"].alias("v"), x["v"].alias("g")))
+    whole = F.array(F.struct(run["s"].alias("s"), run["e"].alias("e"), v.alias("v"), v.alias("g")))
+    return F.when(v.rlike("[+/]") & v.rlike("[_-]"), parts).otherwise(whole)
+
+
 def _none() -> Column:
     return F.array().cast("array<struct<s:int,e:int,v:string,g:string>>")
 
@@ -82,7 +118,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     named = F.lit(False)
     for name in KEY_NAMES:  # cheap tests first: most texts have no key name
         named = named | F.contains(low, F.lit(name))
-    run = _spans(t, RUN)
+    run = F.flatten(F.transform(_spans(t, RUN), _unmixed))
     df = df.select(
         "id",
         F.xxhash64("t").alias("th"),
@@ -97,7 +133,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def battery(runs: DataFrame) -> DataFrame:
-    """Adds encoding, bits, z-scores (chi, wald, serial) and p to rows with a string ``v``; null encoding for plain words."""
+    """Adds encoding, bits, z-scores (chi, wald, serial), p of a random string and p of a plain one to rows with a string
+    ``v``; rows without an encoding go."""
     body = F.regexp_replace("v", "=+$", "")
     name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
     for enc, form, needs, symbols in reversed(ENCODINGS):
@@ -127,11 +164,23 @@ def battery(runs: DataFrame) -> DataFrame:
     total = F.pow(F.greatest("chi", F.lit(0.0)), 2) + F.pow("wald", 2) + F.pow("serial", 2)
     z = (F.pow(total / 3, F.lit(1 / 3)) - (1 - 2 / 27)) / (2 / 27) ** 0.5
     upper = F.lit(1.0) / (1 + F.exp(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(700.0))))
-    return df.withColumns({"bits": n * F.log2("k"), "p": upper}).drop("body", "alphabet", "k", "codes", "above", "n1", "next", "turns", "m", "own", "lag")
+    scores, plain = {}, F.lit(1.0)
+    for letters in (_L, "abcdef"):
+        values, mean, spread_ = letter_scores(letters)
+        found = F.transform(F.filter(F.split(F.lower("body"), ""), lambda c: c.between("a", letters[-1])), lambda c: F.element_at(F.array(*map(F.lit, values)), F.ascii(c) - 96))
+        scores[letters] = (found, mean, spread_)
+    hexes = F.col("encoding").isin("hex", "HEX")
+    df = df.withColumn("scores", F.when(hexes, scores["abcdef"][0]).otherwise(scores[_L][0]))
+    m = F.size("scores").cast("double")
+    mean, spread_ = (F.when(hexes, scores["abcdef"][i]).otherwise(scores[_L][i]) for i in (1, 2))
+    likely = F.aggregate("scores", F.lit(0.0), lambda acc, x: acc + x)
+    plain = F.when(m > 0, _normal_tail((likely - m * mean) / (spread_ * F.sqrt(m)))).otherwise(1.0)
+    df = df.withColumns({"bits": n * F.log2("k"), "p": upper, "plain": plain})
+    return df.drop("scores", "body", "alphabet", "k", "codes", "above", "n1", "next", "turns", "m", "own", "lag")
 
 
 def discovery_thresholds(tested: DataFrame, q: float) -> dict[int, int]:
-    """For each band of lengths the least step of -log10 p at which candidates are discovered not to be random."""
+    """For each band of lengths the least step of -log10 p from which candidates are reported, by Benjamini and Hochberg."""
     counted: dict[int, dict[int, int]] = {}
     for band, step, n in tested.groupBy("band", "step").count().collect():  # at most bands x steps rows
         counted.setdefault(band, {})[step] = n
@@ -146,21 +195,27 @@ def discovery_thresholds(tested: DataFrame, q: float) -> dict[int, int]:
     return out
 
 
-def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: float = 0.001, min_bits: float = 66.0) -> DataFrame:
-    """One row per document: id, and arrays of (s, e) spans for each of assign, access, hex and random, in order of start."""
+def scan_secrets(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: float = 0.05, alpha: float = 0.001, min_bits: float = 66.0
+) -> DataFrame:
+    """One row per document: id, and arrays of (s, e) spans for each of assign, access, hex and random, in order of start.
+
+    Candidates of fewer than ``min_bits`` bits are not considered.
+    """
     scanned = written(scan(docs, id_col, text_col), "secret_spans")
     runs = scanned.select("id", "th", F.explode("runs").alias("r")).select("id", "th", "r.*")
-    tested = battery(runs)
+    tested = battery(runs).where(F.col("bits") >= min_bits)
     band = F.lit(0)
     for edge in BANDS:
         band = band + F.when(F.col("n") >= edge, 1).otherwise(0)
-    step = F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-300))) / PER_STEP), F.lit(STEPS)).cast("int")
+    p = F.when(F.col("p") >= alpha, F.col("plain")).otherwise(1.0)
+    step = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) / PER_STEP), F.lit(STEPS)).cast("int")
     tested = written(tested.withColumns({"band": band.cast("int"), "step": step}), "tested_runs")
     limits = discovery_thresholds(tested, q)
     limit = F.lit(STEPS + 1)
     for b, least in limits.items():
         limit = F.when(F.col("band") == b, least).otherwise(limit)
-    found = tested.where((F.col("step") < limit) & (F.col("bits") >= min_bits))
+    found = tested.where((F.col("step") >= limit) & (F.col("p") >= alpha))
     found = found.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("random"))
     a, b = scanned.alias("a"), found.alias("b")
     both = a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.th") == F.col("b.th")), "left")

@@ -315,6 +315,23 @@ def test_secrets(spark):
     assert secret_scan.scan_secrets(df.where("false")).count() == 0
 
 
+def test_reported_secrets_are_seldom_plain(spark):
+    r = random.Random(11)
+    every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(r.choice(every[:k]) for _ in range(r.choice((24, 32, 48)))) for k in [62] * 250 + [26] * 50]
+    text = "there is no reason to think that every long name in a program or in an address on the web would be a key of some kind but many people do".split()
+    plain = []
+    for _ in range(700):
+        w = [r.choice(text) for _ in range(9)]
+        joined = r.choice(("".join, "_".join, "/".join))(w if r.random() < 0.5 else [x.title() for x in w])
+        plain.append(joined[: r.choice((24, 32, 48))] + r.choice(("", "1", "2024")))
+    texts = [f"see {x} end" for x in [*keys, *plain]] + ["a-b/" + keys[0]]
+    got = secret_scan.scan_secrets(frame(spark, texts)).select("doc_id", F.size("random").alias("n")).collect()
+    found = {x.doc_id for x in got if x.n}
+    right = len(found & set(range(300)))
+    assert right >= 240 and len(found - set(range(300)) - {len(texts) - 1}) <= 0.08 * len(found) and len(texts) - 1 in found
+
+
 def test_personal_data(spark):
     texts = [*ODD, "mail a.b+c@x-y.co.uk, 1.2.3.4 and 1.2.3.999", "card 4111 1111 1111 1111 or 4111-1111-1111-1112", "call +420 (123) 456.789-0 now", "+12 34"]
     texts += [f"write to boss@firm.org about project Falcon{'!' * (i % 2)} number {i} today" for i in range(6)]
