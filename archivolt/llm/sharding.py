@@ -5,13 +5,16 @@ random assignment with fixed shard sizes follow the multivariate hypergeometric
 labels, rows are exchanged, and each shard is permuted again, which together is a uniform permutation of all rows.
 
 Scale: shards are cut into blocks of about ``block_rows`` rows, which take the shards' place in the matrix, so no task
-holds a whole shard; a slot is the block's place in its shard plus the place within the block. The driver draws for racks
-of partitions only; a task draws its own partition's counts from its rack's. What the driver holds and sends is a count for
-each partition and a row of block counts for each rack. Whole rows are frozen with their places (partition, position) in a
-Parquet table in the shared folder first, and every draw depends on the seed and these places alone, so a repeated task
-repeats its result. Rows are exchanged once, with all their columns; a block that exceeds memory is sorted on disk.
-
-Defined results: null texts have size 1 and checksum 0. Repeated rows are rows of their own. No rows give no shards.
+holds a whole shard; a slot is the block's place in its shard plus the place within the block. The matrix is never built: it
+is drawn by halving. At a node of a binary tree over the partitions, the node's counts for all blocks are split between its
+two halves by exact hypergeometric draws, themselves made by halving the blocks; a task draws only the nodes on the path to
+its partition, each from a seed of its own, so all tasks agree. What the driver holds and sends is one count for each
+partition. Whole rows are frozen with their places (partition, position) in a Parquet table in the shared folder first, and
+every draw depends on the seed and these places alone, so a repeated task repeats its result. Rows are exchanged once, with
+all their columns; a block that exceeds memory is sorted on disk.
+
+Defined results: null texts have size 1 and checksum 0; a very long text is a row like any other. Repeated rows are rows of
+their own. Other columns are carried, whatever their names; ``shard`` and ``slot`` are replaced. No rows give no shards.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ from pyspark.sql import types as T
 
 from archivolt.llm._common import ship, text_bytes, written
 
-RACK = 64
 BLOCK_ROWS = 1 << 16
 
 
@@ -42,51 +44,57 @@ def block_sizes(rows: int, shards: int, block_rows: int = BLOCK_ROWS) -> tuple[n
     return np.array(sizes, np.int64), np.array(of, np.int64)
 
 
-def draw_counts(rng: np.random.Generator, left: np.ndarray, rows: int) -> np.ndarray:
-    """How many of ``rows`` rows go to each block of which ``left`` places are open."""
-    out, open_, need = np.zeros(len(left), np.int64), int(left.sum()), rows
-    for i, n in enumerate(left.tolist()):
-        if not need:
-            break
-        got = need if open_ == n else _hypergeometric(rng, n, open_ - n, need)
-        out[i] = got
-        need -= got
-        open_ -= n
+def _hypergeometric(rng: np.random.Generator, good: np.ndarray, bad: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """Exact draws. Beyond numpy's range of 10^9 rows: two binomial counts, taken when they sum to the number of draws."""
+    large = np.maximum(good, bad) >= 10**9
+    out = rng.hypergeometric(np.where(large, 0, good), np.where(large, 0, bad), np.where(large, 0, draws))
+    for i in np.flatnonzero(large).tolist():
+        g, b, n = int(good[i]), int(bad[i]), int(draws[i])
+        while True:
+            x = rng.binomial(g, n / (g + b), 1 << 16)
+            hit = np.flatnonzero(x + rng.binomial(b, n / (g + b), 1 << 16) == n)
+            if len(hit):
+                out[i] = x[hit[0]]
+                break
     return out
 
 
-def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """Exact draw. Beyond numpy's range of 10^9 rows: two binomial counts, taken when they sum to ``draws``."""
-    if max(good, bad) < 10**9:
-        return int(rng.hypergeometric(good, bad, draws))
-    p = draws / (good + bad)
-    while True:
-        x = rng.binomial(good, p, 1 << 16)
-        hit = np.flatnonzero(x + rng.binomial(bad, p, 1 << 16) == draws)
-        if len(hit):
-            return int(x[hit[0]])
+def draw_counts(rng: np.random.Generator, left: np.ndarray, rows: int) -> np.ndarray:
+    """How many of ``rows`` rows go to each block of which ``left`` places are open, by halving the blocks."""
+    some = np.flatnonzero(left)
+    out = np.zeros(len(left), np.int64)
+    if not len(some):
+        return out
+    levels = [left[some]]
+    while len(levels[-1]) > 1:
+        last = levels[-1] if len(levels[-1]) % 2 == 0 else np.append(levels[-1], 0)
+        levels.append(last[::2] + last[1::2])
+    own = np.array([rows], np.int64)
+    for level in levels[-2::-1]:
+        good, bad = level[::2], level[1::2]
+        if len(bad) < len(good):
+            bad = np.append(bad, 0)
+        first = _hypergeometric(rng, good, bad, own)
+        own = np.stack([first, own - first], 1).ravel()[: len(level)]
+    out[some] = own
+    return out
 
 
-def rack_counts(parts: np.ndarray, sizes: np.ndarray, seed: int, rack: int = RACK) -> np.ndarray:
-    """Block counts of every rack of partitions."""
-    out, left = [], sizes.copy()
-    for k in range(0, len(parts), rack):
-        own = draw_counts(np.random.default_rng([seed, 1, k]), left, int(parts[k : k + rack].sum()))
-        out.append(own)
-        left -= own
-    return np.array(out, np.int64).reshape(-1, len(sizes))
+def partition_counts(part: int, before: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
+    """A partition's row of the matrix; ``before`` has the number of rows before each partition, and all of them."""
+    lo, hi, own = 0, len(before) - 1, sizes
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        first = draw_counts(np.random.default_rng([seed, lo, hi]), own, int(before[mid] - before[lo]))
+        lo, hi, own = (lo, mid, first) if part < mid else (mid, hi, own - first)
+    return own
 
 
-def partition_labels(part: int, parts: np.ndarray, racks: np.ndarray, seed: int, rack: int = RACK) -> np.ndarray:
+def partition_labels(part: int, before: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
     """The block of every row of a partition: its row of the matrix, permuted."""
-    k = part // rack
-    left = racks[k].copy()
-    rng = np.random.default_rng([seed, 2, k])
-    for p in range(k * rack, part + 1):
-        own = draw_counts(rng, left, int(parts[p]))
-        left -= own
+    own = partition_counts(part, before, sizes, seed)
     labels = np.repeat(np.arange(len(own), dtype=np.int32), own)
-    return np.random.default_rng([seed, 3, part]).permutation(labels)
+    return np.random.default_rng([seed, part]).permutation(labels)
 
 
 def shuffle_into_shards(df: DataFrame, shards: int, *, seed: int = 20240607, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -102,18 +110,20 @@ def shuffle_into_shards(df: DataFrame, shards: int, *, seed: int = 20240607, blo
     parts = np.array([counted.get(p, 0) for p in range(max(counted, default=-1) + 1)], np.int64)
     sizes, of = block_sizes(int(parts.sum()), shards, block_rows)
     base = np.concatenate([np.cumsum(sizes[of == s]) - sizes[of == s] for s in range(shards)])
-    plan = spark.sparkContext.broadcast((parts, rack_counts(parts, sizes, seed)))
+    plan = spark.sparkContext.broadcast(np.concatenate(([0], np.cumsum(parts))))
+    rows = int(parts.sum())
     schema = T.StructType([*frozen.schema.fields, T.StructField("__av_block", T.IntegerType())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_part, labels = -1, None
+        own_sizes, _ = block_sizes(rows, shards, block_rows)
         for batch in batches:
             part = batch.column("__av_part").to_numpy()
             at = batch.column("__av_at").to_numpy()
             block = np.empty(len(at), np.int32)
             for p in np.unique(part).tolist():
                 if p != own_part:
-                    own_part, labels = p, partition_labels(p, *plan.value, seed)
+                    own_part, labels = p, partition_labels(p, plan.value, own_sizes, seed)
                 block[part == p] = labels[at[part == p]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=schema.names)
 

@@ -243,17 +243,18 @@ def test_shards_carry_whole_rows(spark, monkeypatch):
 
 def test_hypergeometric_counts():
     rng = np.random.default_rng(0)
-    left = np.array([3, 0, 5, 2])
+    left = np.array([3, 0, 5, 2, 4])
     draws = np.array([sharding.draw_counts(rng, left, 4) for _ in range(3000)])
     assert (draws.sum(1) == 4).all() and (draws <= left).all()
-    assert np.allclose(draws.mean(0), 4 * left / 10, atol=0.08)
-    x = [sharding._hypergeometric(rng, 3 * 10**9, 10**9, 100) for _ in range(60)]
+    assert np.allclose(draws.mean(0), 4 * left / 14, atol=0.08)
+    x = [sharding._hypergeometric(rng, np.array([3 * 10**9]), np.array([10**9]), np.array([100]))[0] for _ in range(60)]
     assert abs(np.mean(x) - 75) < 3
-    parts, sizes = np.array([5, 0, 9, 6]), np.array([8, 12])
-    racks = sharding.rack_counts(parts, sizes, 1, rack=2)
-    assert racks.sum() == 20 and (racks.sum(0) == sizes).all()
-    total = sum(np.bincount(sharding.partition_labels(p, parts, racks, 1, rack=2), minlength=2) for p in range(4))
+    before, sizes = np.array([0, 5, 5, 14, 20]), np.array([8, 12])
+    total = sum(np.bincount(sharding.partition_labels(p, before, sizes, 1), minlength=2) for p in range(4))
     assert (total == sizes).all()
+    # the law of the whole matrix: a first partition of 5 rows sends 2 to a block of 8 in 20 on the average
+    first = [sharding.partition_counts(0, before, sizes, seed)[0] for seed in range(2000)]
+    assert abs(np.mean(first) - 2) < 0.1 and abs(np.var(first) - 5 * 0.4 * 0.6 * 15 / 19) < 0.1
 
 
 def test_token_files_round_trip(spark, tmp_path):
