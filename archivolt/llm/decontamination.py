@@ -6,13 +6,18 @@ document that contains a window has that window's fingerprint, whatever stands a
 window, no shared span of 13 words can be missed. Fingerprints are joined, and each match is extended over the windows
 that carry it, which are compared word for word.
 
-Scale: one pass over the documents, no shuffle and no state but one benchmark block's index. The benchmark is cut into
-blocks of at most ``block_bytes`` of text before anything is collected or broadcast, so what is broadcast has that bound
-however large the benchmark grows; with several blocks the documents are passed once for each and the hit spans of a
-document are merged. A lost executor only repeats its own part of the scan.
+Scale: a benchmark of at most ``block_bytes`` of text, which is measured, is indexed once and broadcast; documents are read
+in one pass without a shuffle, and windows are compared word for word. A larger one is joined: a filter of at most
+``FILTER_WORDS`` words of 64 bits tells a task which of its documents' fingerprints can occur in the benchmark, and only
+these leave it, each with the place and 128 bits of hash of its window. They are joined with the benchmark's windows by
+fingerprint and hash, and hits are merged for each distinct text, and joined back to the documents. A passage that many
+documents share is a skewed join key, which adaptive execution splits. Nothing of the benchmark is on the driver but the
+filter, and no text moves. A lost executor only repeats its own part of the scan.
 
 Defined results: a null or empty text has no words and is clean. Items without words never match. A null ``item_id``
-contributes hits but no item. Repeated rows each get their own result row; repeated items count once.
+contributes hits but no item. Repeated rows each get their own result row; repeated items count once. A very long text is
+one vectorised step of its own. Other columns may have any name; carried ones that clash with results are left out. No
+documents give no rows; without a benchmark every document is clean.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ALNUM_WORDS, find_words, mix, ship, steps, text_bytes
+from archivolt.llm._common import ALNUM_WORDS, find_words, mix, ship, signed, steps, text_bytes, written
 
 WINDOW = 13
 GRAM = 5
@@ -193,17 +198,79 @@ def _scan(docs: DataFrame, text_col: str, carry: list[str], index) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[Index]:
-    """Indexes of the benchmark's blocks, each of about ``block_bytes`` of text."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    blocks = []
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        rows = part.toArrow().to_pydict()
-        blocks.append(build_index(rows["i"], rows["t"]))
-    return blocks
+#: 64-bit words of the filter of fingerprints, a power of two; 16 MB at most.
+FILTER_WORDS = 1 << 21
+
+
+def _window_rows(data: np.ndarray, offsets: np.ndarray, filter_: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """Of some texts: the word counts, and for each window of every length up to WINDOW (whole items only if ``filter_`` is
+    None) that the filter lets pass its text, place, length, fingerprint and two hashes."""
+    words = find_words(data, offsets, ALNUM_WORDS)
+    counts, n = np.diff(words.bounds), len(words.hashes)
+    ends = np.repeat(words.bounds[1:], counts)
+    text = np.repeat(np.arange(len(counts)), counts)
+    found = []
+    for m in range(1, WINDOW + 1):
+        if n < m:
+            break
+        at = np.arange(n - m + 1)
+        at = at[at + m <= ends[at]]
+        if filter_ is None and m < WINDOW:  # an item's own length
+            at = at[counts[text[at]] == m]
+        prints = _fingerprints(words.hashes, m)[at] ^ mix(np.full(1, m, np.uint64))
+        if filter_ is not None:
+            bits = filter_[(prints >> np.uint64(6)).astype(np.int64) & (FILTER_WORDS - 1)]
+            keep = ((bits >> (prints & np.uint64(63))) & np.uint64(1)).astype(bool)
+            at, prints = at[keep], prints[keep]
+        hashes = [signed(_grams(words.hashes, m, salt, at)) if len(at) else np.zeros(0, np.int64) for salt in (3, 5)]
+        found.append((text[at], at - words.bounds[text[at]], np.full(len(at), m), signed(prints), *hashes))
+    return (counts, *(map(np.concatenate, zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 6))
+
+
+_WINDOW = "m int, fp long, h1 long, h2 long"
+
+
+def _joined_hits(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """(th, t) and (i, t) to (th, spans, items): the hits of each distinct text that has any, with the benchmark of any size."""
+    spark = texts.sparkSession
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column("t"))
+            for a, b in steps(off):
+                _, text, _, m, fp, h1, h2 = _window_rows(data, off[a : b + 1], None)
+                own = batch.column("i").take(pa.array(text + a))
+                yield pa.RecordBatch.from_arrays([own, pa.array(m, pa.int32()), *map(pa.array, (fp, h1, h2))], names=["i", "m", "fp", "h1", "h2"])
+
+    known = written(items.mapInArrow(windows, f"i string, {_WINDOW}").distinct(), "benchmark_windows")
+    word = F.shiftright("fp", 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word")
+    bits = known.select(word, F.expr("shiftleft(1L, cast(fp & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    filter_ = np.zeros(FILTER_WORDS, np.uint64)
+    filter_[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    wanted = spark.sparkContext.broadcast(filter_)
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column("t"))
+            for a, b in steps(off):
+                _, text, at, m, fp, h1, h2 = _window_rows(data, off[a : b + 1], wanted.value)
+                own = batch.column("th").take(pa.array(text + a))
+                yield pa.RecordBatch.from_arrays([own, pa.array(at), pa.array(m, pa.int32()), *map(pa.array, (fp, h1, h2))], names=["th", "at", "m", "fp", "h1", "h2"])
+
+    met = texts.mapInArrow(candidates, f"th string, at long, {_WINDOW}").distinct().join(known, ["m", "fp", "h1", "h2"])
+    span = F.struct(F.col("at").alias("a"), (F.col("at") + F.col("m")).alias("b"))
+    return met.groupBy("th").agg(F.collect_set(span).alias("spans"), F.collect_set("i").alias("items"))
+
+
+def _scan_joined(docs: DataFrame, items: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
+    """As ``_scan``, for a benchmark of any size."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumn("__av_th", F.sha2(text, 256))
+    hits = written(_joined_hits(keyed.select(F.col("__av_th").alias("th"), text.alias("t")), items), "hits")
+    counted = _scan(keyed, text_col, [*carry, "__av_th"], docs.sparkSession.sparkContext.broadcast(Index(b"", [], [])))
+    both = counted.alias("d").join(hits.alias("h"), F.col("__av_th") == F.col("h.th"), "left")
+    spans = F.coalesce("h.spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("__av_spans")
+    return both.select(*(F.col(f"d.`{c}`") for c in carry), "__av_words", spans, F.coalesce("h.items", F.array().cast("array<string>")).alias("__av_items"))
 
 
 def decontaminate(
@@ -224,24 +291,14 @@ def decontaminate(
     """
     results = {"n_words", "n_hit", "n_items", "items", "hit_spans", "contaminated"}
     carry = [c for c in (docs.columns if carry is None else carry) if c not in results]
-    sc = docs.sparkSession.sparkContext
     ship(docs.sparkSession)
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
+    items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
     source = docs.select(*dict.fromkeys([*carry, text_col]))
-    if len(blocks) == 1:
-        found = _scan(source, text_col, carry, sc.broadcast(blocks[0]))
+    if (items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) <= block_bytes:
+        rows = items.toArrow().to_pydict()
+        found = _scan(source, text_col, carry, docs.sparkSession.sparkContext.broadcast(build_index(rows["i"], rows["t"])))
     else:
-        source, keys = source.withColumn("__av_key", F.xxhash64(text_col)), [*carry, "__av_key"]
-        parts = [_scan(source, text_col, keys, sc.broadcast(b)) for b in blocks]
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionByName(p)
-        found = every.groupBy(*keys, "__av_words").agg(
-            F.flatten(F.collect_list("__av_spans")).alias("__av_spans"),
-            F.flatten(F.collect_list("__av_items")).alias("__av_items"),
-            (F.count(F.lit(1)) / len(blocks)).cast("int").alias("__av_copies"),
-        )
-        found = found.withColumn("__av_copies", F.explode(F.array_repeat(F.lit(1), F.col("__av_copies")))).drop("__av_copies")
+        found = _scan_joined(source, items, text_col, carry)
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))
     merged = F.aggregate(
         F.sort_array("__av_spans"),
