@@ -10,8 +10,12 @@ streams its documents through a worker's chunk table and holds one frame at a ti
 attempt of a task writes a file of its own name in the shared folder, and only files that the manifest names count, so a
 repeated task does no harm. The manifest has one row for each file. Reading back: one task for each file.
 
-Defined results: null and empty texts have no ids but the end id. Documents with a null id come first; equal ids are
-ordered by a hash of the text. No documents give no files.
+Files grow with the input beyond ``MOST_FILES`` of ``FILE_BYTES`` of text each, so the manifest, which is on the driver,
+stays small. Files of attempts that don't count are deleted.
+
+Defined results: null and empty texts have no ids but the end id; a very long text is one vectorised step of its own.
+Documents with a null id come first; equal ids are ordered by a hash of the text and lie in one file. Ids must be numbers
+that fit a long. Other columns, whatever their names, are not read. No documents give no files.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from archivolt.llm.chunks import ChunkTable, distinct_chunks
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
+MOST_FILES = 50_000
 #: Fixed values of the published zstd seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX_MAGIC = b"AVTOK1\0\0"
@@ -46,11 +51,11 @@ _PUNCT = np.zeros(256, bool)
 _PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
-def pretoken_chunks(data: np.ndarray, offsets: np.ndarray, special: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pretoken_chunks(data: np.ndarray, offsets: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, chunk starts and documents' bounds in them; each chunk starts where a byte-level pre-token must start.
 
     That is so where white space follows a visible ASCII or Latin-1 letter or sign, and where ASCII punctuation follows a
-    letter, unless the special token's text occurs, which may begin or end anywhere but at white space.
+    letter, unless an added token's text occurs, which may begin or end anywhere but at white space.
     """
     own = data[offsets[0] : offsets[-1]]
     off = offsets - offsets[0]
@@ -61,7 +66,8 @@ def pretoken_chunks(data: np.ndarray, offsets: np.ndarray, special: bytes) -> tu
     latin &= (before >= 0x80) & (before != 0x97) & (before != 0xB7)
     visible = ((before > 32) & (before < 127)) | latin
     cut = _SPACE[own] & visible
-    if special not in own.tobytes():
+    whole = own.tobytes()
+    if not any(s in whole for s in special):
         cut |= _PUNCT[own] & (_LETTER[before] | latin)
     cut[off[:-1][np.diff(off) > 0]] = True
     starts = np.flatnonzero(cut)
@@ -77,7 +83,7 @@ class IdEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
-        self.special = min((t.content.encode() for t in self.tok.get_added_tokens_decoder().values()), key=len, default=b"\0\0\0")
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.table = ChunkTable(self._encode, 1)
 
     def _encode(self, chunks: list[bytes]) -> list[tuple]:
@@ -215,7 +221,7 @@ def write_token_files(
     ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(1, -(-total // file_bytes))
+    files = max(1, -(-total // max(file_bytes, total // MOST_FILES)))
     dealt = source.repartitionByRange(files, "id").sortWithinPartitions(F.asc_nulls_first("id"), F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +257,12 @@ def write_token_files(
     for r in sorted(rows, key=lambda r: (r.first is not None, r.first or 0)):
         out.append(TokenFile(r.path, r.documents, r.ids, before))
         before += r.ids
+    if out:
+        fs, inner = _open(folder)
+        counted = {f.path.rsplit("/", 1)[1] for f in out}
+        for f in fs.get_file_info(pafs.FileSelector(inner)):
+            if f.base_name not in counted:
+                fs.delete_file(f.path)
     return out
 
 
