@@ -12,17 +12,19 @@ Words are lower-cased (A-Z) runs between ASCII white space; a document's set is
    probability below 1e-6 and drops nearly all pairs under 0.65. What is left is confirmed on the full sets.
 4. Links are closed to components: up to ``ONE_TASK_LINKS`` by union-find in one task, more by alternating star contraction.
    Buckets whose members still lie in different components are completed: the members outside the bucket's largest
-   component meet every member of another component. Only ids, sizes and sketches are moved for that; a bucket is cut into
-   a grid of blocks of some ``BLOCK`` members on either side, each cell a group of bounded size, in which sketches of
-   fitting sizes are compared as arrays. Close ones alone become rows, and full sets are fetched for these alone.
+   component meet every member of another component. A bucket is cut into a grid of blocks of some ``BLOCK`` members on
+   either side, each cell a group of bounded size. First only ids, sizes and sketches are moved, and members that have any
+   close sketch of fitting size among the others are named. Then these alone are moved with their full sets, in cells
+   bounded by their sizes too, and sets are compared there: a member against all others of its cell at once, and of the links
+   found only those that connect components still apart become rows, so their number is linear in the members.
 
 What moves: for each document its class key and 36 band hashes; sketches, sets and texts move only for documents in
 buckets of two or more. Nothing is collected to the driver but counts. Intermediate tables are written in the shared
 checkpoint folder, so a lost executor repeats only its own tasks.
 
 The cost of step 4 grows with (members outside the largest component) x (members of fitting size) of a bucket: for a bucket
-of many documents that share four samples but are no near copies, that is quadratic in sketch comparisons (about 0.1
-microseconds each, spread over the grid's cells), not in rows or in memory.
+of many documents that share four samples but are no near copies, that is quadratic in comparisons (about 0.1 microseconds
+each, spread over the grid's cells), not in rows or in memory.
 
 Defined results: null or empty texts have an empty set, link with nothing and are kept. Rows that share an id count as
 one document, and each is returned. Rows with a null id link with nothing: component_id null, kept true.
@@ -48,6 +50,8 @@ SKETCH_SAMPLES, SKETCH_BITS, MOST_BITS = 1024, 4096, 610
 ONE_TASK_LINKS = 250_000
 #: Members of a bucket on each side of a cell of its grid, about.
 BLOCK = 1024
+#: Shingles of a bucket for each block of its grid, where that gives more blocks.
+CELL_GRAMS = 1 << 20
 #: Sketches of one side that are compared at once.
 ROWS_AT_ONCE = 32
 #: Ids up to this many (8 bytes each) are broadcast to select documents; more are joined by a shuffle.
@@ -241,57 +245,128 @@ def _confirmed(pairs: DataFrame, members: DataFrame, threshold: tuple[int, int])
     return _with_sets(near, members, threshold)
 
 
-def _close_pairs(x: tuple, y: tuple, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs of two groups (id, label, n, sketches) with other labels, fitting sizes and close sketches."""
+class _Side:
+    """One side of a cell: ids, labels, sizes and sketches in order of size, and the full sets if they came along."""
+
+    def __init__(self, table: pa.Table, mask: np.ndarray):
+        at = np.flatnonzero(mask)
+        at = at[np.argsort(table["n"].to_numpy()[at], kind="stable")]
+        own = table.take(pa.array(at))
+        self.ids, self.labels, self.n = (own[c].to_numpy() for c in ("id", "label", "n"))
+        self.sketches = own["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(at), SKETCH_BITS // 64)
+        if "grams" in table.column_names:
+            self.sets = own["grams"].combine_chunks().flatten().to_numpy()
+            self.bounds = np.concatenate(([0], np.cumsum(self.n)))
+
+
+def _close(x: _Side, y: _Side, threshold: tuple[int, int]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """Some rows of ``x``, the first row of a range of ``y``, and which pairs of the two have other labels, fitting sizes and
+    close sketches."""
     num, den = threshold
-    xi, xl, xn, xs = x
-    order = np.argsort(y[2], kind="stable")
-    yi, yl, yn, ys = (v[order] for v in y)
-    lo, hi = np.searchsorted(yn, -(-xn * num // den), "left"), np.searchsorted(yn, xn * den // num, "right")
-    by_size = np.argsort(xn, kind="stable")
-    found = []
-    for k in range(0, len(xi), ROWS_AT_ONCE):
-        own = by_size[k : k + ROWS_AT_ONCE]
+    lo, hi = np.searchsorted(y.n, -(-x.n * num // den), "left"), np.searchsorted(y.n, x.n * den // num, "right")
+    for k in range(0, len(x.ids), ROWS_AT_ONCE):
+        own = np.arange(k, min(k + ROWS_AT_ONCE, len(x.ids)))
         a, b = int(lo[own].min()), int(hi[own].max())
         if a >= b:
             continue
         apart = np.zeros((len(own), b - a), np.uint16)
-        for w in range(xs.shape[1]):
-            apart += np.bitwise_count(xs[own, w, None] ^ ys[None, a:b, w])
+        for w in range(x.sketches.shape[1]):
+            apart += np.bitwise_count(x.sketches[own, w, None] ^ y.sketches[None, a:b, w])
         place = np.arange(a, b)
-        fit = (apart <= MOST_BITS) & (xl[own, None] != yl[None, a:b]) & (place >= lo[own, None]) & (place < hi[own, None])
-        i, j = np.nonzero(fit)
-        found.append((xi[own[i]], yi[a + j]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        fit = (apart <= MOST_BITS) & (x.labels[own, None] != y.labels[None, a:b])
+        yield own, a, fit & (place >= lo[own, None]) & (place < hi[own, None])
 
 
-def _completing_pairs(placed: DataFrame, open_: DataFrame, members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b), close by their sketches, of members that share an open bucket and lie in different components.
+def _sides(table: pa.Table) -> tuple[_Side, _Side]:
+    table = table.combine_chunks()
+    outside = table["outside"].to_numpy()
+    return _Side(table, outside), _Side(table, ~outside)
 
-    ``placed``: bucket, id, label; ``open_``: bucket, major, hub, blocks.
-    """
-    sketches = members.select("id", "n", "sketch").dropDuplicates(["id"])
-    inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub").join(sketches, "id"), "inside")
+
+def _near_some(table: pa.Table, threshold: tuple[int, int]) -> np.ndarray:
+    """Ids of a cell's members that have a close one on the other side."""
+    x, y = _sides(table)
+    hit_x, hit_y = np.zeros(len(x.ids), bool), np.zeros(len(y.ids), bool)
+    for own, a, fit in _close(x, y, threshold) if len(x.ids) and len(y.ids) else ():
+        hit_x[own] |= fit.any(1)
+        hit_y[a : a + fit.shape[1]] |= fit.any(0)
+    return np.unique(np.concatenate((x.ids[hit_x], y.ids[hit_y])))
+
+
+def _cell_links(table: pa.Table, threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links of a cell that connect components still apart, full sets compared."""
+    num, den = threshold
+    x, y = _sides(table)
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = root.get(up, up)
+            v = up
+        return v
+
+    out: list[tuple[int, int]] = []
+    if not len(x.ids) or not len(y.ids):
+        return out
+    known, codes = np.unique(np.concatenate((x.sets, y.sets)), return_inverse=True)
+    mark = np.zeros(len(known), bool)
+    codes_x, codes_y = codes[: len(x.sets)], codes[len(x.sets) :]
+    for own, a, fit in _close(x, y, threshold):
+        for i, row in zip(own.tolist(), fit, strict=True):
+            near = a + np.flatnonzero(row)
+            near = near[[find(int(v)) != find(int(x.labels[i])) for v in y.labels[near]]] if len(near) else near
+            if not len(near):
+                continue
+            mine = codes_x[x.bounds[i] : x.bounds[i + 1]]
+            mark[mine] = True
+            first, last = int(near[0]), int(near[-1]) + 1
+            begin = y.bounds[first:last]
+            shared = np.add.reduceat(mark[codes_y[begin[0] : y.bounds[last]]].astype(np.int64), begin - begin[0])[near - first]
+            mark[mine] = False
+            for j in near[shared * den >= (x.n[i] + y.n[near] - shared) * num].tolist():
+                p, q = find(int(x.labels[i])), find(int(y.labels[j]))
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    out.append((int(x.ids[i]), int(y.ids[j])))
+    return out
+
+
+_CELL = ["bucket", "bx", "by"]
+
+
+def _cells(inside: DataFrame, columns: list[str]) -> DataFrame:
+    """Members with bucket, label, major and blocks, once for each cell of their bucket's grid and side on which they stand."""
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     x = inside.where("label <> major").select("*", own.alias("bx")).select("*", every.alias("by"), F.lit(True).alias("outside"))
     y = inside.select("*", own.alias("by")).select("*", every.alias("bx"), F.lit(False).alias("outside"))
-    columns = ["bucket", "bx", "by", "outside", "id", "label", "n", "sketch"]
-    cells = x.select(*columns).union(y.select(*columns))
+    columns = [*_CELL, "outside", "id", "label", *columns]
+    return x.select(*columns).union(y.select(*columns))
+
+
+def _completing_links(placed: DataFrame, open_: DataFrame, members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
+    """(a, b): links between members that share an open bucket and lie in different components.
+
+    ``placed``: bucket, id, label; ``open_``: bucket, major, hub, blocks.
+    """
+    members = members.dropDuplicates(["id"])
+    inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub"), "inside")
+
+    def near(table: pa.Table) -> pa.Table:
+        ids = _near_some(table, threshold)
+        return pa.table({"bucket": pa.array([table["bucket"][0].as_py()] * len(ids), pa.int64()), "id": pa.array(ids, pa.int64())})
+
+    sketches = inside.join(members.select("id", "n", "sketch"), "id")
+    close = _cells(sketches, ["n", "sketch"]).groupBy(*_CELL).applyInArrow(near, "bucket long, id long").distinct()
+    close = written(inside.drop("blocks").join(close, ["bucket", "id"]).join(members.select("id", "n"), "id"), "close_members")
+    grid = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / CELL_GRAMS)).cast("int").alias("blocks")
+    full = close.join(close.groupBy("bucket").agg(grid), "bucket").join(members.select("id", "sketch", "grams"), "id")
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        outside = table["outside"].to_numpy()
-        ids, labels, n = (table[c].to_numpy() for c in ("id", "label", "n"))
-        flat = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
-        sides = [(ids[m], labels[m], n[m], flat[m]) for m in (outside, ~outside)]
-        a, b = _close_pairs(*sides, threshold) if len(sides[0][0]) and len(sides[1][0]) else (np.zeros(0, np.int64),) * 2
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+    def compare(table: pa.Table) -> pa.Table:
+        links = _cell_links(table, threshold)
+        return pa.table({"a": pa.array([min(e) for e in links], pa.int64()), "b": pa.array([max(e) for e in links], pa.int64())})
 
-    return cells.groupBy("bucket", "bx", "by").applyInArrow(run, "a long, b long").distinct()
+    return _cells(full, ["n", "sketch", "grams"]).groupBy(*_CELL).applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -307,7 +382,7 @@ def near_duplicates(
     signed_docs = written(_signatures(source), "signatures")
     some = signed_docs.where("id is not null and n_shingles > 0")
     first = some.groupBy("key").agg(F.min("id").alias("rep"))
-    classes = written(some.select("id", "n_shingles", "key").join(first, "key").select("id", "n_shingles", "rep"), "classes")
+    classes = some.select("id", "n_shingles", "key").join(first, "key").select("id", "n_shingles", "rep")
 
     # buckets of two classes or more
     banded = some.select("id", "key", "bands").join(first, "key").where("id = rep").select("id", F.explode("bands").alias("bucket"))
@@ -317,32 +392,27 @@ def near_duplicates(
     central = buckets.join(degrees, "id").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"))).alias("top"))
     hubs = written(central.select("bucket", (-F.col("top.neg")).alias("hub")), "hubs")
 
-    ids = written(degrees.select("id"), "ids")
+    ids = buckets.select("id").distinct()
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     members = written(_members(source.join(chosen, "id", "left_semi")), "members")
-    drop_written(ids)
 
     ordered = [F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")]
     pairs = buckets.join(hubs, "bucket").where("id <> hub").select(*ordered).distinct()
-    links = written(_confirmed(pairs, members, threshold), "links")
-    labels = components(links)
-    drop_written(links)
+    labels = components(_confirmed(pairs, members, threshold))
 
     # buckets that still span components
     label = F.coalesce("label", "id").alias("label")
-    placed = written(buckets.join(labels, "id", "left").select("bucket", "id", label), "placed")
+    placed = buckets.join(labels, "id", "left").select("bucket", "id", label)
     tally = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     major = F.max(F.struct("n", "label")).getField("label").alias("major")
     open_ = tally.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), major).where("labels > 1 and n > 2")
     open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "open")
-    drop_written(buckets, hubs)
     if not open_.isEmpty():
-        close = _completing_pairs(placed, open_, members, threshold)
-        more = written(_with_sets(close, members, threshold), "more_links")
+        more = written(_completing_links(placed, open_, members, threshold, block), "more_links")
         if not more.isEmpty():
             labels = components(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
         drop_written(more)
-    drop_written(placed, open_, members)
+    drop_written(buckets, hubs, open_, members)
 
     ends = labels.select(F.col("id").alias("rep"), "label")
     linked = classes.join(ends, "rep", "left").select("id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))

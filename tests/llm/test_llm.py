@@ -114,8 +114,36 @@ def test_near_duplicates(spark):
                 own[r.randrange(len(own))] = f"edit{k}{r.random()}"
             texts.append(" ".join(own).upper() if k % 5 == 0 else "  ".join(own))
     texts += [texts[20], "ONE", "one", "a b c d", "a b c d"]
-    got = sorted(tuple(r) for r in near_duplicates.near_duplicates(frame(spark, texts)).collect())
-    assert got == brute_near(texts)
+    want = brute_near(texts)
+    for block in (near_duplicates.BLOCK, 5):
+        assert sorted(tuple(r) for r in near_duplicates.near_duplicates(frame(spark, texts), block=block).collect()) == want
+
+
+def test_cells_of_a_bucket_find_every_link(spark):
+    r = random.Random(5)
+    sets, n = [], 60
+    for i in range(n):  # chains and clusters at about the threshold
+        base = set(range(1000 * (i // 12), 1000 * (i // 12) + 80))
+        sets.append(sorted(base - set(r.sample(sorted(base), 9)) | {10**6 + 100 * i + k for k in range(r.randrange(8))}))
+    grams = np.concatenate([np.array(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in sets])
+    bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    minima, _ = near_duplicates.samples(grams, bounds, near_duplicates.SKETCH_SAMPLES)
+    sketches = near_duplicates.odd_sketches(minima)
+    rows = [(i, len(s), sketches[i].tolist(), np.sort(near_duplicates.signed(grams[bounds[i] : bounds[i + 1]])).tolist()) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "id long, n long, sketch array<long>, grams array<long>")
+    placed = spark.createDataFrame([(7, i, i) for i in range(n)], "bucket long, id long, label long")
+    want = {i: i for i in range(n)}
+    for i in range(n):
+        for j in range(i):
+            both = len(set(sets[i]) & set(sets[j]))
+            if 100 * both >= 75 * len(set(sets[i]) | set(sets[j])):
+                a, b = want[i], want[j]
+                want = {k: min(a, b) if v in (a, b) else v for k, v in want.items()}
+    for blocks in (1, 4):
+        open_ = spark.createDataFrame([(7, n - 1, 10**9, blocks)], "bucket long, major long, hub long, blocks int")
+        links = near_duplicates._completing_links(placed, open_, members, (75, 100), 64 // blocks)
+        found = {i: i for i in range(n)} | {r.id: r.label for r in near_duplicates.components(links).collect()}
+        assert found == want and links.count() < 3 * n * blocks
 
 
 def test_near_duplicates_empty_null_and_repeated(spark):
