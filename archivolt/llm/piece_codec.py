@@ -7,7 +7,7 @@ So each distinct marked word of the corpus is segmented once and its ids are joi
 1. A pass over the texts (Arrow) names the distinct chunks of each block of ``BLOCK_BYTES`` of text, dealt into parts of the
    table by a checksum of the chunk: rows (part, block, chunks).
 2. An exchange by part brings all requests for a chunk to one task, which segments it once and answers every block.
-3. An exchange by block puts a block's answers into a folder of their own in the shared folder.
+3. An exchange by block sorts the answers into slots, files of some blocks with small row groups in the shared folder.
 4. A second pass cuts the texts into the same blocks, reads each block's answers and joins them by position. A block is known
    by a digest of its chunks, so one that is cut otherwise the second time finds no answers and is segmented on the spot.
 
@@ -28,8 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from archivolt.llm._common import scratch_path, ship, steps, text_bytes, trim_memory
@@ -40,6 +42,9 @@ MARK = "▁"
 BLOCK_BYTES = 8_000_000
 #: Times the session's shuffle partitions: into so many parts the table of distinct chunks is dealt.
 PARTS_PER_PARTITION = 4
+#: Shuffle partitions for each slot of answers, and the bytes of a slot's row groups.
+PARTITIONS_PER_SLOT = 4
+GROUP_BYTES = 4 << 20
 _MARK = MARK.encode()
 
 
@@ -146,8 +151,8 @@ _REQUEST = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("
 _ANSWER = "part int, block string, decimals array<binary>, plain array<binary>"
 
 
-def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, path: str) -> None:
-    """Writes the answers to every block's requests, a folder for each block."""
+def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, slots: int, path: str) -> None:
+    """Writes the answers to every block's requests, a folder for each slot of blocks."""
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,17 +182,30 @@ def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, path:
 
     asked = docs.select(text_col).mapInArrow(request, _REQUEST)
     dealt = asked.repartition("part").sortWithinPartitions("part", "block").mapInArrow(answer, _ANSWER)
-    dealt.repartition("block").write.partitionBy("block").parquet(path)
+    placed = dealt.withColumn("slot", (F.crc32("block") % slots).cast("int")).repartition(slots, "slot").sortWithinPartitions("slot", "block")
+    placed.write.partitionBy("slot").option("parquet.block.size", str(GROUP_BYTES)).parquet(path)
 
 
-def _read_block(path: str, key: str) -> pa.Table | None:
+def _read_block(path: str, slots: int, key: str) -> pa.Table | None:
+    """A block's answers: the row groups of its slot that can hold them."""
     import pyarrow.parquet as pq
 
     fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    found = [f.path for f in fs.get_file_info(pafs.FileSelector(f"{inner}/block={key}", allow_not_found=True)) if f.path.endswith(".parquet")]
-    if not found:
-        return None
-    return pa.concat_tables([pq.ParquetFile(fs.open_input_file(f)).read(["part", "decimals", "plain"]) for f in found])
+    folder = pafs.FileSelector(f"{inner}/slot={zlib.crc32(key.encode()) % slots}", allow_not_found=True)
+    found = []
+    for file in (f.path for f in fs.get_file_info(folder) if f.path.endswith(".parquet")):
+        with fs.open_input_file(file) as stream:
+            table = pq.ParquetFile(stream)
+            at = table.schema_arrow.get_field_index("block")
+            kept = []
+            for k in range(table.num_row_groups):
+                s = table.metadata.row_group(k).column(at).statistics
+                if s is None or not s.has_min_max or s.min <= key <= s.max:
+                    kept.append(k)
+            rows = table.read_row_groups(kept, ["part", "block", "decimals", "plain"]) if kept else None
+            if rows is not None:
+                found.append(rows.filter(pc.equal(rows["block"], key)))
+    return pa.concat_tables(found) if any(map(len, found)) else None
 
 
 def encode_decode(
@@ -207,14 +225,15 @@ def encode_decode(
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in results)])
     parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "chunk_answers")
-    _answers(docs, model_path, text_col, parts, path)
+    slots = max(1, parts // (PARTS_PER_PARTITION * PARTITIONS_PER_SLOT))
+    _answers(docs, model_path, text_col, parts, slots, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_bytes(batch.column(text_col))
             for a, b in steps(off, BLOCK_BYTES):
                 block = Block(data, off[a : b + 1], parts)
-                answers = _read_block(path, block.key)
+                answers = _read_block(path, slots, block.key)
                 found = block.placed(answers) if answers is not None else None
                 decimals, plain = found or _codec(model_path).encode(block.chunks)
                 plain = [c if p is None else p for c, p in zip(block.chunks, plain, strict=True)]
