@@ -8,13 +8,15 @@ texts where that is more. A document that loses
 lines and keeps fewer than ``min_words`` words, or less than ``min_left`` of its words, is depleted and rejected. The
 base rules (length, repeated eight-word windows) come first.
 
-Scale: what is shuffled is one row for each line with a word (host, two hashes, id), combined before the exchange; counts
-are by (host, line), so a host with a third of all rows spreads over all tasks. Lines under the smallest possible limit
+Scale: lines are split and hashed once, into a table of hashes in the shared folder. What is shuffled is one row for each line
+with a word (host, two hashes, id), combined before the exchange; counts are by (host, line), so a host with a third of all rows spreads over all tasks. Lines under the smallest possible limit
 are dropped before hosts' sizes are joined. A very frequent line is a skewed join key, which adaptive execution splits.
 Repeated windows are found within a row by sorting hashes, in n log n steps for n words.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own. A null id ranks
-after all others. Rows that agree in id and text share their verdict; each is returned.
+after all others. Rows that agree in id and text share their verdict; each is returned. A very long text or line is a row
+like any other (its windows are sorted in the row, some 30 bytes for each word). Other columns may have any name; those that
+clash with results are left out of ``with_text``. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -118,7 +120,7 @@ def removed_lines(
     docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_documents: int = 50, share: float = 0.0
 ) -> DataFrame:
     """(id, th, removed positions, removed words) of the documents that lose lines; ``th`` is the text's hash."""
-    lines = _lines(docs, id_col, host_col, text_col)
+    lines = written(_lines(docs, id_col, host_col, text_col), "lines")
     frequent = written(frequent_lines(lines, docs, host_col, text_col, min_documents, share), "frequent_lines")
     hits = lines.alias("l").join(frequent.alias("f"), (F.col("l.lh") == F.col("f.lh")) & F.col("l.host").eqNullSafe(F.col("f.host")))
     own = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))
@@ -151,13 +153,20 @@ def line_quality(
         if (lost.agg(F.sum(F.size("positions"))).first()[0] or 0) <= BROADCAST_LINES:
             lost = F.broadcast(lost)
     both = base.alias("b").join(lost.alias("r"), F.col(f"b.{id_col}").eqNullSafe(F.col("r.id")) & (F.col("__av_th") == F.col("r.th")), "left")
-    removed = F.coalesce(F.col("removed_words"), F.lit(0)).cast("long")
-    left = F.col("n_words") - removed
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    depleted = (removed > 0) & ((left < min_words) | (left < F.col("n_words") * min_left))
-    out = both.select(F.col(f"b.{id_col}"), *(F.col(f"b.`{c}`") for c in rest), *counts, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), removed.alias("removed_words"), "positions")
+    removed = F.coalesce(F.col("r.removed_words"), F.lit(0)).cast("long")
+    n_words = F.col("b.n_words")
+    left = n_words - removed
+    failed = (n_words < 20) | (100 * F.col("b.n_repeat_words") > 30 * n_words)
+    depleted = (removed > 0) & ((left < min_words) | (left < n_words * min_left))
+    out = both.select(
+        *(F.col(f"b.`{c}`") for c in [id_col, *rest, *counts]),
+        failed.alias("base_failed"),
+        (~failed & ~depleted).alias("kept"),
+        removed.alias("removed_words"),
+        F.col("r.positions").alias("__av_positions"),
+    )
     if with_text:
         # positions are few for each document: a line is dropped when its place is among them
-        text = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("positions", i)), "\n")
-        out = out.withColumn("clean_text", F.when(F.col("positions").isNull(), F.col(text_col)).otherwise(text))
-    return out.drop("positions")
+        text = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__av_positions", i)), "\n")
+        out = out.withColumn("clean_text", F.when(F.col("__av_positions").isNull(), F.col(text_col)).otherwise(text))
+    return out.drop("__av_positions")

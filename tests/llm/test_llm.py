@@ -72,6 +72,9 @@ def test_quality_rules(spark):
         if removed:
             assert len(WORD.findall(r.clean_text)) == left
     assert line_rules.line_quality(df.where("false")).count() == 0
+    clash = df.withColumns({c: F.lit("clash") for c in ("positions", "removed_words", "clean_text", "n_words", "id", "th", "host", "kept")})
+    again = line_rules.line_quality(clash, min_documents=2, with_text=True)
+    assert again.select(got.columns).exceptAll(got).count() == 0 and again.where("positions = 'clash' and id = 'clash'").count() == len(texts) + 1
 
 
 def test_line_limit_is_the_same_for_large_hosts(spark):
