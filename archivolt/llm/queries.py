@@ -98,19 +98,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages of the training-data pipeline."""
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict[str, Query]:
     """Name to callable."""
-    import corpus_pipeline  # noqa: F401  without it there is no pipeline to register
-
     return {
-        "pipeline": pipeline,
         "op1_line_quality": op1_line_quality,
         "op2_quality_model": op2_quality_model,
         "op3_secret_scan": op3_secret_scan,
