@@ -1,4 +1,11 @@
-"""The training-data pipeline: five stages, each written as Parquet and read again as the next one's documents."""
+"""The training-data pipeline: five stages, each written as Parquet and read again as the next one's documents.
+
+Defined results, for every stage: without documents there are no rows. Columns of the documents beside the five that the
+stages return are dropped, so none can clash. Rows that agree in id and text share a decision and stay or go together; near
+duplicates and personal data take ids as numbers that fit a long. A null id is kept unless its text is rejected, and links
+with nothing. A null or empty text has no words: the quality rules reject it, the later stages keep it as it is and give it
+no tokens. A null host (source) is a host of its own. A very long text is a row like any other; no stage cuts texts.
+"""
 
 from __future__ import annotations
 
