@@ -1,6 +1,7 @@
 """Hierarchy operators: parents, roots, subtrees, depth, chunks and options of a decision tree.
 
-Nodes have ids, edges are (child, parent). Depth is bounded by the vocabulary's; recursion runs as recursive SQL.
+Nodes have ids, edges are (child, parent), with one parent for each child. Paths are followed by pointer doubling, so a
+hierarchy of any depth takes as many joins as the logarithm of its depth, and each join is spread over the cluster.
 """
 
 from __future__ import annotations
@@ -34,49 +35,68 @@ def choose_parents(terms: DataFrame, near: DataFrame, broader: DataFrame) -> Dat
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage in the session's checkpoint folder; one is set only where none is."""
+    """Cuts lineage in the session's checkpoint folder; a temporary one is set only in local mode where none is named."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="archivolt-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="archivolt-"))
     return df.checkpoint()
 
 
-def break_cycles(edges: DataFrame, doublings: int = 7) -> DataFrame:
+def break_cycles(edges: DataFrame) -> DataFrame:
     """Edges without the one that leaves the smallest node of each cycle.
 
-    Parents are unique, so pointers can be doubled: after 2^doublings steps (above the hierarchy's depth) only chains that run
-    into a cycle are left, their ends are the nodes on cycles, and the least node that such an end has met is its cycle's.
+    Parents are unique, so pointers can be doubled. Each doubling drops the chains that end, as long as there are any; when
+    it drops none, all that are left run into a cycle. Once they have taken as many steps as there are of them, their ends
+    are the nodes on cycles, and the least node that such an end has met is its cycle's.
     """
     jump = edges.select(F.col("child").alias("start"), F.col("parent").alias("node"), F.least("child", "parent").alias("low"))
-    for _ in range(doublings):
+    before, left, steps = -1, edges.count(), 1
+    while left and (left != before or steps < left):
         far = jump.select(F.col("start").alias("node"), F.col("node").alias("next"), F.col("low").alias("far"))
         jump = _cut(jump.join(far, "node").select("start", F.col("next").alias("node"), F.least("low", "far").alias("low")))
+        before, left, steps = left, jump.count(), 2 * steps
+    if not left:
+        return edges
     cyclic = jump.select(F.col("node").alias("start")).distinct()
     first = jump.join(cyclic, "start", "left_semi").where("start = low").select(F.col("start").alias("child"))
     return edges.join(first, "child", "left_anti")
 
 
+def ancestors_of(nodes: DataFrame, edges: DataFrame, marked: DataFrame | None = None) -> DataFrame:
+    """(id, root, level, hit): the topmost ancestor of every node, how far up it is, and whether the node or any ancestor is
+    among ``marked`` (id). Raises on a cycle.
+    """
+    known = nodes.select("id").distinct()
+    up = known.join(edges.select(F.col("child").alias("id"), F.col("parent")), "id", "left")
+    hit = F.lit(False)
+    if marked is not None:
+        up = up.join(marked.select("id", F.lit(True).alias("__m")).distinct(), "id", "left")
+        hit = F.coalesce("__m", F.lit(False))
+    up = _cut(up.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").isNotNull().cast("long").alias("level"), hit.alias("hit")))
+    most, steps = up.count(), 1
+    while True:
+        far = up.select(F.col("id").alias("root"), F.col("root").alias("__top"), F.col("level").alias("__more"), F.col("hit").alias("__hit"))
+        both = up.join(far, "root")
+        after = both.select("id", F.col("__top").alias("root"), (F.col("level") + F.col("__more")).alias("level"), (F.col("hit") | F.col("__hit")).alias("hit"))
+        moved = both.where("__top <> root").count()
+        if not moved:
+            return up
+        if steps > 2 * most:
+            raise ValueError("the edges have a cycle")
+        up, steps = _cut(after), 2 * steps
+
+
 def roots_of(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, root, level): the topmost ancestor of every node, at level 0 for a root. Edges have no cycle."""
-    spark = nodes.sparkSession
-    query = """
-      WITH RECURSIVE up(id, root, level) AS (
-        SELECT n.id, n.id, 0 FROM {nodes} n LEFT ANTI JOIN {edges} e ON n.id = e.child
-        UNION ALL
-        SELECT e.child, u.root, u.level + 1 FROM up u JOIN {edges} e ON u.id = e.parent)
-      SELECT id, root, level FROM up"""
-    return spark.sql(query, nodes=nodes.select("id"), edges=edges.select("child", "parent"))
+    """(id, root, level): the topmost ancestor of every node, at level 0 for a root. Raises on a cycle."""
+    return ancestors_of(nodes, edges).select("id", "root", F.col("level").cast("int").alias("level"))
 
 
 def withheld(nodes: DataFrame, edges: DataFrame, forms: DataFrame) -> DataFrame:
     """(id): the given nodes with all that lies below them."""
-    query = """
-      WITH RECURSIVE down(id) AS (
-        SELECT id FROM {forms}
-        UNION ALL
-        SELECT e.child FROM down d JOIN {edges} e ON d.id = e.parent)
-      SELECT DISTINCT id FROM down"""
-    return nodes.sparkSession.sql(query, forms=forms.select("id"), edges=edges.select("child", "parent")).join(nodes.select("id"), "id", "left_semi")
+    return ancestors_of(nodes, edges, forms).where("hit").select("id")
 
 
 def sorted_children(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def exclusion_impact(placed: DataFrame, notes: DataFrame) -> DataFrame:
     out = placed.where((F.col("theme") == EXCLUDE) & F.col("placed_by").rlike("^(list|branch|override):") & F.col("cs").isNotNull() & F.col("en").isNotNull())
     by = out.groupBy(F.col("placed_by").alias("rule")).agg(F.count(F.lit(1)).alias("term_count"), samples(F.col("cs")).alias("sample_terms"))
     by = by.withColumns({"kind": F.split_part("rule", F.lit(":"), F.lit(1)), "ident": F.regexp_replace("rule", "^[^:]*:", "")})
-    return by.join(F.broadcast(notes), "rule", "left").select("rule", "kind", "ident", "term_count", F.coalesce("status", F.lit("undecided")).alias("status"), F.coalesce("reason", F.lit("")).alias("reason"), "sample_terms")
+    return by.join(notes, "rule", "left").select("rule", "kind", "ident", "term_count", F.coalesce("status", F.lit("undecided")).alias("status"), F.coalesce("reason", F.lit("")).alias("reason"), "sample_terms")
 
 
 def reinstatement(placed: DataFrame, offered: DataFrame, norm: Norm = F.lower) -> DataFrame:
@@ -77,29 +77,43 @@ def broader_labels(records: DataFrame) -> DataFrame:
     return records.join(met.groupBy("source", "source_id").agg(text.alias("broader_labels")), ["source", "source_id"], "left").fillna("", ["broader_labels"])
 
 
+#: Values of ``pos`` that one task sums at once.
+SPAN = 4096
+
+
+def running_total(df: DataFrame, pos: str, value: str, name: str) -> DataFrame:
+    """Adds ``name``, the sum of ``value`` over all rows up to a row's ``pos`` (an integer, unique).
+
+    Ranges of ``SPAN`` positions are summed apart; only one row for each of them meets in one task, to be summed up in turn.
+    """
+    ranged = df.withColumn("__r", F.floor(F.col(pos) / SPAN))
+    sums = ranged.groupBy("__r").agg(F.sum(value).alias("__s"))
+    before = F.sum("__s").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select("__r", F.coalesce(before, F.lit(0)).alias("__b"))
+    within = F.sum(value).over(Window.partitionBy("__r").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.join(sums, "__r").withColumn(name, within + F.col("__b")).drop("__r", "__b")
+
+
 def budget_prefix(terms: DataFrame, windows: Sequence[int], reserved: int = 2560, overhead: int = 0) -> DataFrame:
     """(window, theme, terms, surviving, dropped, status): how much of each theme fits before a window's budget is spent.
 
     ``terms``: theme, pos (render order), chars. The prefix ends at the first term that does not fit.
     """
-    run = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)  # the vocabulary, some thousand terms
-    costed = terms.withColumn("used", F.sum("chars").over(run))
-    out = None
-    for w in windows:
-        budget = max(0, w - reserved) * CHARS_PER_TOKEN - overhead
-        part = costed.groupBy("theme").agg(F.count(F.lit(1)).alias("terms"), F.count_if(F.col("used") <= budget).alias("surviving"))
-        part = part.select(F.lit(w).alias("window"), "theme", "terms", "surviving")
-        out = part if out is None else out.union(part)
+    costed = running_total(terms, "pos", "chars", "used")
+    budgets = [(w, max(0, w - reserved) * CHARS_PER_TOKEN - overhead) for w in windows]
+    fits = [F.count_if(F.col("used") <= b).alias(f"__{w}") for w, b in budgets]
+    by = costed.groupBy("theme").agg(F.count(F.lit(1)).alias("terms"), *fits)
+    each = F.explode(F.array(*(F.struct(F.lit(w).alias("window"), F.col(f"__{w}").alias("surviving")) for w in windows)))
+    out = by.select("theme", "terms", each.alias("x")).select("x.window", "theme", "terms", "x.surviving")
     status = F.when(F.col("surviving") == F.col("terms"), "full").when(F.col("surviving") > 0, "partial").otherwise("none")
     return out.withColumns({"dropped": F.col("terms") - F.col("surviving"), "status": status})
 
 
 def largest_prefix(costs: DataFrame, budget: float) -> DataFrame:
     """(kept): terms of the largest prefix within the budget; over budget never all of them, and none of a single term."""
-    run = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    seen = costs.select(F.sum("chars").over(run).alias("used"), F.row_number().over(Window.orderBy("pos")).alias("k"))
-    total = seen.agg(F.max("k").alias("n"), F.max("used").alias("all"), F.coalesce(F.max(F.when(F.col("used") <= budget, F.col("k"))), F.lit(0)).alias("fit"))
-    return total.select(F.when(F.col("all") <= budget, F.col("n")).otherwise(F.least("fit", F.greatest(F.col("n") - 1, F.lit(0)))).alias("kept"))
+    seen = running_total(costs.select("pos", "chars"), "pos", "chars", "used")
+    total = seen.agg(F.count(F.lit(1)).alias("n"), F.max("used").alias("all"), F.count_if(F.col("used") <= budget).alias("fit"))
+    return total.select(F.when(F.col("all") <= budget, F.col("n")).otherwise(F.least("fit", F.greatest(F.col("n") - 1, F.lit(0)))).cast("int").alias("kept"))
 
 
 def census(terms: DataFrame) -> DataFrame:
@@ -154,7 +168,7 @@ def term_evidence(terms: DataFrame, tokens: DataFrame, examples: int = 3, norm:
     ``tokens``: doc_id, pos, lemma, line (text of the line).
     """
     single = terms.where(F.size(F.split(F.trim("cs"), r"\s+")) == 1).select("cs", norm(F.col("cs")).alias("lemma"))
-    hits = tokens.withColumn("lemma", norm(F.col("lemma"))).join(F.broadcast(single), "lemma")
+    hits = tokens.withColumn("lemma", norm(F.col("lemma"))).join(single, "lemma")
     counted = hits.groupBy("cs").agg(F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("occurrences"))
     w = Window.partitionBy("cs").orderBy("doc_id", "pos")
     shown = hits.where("line is not null").dropDuplicates(["cs", "line"]).withColumn("k", F.row_number().over(w)).where(F.col("k") <= examples)
@@ -166,7 +180,7 @@ def branch_evidence(hits: DataFrame, offered: DataFrame) -> DataFrame:
     """(rule, terms, occurrences, unique_terms, unique_occurrences, documents): hits of excluded rules, those already offered
     apart. ``hits``: rule, lemma, doc_id, n."""
     have = offered.select("lemma", F.lit(True).alias("have")).distinct()
-    df = hits.join(F.broadcast(have), "lemma", "left").withColumn("own", F.col("have").isNull())
+    df = hits.join(have, "lemma", "left").withColumn("own", F.col("have").isNull())
     return df.groupBy("rule").agg(
         F.count_distinct("lemma").alias("terms"),
         F.sum("n").alias("occurrences"),
@@ -180,7 +194,7 @@ def candidate_terms(lines: DataFrame, form_lemmas: DataFrame, terms: DataFrame,
     """(doc_id, pos, candidates): terms whose lemma occurs in a line, first seen first, at most ``top``."""
     words = lines.select("doc_id", "pos", F.posexplode(F.regexp_extract_all("text", F.lit(r"(?U)(\w+)"), F.lit(1))).alias("at", "form")).withColumn("form", norm(F.col("form")))
     lemma = words.join(form_lemmas, ["doc_id", "form"], "left").withColumn("lemma", F.coalesce("lemma", "form"))
-    met = lemma.join(F.broadcast(terms.select("cs", norm(F.col("cs")).alias("lemma"))), "lemma").groupBy("doc_id", "pos", "cs").agg(F.min("at").alias("at"))
+    met = lemma.join(terms.select("cs", norm(F.col("cs")).alias("lemma")), "lemma").groupBy("doc_id", "pos", "cs").agg(F.min("at").alias("at"))
     w = Window.partitionBy("doc_id", "pos").orderBy("at", "cs")
     kept = met.withColumn("k", F.row_number().over(w)).where(F.col("k") <= top).groupBy("doc_id", "pos")
     return kept.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "cs"))), lambda x: x["cs"]).alias("candidates"))
@@ -193,6 +207,6 @@ def subbranch_impact(records: DataFrame, excluded_roots: DataFrame) -> DataFrame
     """
     chain = F.concat("broader", F.array("source_id"))
     under = records.select("cs", "en", F.get(chain, F.lit(0)).alias("root"), F.get(chain, F.lit(1)).alias("child")).where("child is not null")
-    under = under.join(F.broadcast(excluded_roots.select("root")), "root", "left_semi")
+    under = under.join(excluded_roots.select("root"), "root", "left_semi")
     usable = F.count_distinct(F.when(F.col("en").isNotNull(), F.lower("cs")))
     return under.groupBy("root", "child").agg(F.count(F.lit(1)).alias("term_count"), usable.alias("usable_count"), samples(F.col("cs")).alias("sample_terms"))

@@ -121,7 +121,7 @@ def before_after(metrics: DataFrame, picks: DataFrame, agreement: DataFrame, col
     again = metrics.where(F.col("run").rlike(pattern)).withColumn("baseline", base)
     old = metrics.select(F.col("run").alias("baseline"), *(F.col(c).alias(f"{c}_before") for c in columns))
     pairs = again.select("run", "baseline", *(F.col(c).alias(f"{c}_after") for c in columns)).join(old, "baseline")
-    a = picks.select("run", *KEY, F.col("category").alias("ca")).join(F.broadcast(pairs.select("run", "baseline")), "run")
+    a = picks.select("run", *KEY, F.col("category").alias("ca")).join(pairs.select("run", "baseline"), "run")
     b = picks.select(F.col("run").alias("baseline"), *KEY, F.col("category").alias("cb"))
     changed = a.join(b, ["baseline", *KEY]).groupBy("run").agg(F.count_if(F.col("ca") != F.col("cb")).alias("lines_changed"))
     both = agreement.select(F.col("run_a").alias("x"), F.col("run_b").alias("y"), "agreement")

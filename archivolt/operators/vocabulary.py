@@ -50,37 +50,49 @@ def label_winners(records: DataFrame, norm: Norm = F.lower, root_source: str | N
 
 def split_qualified(records: DataFrame, qualifiers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(qualified, plain): records with a qualifier get the label "cs (qualifier)" and keep their bare label."""
-    q = F.broadcast(qualifiers.select("source", F.col("id").alias("source_id"), "qualifier"))
+    q = qualifiers.select("source", F.col("id").alias("source_id"), "qualifier")
     both = records.join(q, ["source", "source_id"], "left")
     label = F.format_string("%s (%s)", "cs", "qualifier")
     flagged = both.where("qualifier is not null").withColumns({"bare_cs": F.col("cs"), "cs": label}).drop("qualifier")
     return flagged, both.where("qualifier is null").withColumn("bare_cs", F.lit(None).cast("string")).drop("qualifier")
 
 
+#: Rules up to this many are folded into one row and sent to every task.
+MOST_RULES = 100_000
+
+
+def _one_row(rules: DataFrame, value: Column) -> DataFrame:
+    """(one, x): all rules' values in one array."""
+    n = rules.count()
+    if n > MOST_RULES:
+        raise ValueError(f"{n} rules; at most {MOST_RULES} can be applied")
+    return rules.agg(F.sort_array(F.collect_list(value)).alias("x")).select(F.lit(1).alias("one"), "x")
+
+
 def place(records: DataFrame, overrides: DataFrame, maps: DataFrame, keywords: DataFrame) -> DataFrame:
     """Adds theme and placed_by: an override, else the list's map, else the nearest mapped ancestor, else a keyword, else Other.
 
     ``overrides``: source, source_id, theme. ``maps``: kind ("list" by scheme, "branch" by id), ident, theme. ``keywords``:
-    lang ("cs", "en"), keyword, theme, rank (order of themes, languages and keywords). All three are small and broadcast.
+    lang ("cs", "en"), keyword, theme, rank (order of themes, languages and keywords). Maps and keywords are configuration,
+    whose number is checked; they are folded into one row each, so that ancestors and keywords are found within a record
+    and no record moves. Overrides are joined by their key.
     """
-    df = records.withColumn("__id", F.monotonically_increasing_id())
-    own = F.broadcast(overrides.select("source", "source_id", F.col("theme").alias("__o")))
-    lists = F.broadcast(maps.where("kind = 'list'").select(F.col("ident").alias("scheme"), F.col("theme").alias("__l")))
-    nodes = F.broadcast(maps.where("kind = 'branch'").select(F.col("ident").alias("__node"), F.col("theme").alias("__b")))
-    df = df.join(own, ["source", "source_id"], "left").join(lists, "scheme", "left")
-    chain = F.concat(F.coalesce("broader", F.array().cast("array<string>")), F.array("source_id"))
-    up = df.select("__id", F.posexplode(chain).alias("__depth", "__node")).join(nodes, "__node")
-    near = up.groupBy("__id").agg(F.max_by(F.struct("__b", "__node"), "__depth").alias("__near"))
-    words = F.broadcast(keywords)
-    label = F.lower(F.when(F.col("lang") == "cs", F.coalesce("cs", F.lit(""))).otherwise(F.coalesce("en", F.lit(""))))
-    by_word = df.select("__id", "cs", "en").join(words, F.contains(label, F.lower("keyword")))
-    by_word = by_word.groupBy("__id").agg(F.min_by(F.struct("theme", "lang", "keyword"), "rank").alias("__w"))
-    df = df.join(near, "__id", "left").join(by_word, "__id", "left")
-    theme = F.coalesce("__o", "__l", "__near.__b", "__w.theme", F.lit(OTHER))
+    own = overrides.select("source", "source_id", F.col("theme").alias("__o")).dropDuplicates(["source", "source_id"])
+    mapped = _one_row(maps, F.struct("kind", "ident", "theme")).select("one", F.col("x").alias("__maps"))
+    words = _one_row(keywords, F.struct("rank", "lang", "keyword", "theme")).select("one", F.col("x").alias("__words"))
+    df = records.join(own, ["source", "source_id"], "left").withColumn("one", F.lit(1))
+    df = df.join(F.broadcast(mapped), "one").join(F.broadcast(words), "one")  # one row each
+    by = lambda kind, ident: F.get(F.filter("__maps", lambda m: (m["kind"] == kind) & (m["ident"] == ident)), F.lit(0))["theme"]
+    chain = F.reverse(F.concat(F.coalesce("broader", F.array().cast("array<string>")), F.array("source_id")))
+    near = F.get(F.filter(F.transform(chain, lambda n: F.struct(n.alias("node"), by("branch", n).alias("theme"))), lambda x: x["theme"].isNotNull()), F.lit(0))
+    label = lambda w: F.lower(F.coalesce(F.when(w["lang"] == "cs", F.col("cs")).otherwise(F.col("en")), F.lit("")))
+    word = F.get(F.filter("__words", lambda w: F.contains(label(w), F.lower(w["keyword"]))), F.lit(0))
+    df = df.withColumns({"__l": by("list", F.col("scheme")), "__near": near, "__w": word})
+    theme = F.coalesce("__o", "__l", "__near.theme", "__w.theme", F.lit(OTHER))
     rule = (
         F.when(F.col("__o").isNotNull(), F.concat(F.lit("override:"), "source", F.lit(":"), "source_id"))
         .when(F.col("__l").isNotNull(), F.concat(F.lit("list:"), "scheme"))
-        .when(F.col("__near").isNotNull(), F.concat(F.lit("branch:"), F.col("__near.__node")))
+        .when(F.col("__near").isNotNull(), F.concat(F.lit("branch:"), F.col("__near.node")))
         .when(F.col("__w").isNotNull(), F.concat(F.lit("keyword:"), F.col("__w.lang"), F.lit(":"), F.col("__w.keyword")))
         .otherwise("other")
     )
@@ -89,7 +101,7 @@ def place(records: DataFrame, overrides: DataFrame, maps: DataFrame, keywords: D
 
 def rescue(placed: DataFrame, labels: DataFrame, norm: Norm = F.lower) -> DataFrame:
     """Terms that no rule placed take the theme of their label in ``labels`` (norm, theme)."""
-    look = F.broadcast(labels.select(F.col("norm").alias("__n"), F.col("theme").alias("__t")))
+    look = labels.select(F.col("norm").alias("__n"), F.col("theme").alias("__t"))
     both = placed.withColumn("__n", norm(F.col("cs"))).join(look, "__n", "left")
     use = (F.col("theme") == OTHER) & F.col("__t").isNotNull()
     return both.withColumns({"placed_by": F.when(use, "rescue").otherwise(F.col("placed_by")), "theme": F.when(use, F.col("__t")).otherwise(F.col("theme"))}).drop("__n", "__t")
@@ -107,7 +119,7 @@ def nested_order(placed: DataFrame, boilerplate: Sequence[str], theme_rank: Data
     for w in boilerplate:
         admin = admin | F.contains(low, F.lit(w))
     order = Window.partitionBy("theme").orderBy(admin.cast("int"), F.coalesce("sort", F.lit(10**9)), "cs")
-    return placed.withColumn("term_rank", F.row_number().over(order)).join(F.broadcast(theme_rank), "theme", "left")
+    return placed.withColumn("term_rank", F.row_number().over(order)).join(theme_rank, "theme", "left")
 
 
 def composite_links(terms: DataFrame, separator: str = "/", norm: Norm = F.lower) -> DataFrame:
@@ -143,9 +155,12 @@ def composite_halves(terms: DataFrame, separator: str = "/", norm: Norm = F.lowe
     has = has.join(labels.select("n").distinct(), "n", "left_anti")
     mates = has.groupBy("n").agg(F.sort_array(F.collect_set("cs")).alias("all"))
     has = has.join(mates, "n").withColumn("shared_with", F.array_remove("all", F.col("cs")))
-    starts = F.broadcast(labels.withColumnRenamed("n", "ln"))
-    begins = (F.col("label") != F.col("cs")) & (F.startswith("ln", F.concat("n", F.lit(" "))) | F.startswith("ln", F.concat("n", F.lit(separator))))
-    counted = has.join(starts, begins, "left").groupBy("cs", "half", "position", "shared_with").agg(F.count("label").cast("int").alias("n_starts"))
+    # every beginning of a label that ends before a space or a separator, so that halves meet it by equality
+    at = F.filter(F.sequence(F.lit(1), F.length("n")), lambda i: F.substring("n", i, F.lit(len(separator))).isin(separator) | (F.substring("n", i, F.lit(1)) == " "))
+    heads = labels.withColumn("head", F.explode(F.transform(at, lambda i: F.substring("n", F.lit(1), i - 1)))).select("label", F.col("head").alias("n")).distinct()
+    begun = has.select("cs", "half", "n").distinct().join(heads, "n").where("label <> cs")
+    begun = begun.groupBy("cs", "half").agg(F.count(F.lit(1)).cast("int").alias("n_starts"))
+    counted = has.join(begun, ["cs", "half"], "left").groupBy("cs", "half", "position", "shared_with").agg(F.coalesce(F.max("n_starts"), F.lit(0)).alias("n_starts"))
     letters = F.length(F.regexp_replace("half", r"[^\p{L}]", ""))
     verdict = (
         F.when(F.size("shared_with") > 0, "ambiguous")
@@ -197,7 +212,7 @@ def attach_ids(results: DataFrame, terms: DataFrame) -> DataFrame:
 
     ``terms``: cs, ids, bare_cs (null unless the label is bracketed). Categories that are no term get no ids.
     """
-    look = F.broadcast(terms.select(F.col("cs").alias("category"), F.col("ids").alias("__i"), F.col("bare_cs").alias("__b")))
+    look = terms.select(F.col("cs").alias("category"), F.col("ids").alias("__i"), F.col("bare_cs").alias("__b"))
     both = results.join(look, "category", "left")
     none = F.array().cast(terms.schema["ids"].dataType)
     return both.withColumns({"ids": F.coalesce("__i", none), "category": F.coalesce("__b", "category")}).select(*results.columns, "ids")
@@ -206,6 +221,6 @@ def attach_ids(results: DataFrame, terms: DataFrame) -> DataFrame:
 def unknown_labels(observed: DataFrame, permitted: DataFrame) -> DataFrame:
     """(label, same_folded): distinct observed labels that are not permitted, with a permitted one that differs in case."""
     seen = observed.select("label").where("label is not null").distinct()
-    wrong = seen.join(F.broadcast(permitted.select("label")), "label", "left_anti")
+    wrong = seen.join(permitted.select("label"), "label", "left_anti")
     folded = permitted.groupBy(F.lower("label").alias("f")).agg(F.min("label").alias("same_folded"))
-    return wrong.withColumn("f", F.lower("label")).join(F.broadcast(folded), "f", "left").select("label", "same_folded")
+    return wrong.withColumn("f", F.lower("label")).join(folded, "f", "left").select("label", "same_folded")
