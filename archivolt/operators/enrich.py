@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import json
-import re
 import sys
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -76,29 +73,18 @@ def checked_reply(reply: Column, schema: str, variants: DataFrame | None = None)
     return F.when(parsed.isNotNull() & confidence.isNotNull(), parsed.withField("confidence_score", confidence))
 
 
-_SEPARATORS = re.compile(r"\s*[;,]\s*")
-_TAIL = re.compile(r"\s*\([^()]*\)\s*$")
+def _folded(value: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(value), r"(?U)\s+", " "))
 
 
-def _keywords(value: Any) -> list[str]:
-    if value is None:
-        return []
-    items = value if isinstance(value, list) else _SEPARATORS.split(value) if isinstance(value, str) else [value]
-    return [str(v).strip() for v in items if str(v).strip()]
+_BARE = r"\s*\([^()]*\)\s*$"
+_FIELDS = "page string, category string, keywords string, confidence_score string"
 
 
-def _resolver(allowed: list[str]) -> Callable[[Any], str | None]:
-    exact, loose = set(allowed), {" ".join(t.casefold().split()): t for t in reversed(allowed)}
-
-    def look(text: str) -> str | None:
-        return text if text in exact else loose.get(" ".join(text.casefold().split()))
-
-    def resolve(value: Any) -> str | None:
-        if not isinstance(value, str):
-            return None
-        return look(value) or (look(bare) if (bare := _TAIL.sub("", value).strip()) and bare != value else None)
-
-    return resolve
+def _keyword_list(raw: Column) -> Column:
+    """Keywords of a JSON list, or of one string with separators."""
+    listed = F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.from_json(raw, "array<string>")).otherwise(F.split(raw, "[;,]"))
+    return F.coalesce(F.filter(F.transform(listed, lambda w: F.trim(w)), lambda w: w != ""), F.array().cast("array<string>"))
 
 
 def repair_replies(replies: DataFrame, allowed: list[str], id_type: str = "long") -> DataFrame:
@@ -106,46 +92,38 @@ def repair_replies(replies: DataFrame, allowed: list[str], id_type: str = "long"
 
     A bare list counts as the items; keywords may be one string; the category is resolved exactly, by folding, or without
     its bracketed tail. A dropped item has a problem; a reply that is no JSON, has no items, or of which none survives, has
-    one row with at = -1.
+    one row with at = -1. Everything is built-in JSON functions and one join with the labels by their folded form.
     """
-    schema = f"doc_id {id_type}, at int, page string, category string, keywords array<string>, confidence double, problem string"
-
-    def one(doc: Any, text: str | None) -> Iterator[tuple]:
-        none = (None, None, [], None)
-        try:
-            raw = json.loads(text or "", strict=False)
-        except ValueError:
-            yield (doc, -1, *none, "no JSON")
-            return
-        items = raw if isinstance(raw, list) else raw.get("items") if isinstance(raw, dict) else None
-        if not isinstance(items, list):
-            yield (doc, -1, *none, "no items")
-            return
-        resolve, good = _resolver(allowed), 0
-        for at, item in enumerate(items):
-            if not isinstance(item, dict):
-                yield (doc, at, *none, "not an object")
-                continue
-            category = resolve(item.get("category"))
-            try:
-                confidence = min(1.0, max(0.0, float(item.get("confidence_score"))))
-            except (TypeError, ValueError):
-                confidence = None
-            page = item.get("page")
-            page = None if page is None else str(int(page)) if isinstance(page, float) and page.is_integer() else str(page).strip() or None
-            problem = "unknown category" if category is None else "no confidence" if confidence is None else None
-            good += problem is None
-            yield (doc, at, page, category, _keywords(item.get("keywords")), confidence, problem)
-        if items and not good:
-            yield (doc, -1, *none, "none survived")
-
+    spark = replies.sparkSession
+    text = F.trim(F.col("reply"))
+    listed = F.when(F.startswith(text, F.lit("[")), text).otherwise(F.get_json_object(text, "$.items"))
+    items = F.when(F.startswith(F.ltrim(listed), F.lit("[")), F.from_json(listed, "array<string>"))
+    valid = F.try_parse_json("reply").isNotNull()
+    read = replies.select(F.col("doc_id").cast(id_type).alias("doc_id"), valid.alias("valid"), items.alias("items"))
+
+    rows = read.where("valid and items is not null").select("doc_id", F.posexplode("items").alias("at", "raw"))
+    f = F.from_json(F.when(F.startswith(F.ltrim("raw"), F.lit("{")), F.col("raw")), _FIELDS)
+    page = F.nullif(F.trim(F.regexp_replace(f["page"], r"^(-?\d+)\.0+$", "$1")), F.lit(""))
+    confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), f["confidence_score"].try_cast("double")))
+    rows = rows.select(
+        "doc_id", "at", f.isNotNull().alias("object"), page.alias("page"), f["category"].alias("said"),
+        F.regexp_replace(f["category"], _BARE, "").alias("bare"), _keyword_list(f["keywords"]).alias("keywords"), confidence.alias("confidence"),
+    )
+    labels = spark.createDataFrame(list(enumerate(allowed)) or [(0, None)], "i int, label string").where("label is not null")
+    labels = labels.groupBy(_folded(F.col("label")).alias("f")).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "label"))), lambda x: x["label"]).alias("l"))
+    for name in ("said", "bare"):
+        look = labels.select(F.col("f").alias(f"__f_{name}"), F.col("l").alias(f"__l_{name}"))
+        rows = rows.withColumn(f"__f_{name}", _folded(F.col(name))).join(look, f"__f_{name}", "left")
+    found = [F.when(F.array_contains(f"__l_{n}", F.col(n)), F.col(n)).otherwise(F.get(f"__l_{n}", F.lit(0))) for n in ("said", "bare")]
+    rows = rows.withColumn("category", F.coalesce(*found))
+    problem = F.when(~F.col("object"), "not an object").when(F.col("category").isNull(), "unknown category").when(F.col("confidence").isNull(), "no confidence")
+    rows = rows.withColumn("problem", problem)
     columns = ["doc_id", "at", "page", "category", "keywords", "confidence", "problem"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pd.DataFrame([r for d, t in zip(pdf["doc_id"], pdf["reply"], strict=True) for r in one(d, t)], columns=columns)
-
-    return replies.select("doc_id", "reply").mapInPandas(run, schema)
+    whole = read.where("not valid or items is null").select("doc_id", F.when(F.col("valid"), "no items").otherwise("no JSON").alias("problem"))
+    none = rows.groupBy("doc_id").agg(F.count_if(F.col("problem").isNull()).alias("good")).where("good = 0").select("doc_id", F.lit("none survived").alias("problem"))
+    empty = {"at": F.lit(-1), "page": F.lit(None).cast("string"), "category": F.lit(None).cast("string"), "keywords": F.array().cast("array<string>"), "confidence": F.lit(None).cast("double")}
+    return rows.select(*columns).union(whole.union(none).withColumns(empty).select(*columns))
 
 
 def contributing(items: DataFrame, errors: DataFrame) -> DataFrame:

@@ -33,50 +33,143 @@ def _name(e: ElementTree.Element) -> str:
     return e.tag.rsplit("}", 1)[-1]
 
 
-def xml_rows(root: ElementTree.Element) -> Iterator[tuple[str, int, str]]:
-    """(page, line, text) in document order: sentences, else lines, else leaf blocks.
+#: Elements that are blocks of text, and whose end also ends a line.
+BLOCK_TAGS = frozenset("p head ab item cell l note figDesc".split())
+_JOINED = re.compile(r"\s+")
 
-    Page breaks set the page (their number, or one more than the last); line breaks count lines within it.
+
+def _walk(root: ElementTree.Element) -> Iterator[tuple[str, ElementTree.Element]]:
+    """(start or end, element) in document order, without recursion, so any depth will do; headers are left out."""
+    stack: list[tuple[ElementTree.Element, bool]] = [(root, False)]
+    while stack:
+        e, ends = stack.pop()
+        if ends:
+            yield "end", e
+        elif _name(e) != "teiHeader":
+            yield "start", e
+            stack.append((e, True))
+            stack.extend((child, False) for child in reversed(e))
+
+
+class Place:
+    """Page and line while a document is read: the label as it stands, a number, an index from 1, and the line."""
+
+    def __init__(self) -> None:
+        self.label, self.number, self.index, self.breaks = "", 1, 1, 0
+        self.seen = self.written = self.above = False
+
+    def page(self, e: ElementTree.Element) -> None:
+        """A page break; labels that are no number advance the count, and the first one is page 1."""
+        if self.seen or self.written:
+            self.index += 1
+        self.label = (e.get("n") or "").strip()
+        self.number = int(self.label) if re.fullmatch(r"[+-]?\d+", self.label) else self.number + 1 if self.seen else 1
+        self.seen, self.breaks, self.above = True, 0, False
+
+    def content(self) -> None:
+        """Text stands here; text before a page's first line break is a line of its own."""
+        self.written = True
+        if not self.breaks:
+            self.above = True
+
+    @property
+    def line(self) -> int:
+        return max(1, self.breaks + self.above)
+
+    def row(self, text: str, line: int | None = None) -> tuple[str, int, str, int]:
+        return str(self.number), self.line if line is None else line, text, self.index
+
+
+def _spaced(tokens: list[ElementTree.Element]) -> str:
+    """Tokens with their spacing: a space after each but those that join the next."""
+    parts = []
+    for t in tokens:
+        text = "".join(t.itertext()).strip() or t.get("form", "")
+        parts += [text, "" if t.get("join") == "right" or "SpaceAfter=No" in (t.get("misc") or "") else " "]
+    return "".join(parts).strip()
+
+
+def _sentence(e: ElementTree.Element) -> str:
+    """A sentence's own text, else its tokens with their spacing, else all that stands in it, also between tokens."""
+    tokens = [t for t in e.iter() if _name(t) == "tok"]
+    whole = _JOINED.sub("", "".join(e.itertext()))
+    spaced = _spaced(tokens) if whole == _JOINED.sub("", "".join("".join(t.itertext()) for t in tokens)) else ""
+    return e.get("text") or spaced or _JOINED.sub(" ", "".join(e.itertext())).strip()
+
+
+def xml_rows(root: ElementTree.Element) -> Iterator[tuple[str, int, str, int]]:
+    """(page, line, text, page index) in document order: sentences where there are any (one that goes over a page break has a
+    row for each page), else lines of tokens, else leaf blocks.
+
+    A page is its break's number, or one more than the last. Lines are counted from 1 in each page; text before a page's
+    first line break is line 1.
     """
     names = {_name(e) for e in root.iter()}
-    unit = "s" if "s" in names else None
-    page, line, parts = "1", 0, []
-    out: list[tuple[str, int, str]] = []
-
-    def flush() -> None:
-        text = " ".join("".join(parts).split())
-        if text:
-            out.append((page, max(line, 1), text))
-        parts.clear()
-
-    def walk(e: ElementTree.Element) -> None:
-        nonlocal page, line
+    place = Place()
+    if "s" in names:
+        yield from _sentence_rows(root, place)
+    elif "tok" in names:
+        yield from _line_rows(root, place)
+    else:
+        yield from _block_rows(root, place)
+
+
+def _sentence_rows(root: ElementTree.Element, place: Place) -> Iterator[tuple[str, int, str, int]]:
+    inside, parts = None, []
+    for kind, e in _walk(root):
+        name = _name(e)
+        if kind == "start" and name == "pb":
+            place.page(e)
+            if inside is not None:
+                parts.append((place.row(""), []))
+        elif kind == "start" and name == "lb":
+            place.breaks += 1
+        elif kind == "start" and name == "s" and inside is None:
+            inside, parts = e, [(place.row(""), [])]
+        elif kind == "start" and name == "tok":
+            place.content()
+            if inside is not None:
+                at, tokens = parts[-1]
+                parts[-1] = (at if tokens else place.row(""), [*tokens, e])
+        elif kind == "end" and e is inside:
+            full = [(at, tokens) for at, tokens in parts if tokens]
+            shown = [(at, _spaced(tokens)) for at, tokens in full] if len(full) > 1 else [((full or parts)[0][0], _sentence(e))]
+            for (page, line, _, index), text in shown:
+                if text:
+                    yield page, line, text, index
+                    place.content()
+            inside = None
+
+
+def _line_rows(root: ElementTree.Element, place: Place) -> Iterator[tuple[str, int, str, int]]:
+    tokens: list[ElementTree.Element] = []
+    for kind, e in _walk(root):
+        name = _name(e)
+        if kind == "start" and name == "tok":
+            tokens.append(e)
+            place.content()
+        elif (kind == "start" and name in ("pb", "lb")) or (kind == "end" and (name in BLOCK_TAGS or e is root)):
+            if text := _spaced(tokens):
+                yield place.row(text)
+            tokens = []
+            if name == "pb":
+                place.page(e)
+            elif name == "lb":
+                place.breaks += 1
+
+
+def _block_rows(root: ElementTree.Element, place: Place) -> Iterator[tuple[str, int, str, int]]:
+    line = 0
+    for kind, e in _walk(root):
         name = _name(e)
-        if name == "pb":
-            flush()
-            n = e.get("n") or ""
-            page, line = n if n else str(int(page) + 1 if page.isdigit() else 1), 0
-        elif name == "lb":
-            if unit is None:
-                flush()
-            line += 1
-        if name == unit or name in ("p", "head", "ab") and unit is None:
-            flush()
-        if e.text and name not in ("teiHeader",):
-            parts.append(e.text)
-        if name != "teiHeader":
-            for child in e:
-                walk(child)
-                if _name(child) == "tok" and child.get("join") != "right":
-                    parts.append("" if (child.tail or "").strip() else " ")
-                if child.tail:
-                    parts.append(child.tail)
-        if name == unit or name in ("p", "head", "ab") and unit is None:
-            flush()
-
-    walk(root)
-    flush()
-    return iter(out)
+        if kind == "start" and name == "pb":
+            place.page(e)
+            line = 0
+        elif kind == "start" and name in BLOCK_TAGS and not any(_name(d) in BLOCK_TAGS for d in e.iter() if d is not e):
+            if text := _JOINED.sub(" ", "".join(e.itertext())).strip():
+                line += 1
+                yield place.row(text, line)
+                place.content()
 
 
 def xml_tokens(root: ElementTree.Element) -> Iterator[tuple[str, str, str]]:
@@ -98,7 +191,7 @@ def _mapped(files: DataFrame, schema: str, rows) -> DataFrame:
             for path, text in zip(pdf["path"], pdf["text"], strict=True):
                 try:
                     out += [(path, i, *r, None) for i, r in enumerate(rows(text))]
-                except (ValueError, ElementTree.ParseError) as problem:
+                except (ValueError, TypeError, AttributeError, ElementTree.ParseError) as problem:
                     out.append((path, -1, *[None] * (len(columns) - 3), str(problem)))
             yield pd.DataFrame(out, columns=columns)
 
@@ -106,8 +199,9 @@ def _mapped(files: DataFrame, schema: str, rows) -> DataFrame:
 
 
 def read_xml_rows(files: DataFrame) -> DataFrame:
-    """(path, pos, page, line, text, problem); an unreadable file has one row with its problem."""
-    return _mapped(files, "path string, pos long, page string, line double, text string, problem string", lambda t: xml_rows(parse_xml(t)))
+    """(path, pos, page, line, text, page_index, problem); an unreadable file has one row with its problem."""
+    schema = "path string, pos long, page string, line double, text string, page_index double, problem string"
+    return _mapped(files, schema, lambda t: xml_rows(parse_xml(t)))
 
 
 def read_xml_tokens(files: DataFrame) -> DataFrame:

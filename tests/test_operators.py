@@ -171,7 +171,7 @@ def test_readers(spark, tmp_path):
 
 def test_trees():
     root = trees.parse_xml('<TEI><text><pb n="5"/><s>Old <tok>church</tok> <tok>here</tok></s><pb/><s>New</s></text></TEI>')
-    assert [(p, t) for p, _, t in trees.xml_rows(root)] == [("5", "Old church here"), ("6", "New")]
+    assert [(p, t) for p, _, t, _ in trees.xml_rows(root)] == [("5", "Old church here"), ("6", "New")]
     with pytest.raises(ValueError, match="refused"):
         trees.parse_xml('<!DOCTYPE a [<!ENTITY x "y">]><a>&x;</a>')
     flat = list(trees.flatten_tree({"id": 1, "cz": "a", "children": [{"id": 2, "cs": "b", "children": [{"id": 3, "cs": "c"}, {"id": 2, "cs": "again"}]}]}))
