@@ -5,7 +5,7 @@ after another character, no piece crosses the start of a marker run, and pieces
 So each distinct marked word of the corpus is segmented once and its ids are joined back by position:
 
 1. A pass over the texts (Arrow) names the distinct chunks of each block of ``BLOCK_BYTES`` of text, dealt into parts of the
-   table by a checksum of the chunk: rows (part, block, chunks).
+   table by a checksum of the chunk: rows (part, block, chunks), the chunks in order and compressed.
 2. An exchange by part brings all requests for a chunk to one task, which segments it once and answers every block.
 3. An exchange by block sorts the answers into slots, files of some blocks with small row groups in the shared folder.
 4. A second pass cuts the texts into the same blocks, reads each block's answers and joins them by position. A block is known
@@ -39,7 +39,7 @@ from archivolt.llm.chunks import distinct_chunks
 
 MARK = "▁"
 #: Bytes of text in a block, within which each distinct chunk is asked for once.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 16_000_000
 #: Times the session's shuffle partitions: into so many parts the table of distinct chunks is dealt.
 PARTS_PER_PARTITION = 4
 #: Shuffle partitions for each slot of answers, and the bytes of a slot's row groups.
@@ -87,6 +87,24 @@ def mark_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out, starts, np.concatenate(([0], np.searchsorted(starts, ends)))
 
 
+def packed(values: list[bytes]) -> bytes:
+    """Byte strings in one compressed block: their lengths, then all of them."""
+    import zstandard
+
+    sizes = np.array([len(v) for v in values], "<u4")
+    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(values))
+
+
+def unpacked(block: bytes, n: int) -> list[bytes]:
+    """The ``n`` byte strings of a block."""
+    import zstandard
+
+    data = zstandard.ZstdDecompressor().decompress(block)
+    ends = 4 * n + np.concatenate(([0], np.cumsum(np.frombuffer(data, "<u4", n), dtype=np.int64)))
+    ends = ends.tolist()
+    return [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 class PieceCodec:
     """Encodes and decodes chunks; made once in each worker."""
 
@@ -96,15 +114,22 @@ class PieceCodec:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         check_model(self.sp)
         self.lone = [self.sp.piece_to_id(MARK)]
+        self.width = "<u2" if self.sp.get_piece_size() <= 1 << 16 else "<u4"
 
-    def encode(self, chunks: list[bytes]) -> tuple[list[bytes], list[bytes | None]]:
-        """Of each chunk: its ids as decimals with commas, and its decoded bytes with the first marker, None if that is the
-        chunk itself."""
+    def encode(self, chunks: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """Of each chunk: its ids as bytes, and its decoded bytes with the first marker, empty if that is the chunk itself."""
         texts = [(c[1:] if c[0] == 32 else c[3:]).decode() for c in chunks]
         ids = [i if t else self.lone for t, i in zip(texts, self.sp.encode(texts, num_threads=1), strict=True)]
         plain = (b" " + p.encode() for p in self.sp.decode(ids, num_threads=1))
-        decimals = [(",".join(map(str, i)) + ",").encode() for i in ids]
-        return decimals, [None if c == d else d for c, d in zip(chunks, plain, strict=True)]
+        return [np.array(i, self.width).tobytes() for i in ids], [b"" if c == d else d for c, d in zip(chunks, plain, strict=True)]
+
+    def decimals(self, ids: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        """Of each chunk: how many ids it has, and these as decimals with commas."""
+        flat = np.frombuffer(b"".join(ids), self.width)
+        counts = np.array([len(i) for i in ids], np.int64) // np.dtype(self.width).itemsize
+        text = [f"{i}," for i in flat.tolist()]
+        ends = np.concatenate(([0], np.cumsum(counts))).tolist()
+        return counts, ["".join(text[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _CODECS: dict[str, PieceCodec] = {}
@@ -122,33 +147,40 @@ class Block:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, parts: int):
         out, starts, self.bounds = mark_chunks(data, offsets)
         self.chunks, self.at = distinct_chunks(out, starts)
-        part = np.array([zlib.crc32(c) for c in self.chunks], np.int64) % parts
-        self.order = np.argsort(part, kind="stable")
-        self.parts, self.first = np.unique(part[self.order], return_index=True)
-        sizes = np.array([len(c) for c in self.chunks], np.int64)
-        self.key = hashlib.blake2b(sizes.tobytes() + b"".join(self.chunks), digest_size=16).hexdigest()
+        part = [zlib.crc32(c) % parts for c in self.chunks]
+        self.order = [i for _, _, i in sorted(zip(part, self.chunks, range(len(part)), strict=True))]
+        self.parts, self.first = np.unique(np.array([part[i] for i in self.order], np.int64), return_index=True)
+        digest = hashlib.blake2b(digest_size=16)
+        for c in (self.chunks[i] for i in self.order):
+            digest.update(len(c).to_bytes(4, "little") + c)
+        self.key = digest.hexdigest()
 
     def requests(self) -> Iterator[tuple[int, list[bytes]]]:
-        """The chunks of each part, in the block's order."""
-        for part, own in zip(self.parts.tolist(), np.split(self.order, self.first[1:]), strict=True):
-            yield part, [self.chunks[i] for i in own.tolist()]
+        """The chunks of each part, in order."""
+        ends = [*self.first[1:].tolist(), len(self.order)]
+        for part, a, b in zip(self.parts.tolist(), self.first.tolist(), ends, strict=True):
+            yield part, [self.chunks[i] for i in self.order[a:b]]
 
-    def placed(self, answers: pa.Table) -> tuple[list[bytes], list[bytes | None]] | None:
+    def placed(self, answers: pa.Table) -> tuple[list[bytes], list[bytes]] | None:
         """The answers to all requests, by chunk; None unless they are complete."""
         answers = answers.sort_by("part")
         part = answers["part"].to_numpy()
         if len(part) > len(self.parts):  # equal blocks have equal answers
             answers = answers.take(pa.array(np.unique(part, return_index=True)[1]))
-        decimals, plain = (answers[c].combine_chunks().flatten().to_pylist() for c in ("decimals", "plain"))
-        if answers["part"].to_pylist() != self.parts.tolist() or len(decimals) != len(self.chunks):
+        if answers["part"].to_pylist() != self.parts.tolist() or sum(answers["n"].to_pylist()) != len(self.chunks):
             return None
-        back = np.empty(len(self.order), np.int64)
-        back[self.order] = np.arange(len(self.order))
-        return [decimals[i] for i in back.tolist()], [plain[i] for i in back.tolist()]
+        found = []
+        for column in ("ids", "plain"):
+            own: list[bytes] = [b""] * len(self.chunks)
+            values = (v for block, n in zip(answers[column].to_pylist(), answers["n"].to_pylist(), strict=True) for v in unpacked(block, n))
+            for i, v in zip(self.order, values, strict=True):
+                own[i] = v
+            found.append(own)
+        return found[0], found[1]
 
 
-_REQUEST = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.StringType()), T.StructField("chunks", T.ArrayType(T.BinaryType()))])
-_ANSWER = "part int, block string, decimals array<binary>, plain array<binary>"
+_REQUEST = "part int, block string, n int, chunks binary"
+_ANSWER = "part int, block string, n int, ids binary, plain binary"
 
 
 def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, slots: int, path: str) -> None:
@@ -159,25 +191,28 @@ def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, slots:
             data, off = text_bytes(batch.column(0))
             for a, b in steps(off, BLOCK_BYTES):
                 block = Block(data, off[a : b + 1], parts)
-                rows = list(block.requests())
-                own = {"part": pa.array([p for p, _ in rows], pa.int32()), "block": pa.array([block.key] * len(rows), pa.string())}
-                yield pa.RecordBatch.from_pydict(own | {"chunks": pa.array([c for _, c in rows], pa.list_(pa.binary()))})
+                rows = [(part, len(own), packed(own)) for part, own in block.requests()]
+                columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))]
+                key = pa.array([block.key] * len(rows), pa.string())
+                del block, rows
+                yield pa.RecordBatch.from_arrays([columns[0], key, *columns[1:]], names=["part", "block", "n", "chunks"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, now, known = _codec(model_path), -1, {}
         for batch in batches:
-            decimals, plain = [], []
-            for part, chunks in zip(batch.column("part").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
+            ids, plain = [], []
+            for part, n, chunks in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "chunks")), strict=True):
                 if part != now:
                     now, known = part, {}
-                new = [c for c in chunks if c not in known]
+                own = unpacked(chunks, n)
+                new = [c for c in own if c not in known]
                 if new:
                     known.update(zip(new, zip(*codec.encode(new), strict=True), strict=True))
-                found = [known[c] for c in chunks]
-                decimals.append([d for d, _ in found])
-                plain.append([p for _, p in found])
-            own = [pa.array(x, pa.list_(pa.binary())) for x in (decimals, plain)]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("block"), *own], names=["part", "block", "decimals", "plain"])
+                found = [known[c] for c in own]
+                ids.append(packed([i for i, _ in found]))
+                plain.append(packed([p for _, p in found]))
+            own = [*(batch.column(c) for c in ("part", "block", "n")), pa.array(ids, pa.binary()), pa.array(plain, pa.binary())]
+            yield pa.RecordBatch.from_arrays(own, names=["part", "block", "n", "ids", "plain"])
         trim_memory()
 
     asked = docs.select(text_col).mapInArrow(request, _REQUEST)
@@ -202,7 +237,7 @@ def _read_block(path: str, slots: int, key: str) -> pa.Table | None:
                 s = table.metadata.row_group(k).column(at).statistics
                 if s is None or not s.has_min_max or s.min <= key <= s.max:
                     kept.append(k)
-            rows = table.read_row_groups(kept, ["part", "block", "decimals", "plain"]) if kept else None
+            rows = table.read_row_groups(kept, ["part", "block", "n", "ids", "plain"]) if kept else None
             if rows is not None:
                 found.append(rows.filter(pc.equal(rows["block"], key)))
     return pa.concat_tables(found) if any(map(len, found)) else None
@@ -235,16 +270,18 @@ def encode_decode(
                 block = Block(data, off[a : b + 1], parts)
                 answers = _read_block(path, slots, block.key)
                 found = block.placed(answers) if answers is not None else None
-                decimals, plain = found or _codec(model_path).encode(block.chunks)
-                plain = [c if p is None else p for c, p in zip(block.chunks, plain, strict=True)]
-                counts = np.array([d.count(b",") for d in decimals], np.int64)
+                codec = _codec(model_path)
+                ids, plain = found or codec.encode(block.chunks)
+                plain = [p or c for c, p in zip(block.chunks, plain, strict=True)]
+                counts, decimals = codec.decimals(ids)
                 total = np.concatenate(([0], np.cumsum(counts[block.at]))) if len(block.at) else np.zeros(1, np.int64)
                 rows = []
                 for x, y in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True):
                     own = block.at[x:y].tolist()
-                    ids, text = b"".join([decimals[i] for i in own])[:-1], b"".join([plain[i] for i in own])[1:]
-                    row = [int(total[y] - total[x]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()]
-                    row += [np.fromstring(ids.decode(), np.int32, sep=",") if ids else np.zeros(0, np.int32)] * with_ids + [text.decode()] * with_text
+                    text = b"".join([plain[i] for i in own])[1:]
+                    said = "".join([decimals[i] for i in own])[:-1]
+                    row = [int(total[y] - total[x]), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(text).hexdigest()]
+                    row += [np.frombuffer(b"".join([ids[i] for i in own]), codec.width).astype(np.int32)] * with_ids + [text.decode()] * with_text
                     rows.append(row)
                 got = [pa.array(x, pa.list_(pa.int32()) if n == "ids" else None) for (n, _), x in zip(results, zip(*rows, strict=True), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name)[a:b] for f in fields), *got], names=schema.names)

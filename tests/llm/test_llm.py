@@ -232,6 +232,20 @@ def test_piece_codec_equals_the_library(spark):
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
 
 
+def test_pieces_do_not_depend_on_blocks_or_answers(spark, monkeypatch):
+    model = tokenizer_path("piece_bpe_32k.model")
+    texts = [*ODD, *(" ".join(words(300, i, 4000)) for i in range(30)), "x" * 200_000, "▁" * 500 + " a", *ODD]
+    df = frame(spark, texts).withColumn("n_tokens", F.lit("clash")).repartition(3)
+    want = sorted(tuple(r) for r in piece_codec.encode_decode(df, model, carry=["doc_id", "n_tokens"]).collect())
+    assert len(want) == len(texts)
+    monkeypatch.setattr(piece_codec, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(piece_codec, "PARTITIONS_PER_SLOT", 1)
+    assert sorted(tuple(r) for r in piece_codec.encode_decode(df, model, carry=["doc_id"]).collect()) == want
+    monkeypatch.setattr(piece_codec, "_answers", lambda *a: None)  # lost answers: segmented on the spot
+    assert sorted(tuple(r) for r in piece_codec.encode_decode(df, model, carry=["doc_id"]).collect()) == want
+    assert piece_codec.unpacked(piece_codec.packed([b"", b"ab", b"c"]), 3) == [b"", b"ab", b"c"]
+
+
 def test_chunk_table_starts_anew_beyond_its_bound():
     calls = []
     table = chunks.ChunkTable(lambda new: [calls.append(c) or (c.upper(),) for c in new], 1, limit=4)
