@@ -301,7 +301,7 @@ def _sensitive_terms(docs: DataFrame, id_col: str, text_col: str, window: int, g
     action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
     strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
     held = terms.where("term = 0").select("id", "th", "entity").distinct()
-    hits = terms.where("entity is null").select("id", "th", "term").distinct().join(strongest, "term")
+    hits = terms.where("entity is null").select("id", "th", "term").join(strongest, "term")  # repeated rows meet below
     same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.entity") == F.col("h.entity"))
     hits = hits.alias("o").join(held.alias("h"), same, "left_semi").groupBy("id", "th", "term").agg(F.max("k").alias("k"))
     lists = hits.groupBy("id", "th").agg(F.collect_list(F.struct(F.col("term").alias("h"), "k")).alias("terms"))
