@@ -67,10 +67,11 @@ def break_cycles(edges: DataFrame) -> DataFrame:
 
 def ancestors_of(nodes: DataFrame, edges: DataFrame, marked: DataFrame | None = None) -> DataFrame:
     """(id, root, level, hit): the topmost ancestor of every node, how far up it is, and whether the node or any ancestor is
-    among ``marked`` (id). Raises on a cycle.
+    among ``marked`` (id). A node whose parent is no node is a root. Raises on a cycle.
     """
     known = nodes.select("id").distinct()
-    up = known.join(edges.select(F.col("child").alias("id"), F.col("parent")), "id", "left")
+    inner = edges.select(F.col("child").alias("id"), "parent").join(known.select(F.col("id").alias("parent")), "parent", "left_semi")
+    up = known.join(inner, "id", "left")
     hit = F.lit(False)
     if marked is not None:
         up = up.join(marked.select("id", F.lit(True).alias("__m")).distinct(), "id", "left")
@@ -83,7 +84,7 @@ def ancestors_of(nodes: DataFrame, edges: DataFrame, marked: DataFrame | None =
         after = both.select("id", F.col("__top").alias("root"), (F.col("level") + F.col("__more")).alias("level"), (F.col("hit") | F.col("__hit")).alias("hit"))
         moved = both.where("__top <> root").count()
         if not moved:
-            return up
+            return after
         if steps > 2 * most:
             raise ValueError("the edges have a cycle")
         up, steps = _cut(after), 2 * steps

@@ -166,3 +166,70 @@ def controlled_values(frames: dict[str, DataFrame]) -> DataFrame:
         part = df.select(F.lit(scheme).alias("scheme"), F.col(df.columns[0]).cast("string").alias("value"))
         out = part if out is None else out.union(part)
     return out.where("value is not null").distinct()
+
+
+def project_results(results: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Results as items of their records: a page is text, a line stays only if it is 1 or more and, where the record's lines
+    are given, names one of them; items with a page get a citation.
+
+    ``results``: doc_id, page, line (integer or null) and further fields. ``lines``: doc_id, page, line.
+    """
+    fit = F.when(F.col("line") >= 1, F.col("line"))
+    out = results.withColumns({"page": F.col("page").cast("string"), "line": fit})
+    if lines is not None:
+        known = lines.where("line is not null").select("doc_id", *_keys(lines, ["page", "line"])).distinct().withColumn("__hit", F.lit(True))
+        out = out.select("*", *_keys(out, ["page", "line"])).join(known, ["doc_id", "__k0", "__k1"], "left")
+        out = out.withColumn("line", F.when(F.col("__hit"), F.col("line"))).drop("__hit", "__k0", "__k1")
+    cited = F.when(F.col("page").isNotNull(), F.concat(F.lit("[Source: "), F.col("doc_id").cast("string"), F.lit(", Page "), "page", F.lit("]")))
+    return out.withColumn("citation", cited).select(*results.columns, "citation")
+
+
+#: The run log's current version, and the status of a run that ended.
+LOG_MAJOR, COMPLETED = 3, "completed"
+
+
+def migrated_logs(logs: DataFrame) -> DataFrame:
+    """Run logs of any older version in the current one; a newer one raises.
+
+    ``logs``: schema_version and, as versions have them, statistics (1: processed, skipped), processed, skipped, license,
+    components, limits_applied, limits, action_status. Version 1 kept its counts in a structure; version 2 kept a calculated
+    licence, which goes, and limits under another name, and was written by runs that had ended.
+    """
+    major = F.coalesce(F.split_part("schema_version", F.lit("."), F.lit(1)).try_cast("int"), F.lit(1))
+    checked = F.when(major > LOG_MAJOR, F.raise_error(F.concat(F.lit("newer version "), "schema_version")).cast("int")).otherwise(major)
+    first = F.col("__v") < 2
+    old = F.col("__v") < LOG_MAJOR
+    out = logs.withColumn("__v", checked).withColumns(
+        {
+            "processed": F.when(first, F.coalesce("processed", "statistics.processed")).otherwise(F.col("processed")),
+            "skipped": F.when(first, F.coalesce("skipped", "statistics.skipped")).otherwise(F.col("skipped")),
+            "components": F.when(old, F.coalesce("components", F.array().cast("array<string>"))).otherwise(F.col("components")),
+            "limits": F.when(old, F.coalesce("limits", "limits_applied", F.array().cast("array<string>"))).otherwise(F.col("limits")),
+            "action_status": F.when(old, F.coalesce("action_status", F.lit(COMPLETED))).otherwise(F.col("action_status")),
+            "schema_version": F.when(old, F.lit(f"{LOG_MAJOR}.0")).otherwise(F.col("schema_version")),
+        }
+    )
+    return out.drop("__v", "statistics", "license", "limits_applied")
+
+
+def run_counters(inputs: DataFrame, key: str = "run") -> DataFrame:
+    """One row for each run: inputs, processed, skipped, outputs by type, skip reasons by frequency, limit notes, seconds.
+
+    ``inputs``: run, status ("processed", "skipped"), output_type, reason, limited (boolean), started, ended (timestamps).
+    """
+    ok = F.col("status") == "processed"
+    base = inputs.groupBy(key).agg(
+        F.count(F.lit(1)).alias("inputs"),
+        F.count_if(ok).alias("processed"),
+        F.count_if(~ok).alias("skipped"),
+        F.count_if(F.coalesce("limited", F.lit(False))).alias("limited"),
+        (F.unix_seconds(F.max("ended").cast("timestamp")) - F.unix_seconds(F.min("started").cast("timestamp"))).alias("seconds"),
+    )
+
+    def listed(rows: DataFrame, value: str, name: str) -> DataFrame:
+        counted = rows.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+        parts = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(value).alias("v")))), lambda x: F.concat_ws(" ", x["v"], (-x["o"]).cast("string")))
+        return counted.groupBy(key).agg(F.array_join(parts, "; ").alias(name))
+
+    out = base.join(listed(inputs.where(ok), "output_type", "outputs"), key, "left").join(listed(inputs.where(~ok), "reason", "reasons"), key, "left")
+    return out.fillna("", ["outputs", "reasons"])

@@ -210,3 +210,32 @@ def subbranch_impact(records: DataFrame, excluded_roots: DataFrame) -> DataFrame
     under = under.join(excluded_roots.select("root"), "root", "left_semi")
     usable = F.count_distinct(F.when(F.col("en").isNotNull(), F.lower("cs")))
     return under.groupBy("root", "child").agg(F.count(F.lit(1)).alias("term_count"), usable.alias("usable_count"), samples(F.col("cs")).alias("sample_terms"))
+
+
+def audit_links(audit: DataFrame, nested: DataFrame) -> DataFrame:
+    """The audit's rows with ``same_as_count``, the links of the term that each describes (``nested``: theme, cs, same_as)."""
+    counted = nested.groupBy("theme", "cs").agg(F.max(F.greatest(F.size("same_as"), F.lit(0))).alias("same_as_count"))
+    return audit.join(counted, ["theme", "cs"], "left").select(*audit.columns, F.coalesce("same_as_count", F.lit(0)).alias("same_as_count"))
+
+
+def covered_targets(covers: DataFrame, terms: DataFrame, schemes: DataFrame) -> DataFrame:
+    """(kind, theme, name): groups and terms that a list of rules covers.
+
+    ``covers``: rule. ``terms``: theme, sub, cs, ids (source, id). ``schemes``: id, scheme of the listed source's records. A
+    rule "heslar:x" covers the groups with a term whose listed id has the scheme x; "teater:i" the terms with that id.
+    """
+    rules = covers.select(F.split_part("rule", F.lit(":"), F.lit(1)).alias("kind"), F.regexp_replace("rule", "^[^:]*:", "").alias("ident")).distinct()
+    ids = terms.select("theme", "sub", "cs", F.explode("ids").alias("x")).select("theme", "sub", "cs", F.col("x.source").alias("source"), F.col("x.id").alias("id"))
+    listed = ids.where("source = 'amcr'").join(schemes, "id").select("theme", "sub", F.col("scheme").alias("ident"))
+    groups = listed.join(rules.where("kind = 'heslar'"), "ident", "left_semi").select(F.lit("group").alias("kind"), "theme", F.col("sub").alias("name"))
+    single = ids.where("source = 'teater'").select("theme", "cs", F.col("id").alias("ident")).join(rules.where("kind = 'teater'"), "ident", "left_semi")
+    return groups.union(single.select(F.lit("term"), "theme", "cs")).distinct()
+
+
+def link_report(links: DataFrame, extra: DataFrame, suppress: DataFrame) -> DataFrame:
+    """(a, b, status): every unordered pair of labels once: auto, suppressed, or manual where no rule found it."""
+    pair = lambda df, x, y: df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a <> b").distinct()
+    auto = pair(links, "cs", "part_cs")
+    status = F.when(F.col("__s"), "suppressed").otherwise("auto")
+    found = auto.join(pair(suppress, "a", "b").withColumn("__s", F.lit(True)), ["a", "b"], "left").select("a", "b", status.alias("status"))
+    return found.union(pair(extra, "a", "b").join(auto, ["a", "b"], "left_anti").select("a", "b", F.lit("manual")))

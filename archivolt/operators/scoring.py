@@ -189,3 +189,17 @@ def answer_problem(options: Column, probabilities: Column, choice: Column, slack
         .when(picked.isNull(), "choice")
         .when(picked < F.array_max(values) - slack, "not_most_probable")
     )
+
+
+def score_runs(picks: DataFrame, expected: DataFrame, meta: str, unreadable: DataFrame, gold: DataFrame | None = None, watch: Sequence[str] = WATCH) -> dict[str, DataFrame]:
+    """All tables of a scoring run: runs, agreement, before_after, forced, and unreadable (run, file). Lazy, from the same picks."""
+    runs = run_metrics(picks, expected, meta, gold, watch)
+    agreement = run_agreement(picks, meta)
+    compared = [c for c in runs.columns if c not in ("run", "expected", "gold_lines", "gold_exact", "gold_accuracy")]
+    return {
+        "runs": runs,
+        "agreement": agreement,
+        "before_after": before_after(runs, picks, agreement, compared),
+        "forced": forced_picks(picks, meta, watch),
+        "unreadable": unreadable.select("run", "file").distinct().orderBy("run", "file"),
+    }

@@ -115,3 +115,80 @@ def rendered_terms(terms: DataFrame, grouping: str = "facet") -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("pos", shown.alias("t"))))
     by = terms.groupBy(title.alias("title")).agg(F.min("pos").alias("first"), F.array_join(F.transform(ordered, lambda x: x["t"]), "; ").alias("block"))
     return by.orderBy("first").select("title", "block")
+
+
+#: Namespace of the label vocabulary.
+SKOS = "http://www.w3.org/2004/02/skos/core#"
+
+
+def registry_triples(schemes: DataFrame, concepts: DataFrame, collections: DataFrame, mappings: DataFrame, base: str) -> DataFrame:
+    """(s, p, kind, o, lang) of a registry of labels, distinct and in a total order; every rendering is made from these alone.
+
+    ``schemes``: scheme, title, description, authority, origin (a URI or null). ``concepts``: scheme, notation, labels and
+    definitions (maps by language), originator. ``collections``: scheme, name, label, members. ``mappings``: s, p, o.
+    """
+    scheme = lambda: F.concat(F.lit(base), F.col("scheme"))
+    uri = lambda c: F.concat(F.lit(base), F.col("scheme"), F.lit("/"), c)
+    null = F.lit(None).cast("string")
+
+    def part(df: DataFrame, s: Column, p: str, kind: str, o: Column, lang: Column = null) -> DataFrame:
+        return df.select(s.alias("s"), F.lit(p).alias("p"), F.lit(kind).alias("kind"), o.cast("string").alias("o"), lang.alias("lang"))
+
+    en = F.lit("en")
+    concept = uri(F.col("notation"))
+    named = concepts.select("scheme", "notation", F.explode("labels").alias("lang", "text"))
+    defined = concepts.select("scheme", "notation", F.explode("definitions").alias("lang", "text"))
+    own = F.concat(F.lit(base), F.col("scheme"), F.lit("/collection/"), F.col("name"))
+    parts = [
+        part(schemes, scheme(), "rdf:type", "uri", F.lit(SKOS + "ConceptScheme")),
+        part(schemes, scheme(), "dct:title", "lit", F.col("title"), en),
+        part(schemes, scheme(), "dct:description", "lit", F.col("description"), en),
+        part(schemes, scheme(), "dct:source", "uri", F.col("origin")),
+        part(schemes, scheme(), "rdfs:comment", "lit", F.concat(F.lit("authority: "), "authority"), en),
+        part(concepts, concept, "rdf:type", "uri", F.lit(SKOS + "Concept")),
+        part(concepts, concept, "skos:inScheme", "uri", scheme()),
+        part(concepts, concept, "skos:notation", "lit", F.col("notation")),
+        part(concepts, concept, "rdfs:comment", "lit", F.concat(F.lit("emitted by: "), "originator"), en),
+        part(named, concept, "skos:prefLabel", "lit", F.col("text"), F.col("lang")),
+        part(defined, concept, "skos:definition", "lit", F.col("text"), F.col("lang")),
+        part(collections, own, "rdf:type", "uri", F.lit(SKOS + "Collection")),
+        part(collections, own, "skos:prefLabel", "lit", F.col("label"), en),
+        part(collections.select("scheme", "name", F.explode("members").alias("m")), own, "skos:member", "uri", uri(F.col("m"))),
+        mappings.select("s", "p", F.lit("uri").alias("kind"), "o", null.alias("lang")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.where(F.coalesce("o", F.lit("")) != "").distinct().orderBy("s", "p", "o", "lang")
+
+
+def template_blocks(blocks: DataFrame, flags: DataFrame, anchor: str) -> DataFrame:
+    """(place, name, part, text): the blocks of a template that a configuration renders, before and after the vocabulary.
+
+    ``blocks``: place, name, text, required, flag, value (the flag's value that shows the block; null for any true one).
+    ``flags``: flag, value. A block that is neither required nor has a flag raises, and so does a template without its anchor.
+    """
+    given = flags.select("flag", F.lower(F.trim("value")).alias("__g"))
+    lost = F.when(~F.col("required") & F.col("flag").isNull(), F.raise_error(F.concat(F.lit("no flag for block "), "name")).cast("boolean")).otherwise(F.lit(True))
+    chosen = F.col("required") | F.when(F.col("value").isNotNull(), F.col("__g") == F.lower("value")).otherwise(F.col("__g").isin("1", "true", "yes", "on"))
+    shown = blocks.join(given, "flag", "left").where(lost & F.coalesce(chosen, F.lit(False)))
+    at = shown.where(F.col("name") == anchor).select("place").first()
+    if at is None:
+        raise ValueError(f"the template must render the block {anchor}")
+    return shown.select("place", "name", F.when(F.col("place") <= at[0], "preamble").otherwise("footer").alias("part"), "text").orderBy("place")
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Writes a Parquet table beside ``path`` and renames it into place, so that readers see the old one or the new one."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path  # noqa: N806
+    own, now, old = Path(path), Path(f"{path}.writing"), Path(f"{path}.replaced")
+    fs = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").parquet(now.toString())
+    fs.delete(old, True)
+    if fs.exists(own) and not fs.rename(own, old):
+        raise OSError(f"{path} can't be replaced")
+    if not fs.rename(now, own):
+        raise OSError(f"{path} can't be written")
+    fs.delete(old, True)

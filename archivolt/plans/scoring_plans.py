@@ -106,7 +106,7 @@ def mcnemar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact test of the discordant labels."""
     a, b = F.col("quality") == 1, F.col("toxic") == 1
     counts = _judged(spark, sf_dir).agg(F.count_if(a & ~b).alias("b"), F.count_if(~a & b).alias("c"))
-    return counts.select("b", "c", S.mcnemar_exact("b", "c").alias("p"))
+    return counts.select("b", "c", F.round(S.mcnemar_exact("b", "c"), 6).alias("p"))
 
 
 def answer_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ def answer_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders patched by what their line items sum to."""
     base = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.lit(None).cast("long").alias("n_lines"), F.col("o_orderkey").alias("pos"))
-    li = _t(spark, sf_dir, "lineitem").where("l_quantity > 30").groupBy((F.col("l_orderkey") * 3).alias("o_orderkey"))
+    li = _t(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") * 3).alias("o_orderkey"))
     patch = li.agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_linestatus").alias("o_orderstatus")).withColumn("pos", F.col("o_orderkey"))
     return records.upsert(base, patch, ["o_orderkey"], ["n_lines"]).select("o_orderkey", "o_orderstatus", "n_lines")
 
@@ -253,7 +253,7 @@ c AS (SELECT *, CASE WHEN k = 2 THEN NULL WHEN q > 25 THEN pa ELSE pb END AS pic
 SELECT CASE WHEN k = 4 THEN 'keys' WHEN NOT (pa BETWEEN 0 AND 1 AND pb BETWEEN 0 AND 1) THEN 'range' WHEN abs(pa + pb - 1) > 0.001 + 2 * 0.00005 THEN 'sum'
   WHEN picked IS NULL THEN 'choice' WHEN picked < greatest(pa, pb) - 0.001 THEN 'not_most_probable' ELSE 'ok' END AS problem, count(*) AS n FROM c GROUP BY ALL""",
     "record_upsert": """
-WITH pt AS (SELECT l_orderkey * 3 AS o_orderkey, count(*) AS n_lines FROM lineitem WHERE l_quantity > 30 GROUP BY ALL)
+WITH pt AS (SELECT l_orderkey * 3 AS o_orderkey, count(*) AS n_lines FROM lineitem GROUP BY ALL)
 SELECT coalesce(o.o_orderkey, pt.o_orderkey) AS o_orderkey, o.o_orderstatus, pt.n_lines FROM orders o FULL JOIN pt ON o.o_orderkey = pt.o_orderkey""",
     "line_integrity": """
 SELECT l_orderkey % 50 AS doc_id, count(*) AS n FROM lineitem l WHERE l_orderkey % 50 IN (SELECT o_orderkey % 50 FROM orders) AND NOT EXISTS (
@@ -280,6 +280,10 @@ SELECT user_id, count(*) AS processed, count(*) FILTER (event_type = 'view') AS
   arg_min(event_type || ':' || event_id, {'t': ts, 's': event_type || ':' || event_id}) AS first_stage, arg_max(event_type || ':' || event_id, {'t': ts, 's': event_type || ':' || event_id}) AS last_stage,
   bool_or(event_type = 'error') AS any_failed FROM events GROUP BY user_id""",
     "controlled_values": "SELECT DISTINCT 'lang' AS scheme, lang AS value FROM documents UNION SELECT 'role', role FROM conversations UNION SELECT 'type', p_type FROM part",
+    "mcnemar": """
+WITH j AS (SELECT count(*) FILTER (quality = 1 AND toxic <> 1) AS b, count(*) FILTER (quality <> 1 AND toxic = 1) AS c FROM labels JOIN documents USING (doc_id)),
+t AS (SELECT b, c, b + c AS n, unnest(range(0, least(b, c) + 1)) AS i FROM j)
+SELECT b, c, round(least(1.0::DOUBLE, 2 * sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2)))), 6) AS p FROM t GROUP BY b, c""",
     "outcomes": """
 SELECT user_id, CASE WHEN count(*) FILTER (value > 95) > 0 THEN 'failed' WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 'contributed'
   WHEN count(*) FILTER (value > 60) > 0 THEN 'empty' ELSE 'not_asked' END AS outcome FROM events GROUP BY user_id""",

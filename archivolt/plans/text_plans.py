@@ -56,7 +56,8 @@ def word_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_score_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best share of each word over a document's chunks, then the top five."""
-    df = _t(spark, sf_dir, "documents").select("doc_id", S.words_of(F.lower("text")).alias("w"))
+    df = _t(spark, sf_dir, "documents").repartition("doc_id")  # the one exchange: all that follows is within a document
+    df = df.select("doc_id", S.words_of(F.lower("text")).alias("w"))
     chunks = df.select("doc_id", F.posexplode(K.word_chunks(F.col("w"))).alias("chunk_no", "c"))
     words = chunks.select("doc_id", "chunk_no", F.size("c").alias("n"), F.explode("c").alias("word")).where(F.length("word") > 3)
     scored = words.groupBy("doc_id", "chunk_no", "word").agg((F.count(F.lit(1)) / F.first("n")).alias("score"))
@@ -92,8 +93,8 @@ def normalised_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def czech_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct first words in Czech order."""
-    words = _t(spark, sf_dir, "documents").select(F.substring_index(F.trim("text"), " ", 1).alias("label")).distinct()
+    """Distinct words of whole texts in Czech order, by initial."""
+    words = _t(spark, sf_dir, "documents").select(F.explode(F.split(F.trim("text"), r"\s+")).alias("label")).distinct().where("label <> ''")
     from pyspark.sql import Window
 
     keyed = words.withColumn("key", S.czech_key("label")).withColumn("initial", F.lower(F.substring("label", 1, 1)))
@@ -126,7 +127,8 @@ def stub_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checked replies of the deterministic stand-in."""
     reply = enrich.stub_reply(F.coalesce("text", F.lit("")))
     schema = "extracted_keywords_cs array<string>, category string, confidence_score double"
-    return _turns(spark, sf_dir).select("doc_id", "pos", enrich.checked_reply(reply, schema).alias("r")).select("doc_id", "pos", F.col("r.confidence_score").between(0, 1).alias("in_range"))
+    read = _turns(spark, sf_dir).select("doc_id", "pos", enrich.checked_reply(reply, schema).alias("r"))
+    return read.select("doc_id", "pos", F.array_join("r.extracted_keywords_cs", ",").alias("keywords"), "r.category", "r.confidence_score")
 
 
 def abort_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +216,18 @@ WITH r AS (SELECT user_id AS doc_id, event_id AS pos, event_type = 'error' AS fa
 c AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS k FROM r WHERE failed)
 SELECT doc_id, min(pos) AS abort_pos FROM c WHERE k = 2 GROUP BY doc_id""",
     "json_fields": "SELECT event_id, greatest(0.0::DOUBLE, least(50.0::DOUBLE, try_cast(json_extract_string(props, '$.k') AS DOUBLE))) AS k FROM events",
-    "stub_replies": "SELECT conv_id AS doc_id, turn AS pos, true AS in_range FROM conversations",
+    "stub_replies": """
+WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations),
+w AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(t), '\\W+'), lambda x: length(x) > 3) AS w, sha256(t) AS h FROM t)
+SELECT conv_id AS doc_id, turn AS pos, array_to_string(list_slice(list_filter(w, lambda x, i: list_position(w, x) = i), 1, 3), ',') AS keywords, coalesce(w[1], 'none') AS category,
+  round(CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE + CAST(CAST('0x' || substr(h, 9, 8) AS BIGINT) AS DOUBLE) / 18446744073709551616.0::DOUBLE, 6) AS confidence_score FROM w""",
+    "stub_enrich": """
+WITH r AS (SELECT conv_id AS doc_id, turn AS pos, coalesce(text, '') AS t, contains(coalesce(text, ''), '?') AS failed FROM conversations),
+i AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM r),
+k AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS k FROM i WHERE failed),
+a AS (SELECT doc_id, min(pos) AS stop FROM k WHERE k = 2 GROUP BY doc_id)
+SELECT doc_id, pos, CASE WHEN pos > coalesce(stop, pos) THEN 'unprocessed' WHEN failed THEN 'error' ELSE 'processed' END AS status,
+  CASE WHEN pos > coalesce(stop, pos) THEN NULL WHEN failed THEN 'no answer' ELSE CAST(length(t) AS VARCHAR) END AS reply FROM r LEFT JOIN a USING (doc_id)""",
 }
 
 QUERIES = {

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivolt.functions.scalars import stems
@@ -95,3 +96,34 @@ def exclusion_key(key: Column) -> Column:
         .when(text.rlike("^[0-9]+$"), F.concat(F.lit("teater:"), text))
         .otherwise(F.concat(F.lit("heslar:"), text))
     )
+
+
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """A vocabulary table that was built before; reading never builds or harvests one, so a missing table raises."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        raise FileNotFoundError(f"{path}: build the vocabulary first") from problem
+
+
+def vocabulary_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """(key, value) of the side-car of a vocabulary, ``<path>.meta.json``; values that are no text stay JSON."""
+    text = spark.read.text(f"{path}.meta.json", wholetext=True)
+    return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+
+
+def ordered_terms(terms: DataFrame, withheld: DataFrame, sentinel: str) -> DataFrame:
+    """(pos, theme, cs, ids): the terms that a prompt offers, the sentinel first, each with its own id and those it displaced.
+
+    ``terms``: theme_rank, term_rank, theme, cs, source, source_id, discarded (source, id). ``withheld``: theme, lower case.
+    """
+    shown = terms.join(withheld.select(F.col("theme").alias("__t")).distinct(), F.lower("theme") == F.col("__t"), "left_anti")
+    own = F.when(F.col("source_id").isNotNull(), F.array(F.struct("source", F.col("source_id").alias("id")))).otherwise(F.array().cast("array<struct<source:string,id:string>>"))
+    lost = F.transform("discarded", lambda d: F.struct(d["source"].alias("source"), d["id"].alias("id")))
+    shown = shown.withColumn("ids", F.array_distinct(F.concat(own, F.coalesce(lost, F.array().cast("array<struct<source:string,id:string>>")))))
+    by = Window.partitionBy("theme_rank").orderBy("term_rank", "cs")
+    sizes = shown.groupBy("theme_rank").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("theme_rank", F.coalesce(F.sum("n").over(Window.orderBy("theme_rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rows = shown.withColumn("k", F.row_number().over(by)).join(before, "theme_rank").select((F.col("before") + F.col("k")).cast("int").alias("pos"), "theme", "cs", "ids")
+    first = terms.sparkSession.createDataFrame([(0, None, sentinel, [])], rows.schema)
+    return first.union(rows)

@@ -257,3 +257,22 @@ def read_label_tree(files: DataFrame, children: str = "children") -> DataFrame:
     """(path, pos, id, cs, en, broader, sub, problem) of JSON label trees."""
     schema = "path string, pos long, id string, cs string, en string, broader array<string>, sub string, problem string"
     return _mapped(files, schema, lambda t: flatten_tree(json.loads(t), children))
+
+
+def read_any(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sentences, lemmas) of annotated files of either kind, XML or CoNLL-U: (path, pos, text) and (path, pos, form, lemma).
+
+    An unreadable file has no rows in either; its problem is in ``read_xml_rows``.
+    """
+    from pyspark.sql import functions as F
+
+    from archivolt.sources import text_files
+
+    kind = text_files.input_kind(F.col("path"), F.col("text"))
+    xml, conllu = files.where(kind == "xml"), files.where(kind == "conllu")
+    tokens = text_files.conllu_tokens(conllu.withColumn("path", F.col("path")))
+    ids = conllu.select("path", text_files.doc_id_of(F.col("path")).alias("doc_id"))
+    own = text_files.surface_sentences(tokens).join(ids, "doc_id").select("path", F.col("sent").cast("long").alias("pos"), "text")
+    sentences = read_xml_rows(xml).where("problem is null").select("path", "pos", "text").union(own)
+    words = tokens.join(ids, "doc_id").select("path", F.col("pos").cast("long").alias("pos"), "form", "lemma")
+    return sentences, read_xml_tokens(xml).where("problem is null").select("path", "pos", "form", "lemma").union(words)

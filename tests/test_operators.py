@@ -114,6 +114,78 @@ def test_cycles_are_broken_and_levels_found(spark):
     assert (stats.nodes, stats.roots, stats.deepest, stats.inner_nodes, stats.widest) == (6, 2, 2, 3, 2)
 
 
+@pytest.mark.parametrize("rising", [True, False])
+def test_long_chains_and_cycles(spark, rising):
+    n = 300
+    edges = spark.createDataFrame([(i, i + 1) if rising else (i + 1, i) for i in range(n)], "child long, parent long")
+    assert graph.break_cycles(edges).count() == n
+    nodes = spark.range(n + 1)
+    levels = {r.id: (r.root, r.level) for r in graph.roots_of(nodes, edges).collect()}
+    assert levels == {i: ((n, n - i) if rising else (0, i)) for i in range(n + 1)}
+    below = graph.withheld(nodes, edges, nodes.where("id = 100"))
+    assert {r.id for r in below.collect()} == (set(range(101)) if rising else set(range(100, n + 1)))
+    step = 1 if rising else n - 1
+    ring = spark.createDataFrame([(i, (i + step) % n) for i in range(n)] + [(n + 5, 7)], "child long, parent long")
+    cut = graph.break_cycles(ring)
+    assert cut.count() == n and cut.where("child = 0").count() == 0
+    assert graph.roots_of(spark.range(n), cut.where(f"child < {n}")).where("level >= 0 and root = 0").count() == n
+    with pytest.raises(ValueError, match="cycle"):
+        graph.roots_of(spark.range(n), ring.where(f"child < {n}"))
+
+
+def test_limits_and_notes_refuse(spark):
+    from archivolt.operators import validation
+
+    specs = "`limit` string, env string, legacy string, divisor double, config string, fallback double, least double, zero_is_unlimited boolean"
+    assert one(validation.resolved_limits(spark.createDataFrame([("a", "", "", 1.0, "7", 3.0, 0.0, False)], specs))).value == 7.0
+    for bad in ("x", "-1"):
+        with pytest.raises(Exception, match="invalid limit a"):
+            validation.resolved_limits(spark.createDataFrame([("a", bad, None, 1.0, None, 3.0, 0.0, False)], specs)).collect()
+    over = spark.createDataFrame([("doc", "a", 9.0, 7.0)], "subject string, `limit` string, observed double, value double")
+    with pytest.raises(ValueError, match="over 7"):
+        validation.refuse(over)
+    validation.refuse(over.where("false"))
+    notes = spark.createDataFrame([("a", "sampled"), ("b", "truncated")], "`limit` string, effect string")
+    with pytest.raises(ValueError, match="b: truncated"):
+        validation.failing_notes(notes)
+    validation.failing_notes(notes.where("effect = 'sampled'"))
+    assert one(spark.createDataFrame([("score", ["x", "y"])], "k string, c array<string>").select(validation.options_of(F.col("k"), F.col("c"))))[0] == ["0", "1"]
+
+
+def test_tables_are_replaced_as_a_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    for n in (3, 5):
+        sinks.replace_table(spark.range(n), path)
+        assert spark.read.parquet(path).count() == n
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+    assert R.load_vocabulary(spark, path).count() == 5
+    with pytest.raises(FileNotFoundError, match="build"):
+        R.load_vocabulary(spark, f"file://{tmp_path}/none")
+    (tmp_path / "v.meta.json").write_text('{"terms": 3, "built": "today"}')
+    assert {tuple(r) for r in R.vocabulary_metadata(spark, f"file://{tmp_path}/v").collect()} == {("terms", "3"), ("built", "today")}
+
+
+def test_newer_logs_and_odd_templates_raise(spark):
+    logs = "schema_version string, statistics struct<processed:long,skipped:long>, processed long, skipped long, license string, components array<string>, limits_applied array<string>, limits array<string>, action_status string"
+    with pytest.raises(Exception, match="newer version 4.0"):
+        records.migrated_logs(spark.createDataFrame([("4.0", None, 1, 1, None, None, None, None, None)], logs)).collect()
+    blocks = spark.createDataFrame([(1, "role", "r", True, None, None), (2, "odd", "o", False, None, None)], "place int, name string, text string, required boolean, flag string, value string")
+    flags = spark.createDataFrame([("F", "1")], "flag string, value string")
+    with pytest.raises(Exception, match="no flag for block odd"):
+        sinks.template_blocks(blocks, flags, "role").collect()
+    with pytest.raises(ValueError, match="must render"):
+        sinks.template_blocks(blocks.where("place = 1"), flags, "terms")
+
+
+def test_deep_trees_and_page_breaks():
+    deep = trees.parse_xml("<a>" * 3000 + "<p>x</p>" + "</a>" * 3000)
+    assert [r[2] for r in trees.xml_rows(deep)] == ["x"]
+    root = trees.parse_xml('<TEI><text><s><tok>A</tok> <tok>b</tok></s><lb/><s><tok>c</tok><pb n="iv"/><tok>d</tok></s><pb n="9"/><lb/><s text="E e"/></text></TEI>')
+    assert list(trees.xml_rows(root)) == [("1", 1, "A b", 1), ("1", 2, "c", 1), ("1", 1, "d", 2), ("9", 1, "E e", 3)]
+    blocks = trees.parse_xml("<TEI><teiHeader><p>no</p></teiHeader><text><p>one <l>two</l></p><head>three</head></text></TEI>")
+    assert [r[2] for r in trees.xml_rows(blocks)] == ["two", "three"]
+
+
 def test_parents(spark):
     terms = spark.createDataFrame([(1, "f", [("t", "10")]), (2, "f", [("t", "20"), ("a", "7")]), (3, "f", [("a", "8")])], "pos int, theme string, ids array<struct<source:string,id:string>>")
     near = spark.createDataFrame([("f", "20", "10")], "theme string, id string, ancestor string")
