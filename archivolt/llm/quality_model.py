@@ -4,20 +4,23 @@ The model is over bytes of UTF-8 (order 5, one for each language), so its tables
 the vocabulary, grams are exact 40-bit integers, and no text is out of vocabulary. White space is folded to single spaces
 and digits to 0; a text is preceded by four line ends.
 
-1. Training counts are over all trusted documents: each task counts its grams, one exchange adds them. Lower orders are
-   continuation counts of the order above. Discounts D1, D2, D3+ follow from each order's counts of counts.
+1. Training counts are over all trusted documents but the held-out ones: each task counts its grams, one exchange adds them.
+   Lower orders are continuation counts of the order above. Discounts D1, D2, D3+ follow from each order's counts of counts.
 2. Probabilities are made by joins on (language, context) and (language, suffix), sharded like the counts, and stored with
    back-off weights, so that a gram that was never seen is scored exactly too.
-3. Scoring joins every position with the model. Its rows are sharded by the last two context bytes, which every gram of a
-   position shares, into shards of at most ``SHARD_ROWS`` rows (orders 1 and 2, of bounded size, are in all). One pass over
-   the documents for each shard adds a document's log-probabilities; what is broadcast has that bound, nothing is shuffled
-   but partial sums of documents.
-4. A language's threshold is a quantile of its trusted documents' perplexity, from exact counts in steps of 0.001 of the
-   logarithm; a language without trusted documents takes the quantile over all.
+3. The model is written in shards by the last two context bytes, which every gram of a position shares, each of at most some
+   ``SHARD_ROWS`` rows (orders 1 and 2, of bounded size, are apart and go with all). Scoring is one pass over the documents:
+   a task joins the distinct grams of a batch with one shard after another, read from the shared folder. Nothing of the
+   model is on the driver or broadcast, and nothing is shuffled.
+4. A language's threshold is a quantile of the perplexity of its held-out trusted documents, a share of ``1 / HELD_OUT`` of
+   the texts by hash, so that it isn't measured on what the model has seen; exact counts in steps of 0.001 of the logarithm.
+   A language without held-out documents takes the quantile over all languages; without any, over all trusted documents.
 
 Defined results: null and empty texts have no perplexity and are not kept. A null language is a language of its own. Without
-any trusted document every document with text is kept. Rows that agree in id, language and text share a result; each is
-returned. Repeated labels count once.
+any trusted document every document with text is kept. Rows that agree in id, language and text have equal results; each is
+returned. Repeated labels count once. A language without trusted text has no model and every byte of it the same
+probability. A very long text is one vectorised step of its own. Other columns, whatever their names, are not read; ids must
+be numbers that fit a long. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -26,15 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivolt.llm._common import ship, steps, text_bytes, written
+from archivolt.llm._common import drop_written, scratch_path, ship, steps, text_bytes, trim_memory, written
 
 ORDER = 5
 SHARD_ROWS = 3_000_000
 BROADCAST_IDS = 2_000_000
 STEP = 1000  # steps of the natural logarithm
+#: One in so many trusted texts is held out of training.
+HELD_OUT = 10
+#: Languages with trusted text, at most; their names are on the driver.
+MOST_LANGUAGES = 10_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -119,7 +127,9 @@ def train(trusted: DataFrame) -> DataFrame:
     model = parts[0]
     for p in parts[1:]:
         model = model.union(p)
-    return written(model, "model")
+    out = written(model, "model")
+    drop_written(model, *orders.values())
+    return out
 
 
 class Shard:
@@ -165,47 +175,70 @@ def _shard_of(lang: Column, pair: Column, n: int) -> Column:
     return F.pmod(lang * 31 + pair * 40503, F.lit(n))
 
 
-def shards(model: DataFrame, shard_rows: int) -> Iterator[tuple[int, int, Shard]]:
-    """(shard, number of shards, tables) for each shard of at most some ``shard_rows`` rows."""
-    small = ((F.col("kind") == "p") & (F.col("order") <= 2)) | ((F.col("kind") == "b") & (F.col("order") <= 2))
+def write_shards(model: DataFrame, shard_rows: int, path: str) -> int:
+    """Writes the model in shards of some ``shard_rows`` rows, and shard -1 with the orders that go with all; returns their number."""
+    small = F.col("order") <= 2
     n = max(1, -(-model.where(~small).count() // shard_rows))
     pair = F.when(F.col("kind") == "p", F.shiftright("gram", 8)).otherwise(F.col("gram")).bitwiseAND(F.lit(0xFFFF))
-    for k in range(n):
-        own = model if n == 1 else model.where(small | (_shard_of(F.col("lang"), pair, n) == k))
-        yield k, n, Shard(own.toArrow())
+    shard = F.when(small, -1).otherwise(_shard_of(F.col("lang"), pair, n)).cast("int")
+    model.withColumn("shard", shard).repartition(n + 1, "shard").write.partitionBy("shard").parquet(path)
+    return n
 
 
-def _score(docs: DataFrame, shard: int, n: int, tables) -> DataFrame:
-    """(id, th, lang, text) to the number of bytes and the sum of log-probabilities of the shard's positions."""
+def read_shard(path: str, k: int) -> Shard:
+    """A shard with the orders that go with all."""
+    import pyarrow.parquet as pq
+
+    fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    tables = []
+    for own in (-1, k):
+        for f in fs.get_file_info(pafs.FileSelector(f"{inner}/shard={own}", allow_not_found=True)):
+            if f.path.endswith(".parquet"):
+                with fs.open_input_file(f.path) as stream:
+                    tables.append(pq.ParquetFile(stream).read(["kind", "order", "lang", "gram", "value"]))
+    empty = pa.table({"kind": pa.array([], pa.string()), "order": pa.array([], pa.int32()), "lang": pa.array([], pa.int64()), "gram": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
+    return Shard(pa.concat_tables(tables) if tables else empty)
+
+
+def _score(docs: DataFrame, path: str, n: int) -> DataFrame:
+    """(id, th, lang, name, text) to the number of bytes and the sum of their log-probabilities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pandas as pd
 
-        own = tables.value
+        only = read_shard(path, 0) if n == 1 else None
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             langs = batch.column("lang").to_numpy()
             for a, b in steps(off, 4_000_000):
                 grams, bounds = byte_grams(data, off[a : b + 1], langs[a:b])
                 codes, keys = pd.factorize(grams)
-                logs = own.log_probabilities(keys) if len(keys) else np.zeros(0)
-                if n > 1:
+                logs = np.zeros(len(keys))
+                if only is not None:
+                    logs = only.log_probabilities(keys)
+                elif len(keys):
                     pair = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
-                    logs[((keys >> np.uint64(40)) * np.uint64(31) + pair * np.uint64(40503)) % np.uint64(n) != shard] = 0
+                    of = ((keys >> np.uint64(40)) * np.uint64(31) + pair * np.uint64(40503)) % np.uint64(n)
+                    for k in np.unique(of).tolist():  # one shard in memory at a time
+                        at = np.flatnonzero(of == k)
+                        logs[at] = read_shard(path, k).log_probabilities(keys[at])
                 total = np.concatenate(([0.0], np.cumsum(logs[codes])))
                 columns = [batch.column(c)[a:b] for c in ("id", "th", "name")]
                 columns += [pa.array(np.diff(bounds).astype(np.int64)), pa.array(np.diff(total[bounds]))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "th", "name", "n_bytes", "log_p"])
+        trim_memory()
 
     return docs.mapInArrow(run, "id long, th long, name string, n_bytes long, log_p double")
 
 
 def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
-    """(name, threshold): each language's quantile of trusted log-perplexities, by steps; the null language too.
+    """(name, threshold): each language's quantile of held-out log-perplexities, by steps; the null language too.
 
     The row with ``every`` true has the quantile over all languages.
     """
-    binned = scored.where("trusted and n_bytes > 0").groupBy("name", F.ceil(F.col("log_ppl") * STEP).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    usable = scored.where("trusted and n_bytes > 0")
+    held = usable.where("held")
+    binned = (usable if held.isEmpty() else held).groupBy("name", F.ceil(F.col("log_ppl") * STEP).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     binned = written(binned, "perplexity_steps")
     both = binned.select("name", F.lit(False).alias("every"), "bin", "n").union(binned.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), F.lit(True), "bin", "n"))
     total = both.groupBy("name", "every").agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
@@ -233,29 +266,32 @@ def classify(
     quantile: float = 0.995,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """One row per document: id, lang, n_bytes (scored bytes), perplexity, threshold, trusted, kept.
+    """One row per document: id, lang, n_bytes (scored bytes), perplexity, threshold, trusted, kept (perplexity at the
+    threshold or below).
 
     ``labels`` has the ids of trusted documents in the column ``id_col``.
     """
     spark = docs.sparkSession
     ship(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lang = F.coalesce(F.xxhash64(F.col(lang_col)).bitwiseAND(F.lit((1 << 22) - 1)) + 1, F.lit(0))
-    lang = F.when(F.col(lang_col).isNull(), 0).otherwise(lang).cast("long")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(lang_col).alias("name"), lang.alias("lang"), text.alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(lang_col).cast("string").alias("name"), text.alias("text"))
     ids = written(labels.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct(), "trusted")
     known = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    model = train(source.join(known, "id", "left_semi").select("lang", "text"))
-    parts = None
-    for k, n, tables in shards(model, shard_rows):
-        part = _score(source, k, n, spark.sparkContext.broadcast(tables))
-        parts = part if parts is None else parts.union(part)
-    if n > 1:
-        parts = parts.groupBy("id", "th", "name", "n_bytes").agg(F.sum("log_p").alias("log_p"), (F.count(F.lit(1)) / n).cast("int").alias("copies"))
-        parts = parts.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).drop("copies")
+    names = [r[0] for r in source.join(known, "id", "left_semi").select("name").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages have trusted text")
+    code = F.lit(0)  # no model
+    for i, name in enumerate(sorted(names, key=lambda x: (x is not None, x)), 1):
+        code = F.when(F.col("name").eqNullSafe(F.lit(name)), i).otherwise(code)
+    source = source.withColumn("lang", code.cast("long"))
+    held = F.pmod(F.xxhash64("th", F.lit(17)), F.lit(HELD_OUT)) == 0
+    model = train(source.join(known, "id", "left_semi").where(~held).select("lang", "text"))
+    path = scratch_path(spark, "shards")
+    n = write_shards(model, shard_rows, path)
+    drop_written(model)
     log_ppl = F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes"))
-    scored = parts.withColumn("log_ppl", log_ppl).join(known.withColumn("trusted", F.lit(True)), "id", "left")
-    scored = written(scored.withColumn("trusted", F.coalesce("trusted", F.lit(False))), "scored")
+    scored = _score(source, path, n).withColumn("log_ppl", log_ppl).join(known.withColumn("trusted", F.lit(True)), "id", "left")
+    scored = written(scored.withColumns({"trusted": F.coalesce("trusted", F.lit(False)), "held": held}), "scored")
     limits = written(thresholds(scored, quantile), "thresholds")
     default = limits.where("every").select("threshold").first()
     own = limits.where("not every").select(F.col("name").alias("l"), "threshold")
