@@ -88,10 +88,12 @@ def mark_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def packed(values: list[bytes]) -> bytes:
-    """Byte strings in one compressed block: their lengths, then all of them."""
+    """Byte strings in one compressed block: their lengths, then all of them; nothing for empty strings alone."""
     import zstandard
 
     sizes = np.array([len(v) for v in values], "<u4")
+    if not sizes.any():
+        return b""
     return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(values))
 
 
@@ -99,6 +101,8 @@ def unpacked(block: bytes, n: int) -> list[bytes]:
     """The ``n`` byte strings of a block."""
     import zstandard
 
+    if not block:
+        return [b""] * n
     data = zstandard.ZstdDecompressor().decompress(block)
     ends = 4 * n + np.concatenate(([0], np.cumsum(np.frombuffer(data, "<u4", n), dtype=np.int64)))
     ends = ends.tolist()
@@ -115,21 +119,27 @@ class PieceCodec:
         check_model(self.sp)
         self.lone = [self.sp.piece_to_id(MARK)]
         self.width = "<u2" if self.sp.get_piece_size() <= 1 << 16 else "<u4"
+        self.said = [f"{i},".encode() for i in range(self.sp.get_piece_size())]
 
     def encode(self, chunks: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Of each chunk: its ids as bytes, and its decoded bytes with the first marker, empty if that is the chunk itself."""
         texts = [(c[1:] if c[0] == 32 else c[3:]).decode() for c in chunks]
         ids = [i if t else self.lone for t, i in zip(texts, self.sp.encode(texts, num_threads=1), strict=True)]
         plain = (b" " + p.encode() for p in self.sp.decode(ids, num_threads=1))
-        return [np.array(i, self.width).tobytes() for i in ids], [b"" if c == d else d for c, d in zip(chunks, plain, strict=True)]
-
-    def decimals(self, ids: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        flat, at = np.array([x for i in ids for x in i], self.width).tobytes(), 0
+        packed_ids, step = [], np.dtype(self.width).itemsize
+        for i in ids:
+            packed_ids.append(flat[at : at + step * len(i)])
+            at += step * len(i)
+        return packed_ids, [b"" if c == d else d for c, d in zip(chunks, plain, strict=True)]
+
+    def decimals(self, ids: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """Of each chunk: how many ids it has, and these as decimals with commas."""
         flat = np.frombuffer(b"".join(ids), self.width)
         counts = np.array([len(i) for i in ids], np.int64) // np.dtype(self.width).itemsize
-        text = [f"{i}," for i in flat.tolist()]
+        text = list(map(self.said.__getitem__, flat.tolist()))
         ends = np.concatenate(([0], np.cumsum(counts))).tolist()
-        return counts, ["".join(text[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return counts, [text[a] if b == a + 1 else b"".join(text[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _CODECS: dict[str, PieceCodec] = {}
@@ -147,13 +157,14 @@ class Block:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, parts: int):
         out, starts, self.bounds = mark_chunks(data, offsets)
         self.chunks, self.at = distinct_chunks(out, starts)
-        part = [zlib.crc32(c) % parts for c in self.chunks]
-        self.order = [i for _, _, i in sorted(zip(part, self.chunks, range(len(part)), strict=True))]
-        self.parts, self.first = np.unique(np.array([part[i] for i in self.order], np.int64), return_index=True)
-        digest = hashlib.blake2b(digest_size=16)
-        for c in (self.chunks[i] for i in self.order):
-            digest.update(len(c).to_bytes(4, "little") + c)
-        self.key = digest.hexdigest()
+        part = np.fromiter(map(zlib.crc32, self.chunks), np.int64, len(self.chunks)) % parts
+        heads = np.frombuffer(b"".join([c[:8].ljust(8, b"\0") for c in self.chunks]), ">u8")  # like chunks side by side compress well
+        order = np.lexsort((heads, part))
+        self.order = order.tolist()
+        self.parts, self.first = np.unique(part[order], return_index=True)
+        ordered = [self.chunks[i] for i in self.order]
+        sizes = np.array([len(c) for c in ordered], "<u4")
+        self.key = hashlib.blake2b(sizes.tobytes() + b"".join(ordered), digest_size=16).hexdigest()
 
     def requests(self) -> Iterator[tuple[int, list[bytes]]]:
         """The chunks of each part, in order."""
@@ -272,15 +283,19 @@ def encode_decode(
                 found = block.placed(answers) if answers is not None else None
                 codec = _codec(model_path)
                 ids, plain = found or codec.encode(block.chunks)
-                plain = [p or c for c, p in zip(block.chunks, plain, strict=True)]
+                changed = np.array([bool(p) for p in plain], bool)  # chunks that don't decode to themselves
                 counts, decimals = codec.decimals(ids)
                 total = np.concatenate(([0], np.cumsum(counts[block.at]))) if len(block.at) else np.zeros(1, np.int64)
                 rows = []
-                for x, y in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True):
-                    own = block.at[x:y].tolist()
-                    text = b"".join([plain[i] for i in own])[1:]
-                    said = "".join([decimals[i] for i in own])[:-1]
-                    row = [int(total[y] - total[x]), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(text).hexdigest()]
+                for d, (x, y) in enumerate(zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True), a):
+                    own = block.at[x:y]
+                    if changed[own].any():
+                        text = b"".join([plain[i] or block.chunks[i] for i in own.tolist()])[1:]
+                    else:
+                        text = data[off[d] : off[d + 1]].tobytes()
+                    own = own.tolist()
+                    said = b"".join([decimals[i] for i in own])[:-1]
+                    row = [int(total[y] - total[x]), hashlib.sha256(said).hexdigest(), hashlib.sha256(text).hexdigest()]
                     row += [np.frombuffer(b"".join([ids[i] for i in own]), codec.width).astype(np.int32)] * with_ids + [text.decode()] * with_text
                     rows.append(row)
                 got = [pa.array(x, pa.list_(pa.int32()) if n == "ids" else None) for (n, _), x in zip(results, zip(*rows, strict=True), strict=True)]
