@@ -168,8 +168,8 @@ class Block:
 
     def requests(self) -> Iterator[tuple[int, list[bytes]]]:
         """The chunks of each part, in order."""
-        ends = [*self.first[1:].tolist(), len(self.order)]
-        for part, a, b in zip(self.parts.tolist(), self.first.tolist(), ends, strict=True):
+        cuts = [*self.first.tolist(), len(self.order)]
+        for part, a, b in zip(self.parts.tolist(), cuts, cuts[1:], strict=False):
             yield part, [self.chunks[i] for i in self.order[a:b]]
 
     def placed(self, answers: pa.Table) -> tuple[list[bytes], list[bytes]] | None:

@@ -243,6 +243,9 @@ def test_pieces_do_not_depend_on_blocks_or_answers(spark, monkeypatch):
     assert sorted(tuple(r) for r in piece_codec.encode_decode(df, model, carry=["doc_id"]).collect()) == want
     monkeypatch.setattr(piece_codec, "_answers", lambda *a: None)  # lost answers: segmented on the spot
     assert sorted(tuple(r) for r in piece_codec.encode_decode(df, model, carry=["doc_id"]).collect()) == want
+    monkeypatch.undo()
+    bare = piece_codec.encode_decode(frame(spark, [None, ""]), model).collect()
+    assert [r.n_tokens for r in bare] == [0, 0] and piece_codec.encode_decode(df.where("false"), model).count() == 0
     assert piece_codec.unpacked(piece_codec.packed([b"", b"ab", b"c"]), 3) == [b"", b"ab", b"c"]
 
 
