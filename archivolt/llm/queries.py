@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, secret_scan, sharding, token_files, warc
+from archivolt.llm import decontamination, line_rules, near_duplicates, oracles, pii, piece_codec, quality_model, secret_scan, sharding, token_files, warc
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,5 +115,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Name to DuckDB SQL."""
-    return {}
+    """Name to DuckDB SQL; the other queries are tested against brute force."""
+    return dict(oracles.ORACLES)
