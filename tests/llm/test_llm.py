@@ -542,6 +542,61 @@ def test_warc_derivatives(spark, tmp_path):
     assert warc.derive_records(responses.where("false")).count() == 0
 
 
+def test_very_long_lines_and_tokens_take_no_long_time(spark):
+    import time
+
+    n = 300_000
+    texts = ["x" * n, "1" * n, "a@" * (n // 2), "Ab1+/" * (n // 5), "1." * (n // 2), "zebra " * (n // 6), "q7Kx9mPz2LwV5nRt8BcD4 " * 5000, "plain text here"]
+    df = frame(spark, texts)
+    for run in (
+        lambda: line_rules.line_quality(df, with_text=True),
+        lambda: secret_scan.scan_secrets(df),
+        lambda: pii.sanitise(df),
+        lambda: near_duplicates.near_duplicates(df),
+        lambda: quality_model.classify(df, df.select("doc_id")),
+        lambda: token_files.token_file_round_trip(df, tokenizer_path("byte_bpe_50k.json"), end_id=2),
+    ):
+        begun = time.monotonic()
+        assert len(run().collect()) == len(texts)
+        assert time.monotonic() - begun < 60
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<title>", '<a "', "<", "</", "<!--"])
+def test_odd_markup_is_read_in_linear_time(piece):
+    import time
+
+    begun = time.monotonic()
+    warc.read_page(piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - begun < 10
+
+
+def test_links_and_titles_are_of_tags_alone():
+    page = "<!-- <a href='no'> --><script>'<a href=\"no\">'</script><a data-href='no' href='yes &amp; so'>x</a><title>One</title><title>Two</title><a href=>"
+    text, title, language, links = warc.read_page(page)
+    assert (text, title, language, links) == ("x\nOne\nTwo", "One", None, ["yes & so"])
+    assert warc.read_page("<p class=\"a>b\">c</p><p class=\"x>d</p>")[0] == "c\nd"
+
+
+def test_bodies_are_decoded():
+    import gzip
+
+    page = "<p>šk</p>".encode("iso-8859-2")
+    for coding, body in (("Content-Encoding: gzip", gzip.compress(page)), ("Transfer-Encoding: chunked", b"4\r\n" + page[:4] + b"\r\n%x;x=1\r\n" % (len(page) - 4) + page[4:] + b"\r\n0\r\n\r\n")):
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=iso-8859-2\r\n{coding}\r\n\r\n".encode() + body
+        made = {k: own for k, _, _, own in warc.derivatives("<r>", None, None, block)}
+        assert made["conversion"] == "šk".encode()
+    image = b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG<p>"
+    assert {k: own for k, _, _, own in warc.derivatives("<r>", None, None, image)}["conversion"] == b""
+
+
+def test_base_patterns_are_those_of_the_contract():
+    r = random.Random(1)
+    for k in range(4000):
+        t = "".join(r.choice("ab1.@+-_ (4%" if k % 3 else "1234.+- ") for _ in range(r.randrange(1, 60)))
+        want = [(m.start(), m.end(), i) for i, kind in enumerate(pii.KINDS) for m in re.finditer(pii.PATTERNS[kind], t) if pii._passes(kind, m[0])]
+        assert pii.base_spans(t) == sorted(want, key=lambda x: (x[0], x[2]))
+
+
 def test_text_bytes_takes_slices_and_nulls():
     col = pa.array(["ab", None, "č", "d"])
     data, off = text_bytes(col.slice(1, 3))
