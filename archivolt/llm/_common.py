@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text that one vectorised step takes at once; a longer document is a step of its own.
 STEP_BYTES = 1_500_000
 #: Bytes of an Arrow batch on its way to a Python worker, unless the session has set its own; a row may exceed it.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LIBC = ctypes.CDLL(None)
 
@@ -117,13 +117,15 @@ def trim_memory() -> None:
 
 
 def steps(offsets: np.ndarray, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes of text; freed memory is given back before and after."""
+    """Row ranges of about ``limit`` bytes of text; freed memory is given back before and after, so that a worker that waits
+    for its next task holds little."""
     trim_memory()
     a, n = 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
         yield a, b
         a = b
+    _POWERS.clear()
     trim_memory()
 
 
@@ -143,7 +145,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * STEP_BYTES)
+        size = max(n, STEP_BYTES + STEP_BYTES // 4)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps_ = np.full(size, base, np.uint64)
             steps_[0] = 1

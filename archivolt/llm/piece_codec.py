@@ -38,8 +38,8 @@ from archivolt.llm._common import scratch_path, ship, steps, text_bytes, trim_me
 from archivolt.llm.chunks import distinct_chunks
 
 MARK = "▁"
-#: Bytes of text in a block, within which each distinct chunk is asked for once.
-BLOCK_BYTES = 16_000_000
+#: Bytes of text in a block at most, within which each distinct chunk is asked for once; an Arrow batch bounds it too.
+BLOCK_BYTES = 8_000_000
 #: Times the session's shuffle partitions: into so many parts the table of distinct chunks is dealt.
 PARTS_PER_PARTITION = 4
 #: Shuffle partitions for each slot of answers, and the bytes of a slot's row groups.
@@ -299,6 +299,7 @@ def encode_decode(
                     row += [np.frombuffer(b"".join([ids[i] for i in own]), codec.width).astype(np.int32)] * with_ids + [text.decode()] * with_text
                     rows.append(row)
                 got = [pa.array(x, pa.list_(pa.int32()) if n == "ids" else None) for (n, _), x in zip(results, zip(*rows, strict=True), strict=True)]
+                del block, answers, found, ids, plain, counts, decimals, total, rows
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name)[a:b] for f in fields), *got], names=schema.names)
 
     return source.mapInArrow(run, schema)
