@@ -42,6 +42,8 @@ MARK = "▁"
 BLOCK_BYTES = 8_000_000
 #: Times the session's shuffle partitions: into so many parts the table of distinct chunks is dealt.
 PARTS_PER_PARTITION = 4
+#: Chunks that are answered before their answers leave the task.
+ANSWERED = 100_000
 #: Shuffle partitions for each slot of answers, and the bytes of a slot's row groups.
 PARTITIONS_PER_SLOT = 4
 GROUP_BYTES = 4 << 20
@@ -211,19 +213,24 @@ def _answers(docs: DataFrame, model_path: str, text_col: str, parts: int, slots:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, now, known = _codec(model_path), -1, {}
         for batch in batches:
-            ids, plain = [], []
-            for part, n, chunks in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "chunks")), strict=True):
+            first, ids, plain, size = 0, [], [], 0
+            for k in range(batch.num_rows):
+                part, n = batch.column("part")[k].as_py(), batch.column("n")[k].as_py()
                 if part != now:
                     now, known = part, {}
-                own = unpacked(chunks, n)
+                own = unpacked(batch.column("chunks")[k].as_py(), n)
                 new = [c for c in own if c not in known]
                 if new:
                     known.update(zip(new, zip(*codec.encode(new), strict=True), strict=True))
-                found = [known[c] for c in own]
-                ids.append(packed([i for i, _ in found]))
-                plain.append(packed([p for _, p in found]))
-            own = [*(batch.column(c) for c in ("part", "block", "n")), pa.array(ids, pa.binary()), pa.array(plain, pa.binary())]
-            yield pa.RecordBatch.from_arrays(own, names=["part", "block", "n", "ids", "plain"])
+                ids.append(packed([known[c][0] for c in own]))
+                plain.append(packed([known[c][1] for c in own]))
+                size += n
+                if size >= ANSWERED or k + 1 == batch.num_rows:
+                    rows = k + 1 - first
+                    columns = [*(batch.column(c).slice(first, rows) for c in ("part", "block", "n")), pa.array(ids, pa.binary()), pa.array(plain, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "n", "ids", "plain"])
+                    first, ids, plain, size = k + 1, [], [], 0
+        known.clear()
         trim_memory()
 
     asked = docs.select(text_col).mapInArrow(request, _REQUEST)
