@@ -34,7 +34,7 @@ def choose_parents(terms: DataFrame, near: DataFrame, broader: DataFrame) -> Dat
     return both.select(F.col("pos").alias("child"), F.coalesce("first", "second").alias("parent"), via.alias("via"), conflict.alias("conflict"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage in the session's checkpoint folder; a temporary one is set only in local mode where none is named."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
@@ -56,7 +56,7 @@ def break_cycles(edges: DataFrame) -> DataFrame:
     before, left, steps = -1, edges.count(), 1
     while left and (left != before or steps < left):
         far = jump.select(F.col("start").alias("node"), F.col("node").alias("next"), F.col("low").alias("far"))
-        jump = _cut(jump.join(far, "node").select("start", F.col("next").alias("node"), F.least("low", "far").alias("low")))
+        jump = cut(jump.join(far, "node").select("start", F.col("next").alias("node"), F.least("low", "far").alias("low")))
         before, left, steps = left, jump.count(), 2 * steps
     if not left:
         return edges
@@ -76,7 +76,7 @@ def ancestors_of(nodes: DataFrame, edges: DataFrame, marked: DataFrame | None =
     if marked is not None:
         up = up.join(marked.select("id", F.lit(True).alias("__m")).distinct(), "id", "left")
         hit = F.coalesce("__m", F.lit(False))
-    up = _cut(up.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").isNotNull().cast("long").alias("level"), hit.alias("hit")))
+    up = cut(up.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").isNotNull().cast("long").alias("level"), hit.alias("hit")))
     most, steps = up.count(), 1
     while True:
         far = up.select(F.col("id").alias("root"), F.col("root").alias("__top"), F.col("level").alias("__more"), F.col("hit").alias("__hit"))
@@ -87,7 +87,7 @@ def ancestors_of(nodes: DataFrame, edges: DataFrame, marked: DataFrame | None =
             return after
         if steps > 2 * most:
             raise ValueError("the edges have a cycle")
-        up, steps = _cut(after), 2 * steps
+        up, steps = cut(after), 2 * steps
 
 
 def roots_of(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -134,3 +134,16 @@ def tree_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     a = levels.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("level") == 0).alias("roots"), F.max("level").alias("deepest"))
     b = width.agg(F.count(F.lit(1)).alias("inner_nodes"), F.max("n").alias("widest"))
     return a.join(F.broadcast(b))  # one row each
+
+
+def chained_pages(pages: DataFrame) -> DataFrame:
+    """(path, at): saved pages of a harvest in the order of its resumption tokens, from the page without a request.
+
+    ``pages``: path, request (the token that asked for the page; null for the first), token (null or blank on the last),
+    problem. The chain ends at a page that is missing or has a problem: what came before is a partial result.
+    """
+    good = pages.where("problem is null")
+    token = good.select(F.col("path").alias("parent"), F.nullif(F.trim("token"), F.lit("")).alias("request")).where("request is not null")
+    edges = good.select(F.col("path").alias("child"), "request").join(token, "request").groupBy("child").agg(F.min("parent").alias("parent"))
+    first = good.where("request is null").select(F.col("path").alias("root"))
+    return roots_of(good.select(F.col("path").alias("id")), edges).join(first, "root", "left_semi").select(F.col("id").alias("path"), F.col("level").alias("at"))

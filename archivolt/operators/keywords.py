@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,6 +56,21 @@ def word_chunks(words: Column, size: int = 400, overlap: int = 50) -> Column:
     return F.when(n == 0, F.array().cast("array<array<string>>")).when(n <= size, F.array(words)).otherwise(many)
 
 
+def fitted_chunks(chunks: Column, cost: Callable[[Column], Column], limit: int, size: int = 400) -> Column:
+    """Chunks that are halved (the first half the larger) until each costs ``limit`` at most or is a single word.
+
+    ``cost`` is an encoder's length of an array of words; chunks have up to ``size`` words.
+    """
+
+    def halved(c: Column) -> Column:
+        half = F.ceil(F.size(c) / 2).cast("int")
+        return F.when((cost(c) > limit) & (F.size(c) > 1), F.array(F.slice(c, 1, half), F.slice(c, half + 1, F.size(c) - half))).otherwise(F.array(c))
+
+    for _ in range(max(1, (size - 1).bit_length())):
+        chunks = F.flatten(F.transform(chunks, halved))
+    return chunks
+
+
 def best_score_merge(scored: DataFrame, keys: Sequence[str], phrase: str, score: str, num_keywords: int) -> DataFrame:
     """Best score of each phrase over all chunks, then the top ``num_keywords`` per key (ties by phrase)."""
     keys = list(keys)

@@ -6,14 +6,16 @@ import math
 import re
 import sys
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.operators.graph import cut
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+|[^\w\s]", re.U)
@@ -98,31 +100,77 @@ def rank_statistical(docs: DataFrame, top: int = 10, max_words: int = 3, id_col:
     return source.mapInPandas(run, f"`{id_col}` {kind}, rank int, keyword string, score double")
 
 
-def maximal_marginal_relevance(vectors: np.ndarray, query: np.ndarray, top: int, diversity: float) -> list[int]:
-    """Greedy choice of vectors near the query and far from those chosen (Carbonell and Goldstein, 1998)."""
-    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    near = unit @ (query / max(float(np.linalg.norm(query)), 1e-12))
-    chosen = [int(np.argmax(near))]
-    closest = unit @ unit[chosen[0]]
-    while len(chosen) < min(top, len(unit)):
-        value = (1 - diversity) * near - diversity * closest
-        value[chosen] = -np.inf
-        chosen.append(int(np.argmax(value)))
-        closest = np.maximum(closest, unit @ unit[chosen[-1]])
-    return chosen
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _unit(v: Column) -> Column:
+    norm = F.greatest(F.sqrt(_dot(v, v)), F.lit(1e-12))
+    return F.transform(v, lambda x: x / norm)
 
 
 def rank_by_embedding(items: DataFrame, group: str, item: str, vector: str, top: int = 5, diversity: float = 0.5) -> DataFrame:
-    """(group, rank, item): the items of each group by relevance to its mean, with diversity. A group bounds a task."""
-    kinds = dict(items.dtypes)
+    """(group, rank, item): the items of each group by relevance to its mean, with diversity (Carbonell and Goldstein, 1998).
+
+    Each round picks one item of every group: the one whose relevance, less its likeness to those already picked, is the
+    greatest (ties: the smallest item). A round is an aggregation and a join with the picks, so a group may have any size.
+    """
+    v = F.transform(F.col(vector), lambda x: x.cast("double"))
+    rows = items.select(F.col(group).alias("g"), F.col(item).alias("i"), v.alias("v"))
+    dims = rows.select("g", F.posexplode("v").alias("d", "x")).groupBy("g", "d").agg(F.avg("x").alias("x"))
+    means = dims.groupBy("g").agg(_unit(F.transform(F.sort_array(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])).alias("m"))
+    now = rows.join(means, "g").select("g", "i", _unit(F.col("v")).alias("u"), _dot(_unit(F.col("v")), F.col("m")).alias("near"), F.lit(None).cast("double").alias("closest"))
+    picks = None
+    for k in range(1, top + 1):
+        now = cut(now)
+        value = F.when(F.col("closest").isNull(), F.col("near")).otherwise((1 - diversity) * F.col("near") - diversity * F.col("closest"))
+        order = now.withColumn("__o", value).groupBy("g").agg(F.max("__o").alias("__m"))
+        first = now.withColumn("__o", value).join(order, "g").where(F.col("__o") == F.col("__m")).groupBy("g").agg(F.min_by(F.struct("i", "u"), "i").alias("p"))
+        first = cut(first.select("g", F.col("p.i").alias("pi"), F.col("p.u").alias("pu")))
+        part = first.select(F.col("g").alias(group), F.lit(k).alias("rank"), F.col("pi").alias(item))
+        picks = part if picks is None else picks.union(part)
+        both = now.join(first, "g").where("i <> pi")
+        now = both.select("g", "i", "u", "near", F.greatest("closest", _dot(F.col("u"), F.col("pu"))).alias("closest"))
+    return picks
+
+
+def phrases_of(words: list[str], most: int = 3) -> list[str]:
+    """Distinct runs of one to ``most`` words, in order of first appearance."""
+    return list(dict.fromkeys(" ".join(words[a : a + n]) for n in range(1, most + 1) for a in range(len(words) - n + 1)))
+
+
+def rank_chunks(chunks: DataFrame, embed: Callable[[list[str]], np.ndarray], top: int = 5, diversity: float = 0.5, most: int = 3, id_col: str = "doc_id") -> DataFrame:
+    """(id, rank, keyword, score): phrases of a document's chunks by an injected encoder, scores to six decimals.
+
+    ``chunks``: id, words. Of each chunk the ``top`` phrases by maximal marginal relevance to the chunk are taken with their
+    likeness to it; a phrase's score is its best over all chunks. A chunk is bounded, and so is what one call encodes.
+    """
+    kind = dict(chunks.dtypes)[id_col]
+
+    def one(words: list[str]) -> list[tuple[str, float]]:
+        phrases = phrases_of(words, most)
+        if not phrases:
+            return []
+        vectors = embed([" ".join(words), *phrases]).astype(float)
+        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+        near, own = vectors[1:] @ vectors[0], vectors[1:]
+        taken = [int(np.argmax(near))]
+        closest = own @ own[taken[0]]
+        while len(taken) < min(top, len(phrases)):
+            value = (1 - diversity) * near - diversity * closest
+            value[taken] = -np.inf
+            taken.append(int(np.argmax(value)))
+            closest = np.maximum(closest, own @ own[taken[-1]])
+        return [(phrases[i], round(float(near[i]), 6)) for i in taken]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(item)
-        v = np.array(pdf[vector].tolist(), float)
-        order = maximal_marginal_relevance(v, v.mean(axis=0), top, diversity)
-        return pd.DataFrame({group: pdf[group].iloc[0], "rank": range(1, len(order) + 1), item: pdf[item].to_numpy()[order]})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [(doc, k, s) for doc, words in zip(pdf[id_col], pdf["words"], strict=True) for k, s in one(list(words))]
+            yield pd.DataFrame(rows, columns=[id_col, "keyword", "score"])
 
-    return items.select(group, item, vector).groupBy(group).applyInPandas(run, f"`{group}` {kinds[group]}, rank int, `{item}` {kinds[item]}")
+    found = chunks.select(id_col, "words").mapInPandas(run, f"`{id_col}` {kind}, keyword string, score double")
+    best = found.groupBy(id_col, "keyword").agg(F.max("score").alias("score"))
+    return top_ranked(best, [id_col], top).select(id_col, "rank", "keyword", "score")
 
 
 def top_ranked(scored: DataFrame, keys: list[str], top: int) -> DataFrame:

@@ -128,6 +128,13 @@ def fold_records(parts: DataFrame, doc: str, order: str, blocks: Sequence[str],
     return parts.groupBy(doc).agg(*last, *first, clash.alias("conflicts"))
 
 
+def set_block(records_: DataFrame, payload: DataFrame, block: str, key: str = "doc_id") -> DataFrame:
+    """Records with one block replaced as a whole where the payload has their key; a null payload empties the block."""
+    new = payload.select(key, F.col(block).alias("__new"), F.lit(True).alias("__hit"))
+    both = records_.join(new, key, "left")
+    return both.withColumn(block, F.when(F.col("__hit"), F.col("__new")).otherwise(F.col(block))).select(*records_.columns)
+
+
 def first_writer(existing: DataFrame, incoming: DataFrame, key: str, identity: Sequence[str], described: Sequence[str]) -> DataFrame:
     """Source fields: existing values stay, missing ones are filled; ``conflicts`` and ``notes`` name differing fields."""
     new = incoming.select(key, *(F.col(c).alias(f"__n_{c}") for c in [*identity, *described]))
@@ -147,7 +154,9 @@ def merge_notes(notes: DataFrame, keys: Sequence[str] = ("limit", "effect")) ->
 
 
 def fold_runs(logs: DataFrame, key: str) -> DataFrame:
-    """Run logs folded by key: sums, first start, last end, values of the first and last stage, whether any failed."""
+    """Run logs folded by key: sums, first start, last end, values of the first and last stage, whether any failed; the
+    components of all stages, each once, where the logs have them."""
+    parts = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("components")))).alias("components")] if "components" in logs.columns else []
     return logs.groupBy(key).agg(
         F.sum("processed").alias("processed"),
         F.sum("skipped").alias("skipped"),
@@ -156,6 +165,7 @@ def fold_runs(logs: DataFrame, key: str) -> DataFrame:
         F.min_by("stage", F.struct("start", "stage")).alias("first_stage"),
         F.max_by("stage", F.struct("end", "stage")).alias("last_stage"),
         F.bool_or("failed").alias("any_failed"),
+        *parts,
     )
 
 

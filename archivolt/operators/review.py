@@ -177,8 +177,8 @@ def term_evidence(terms: DataFrame, tokens: DataFrame, examples: int = 3, norm:
 
 
 def branch_evidence(hits: DataFrame, offered: DataFrame) -> DataFrame:
-    """(rule, terms, occurrences, unique_terms, unique_occurrences, documents): hits of excluded rules, those already offered
-    apart. ``hits``: rule, lemma, doc_id, n."""
+    """(rule, terms, occurrences, unique_terms, unique_occurrences, documents, unique_samples, shared_samples): hits of excluded
+    rules, those already offered apart. ``hits``: rule, lemma, doc_id, n."""
     have = offered.select("lemma", F.lit(True).alias("have")).distinct()
     df = hits.join(have, "lemma", "left").withColumn("own", F.col("have").isNull())
     return df.groupBy("rule").agg(
@@ -187,6 +187,8 @@ def branch_evidence(hits: DataFrame, offered: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.col("own"), F.col("lemma"))).alias("unique_terms"),
         F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("unique_occurrences"),
         F.count_distinct("doc_id").alias("documents"),
+        samples(F.when(F.col("own"), F.col("lemma"))).alias("unique_samples"),
+        samples(F.when(~F.col("own"), F.col("lemma"))).alias("shared_samples"),
     )
 
 

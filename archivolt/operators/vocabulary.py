@@ -122,6 +122,15 @@ def nested_order(placed: DataFrame, boilerplate: Sequence[str], theme_rank: Data
     return placed.withColumn("term_rank", F.row_number().over(order)).join(theme_rank, "theme", "left")
 
 
+def build_nested(
+    records: DataFrame, overrides: DataFrame, maps: DataFrame, keywords: DataFrame, labels: DataFrame, boilerplate: Sequence[str], theme_rank: DataFrame, norm: Norm = F.lower
+) -> tuple[DataFrame, DataFrame]:
+    """(nested, audit): records placed, rescued by label, made unique and ordered; the audit has every placed record, also
+    those that a rule excludes."""
+    audit = rescue(place(records, overrides, maps, keywords), labels, norm)
+    return nested_order(label_winners(drop_excluded(audit), norm), boilerplate, theme_rank), audit
+
+
 def composite_links(terms: DataFrame, separator: str = "/", norm: Norm = F.lower) -> DataFrame:
     """(theme, cs, part_theme, part_cs): labels whose parts between separators are labels themselves."""
     by_label = terms.select(F.col("theme").alias("part_theme"), F.col("cs").alias("part_cs"), norm(F.col("cs")).alias("n"))

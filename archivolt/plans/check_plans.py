@@ -245,6 +245,36 @@ def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- hierarchies
 
 
+def nested_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from records to the nested vocabulary, each term with its place in the audit."""
+    from archivolt.operators import vocabulary as V
+
+    overrides = spark.createDataFrame(vocabulary_plans.OVERRIDES, "source string, source_id string, theme string")
+    maps = spark.createDataFrame(vocabulary_plans.MAPS, "kind string, ident string, theme string")
+    words = spark.createDataFrame(vocabulary_plans.KEYWORDS, "lang string, keyword string, theme string, rank int")
+    labels = _t(spark, sf_dir, "part").where("p_size % 5 = 0").groupBy(F.lower("p_name").alias("norm")).agg(F.min("p_brand").alias("theme"))
+    ranks = spark.createDataFrame([("Big", 1), ("Cheap", 2)], "theme string, theme_rank int")
+    nested, audit = V.build_nested(vocabulary_plans._records(spark, sf_dir), overrides, maps, words, labels, ["gizmo"], ranks)
+    audited = audit.groupBy("theme").agg(F.count(F.lit(1)).alias("audited"))
+    return nested.join(audited, "theme").select("theme", "theme_rank", "term_rank", "cs", "placed_by", "audited")
+
+
+def replaced_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their priority replaced, or emptied, by another table's."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    new = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.lower("o_orderpriority")).alias("o_orderpriority"))
+    return records.set_block(o, new, "o_orderpriority", "o_orderkey")
+
+
+def harvest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as pages of harvests of 40, which break off at pages with a problem."""
+    k = F.col("c_custkey")
+    pages = _t(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("path"), F.when(k % 40 > 0, F.concat(F.lit("t"), k)).alias("request"), F.when(k % 40 < 39, F.concat(F.lit("t"), k + 1)).otherwise(" ").alias("token"), F.when(k % 57 == 0, "broken").alias("problem")
+    )
+    return graph.chained_pages(pages)
+
+
 def cycle_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A map of customers onto customers, with the cycles of its graph broken."""
     k = F.col("c_custkey")
@@ -395,6 +425,19 @@ SELECT 'runs' AS name, count(DISTINCT run) AS rows FROM p UNION ALL SELECT 'agre
 UNION ALL SELECT 'before_after', count(DISTINCT a.run) FROM p a JOIN p b ON b.run = regexp_replace(a.run, '_R\\d+_', '_') AND a.run <> b.run
 UNION ALL SELECT 'forced', count(*) FROM p WHERE category <> 'N' AND NOT supported
 UNION ALL SELECT 'unreadable', count(*) FROM (SELECT DISTINCT user_id % 4, event_id % 9 FROM events WHERE event_type = 'error')""",
+    "nested_build": f"""
+WITH {_V._PLACED}, k AS (SELECT lower(p_name) AS n, min(p_brand) AS t FROM part WHERE p_size % 5 = 0 GROUP BY ALL),
+a AS (SELECT cs, source, num, source_id, sort, CASE WHEN theme = 'Other' AND t IS NOT NULL THEN t ELSE theme END AS theme, CASE WHEN theme = 'Other' AND t IS NOT NULL THEN 'rescue' ELSE placed_by END AS placed_by
+  FROM placed LEFT JOIN k ON lower(cs) = n),
+w AS (SELECT * FROM a WHERE theme <> '__exclude__' QUALIFY row_number() OVER (PARTITION BY lower(cs) ORDER BY {_V._ORDER}) = 1)
+SELECT w.theme, CAST(CASE w.theme WHEN 'Big' THEN 1 WHEN 'Cheap' THEN 2 END AS INTEGER) AS theme_rank,
+  CAST(row_number() OVER (PARTITION BY w.theme ORDER BY CAST(contains(lower(cs), 'gizmo') AS INTEGER), sort, cs) AS INTEGER) AS term_rank, cs, placed_by,
+  (SELECT count(*) FROM a WHERE a.theme = w.theme) AS audited FROM w""",
+    "replaced_blocks": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN lower(o_orderpriority) END ELSE o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders""",
+    "harvest_order": """
+WITH b AS (SELECT c_custkey // 40 AS h, min(CASE WHEN c_custkey % 57 = 0 THEN c_custkey END) AS bad, min(c_custkey) AS low FROM customer GROUP BY ALL)
+SELECT c_name AS path, CAST(c_custkey % 40 AS INTEGER) AS at FROM customer JOIN b ON c_custkey // 40 = h WHERE low % 40 = 0 AND c_custkey < coalesce(bad, c_custkey + 1)""",
     "cycle_breaks": """
 WITH RECURSIVE e AS (SELECT c_custkey AS child, (c_custkey * c_custkey + 1) % 149 + 1 AS parent FROM customer),
 r(s, n) AS (SELECT child, parent FROM e UNION SELECT r.s, e.parent FROM r JOIN e ON e.child = r.n),
@@ -416,6 +459,6 @@ QUERIES = {
     for f in (
         record_problems, seed_problems, projected_results, migrated_logs, run_counters, lost_fields, first_writer, question_problems, limit_checks, withheld_themes,
         guardrail, config_problems, qualifier_problems, audit_links, link_report, covered_targets, registry_triples, template_blocks, ordered_terms, content_digests,
-        score_report, cycle_breaks, deep_roots, withheld_nodes, tree_summary,
+        score_report, nested_build, replaced_blocks, harvest_order, cycle_breaks, deep_roots, withheld_nodes, tree_summary,
     )
 }

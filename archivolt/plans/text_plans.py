@@ -54,6 +54,31 @@ def word_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.select("doc_id", "chunk_no", F.size("c").alias("n_words"), F.md5(F.array_join("c", " ")).alias("digest"))
 
 
+def fitted_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of words halved until each has 600 characters at most."""
+    df = _t(spark, sf_dir, "documents").select("doc_id", S.words_of(F.col("text")).alias("w"))
+    cost = lambda c: F.length(F.array_join(c, ""))
+    chunks = K.fitted_chunks(K.word_chunks(F.col("w")), cost, 600)
+    return df.select("doc_id", F.posexplode(chunks).alias("pos", "c")).select("doc_id", "pos", F.size("c").alias("n_words"), F.md5(F.array_join("c", " ")).alias("digest"))
+
+
+def stub_vectors(phrases: list[str]):
+    """A stand-in encoder: the sum of the digests of a phrase's words."""
+    import hashlib
+
+    import numpy as np
+
+    words = [[np.frombuffer(hashlib.sha256(w.lower().encode()).digest(), np.uint8).astype(float) - 100 for w in p.split()] for p in phrases]
+    return np.array([np.sum(w, axis=0) + 1e-3 * len(p) * np.arange(32) for w, p in zip(words, phrases, strict=True)])
+
+
+def chunk_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of turns by a stand-in encoder, best over chunks of twelve words."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([A-Za-z]+)"), F.lit(1))
+    df = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.explode(K.word_chunks(words, 12, 2)).alias("words"))
+    return ranking.rank_chunks(df, stub_vectors, 4)
+
+
 def best_score_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best share of each word over a document's chunks, then the top five."""
     df = _t(spark, sf_dir, "documents").repartition("doc_id")  # the one exchange: all that follows is within a document
@@ -188,6 +213,14 @@ FROM framed f JOIN heads USING (doc_id)""",
     "word_chunks": f"""
 WITH {_CHUNKS.format(_WORDS.format("coalesce(text, '')"))}
 SELECT doc_id, chunk_no, CAST(len(c) AS INTEGER) AS n_words, md5(array_to_string(c, ' ')) AS digest FROM chunks""",
+    "fitted_chunks": f"""
+WITH RECURSIVE {_CHUNKS.format(_WORDS.format("coalesce(text, '')"))},
+h(doc_id, k, c) AS (
+  SELECT doc_id, lpad(CAST(chunk_no AS VARCHAR), 6, '0'), c FROM chunks
+  UNION ALL SELECT doc_id, k || x, CASE x WHEN 'a' THEN list_slice(c, 1, CAST(ceil(len(c) / 2) AS INTEGER)) ELSE list_slice(c, CAST(ceil(len(c) / 2) AS INTEGER) + 1, len(c)) END
+  FROM h, (SELECT unnest(['a', 'b']) AS x) WHERE length(array_to_string(c, '')) > 600 AND len(c) > 1)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER) AS pos, CAST(len(c) AS INTEGER) AS n_words, md5(array_to_string(c, ' ')) AS digest
+FROM h WHERE NOT (length(array_to_string(c, '')) > 600 AND len(c) > 1)""",
     "best_score_merge": f"""
 WITH {_CHUNKS.format(_WORDS.format("lower(text)"))},
 each AS (SELECT doc_id, chunk_no, len(c) AS n, unnest(c) AS word FROM chunks),
@@ -233,7 +266,7 @@ SELECT doc_id, pos, CASE WHEN pos > coalesce(stop, pos) THEN 'unprocessed' WHEN
 QUERIES = {
     f.__name__: f
     for f in (
-        page_group, document_text, line_filter, context_window, word_chunks, best_score_merge, form_lemmas, stem_overlap, stable_units,
+        page_group, document_text, line_filter, context_window, word_chunks, fitted_chunks, chunk_keywords, best_score_merge, form_lemmas, stem_overlap, stable_units,
         normalised_labels, czech_sort, statistical_keywords, mmr_keywords, stub_enrich, stub_replies, abort_points, json_fields,
     )
 }

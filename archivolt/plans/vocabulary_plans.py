@@ -359,7 +359,9 @@ h AS (SELECT placed_by AS rule, cs AS lemma, doc_id, n FROM placed JOIN i USING
 o AS (SELECT DISTINCT cs AS lemma FROM placed WHERE theme = 'Cheap'),
 d AS (SELECT h.*, lemma NOT IN (SELECT lemma FROM o) AS own FROM h)
 SELECT rule, count(DISTINCT lemma) AS terms, CAST(sum(n) AS BIGINT) AS occurrences, count(DISTINCT CASE WHEN own THEN lemma END) AS unique_terms,
-  CAST(sum(CASE WHEN own THEN n ELSE 0 END) AS BIGINT) AS unique_occurrences, count(DISTINCT doc_id) AS documents FROM d GROUP BY rule""",
+  CAST(sum(CASE WHEN own THEN n ELSE 0 END) AS BIGINT) AS unique_occurrences, count(DISTINCT doc_id) AS documents,
+  array_to_string(list_slice(list_sort(coalesce(list(DISTINCT lemma) FILTER (own), [])), 1, 10), '; ') AS unique_samples,
+  array_to_string(list_slice(list_sort(coalesce(list(DISTINCT lemma) FILTER (NOT own), [])), 1, 10), '; ') AS shared_samples FROM d GROUP BY rule""",
     "term_evidence": """
 WITH words AS (SELECT doc_id, unnest(string_split_regex(lower(trim(text)), '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM documents),
 t AS (SELECT unnest(['the', 'une', 'nowhere', 'DER']) AS cs),

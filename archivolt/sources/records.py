@@ -35,6 +35,36 @@ def record_lines(frame: DataFrame) -> DataFrame:
     return kept.unionByName(body)
 
 
+def empty_records(frame: DataFrame) -> DataFrame:
+    """(doc_id): records with neither lines nor a text, which can't be read."""
+    blank = F.trim(F.coalesce("content.text", F.lit(""))) == ""
+    return frame.where(blank & (F.size(F.coalesce("lines", F.array().cast(frame.schema["lines"].dataType))) <= 0)).select("doc_id")
+
+
+def taxonomy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The frames of a configuration file: themes (theme, priority, in_prompt), maps and labels (rule, ...), notes (rule,
+    status), covers (rule), tie_break (pos, theme). Keys of rules are in canonical form; other keys are no themes."""
+    text = spark.read.text(path, wholetext=True)
+    top = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("theme", "raw"))
+    settings = text.select(F.get_json_object("value", "$._settings").alias("s"), F.get_json_object("value", "$._exclusions").alias("x"))
+    listed = lambda at: settings.select(F.posexplode(F.from_json(F.get_json_object("s", at), "array<string>")).alias("pos", "value"))
+
+    def ruled(name: str, kind: str, value: str) -> DataFrame:
+        pairs = settings.select(F.explode(F.from_json(F.get_json_object("s", f"$.{name}"), "map<string,string>")).alias("k", value))
+        return pairs.select(F.concat(F.lit(f"{kind}:"), "k").alias("rule"), value)
+
+    theme = F.from_json("raw", "priority int, in_prompt boolean")
+    notes = settings.select(F.explode(F.from_json("x", "map<string,struct<status:string,reason:string>>")).alias("k", "n"))
+    return {
+        "themes": top.where(~F.startswith("theme", F.lit("_"))).select("theme", F.coalesce(theme["priority"], F.lit(0)).alias("priority"), theme["in_prompt"].alias("in_prompt")),
+        "maps": ruled("heslar_map", "heslar", "theme").union(ruled("teater_branch_map", "teater", "theme")),
+        "labels": ruled("heslar_labels", "heslar", "label").union(ruled("teater_branch_labels", "teater", "label")),
+        "notes": notes.where(~F.startswith("k", F.lit("_"))).select(exclusion_key(F.col("k")).alias("rule"), "n.status", "n.reason"),
+        "covers": listed("$.geo_guardrail.covers").select(F.col("value").alias("rule")),
+        "tie_break": listed("$.tie_break").select("pos", F.col("value").alias("theme")),
+    }
+
+
 def run_picks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(picks, unreadable) of run folders ``path``/<run>/*_enriched.json: run, file_id, page, line, category, confidence,
     supported, file, pos. Supported: the category shares a word stem with the line's text or keywords."""

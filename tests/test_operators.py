@@ -186,6 +186,27 @@ def test_deep_trees_and_page_breaks():
     assert [r[2] for r in trees.xml_rows(blocks)] == ["two", "three"]
 
 
+def test_taxonomy_and_empty_records(spark, tmp_path):
+    text = """{"_settings": {"heslar_map": {"a": "Sites", "b": "__exclude__"}, "teater_branch_map": {"7": "Finds"}, "heslar_labels": {"a": "A"},
+      "tie_break": ["Sites", "Finds"], "geo_guardrail": {"active": true, "covers": ["heslar:b"]}},
+      "_exclusions": {"teater 7": {"status": "decided", "reason": "r"}, "_note": {}}, "Sites": {"priority": 3, "in_prompt": false}, "Finds": {}}"""
+    (tmp_path / "c.json").write_text(text)
+    got = R.taxonomy(spark, f"file://{tmp_path}/c.json")
+    rows = {k: sorted(tuple(r) for r in df.collect()) for k, df in got.items()}
+    assert rows == {
+        "themes": [("Finds", 0, None), ("Sites", 3, False)], "maps": [("heslar:a", "Sites"), ("heslar:b", "__exclude__"), ("teater:7", "Finds")],
+        "labels": [("heslar:a", "A")], "notes": [("teater:7", "decided", "r")], "covers": [("heslar:b",)], "tie_break": [(0, "Sites"), (1, "Finds")],
+    }
+    frame = spark.createDataFrame([("x", [], (" ",)), ("y", [("1",)], None), ("z", None, ("t",)), ("w", None, None)], "doc_id string, lines array<struct<text:string>>, content struct<text:string>")
+    assert sorted(r.doc_id for r in R.empty_records(frame).collect()) == ["w", "x"]
+
+
+def test_folded_runs_have_all_components(spark):
+    logs = "run string, processed long, skipped long, start int, `end` int, stage string, failed boolean, components array<string>"
+    got = one(records.fold_runs(spark.createDataFrame([("r", 1, 0, 1, 2, "a", False, ["x", "y"]), ("r", 2, 1, 2, 5, "b", True, ["y", "z"])], logs), "run"))
+    assert (got.processed, got.first_stage, got.last_stage, got.any_failed, list(got.components)) == (3, "a", "b", True, ["x", "y", "z"])
+
+
 def test_parents(spark):
     terms = spark.createDataFrame([(1, "f", [("t", "10")]), (2, "f", [("t", "20"), ("a", "7")]), (3, "f", [("a", "8")])], "pos int, theme string, ids array<struct<source:string,id:string>>")
     near = spark.createDataFrame([("f", "20", "10")], "theme string, id string, ancestor string")

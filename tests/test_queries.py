@@ -91,6 +91,30 @@ def _check_mmr_keywords(got, sf_dir):
         assert found[label] == chosen
 
 
+def _check_chunk_keywords(got, sf_dir):
+    from archivolt.plans.text_plans import stub_vectors
+
+    best = collections.defaultdict(dict)
+    for r in _rows(sf_dir, "conversations", "conv_id", "text"):
+        words = re.findall("[A-Za-z]+", r["text"] or "")
+        starts = [0] if 0 < len(words) <= 12 else range(0, len(words), 10)
+        for a in starts:
+            own = words[a : a + 12]
+            phrases = list(dict.fromkeys(" ".join(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1)))
+            v = stub_vectors([" ".join(own), *phrases])
+            v = v / np.linalg.norm(v, axis=1, keepdims=True)
+            near, like, taken = v[1:] @ v[0], v[1:] @ v[1:].T, []
+            while len(taken) < min(4, len(phrases)):
+                value = near if not taken else 0.5 * near - 0.5 * like[:, taken].max(1)
+                taken.append(max((i for i in range(len(phrases)) if i not in taken), key=lambda i: value[i]))
+            for i in taken:
+                old = best[r["conv_id"]].get(phrases[i], -9.0)
+                best[r["conv_id"]][phrases[i]] = max(old, round(float(near[i]), 6))
+    want = {(d, k, p, s) for d, own in best.items() for k, (p, s) in enumerate(sorted(own.items(), key=lambda x: (-x[1], x[0]))[:4], 1)}
+    have = {(r.doc_id, r["rank"], r.keyword, r.score) for r in got}
+    assert len(have & want) >= 0.95 * len(want) and len(have) == len(want)  # phrases of the same words tie up to the last bit
+
+
 def _check_collision_review(got, sf_dir):
     by = collections.defaultdict(set)
     for r in _rows(sf_dir, "part", "p_name", "p_type"):
