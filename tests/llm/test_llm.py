@@ -597,6 +597,31 @@ def test_base_patterns_are_those_of_the_contract():
         assert pii.base_spans(t) == sorted(want, key=lambda x: (x[0], x[2]))
 
 
+def test_results_are_the_same_beyond_the_broadcast_limits(spark, monkeypatch):
+    line = " ".join(words(12, 1))
+    mails = [f"write to boss{i}@firm.org about Falcon{i} today\n{line}" for i in range(5)]
+    texts = [*ODD, *mails, *(f"{' '.join(words(40, 100 + i))}\n{line}" for i in range(8)), *(" ".join(words(40, 100)) for _ in range(3))]
+    df = frame(spark, texts)
+    labels = df.where("doc_id % 2 = 0").select("doc_id")
+
+    def results():
+        return [
+            sorted(map(str, found.collect()))
+            for found in (
+                line_rules.line_quality(df, min_documents=2, with_text=True),
+                near_duplicates.near_duplicates(df),
+                pii.sanitise(df, generalise_at=0.3, remove_at=0.8),
+                quality_model.classify(df, labels).select("doc_id", "n_bytes", F.round("perplexity", 3), "trusted", "kept"),
+            )
+        ]
+
+    within = results()
+    assert not any("Falcon0" in r for r in within[2])
+    for module, name in ((line_rules, "BROADCAST_LINES"), (near_duplicates, "BROADCAST_IDS"), (pii, "BROADCAST_TERMS"), (quality_model, "BROADCAST_IDS")):
+        monkeypatch.setattr(module, name, -1)
+    assert results() == within
+
+
 def test_text_bytes_takes_slices_and_nulls():
     col = pa.array(["ab", None, "č", "d"])
     data, off = text_bytes(col.slice(1, 3))
