@@ -48,4 +48,66 @@ o AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN o USING (doc_id)"""
 
+_INTEGERS = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _rounds(n: int) -> str:
+    """Assignment a0 by the centroids c0, centroids c1 by their means, and so on to a``n``."""
+    out = []
+    for i in range(n + 1):
+        square = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+        out.append(
+            f"d{i} AS MATERIALIZED (SELECT v.r, c.c, CAST({square} AS BIGINT) AS d FROM v, c{i} c),"
+            f"a{i} AS MATERIALIZED (SELECT r, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"
+        )
+        if i < n:
+            mean = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+            out.append(
+                f"s{i} AS (SELECT c, j, sum(x[j]) AS s, count(*) AS n FROM a{i} JOIN v USING (r), range(1, 65) t(j) GROUP BY c, j),"
+                f"m{i} AS (SELECT c, list({mean} ORDER BY j) AS x FROM s{i} GROUP BY c),"
+                f"c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN m{i} m USING (c))"
+            )
+    return ",".join(out)
+
+
+CENTROIDS = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, {_INTEGERS} AS x, row_number() OVER () AS r FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS c, x FROM v ORDER BY c LIMIT 40),
+{_rounds(5)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c5.x, ',')) AS centroid_sha256 FROM a5 a JOIN v USING (r) JOIN c5 ON c5.c = a.c"""
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _p(count: str, total: str, kept: str) -> str:
+    return f"1 + (CAST(1000000000 AS HUGEINT) * ({count} + 5)) // ({total} + 5 * {kept})"
+
+
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_FOLDED}, '{_TERM}') AS w FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+o AS MATERIALIZED (SELECT r, lang, source, t, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS t FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, t, sum(n) AS n FROM o GROUP BY lang, t HAVING count(*) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, t, sum(o.n) AS n FROM o JOIN k USING (lang, t) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+p AS MATERIALIZED (SELECT lang, g.source, k.t, coalesce(c.n, 0) AS n, {_p("coalesce(c.n, 0)", "coalesce(s.n, 0)", "l.v")} AS p, {_p("k.n", "l.n", "l.v")} AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, t)),
+e AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(e.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN e ON e.lang = a.lang AND e.source = a.source AND e.item = b.source),
+y AS (SELECT lang, source, 'term' AS part, t AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+z AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM x UNION ALL SELECT * FROM y))
+SELECT * FROM z WHERE part = 'pair' OR rank <= 50"""
+
+TOP_SEARCH = f"""
+WITH v AS (SELECT vec_id, {_INTEGERS} AS x, row_number() OVER () AS r FROM embeddings WHERE {_FINITE}),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.x) = len(b.x))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5"""
+
 ORACLES = {"op1_line_quality": LINE_QUALITY, "op9_near_duplicates": NEAR_DUPLICATES, "op10_decontamination": DECONTAMINATION}
+ORACLES |= {"op11_centroids": CENTROIDS, "op12_divergence": DIVERGENCE, "op13_top_search": TOP_SEARCH}

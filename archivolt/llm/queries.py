@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import decontamination, line_rules, near_duplicates, oracles, pii, piece_codec, quality_model, secret_scan, sharding, token_files, warc
+from archivolt.llm import (
+    centroids,
+    decontamination,
+    divergence,
+    line_rules,
+    near_duplicates,
+    oracles,
+    pii,
+    piece_codec,
+    quality_model,
+    secret_scan,
+    sharding,
+    token_files,
+    top_search,
+    warc,
+)
 from archivolt.llm._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +113,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors of 64 components after five rounds of Lloyd with 40 centroids."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of every language by divergence from each other, and the terms that mark them in their language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_top_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of highest inner product for every row whose id is divisible by 50, among all rows."""
+    return top_search.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     """Name to callable."""
     return {
@@ -111,6 +141,9 @@ def queries() -> dict[str, Query]:
         "op8_warc_derivatives": op8_warc_derivatives,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_decontamination": op10_decontamination,
+        "op11_centroids": op11_centroids,
+        "op12_divergence": op12_divergence,
+        "op13_top_search": op13_top_search,
     }
 
 
