@@ -12,8 +12,8 @@ Words are lower-cased (A-Z) runs between ASCII white space; a document's set is
    probability below 1e-6 and drops nearly all pairs under 0.65. What is left is confirmed on the full sets.
 4. Links are closed to components: up to ``ONE_TASK_LINKS`` by union-find in one task, more by alternating star contraction.
    Buckets whose members still lie in different components are completed: the members outside the bucket's largest
-   component meet every member of another component. A bucket is cut into a grid of blocks of some ``BLOCK`` members on
-   either side, each cell a group of bounded size. First only ids, sizes and sketches are moved, and members that have any
+   component meet every member of another component. A bucket is cut into a grid, blocks of some ``BLOCK`` outsiders by blocks
+   of as many members, each cell a group of bounded size; few outsiders give few columns, and few copies of the members. First only ids, sizes and sketches are moved, and members that have any
    close sketch of fitting size among the others are named. Then these alone are moved with their full sets, in cells
    bounded by their sizes too, and sets are compared there: a member against all others of its cell at once, and of the links
    found only those that connect components still apart become rows, so their number is linear in the members.
@@ -26,8 +26,13 @@ The cost of step 4 grows with (members outside the largest component) x (members
 of many documents that share four samples but are no near copies, that is quadratic in comparisons (about 0.1 microseconds
 each, spread over the grid's cells), not in rows or in memory.
 
+Classes of equal word sequences have numbers of their own, so that rows which share an id but not a text are linked each by
+its own text; an edge between the classes of one id then joins their components. With ``rows`` the texts' own components, without
+these edges, choose the survivors, so that no text goes because its id has another one.
+
 Defined results: null or empty texts have an empty set, link with nothing and are kept. Rows that share an id count as
-one document, and each is returned. Rows with a null id link with nothing: component_id null, kept true.
+one document for ``component_id`` and ``kept``, and each is returned. Rows with a null id link with nothing: component_id null,
+kept true.
 """
 
 from __future__ import annotations
@@ -121,7 +126,7 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(id, text) to (id, n_shingles, key, bands); no bands without shingles."""
+    """(id, th, text) to (id, th, n_shingles, key, bands); no bands without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +138,10 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 ends = np.zeros(b - a + 1, np.int32)
                 ends[full + 1] = BANDS
                 bands = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(signed(band_hashes(minima)).ravel()))
-                columns = [batch.column("id")[a:b], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), bands]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "key", "bands"])
+                columns = [batch.column("id")[a:b], batch.column("th")[a:b], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), bands]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "th", "n_shingles", "key", "bands"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, key binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, th long, n_shingles long, key binary, bands array<long>")
 
 
 def _members(docs: DataFrame) -> DataFrame:
@@ -334,12 +339,25 @@ def _cell_links(table: pa.Table, threshold: tuple[int, int]) -> list[tuple[int,
 _CELL = ["bucket", "bx", "by"]
 
 
+def _grid(outside: Column, members: Column, grams: Column | None, block: int) -> list[Column]:
+    """How many blocks of outsiders and of members a bucket's grid has: aggregates by bucket."""
+
+    def blocks(mask: Column, name: str) -> Column:
+        n = F.count_if(mask) / block
+        size = n if grams is None else F.greatest(n, F.sum(F.when(mask, grams)) / CELL_GRAMS)
+        return F.greatest(F.ceil(size), F.lit(1)).cast("int").alias(name)
+
+    return [blocks(outside, "across"), blocks(members, "down")]
+
+
 def _cells(inside: DataFrame, columns: list[str]) -> DataFrame:
-    """Members with bucket, label, major and blocks, once for each cell of their bucket's grid and side on which they stand."""
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    x = inside.where("label <> major").select("*", own.alias("bx")).select("*", every.alias("by"), F.lit(True).alias("outside"))
-    y = inside.select("*", own.alias("by")).select("*", every.alias("bx"), F.lit(False).alias("outside"))
+    """Members with bucket, label, major, across and down, once for each cell of their bucket's grid and side on which they
+    stand: outsiders in a column of cells, all members in a row of them."""
+    place = F.xxhash64("id")
+    x = inside.where("label <> major").select("*", F.pmod(place, F.col("across")).cast("int").alias("bx"))
+    x = x.select("*", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("by"), F.lit(True).alias("outside"))
+    y = inside.select("*", F.pmod(place, F.col("down")).cast("int").alias("by"))
+    y = y.select("*", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("bx"), F.lit(False).alias("outside"))
     columns = [*_CELL, "outside", "id", "label", *columns]
     return x.select(*columns).union(y.select(*columns))
 
@@ -347,7 +365,7 @@ def _cells(inside: DataFrame, columns: list[str]) -> DataFrame:
 def _completing_links(placed: DataFrame, open_: DataFrame, members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
     """(a, b): links between members that share an open bucket and lie in different components.
 
-    ``placed``: bucket, id, label; ``open_``: bucket, major, hub, blocks.
+    ``placed``: bucket, id, label; ``open_``: bucket, major, hub, across, down.
     """
     members = members.dropDuplicates(["id"])
     inside = written(placed.join(open_, "bucket").where("id <> hub").drop("hub"), "inside")
@@ -358,9 +376,9 @@ def _completing_links(placed: DataFrame, open_: DataFrame, members: DataFrame, t
 
     sketches = inside.join(members.select("id", "n", "sketch"), "id")
     close = _cells(sketches, ["n", "sketch"]).groupBy(*_CELL).applyInArrow(near, "bucket long, id long").distinct()
-    close = written(inside.drop("blocks").join(close, ["bucket", "id"]).join(members.select("id", "n"), "id"), "close_members")
-    grid = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / CELL_GRAMS)).cast("int").alias("blocks")
-    full = close.join(close.groupBy("bucket").agg(grid), "bucket").join(members.select("id", "sketch", "grams"), "id")
+    close = written(inside.drop("across", "down").join(close, ["bucket", "id"]).join(members.select("id", "n"), "id"), "close_members")
+    grid = _grid(F.col("label") != F.col("major"), F.lit(True), F.col("n"), block)
+    full = close.join(close.groupBy("bucket").agg(*grid), "bucket").join(members.select("id", "sketch", "grams"), "id")
 
     def compare(table: pa.Table) -> pa.Table:
         links = _cell_links(table, threshold)
@@ -369,32 +387,52 @@ def _completing_links(placed: DataFrame, open_: DataFrame, members: DataFrame, t
     return _cells(full, ["n", "sketch", "grams"]).groupBy(*_CELL).applyInArrow(compare, "a long, b long").distinct()
 
 
+def _id_edges(classes: DataFrame) -> DataFrame | None:
+    """(a, b): edges between the classes of rows that share an id; None where no id has two."""
+    ends = classes.groupBy("id").agg(F.min("cid").alias("b"), F.max("cid").alias("last")).where("b < last").select("id", "b")
+    shared = written(ends, "shared_ids")
+    if shared.isEmpty():
+        return None
+    return classes.join(shared, "id").select(F.col("cid").alias("a"), "b").where("a <> b").distinct()
+
+
+def _with_smallest(labels: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(cid, rep, top) of every class in a component of two or more: the smallest id of the component, and its class."""
+    ends = labels.select(F.col("id").alias("cid"), "label").union(labels.select("label", "label")).distinct()
+    named = written(ends.join(firsts.select("cid", "rep"), "cid"), "labelled")
+    least = named.groupBy("label").agg(F.min(F.struct("rep", "cid")).alias("least"))
+    return named.select("cid", "label").join(least, "label").select("cid", F.col("least.rep").alias("component"), F.col("least.cid").alias("top"))
+
+
 def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (75, 100), block: int = BLOCK
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (75, 100), block: int = BLOCK, rows: bool = False
 ) -> DataFrame:
     """One row per document: id, n_shingles (set size), component_id (smallest id reachable over links), kept.
 
-    Other columns of ``docs``, whatever their names, are not read. Ids must be numbers that fit a long. A very long text is
-    one vectorised step of its own (some 40 bytes of memory for each of its bytes).
+    With ``rows`` also text_hash (xxhash64 of the text) and survives: true for the rows of one id and one text in each component of
+    texts, and for all that link with nothing. Other columns of ``docs``, whatever their names, are not read. Ids must be
+    numbers that fit a long. A very long text is one vectorised step of its own (some 40 bytes of memory for each of its bytes).
     """
     ship(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     signed_docs = written(_signatures(source), "signatures")
     some = signed_docs.where("id is not null and n_shingles > 0")
-    first = some.groupBy("key").agg(F.min("id").alias("rep"))
-    classes = some.select("id", "n_shingles", "key").join(first, "key").select("id", "n_shingles", "rep")
+    first = some.groupBy("key").agg(F.min(F.struct("id", "th")).alias("m"))
+    firsts = written(first.select("key", F.col("m.id").alias("rep"), F.col("m.th").alias("rep_th"), F.monotonically_increasing_id().alias("cid")), "classes")
+    classes = written(some.select("id", "th", "n_shingles", "key").join(firsts, "key").drop("key"), "documents_of_classes")
 
     # buckets of two classes or more
-    banded = some.select("id", "key", "bands").join(first, "key").where("id = rep").select("id", F.explode("bands").alias("bucket"))
+    one = (F.col("id") == F.col("rep")) & (F.col("th") == F.col("rep_th"))
+    banded = some.select("id", "th", "key", "bands").join(firsts, "key").where(one).select(F.col("cid").alias("id"), F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = written(banded.join(sizes, "bucket").select("bucket", "id", "n").distinct(), "buckets")
     degrees = buckets.groupBy("id").agg(F.sum("n").alias("degree"))
     central = buckets.join(degrees, "id").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"))).alias("top"))
     hubs = written(central.select("bucket", (-F.col("top.neg")).alias("hub")), "hubs")
 
-    ids = buckets.select("id").distinct()
+    ids = written(buckets.select(F.col("id").alias("cid")).distinct().join(firsts, "cid").select("cid", F.col("rep").alias("id"), F.col("rep_th").alias("th")), "chosen")
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    members = written(_members(source.join(chosen, "id", "left_semi")), "members")
+    members = written(_members(source.join(chosen, ["id", "th"]).select(F.col("cid").alias("id"), "text")), "members")
 
     ordered = [F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")]
     pairs = buckets.join(hubs, "bucket").where("id <> hub").select(*ordered).distinct()
@@ -405,19 +443,26 @@ def near_duplicates(
     placed = buckets.join(labels, "id", "left").select("bucket", "id", label)
     tally = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     major = F.max(F.struct("n", "label")).getField("label").alias("major")
-    open_ = tally.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), major).where("labels > 1 and n > 2")
-    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "open")
+    open_ = tally.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count(F.lit(1)).alias("labels"), major).where("labels > 1 and n > 2")
+    across, down = F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("across"), F.ceil(F.col("n") / block).cast("int").alias("down")
+    open_ = written(open_.join(hubs, "bucket").select("bucket", "major", "hub", across, down), "open")
     if not open_.isEmpty():
         more = written(_completing_links(placed, open_, members, threshold, block), "more_links")
         if not more.isEmpty():
             labels = components(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
         drop_written(more)
-    drop_written(buckets, hubs, open_, members)
-
-    ends = labels.select(F.col("id").alias("rep"), "label")
-    linked = classes.join(ends, "rep", "left").select("id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
-    alone = signed_docs.where("id is null or n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
-    out = linked.union(alone)
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    drop_written(buckets, hubs, open_, members, ids)
+
+    edges = _id_edges(classes)
+    whole = labels if edges is None else components(edges.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
+    linked = classes.join(_with_smallest(whole, firsts).drop("top"), "cid", "left").withColumn("component_id", F.coalesce("component", "rep")).drop("component")
+    if rows:
+        linked = linked.join(_with_smallest(labels, firsts).select("cid", "top"), "cid", "left")
+        linked = linked.withColumn("survives", one & (F.coalesce("top", "cid") == F.col("cid")))
+    else:
+        linked = linked.withColumn("survives", F.lit(True))
+    columns = ["id", "th", "n_shingles", "component_id", "survives"]
+    alone = signed_docs.where("id is null or n_shingles = 0").select("id", "th", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("survives"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    more = [F.col("th").alias("text_hash"), "survives"] if rows else []
+    return linked.select(*columns).union(alone.select(*columns)).select(F.col("id").alias(id_col), "n_shingles", "component_id", kept, *more)

@@ -59,11 +59,10 @@ def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
 class _Side:
     """Rows of one side of a cell: vectors, ids, rows, norms and the features of each level."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, dims: int):
         self.row, self.id = table["row"].to_numpy(), table["id"].combine_chunks()
         self.known = ~self.id.is_null().to_numpy(zero_copy_only=False)
         self.order = self.id.fill_null(0).to_numpy()
-        dims = table["dims"][0].as_py() if len(table) else 0
         self.v = table["v"].combine_chunks().flatten().to_numpy().reshape(len(table), dims)
         self.norm = np.sqrt((self.v.astype(np.float64) ** 2).sum(1))
         self.features = [segment_features(self.v, s) for s in LEVELS]
@@ -137,7 +136,8 @@ def exact_top_k(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int =
     both = cells(asked, "qx", across, "cy", down, True).unionByName(cells(candidates, "cy", down, "qx", across, False))
 
     def search(table: pa.Table) -> pa.Table:
-        x, y = (_Side(table.filter(m)) for m in (table["asks"], pa.compute.invert(table["asks"])))
+        dims = table["dims"][0].as_py()
+        x, y = (_Side(table.filter(m), dims) for m in (table["asks"], pa.compute.invert(table["asks"])))
         i, j, score = _best(x, y, k)
         return pa.table({"query": pa.array(x.row[i]), "query_id": x.id.take(pa.array(i)), "id": y.id.take(pa.array(j)), "row": pa.array(y.row[j]), "score": pa.array(score)})
 

@@ -6,8 +6,10 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -18,6 +20,7 @@ from archivolt.llm._common import text_bytes
 from archivolt.llm.queries import tokenizer_path
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -143,12 +146,37 @@ def test_cells_of_a_bucket_find_every_link(spark):
                 a, b = want[i], want[j]
                 want = {k: min(a, b) if v in (a, b) else v for k, v in want.items()}
     for blocks in (1, 4):
-        open_ = spark.createDataFrame([(7, n - 1, 10**9, blocks)], "bucket long, major long, hub long, blocks int")
+        open_ = spark.createDataFrame([(7, n - 1, 10**9, blocks, blocks)], "bucket long, major long, hub long, across int, down int")
         links = near_duplicates._completing_links(placed, open_, members, (75, 100), 64 // blocks)
         found = {i: i for i in range(n)} | {r.id: r.label for r in near_duplicates.components(links).collect()}
         assert found == want and links.count() < 3 * n * blocks
 
 
+def test_few_outsiders_give_few_copies(spark):
+    """Rows that leave a bucket grow with its members, not with their square."""
+    for n in (2048, 32768):
+        inside = spark.range(n).selectExpr("7L as bucket", "id", "if(id = 5, 1L, 0L) as label", "0L as major")
+        grid = near_duplicates._grid(F.col("label") != F.col("major"), F.lit(True), None, near_duplicates.BLOCK)
+        cells = near_duplicates._cells(inside.join(inside.groupBy("bucket").agg(*grid), "bucket"), [])
+        assert cells.count() == n + n // near_duplicates.BLOCK
+
+
+CLASHING = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "p q r s t u v w"), (4, "p q r s t u v w"), (3, "other words stand here alone now")]
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    df = spark.createDataFrame([(i, t, "en", "h", len(t)) for i, t in CLASHING], SCHEMA)
+    got = near_duplicates.near_duplicates(df, rows=True).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (4, 1, False), (3, 3, True)}
+    assert sorted(r.doc_id for r in got if r.survives) == [1, 2, 3]
+    for rows in (CLASHING, CLASHING[::-1], CLASHING + [(None, "p q r s t u v w"), (9, None), (9, ""), (5, CLASHING[3][1].upper())]):
+        df = spark.createDataFrame([(i, t, "en", "h", 1) for i, t in rows], SCHEMA)
+        left = [(r.doc_id, r.text) for r in corpus_pipeline.dedup(spark, df, SF).collect()]
+        assert [x for x in left if x[0] in (1, 2, 3, 4, 5)] != [] and collections.Counter(t for i, t in left if i is not None and t) == dict.fromkeys({t for _, t in CLASHING}, 1)
+        assert sum(not i or not t for i, t in left) == sum(not i or not t for i, t in rows)
+    assert corpus_pipeline.dedup(spark, df.where("false"), SF).count() == 0
+
+
 def test_near_duplicates_empty_null_and_repeated(spark):
     df = frame(spark, ["p q r s t u"] * 2)
     df = df.union(df.limit(1)).union(spark.createDataFrame([(None, "p q r s t u", "en", "h", 1)], SCHEMA))
@@ -364,6 +392,19 @@ def test_secrets(spark):
     assert secret_scan.scan_secrets(df.where("false")).count() == 0
 
 
+def test_many_secrets_in_one_text_take_near_linear_time(spark):
+    """Spans of four times as many matches, each beside a candidate that overlaps none, take no sixteen times as long."""
+    seconds = {}
+    for n in (8000, 8000, 32000):
+        text = " ".join(f"token=abcd{i:06d} {hashlib.sha512(str(i).encode()).hexdigest().upper()[:30]}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        got = secret_scan.scan(df, "doc_id", "text").select(F.size("assign"), F.size("runs"), F.col("assign")[n - 1]["e"]).first()
+        seconds[n] = time.perf_counter() - begin
+        assert tuple(got) == (n, n, len(text) - 31)
+    assert seconds[32000] < 8 * seconds[8000]
+
+
 def test_reported_secrets_are_seldom_plain(spark):
     r = random.Random(11)
     every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
