@@ -26,11 +26,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of every group of near duplicates."""
-    out = written(near_duplicates.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dropped")
+    """Keeps one text, with the smallest id, of every group of near-duplicate texts; rows go by id and text, so that a text
+    never goes because its id has another one."""
+    found = near_duplicates.near_duplicates(docs, rows=True).where("not survives")
+    out = written(found.select(F.col("doc_id").alias("__av_id"), F.col("text_hash").alias("__av_th")).distinct(), "dropped")
     if out.count() <= near_duplicates.BROADCAST_IDS:
         out = F.broadcast(out)
-    return docs.join(out, "doc_id", "left_anti").select(*COLUMNS)
+    same = (F.col("doc_id").cast("long") == F.col("__av_id")) & (F.xxhash64("text") == F.col("__av_th"))
+    return docs.join(out, same, "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
