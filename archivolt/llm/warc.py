@@ -11,30 +11,33 @@ so the time is linear in the page. Reading takes whole files from Spark's binary
 makes one file for each partition, and only files that the manifest names count.
 
 Defined results: a null page is an empty payload, whose text is empty; a null URL leaves the target URI out. A response
-without an HTTP header is all payload. Chunked and gzip or deflate bodies are decoded for the text, as far as they can be;
-digests are of the payload as it stands. The text is decoded by the header's charset, else as UTF-8, with replacement. A
-payload that is text but not HTML is its own text, one that is no text has an empty one. Repeated pages give repeated
-records; no pages give none; other columns are carried only where asked for. Malformed markup never fails: an open comment,
-script or style runs to the end; a ``<`` that begins no tag is text, as is a tag that another ``<`` or the page's end cuts off.
+without an HTTP header is all payload. Chunked and gzip or deflate bodies are decoded for the text up to where they are
+damaged; a body that only claims a coding is taken as it stands, and one in another coding has no text. Digests are of the
+payload as it stands. The text is decoded by the header's charset, else, or where that is no charset of texts, as UTF-8, with
+replacement. A payload that is text but not HTML is its own text, one that is no text has an empty one. Repeated pages give
+repeated records; no pages give none; other columns are carried only where asked for. Malformed markup never fails: an open
+comment, script or style runs to the end; a ``<`` that begins no tag is text, as is a tag that another ``<`` or the page's end
+cuts off; of attributes with one name the first counts. In a file, a record without a length or cut off and a damaged gzip
+member are problems, which ``read_problems`` lists; what stands behind them is read from the next record on.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from archivolt.llm._common import ship
+from archivolt.llm._common import check_store, open_store, ship
 
 CRLF = b"\r\n"
 _BATCH_BYTES = 4 << 20
@@ -47,8 +50,10 @@ BLOCKS = frozenset(
 SILENT = frozenset("script style noscript template".split())
 _NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9]*)")
 _STOP = re.compile(r"[<>\"']")
-_ATTRIBUTE = r"(?:^|[\s\"'/]){}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-_HREF, _LANG = (re.compile(_ATTRIBUTE.format(n), re.I) for n in ("href", "lang"))
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?|\"[^\"]*\"|'[^']*'")
+#: Codecs that are no charset of texts.
+_NO_CHARSET = frozenset("idna punycode undefined unicode_escape raw_unicode_escape".split())
+_MAGIC = b"\x1f\x8b\x08"
 _BREAKS = re.compile(r"[\n\r\x0b\x0c\x85\u2028\u2029]")
 
 
@@ -111,6 +116,15 @@ def _find_close(page: str, name: str, at: int) -> int:
     return m.start() if m else -1
 
 
+def attribute(content: str, name: str) -> str | None:
+    """The value of a tag's first attribute of that name, if it has one; text within quoted values is never an attribute."""
+    for m in _ATTRIBUTE.finditer(content):
+        if m[1] and m[1].lower() == name:
+            value = next((v for v in m.groups()[1:] if v is not None), None)
+            return None if value is None else html.unescape(value)
+    return None
+
+
 def read_page(page: str) -> tuple[str, str | None, str | None, list[str]]:
     """A page's text (entities resolved, a line for each block, no blank lines), its title, language and links."""
     parts, links, title, own, language = [], [], None, None, None
@@ -127,10 +141,10 @@ def read_page(page: str) -> tuple[str, str | None, str | None, list[str]]:
                 own = []
             elif kind == "close" and own is not None:
                 title, own = _clean(html.unescape("".join(own))), None
-        elif kind == "open" and name == "a" and (m := _HREF.search(content)):
-            links.append(html.unescape(m[1] or m[2] or m[3] or ""))
-        elif kind == "open" and name == "html" and language is None and (m := _LANG.search(content)):
-            language = (m[1] or m[2] or m[3] or "").strip().lower() or None
+        elif kind == "open" and name == "a" and (link := attribute(content, "href")) is not None:
+            links.append(link)
+        elif kind == "open" and name == "html" and language is None:
+            language = (attribute(content, "lang") or "").strip().lower() or None
     lines = (" ".join(line.split()) for line in _BREAKS.split(html.unescape("".join(parts))))
     return "\n".join(line for line in lines if line), title, language, links
 
@@ -164,14 +178,14 @@ def _clean(value: str) -> str:
     return " ".join(value.split())
 
 
+_SIZE = re.compile(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;.*)?", re.S)
+
+
 def dechunked(body: bytes) -> bytes:
     """A chunked body's content, as far as it is well formed; a body that isn't chunked stays."""
     out, at = [], 0
-    while (end := body.find(CRLF, at)) >= 0:
-        try:
-            size = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
-            break
+    while (end := body.find(CRLF, at)) >= 0 and (m := _SIZE.fullmatch(body, at, end)):
+        size = int(m[1], 16)
         if not size:
             return b"".join(out)
         out.append(body[end + 2 : end + 2 + size])
@@ -179,24 +193,51 @@ def dechunked(body: bytes) -> bytes:
     return b"".join(out) if out else body
 
 
+def inflated(payload: bytes, coding: str) -> bytes:
+    """A gzip or deflate body's content up to where it is damaged; a body that doesn't begin as one stays."""
+    if coding != "deflate" and payload[:2] != _MAGIC[:2]:
+        return payload
+    out, rest = [], memoryview(payload)
+    while len(rest) and (coding == "deflate" or rest[:2] == _MAGIC[:2]):
+        stream = zlib.decompressobj(31 if coding != "deflate" else 15 if payload[:1] == b"\x78" else -15)
+        try:
+            for at in range(0, len(rest), 1 << 14):  # in steps, so that what comes before the damage stays
+                out.append(stream.decompress(rest[at : at + (1 << 14)]))
+                if stream.eof:
+                    break
+        except zlib.error:
+            break
+        if not stream.eof or coding == "deflate":
+            break
+        rest = rest[min(at + (1 << 14), len(rest)) - len(stream.unused_data) :]
+    return b"".join(out)
+
+
+def decoded_text(payload: bytes, charset: str | None) -> str:
+    """A payload as text, with replacement; as UTF-8 where the charset isn't known or none of texts."""
+    try:
+        name = codecs.lookup(charset or "utf-8").name
+        if name.replace("-", "_") not in _NO_CHARSET:
+            return payload.decode(name, "replace")
+    except (LookupError, ValueError):
+        pass
+    return payload.decode("utf-8", "replace")
+
+
 def decoded_payload(headers: list[tuple[str, str]], payload: bytes) -> tuple[str, bool]:
     """The payload as text, and whether it is markup; empty where it is no text."""
     own = {n.lower(): v for n, v in headers}
     if "chunked" in own.get("transfer-encoding", "").lower():
         payload = dechunked(payload)
-    if (coding := own.get("content-encoding", "").strip().lower()) in ("gzip", "x-gzip", "deflate"):
-        stream = zlib.decompressobj(47 if coding != "deflate" or payload[:1] == b"\x78" else -15)
-        try:
-            payload = stream.decompress(payload)
-        except zlib.error:
-            pass
+    coding = own.get("content-encoding", "").strip().lower()
+    if coding in ("gzip", "x-gzip", "deflate"):
+        payload = inflated(payload, coding)
+    elif coding not in ("", "identity"):
+        payload = b""
     kind, _, rest = own.get("content-type", "text/html").partition(";")
     kind = kind.strip().lower()
     charset = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", rest, re.I)
-    try:
-        text = payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        text = payload.decode("utf-8", "replace")
+    text = decoded_text(payload, charset[1] if charset else None)
     markup = "html" in kind or kind.endswith("xml") or not kind
     return (text, markup) if markup or kind.startswith("text/") else ("", False)
 
@@ -238,60 +279,121 @@ def serialise(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + "".join(f"{n}: {v}\r\n" for n, v in headers).encode() + CRLF + block + CRLF * 2
 
 
-def _members(data: memoryview, piece: int = 1 << 16) -> Iterator[bytes]:
-    """The members of a gzip file, one after another, in steps of ``piece`` bytes."""
-    at = 0
+def _members(data: memoryview, piece: int = 1 << 16) -> Iterator[tuple[int, bytes, str | None]]:
+    """(place, content, problem) of the members of a gzip file, one after another, in steps of ``piece`` bytes.
+
+    Behind a damaged member the next place is taken whose first bytes unpack to the beginning of a record.
+    """
+    whole, at = bytes(data) if not isinstance(data.obj, bytes) else data.obj, 0
     while at < len(data):
-        member, out = zlib.decompressobj(31), []
-        while at < len(data) and not member.eof:
-            out.append(member.decompress(data[at : at + piece]))
-            at += min(piece, len(data) - at)
-        at -= len(member.unused_data)
-        yield b"".join(out)
+        begin, member, out, problem = at, zlib.decompressobj(31), [], None
+        try:
+            while at < len(data) and not member.eof:
+                out.append(member.decompress(data[at : at + piece]))
+                at += min(piece, len(data) - at)
+            at -= len(member.unused_data)
+            problem = None if member.eof else "cut gzip member"
+        except zlib.error:
+            problem, at = "damaged gzip member", whole.find(_MAGIC, begin + 1)
+            while at >= 0 and not _begins_record(data[at : at + 512]):
+                at = whole.find(_MAGIC, at + 1)
+            at = len(data) if at < 0 else at
+        yield begin, b"".join(out), problem
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with names in lower case, block) of every record of a file, plain or one gzip member for each record."""
-    if data[:2] == b"\x1f\x8b":
-        for member in _members(memoryview(data)):
-            yield from parse_records(member)
-        return
+def _begins_record(start: memoryview) -> bool:
+    try:
+        return zlib.decompressobj(31).decompress(start, 5) == b"WARC/"
+    except zlib.error:
+        return False
+
+
+def _records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes, str | None]]:
+    """(place, headers, block, problem) of every record of a plain file."""
     at = 0
     while (start := data.find(b"WARC/", at)) >= 0:
-        end = data.index(CRLF * 2, start)
+        end = data.find(CRLF * 2, start)
+        if end < 0:
+            yield start, {}, b"", "cut record header"
+            return
         fields = (line.partition(":") for line in data[start:end].decode("utf-8", "replace").split("\r\n")[1:])
         headers = {n.strip().lower(): v.strip() for n, _, v in fields}
-        size = int(headers["content-length"])
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+        length = headers.get("content-length", "")
+        if not re.fullmatch("[0-9]{1,18}", length):
+            yield start, headers, b"", "record without a length"
+            at = end + 4
+        elif end + 4 + int(length) > len(data):
+            yield start, headers, b"", "cut record"
+            at = end + 4
+        else:
+            at = end + 4 + int(length)
+            yield start, headers, data[end + 4 : at], None
+
+
+def checked_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes, str | None]]:
+    """(place in the file, headers with names in lower case, block, problem) of every record of a file, plain or one gzip
+    member for each record; with a problem there is no block."""
+    if data[:2] == _MAGIC[:2]:
+        for begin, member, problem in _members(memoryview(data)):
+            if problem:
+                yield begin, {}, b"", problem
+            else:
+                yield from ((begin, *record) for _, *record in _records(member))
+    else:
+        yield from _records(data)
+
+
+def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers with names in lower case, block) of every whole record of a file."""
+    return ((headers, block) for _, headers, block, problem in checked_records(data) if problem is None)
 
 
 _RESPONSE = "record_id string, target_uri string, warc_date string, block binary"
+_PROBLEM = "file string, place long, record_id string, problem string"
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, target_uri, warc_date, block) of the response records of WARC files, by any path that Spark can read."""
+def _rows_of_files(spark: SparkSession, path: str, schema: str, rows_of: Callable[[str, bytes], Iterator[tuple]], weight: int | None) -> DataFrame:
+    """Rows that ``rows_of`` makes of every file, in batches of bounded size; ``weight`` is the column that has the bytes."""
     ship(spark)
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    kinds = [(f.name, {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}[f.dataType.simpleString()]) for f in T._parse_datatype_string(schema).fields]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [("record_id", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("block", pa.binary())]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
-            for content in batch.column("content"):
-                for h, block in parse_records(content.as_py()):
-                    if h.get("warc-type") == "response":
-                        rows.append((h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), block))
-                        size += len(block)
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                for row in rows_of(file, content.as_py()):
+                    rows.append(row)
+                    size += len(row[weight]) if weight is not None else 100
                     if size >= _BATCH_BYTES:
                         yield batch_of(rows)
                         rows, size = [], 0
         yield batch_of(rows)
 
-    return files.mapInArrow(run, _RESPONSE)
+    return files.mapInArrow(run, schema)
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(record_id, target_uri, warc_date, block) of the whole response records of WARC files, by any path that Spark can read."""
+
+    def responses(_: str, content: bytes) -> Iterator[tuple]:
+        for h, block in parse_records(content):
+            if h.get("warc-type") == "response":
+                yield h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), block
+
+    return _rows_of_files(spark, path, _RESPONSE, responses, 3)
+
+
+def read_problems(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, record_id, problem) of what ``read_responses`` leaves out of WARC files because it isn't whole."""
+
+    def problems(file: str, content: bytes) -> Iterator[tuple]:
+        return ((file, place, h.get("warc-record-id"), problem) for place, h, _, problem in checked_records(content) if problem)
+
+    return _rows_of_files(spark, path, _PROBLEM, problems, None)
 
 
 def responses_of_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str | None = None) -> DataFrame:
@@ -346,13 +448,14 @@ def derive_records(responses: DataFrame, carry: list[str] | None = None) -> Data
 def write_records(records: DataFrame, folder: str) -> list[tuple[str, int]]:
     """Writes records with headers and block as gzip members; returns (path, records) of every file that counts."""
     ship(records.sparkSession)
+    check_store(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, stream, n = f"{folder}/{uuid.uuid4().hex}.warc.gz", None, 0
         for batch in batches:
             for headers, block in zip(batch.column("headers").to_pylist(), batch.column("block").to_pylist(), strict=True):
                 if stream is None:
-                    fs, inner = pafs.FileSystem.from_uri(path)
+                    fs, inner = open_store(path)
                     fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                     stream = fs.open_output_stream(inner, compression=None)
                 member = zlib.compressobj(6, zlib.DEFLATED, 31)

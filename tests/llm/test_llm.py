@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
 import random
 import re
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from archivolt.llm import chunks, decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, queries, secret_scan, sharding, token_files, warc
+from archivolt.llm import _common, chunks, decontamination, line_rules, near_duplicates, pii, piece_codec, quality_model, queries, secret_scan, sharding, token_files, warc
 from archivolt.llm._common import text_bytes
 from archivolt.llm.queries import tokenizer_path
 
@@ -630,6 +631,109 @@ def test_bodies_are_decoded():
     assert {k: own for k, _, _, own in warc.derivatives("<r>", None, None, image)}["conversion"] == b""
 
 
+def response(body, **headers):
+    head = "".join(f"{n.replace('_', '-')}: {v}\r\n" for n, v in headers.items())
+    return b"HTTP/1.1 200 OK\r\n" + head.encode() + b"\r\n" + body
+
+
+def text_of(body, **headers):
+    return warc.decoded_payload(*warc.split_response(response(body, **headers)))[0]
+
+
+@pytest.mark.parametrize("body", [b"5\r\nhello\r\n-11\r\n", b"5\r\nhello\r\n+1\r\nx", b"5\r\nhello\r\n0x2\r\nab\r\n", b"5\r\nhello\r\n\r\n", b"5;x=y\r\nhello\r\n0\r\n\r\n", b"5\r\nhello\r\n1_0\r\n" + b"x" * 20])
+def test_chunk_sizes_are_hexadecimal_digits(body):
+    assert warc.dechunked(body) == b"hello"
+    assert text_of(body, Transfer_Encoding="chunked") == "hello"
+
+
+def test_odd_charsets_and_damaged_bodies():
+    for charset in ("idna", "undefined", "punycode", "unicode_escape", "hex", "rot13", "no-such", "utf-8\x00", "zlib"):
+        assert text_of("naïve \\x41".encode(), Content_Type=f"text/html; charset={charset}") == "naïve \\x41"
+    assert text_of("naïve".encode("latin-1"), Content_Type="text/html; charset=latin-1") == "naïve"
+    page = b"<p>" + b" ".join(hashlib.sha256(str(i).encode()).hexdigest().encode() for i in range(2000))
+    for coding, packed in (("gzip", gzip.compress(page)), ("deflate", zlib.compress(page)), ("deflate", zlib.compress(page)[2:-4])):
+        assert text_of(packed, Content_Encoding=coding) == page.decode()
+        for damaged in (packed[: len(packed) // 2], packed[: len(packed) // 2] + b"\xff" * 40 + packed[len(packed) // 2 :]):
+            got = text_of(damaged, Content_Encoding=coding)
+            assert page.decode().startswith(got[:20000]) and len(got) > 20000
+    assert text_of(gzip.compress(b"one ") + gzip.compress(b"two"), Content_Encoding="gzip") == "one two"
+    assert text_of(b"plain after all", Content_Encoding="gzip") == "plain after all"
+    assert text_of(b"\x1f\x8bnothing to unpack", Content_Encoding="gzip") == "" == text_of(b"\x0b\x02", Content_Encoding="br")
+
+
+def test_links_are_of_attributes_alone():
+    page = """<a title="see href=x" href="y">1</a><a title='href="z"'>2</a><a data-href=no HREF = yes href=twice>3</a><a x=href=w>4</a><html xml:lang="no" lang=" CS ">"""
+    assert warc.read_page(page)[2:] == ("cs", ["y", "yes"])
+    for piece in ("a ", "a =", '="', "a= ", "'\"", " \t"):
+        begin = time.perf_counter()
+        warc.attribute(piece * 200_000, "href")
+        assert time.perf_counter() - begin < 5
+
+
+def test_files_that_are_not_whole(spark, tmp_path):
+    def record(i, kind="response", **more):
+        body = response(f"page {i}".encode())
+        return warc.serialise([("WARC-Type", kind), ("WARC-Record-ID", f"<{i}>"), *more.items(), ("Content-Length", str(len(body)))], body)
+
+    lost = record(2).replace(b"Content-Length", b"Content-Longth")
+    members = [gzip.compress(record(i)) for i in range(3)]
+    damaged = bytearray(members[1])
+    damaged[30:60] = b"\xff" * 30
+    files = {
+        "a.warc": record(1) + lost + record(3) + record(4)[:-20],
+        "b.warc": record(5) + b"WARC/1.1\r\nWARC-Type: resp",
+        "c.warc.gz": members[0] + bytes(damaged) + members[2],
+        "d.warc.gz": members[0][:-12],
+        "e.warc": b"",
+        "f.warc": record(6).replace(b"Content-Length: ", b"Content-Length: -"),
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    got = collections.Counter(r.record_id for r in warc.read_responses(spark, str(tmp_path)).collect())
+    assert got == {"<1>": 1, "<3>": 1, "<5>": 1, "<0>": 1, "<2>": 1}
+    bad = sorted((r.file.rsplit("/", 1)[1], r.problem, r.record_id) for r in warc.read_problems(spark, str(tmp_path)).collect())
+    assert bad == [
+        ("a.warc", "cut record", "<4>"), ("a.warc", "record without a length", "<2>"), ("b.warc", "cut record header", None),
+        ("c.warc.gz", "damaged gzip member", None), ("d.warc.gz", "cut gzip member", None), ("f.warc", "record without a length", "<6>"),
+    ]
+
+
+def test_stores_that_tasks_cannot_open_are_refused():
+    assert _common.check_store("s3a://b/x") == "s3://b/x" and _common.check_store("/tmp/x") == "file:///tmp/x" and _common.check_store("file:/tmp/x") == "file:///tmp/x"
+    for uri in ("dbfs:/x", "wasbs://a@b/x"):
+        with pytest.raises(ValueError, match="file, hdfs"):
+            _common.check_store(uri)
+
+
+def test_one_line_of_many_entities_gives_few_rows(spark):
+    for n in (200, 800):
+        text = " ".join(f"u{i}@example.org word{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, 1, text), (2, 2, f"u1@example.org word1 {n}")], "id long, th long, t string")
+        rows = pii._entity_terms(docs, pii.WINDOW)
+        assert rows.count() == 3 * n + 1 + 2 * 2
+        classes = pii._classes(rows.where("entity is not null").select("entity", "place"))
+        assert sorted(r["count"] for r in classes.groupBy("class").count().collect()) == [1, n - 1]
+
+
+def test_hit_spans_are_the_same_on_either_path(spark):
+    item = words(40, 1)
+    texts = [" ".join(item), " ".join([*words(9, 2), *item[3:30], "gap", *item[:13], *item[20:40]]), " ".join(item[:12]), None, " ".join(item[:13] + item[:13])]
+    items = spark.createDataFrame([("a", " ".join(item)), ("b", " ".join(item[5:20])), ("c", "only three words"), (None, None)], "item_id string, text string")
+    found = [decontamination.decontaminate(frame(spark, [*texts, "here only three words stand"]), items, block_bytes=b) for b in (8 << 20, 0)]
+    got = [sorted((r.doc_id, [tuple(x) for x in r.hit_spans], r.n_hit, r.items) for r in f.collect()) for f in found]
+    assert got[0] == got[1] and got[0][0][1:3] == ([(0, 40)], 40) and got[0][4][1] == [(0, 26)] and got[0][5][1] == [(1, 4)]
+
+
+def test_an_id_of_many_rows_is_dealt_over_files(spark, tmp_path):
+    texts = [f"text {i} " + "w " * 200 for i in range(60)]
+    df = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    files = token_files.write_token_files(df, tokenizer_path("byte_bpe_50k.json"), f"file://{tmp_path}", end_id=2, file_bytes=4000)
+    assert len(files) > 4 and sum(f.documents for f in files) == 60
+    got = token_files.read_token_files(spark, files).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 30 + [7] * 30
+    assert [r.start for r in got][1:] == list(np.cumsum([r.n_tokens for r in got]))[:-1]
+
+
 def test_base_patterns_are_those_of_the_contract():
     r = random.Random(1)
     for k in range(4000):
