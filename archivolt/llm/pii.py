@@ -11,9 +11,11 @@ removed, below it is generalised to its shape. So a word of one document, beside
 generalised in a corpus of some thousand documents or more, and removed on firmer evidence. Every occurrence of a sensitive
 term is treated in all documents that hold the entity. Terms have no minimum length.
 
-Scale: the first pass (Arrow, no exchange) finds base spans, and for documents with an entity the pairs of entities and
-terms near them and all their terms; entities and terms travel as 64-bit hashes, and one document's rows leave in batches of
-bounded size. Counts are combined by (entity, term) and are over all documents. Document counts are needed only for terms
+Scale: the first pass (Arrow, no exchange) finds base spans, and for documents with an entity its entities, its places (the
+sets of lines near one entity or more) with the terms in each, and all its terms; they travel as 64-bit hashes, and one
+document's rows leave in batches of bounded size. Entities that have the same places in all documents, as many addresses in
+one line do, meet the same terms as often and are one class, so no pair is made of each entity and each term. Counts are
+combined by (class, term) and are over all documents. Document counts are needed only for terms
 that meet an entity: tasks send the counts of terms whose hash is in a broadcast filter of at most ``FILTER_WORDS`` words of
 64 bits, and a join drops what else passes it. Documents' terms are joined with sensitive ones by term, then with their
 document's entities; a sensitive term is seldom found apart from its entity, so the join has about as many rows as pairs
@@ -22,8 +24,8 @@ sensitive terms and finds their places, in one Python step. Those lists are broa
 
 Defined results: a null text is empty (and stays null when sanitised). Rows that agree in id and text share their spans;
 each is returned, and count as documents each. Entities are compared in lower case, numbers by their digits. Base spans are
-found in time linear in the text, so that a very long token or number does no harm; a line of m entities and n terms has m
-times n pairs. Ids must be numbers that fit a long. Other columns may have any name; carried ones that clash with results
+found in time linear in the text, so that a very long token or number does no harm; a line of m entities and n terms has n
+pairs for each class of its entities. Ids must be numbers that fit a long. Other columns may have any name; carried ones that clash with results
 are left out. No documents give no rows.
 """
 
@@ -158,16 +160,15 @@ def hash_of(value: str) -> int:
     return xxhash.xxh64_intdigest(value.encode(), 42) - (1 << 63)
 
 
-_ROW = [("id", pa.int64()), ("th", pa.int64()), ("entity", pa.int64()), ("term", pa.int64()), ("lh", pa.int64())]
+_ROW = [(n, pa.int64()) for n in ("id", "th", "entity", "place", "term", "lh")]
 _ROWS = 100_000
 
 
 def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
-    """(id, th, t) to three kinds of rows for each document with an entity: each entity, with the term 0; each entity with
-    each term near it, once, and the hash of the first line near it that holds the term; and, with a null entity, each term
-    of the document, once."""
+    """(id, th, t) to three kinds of rows for each document with an entity: each entity with its place; each place with each
+    term in it, once, and the hash of the first line of the place that holds the term; and each term of the document, once."""
 
-    def found(text: str) -> Iterator[tuple]:
+    def found(th: int, text: str) -> Iterator[tuple]:
         spans = base_spans(text)
         if not spans:
             return
@@ -179,18 +180,23 @@ def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
                     names[term] = hash_of(term)
         own = [list(dict.fromkeys(names[term] for term, _, _ in t)) for t in terms]
         hashes: dict[int, int] = {}
+        places: dict[tuple[int, ...], int] = {}
         for entity, at in near.items():
-            e, first = hash_of(entity), {}
-            yield e, 0, 0
-            for i in at:
+            key = tuple(at)
+            if key not in places:
+                places[key] = hash_of(f"{th} {' '.join(map(str, key))}")
+            yield hash_of(entity), places[key], None, None
+        for key, place in places.items():
+            first: dict[int, int] = {}
+            for i in key:
                 if i not in hashes:
                     hashes[i] = hash_of(lines[i])
                 for term in own[i]:
                     first.setdefault(term, hashes[i])
             for term, line in first.items():
-                yield e, term, line
+                yield None, place, term, line
         for term in dict.fromkeys(t for x in own for t in x):
-            yield None, term, 0
+            yield None, None, term, None
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True) if rows else [[] for _ in _ROW]
@@ -200,7 +206,7 @@ def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
         rows = []
         for batch in batches:
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "t")), strict=True):
-                for row in found(text):
+                for row in found(th, text):
                     rows.append((doc, th, *row))
                     if len(rows) >= _ROWS:
                         yield batch_of(rows)
@@ -208,7 +214,18 @@ def _entity_terms(docs: DataFrame, window: int) -> DataFrame:
             trim_memory()
         yield batch_of(rows)
 
-    return docs.mapInArrow(run, "id long, th long, entity long, term long, lh long")
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n, _ in _ROW))
+
+
+def _classes(held: DataFrame) -> DataFrame:
+    """(entity, place) of every document to (entity, class, documents): entities that have the same places, repeats included,
+    are of one class, which its smallest hash names. Equal are the number of places and three sums of 32 bits of them."""
+    bits = [F.xxhash64("place", F.lit(salt)).bitwiseAND(F.lit((1 << 32) - 1)) for salt in (1, 2, 3)]
+    marks = held.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"), *(F.sum(b).alias(f"m{i}") for i, b in enumerate(bits)))
+    marks = written(marks, "entity_places")
+    key = ["documents", "m0", "m1", "m2"]
+    named = marks.groupBy(*key).agg(F.min("entity").alias("class"))
+    return written(marks.join(named, key).select("entity", "class", "documents"), "entity_classes")
 
 
 def _filter_of(terms: DataFrame) -> np.ndarray:
@@ -263,29 +280,29 @@ def _term_documents(docs: DataFrame, wanted) -> DataFrame:
     return docs.mapInArrow(run, "term long, documents long")
 
 
-def disclosures(texts: DataFrame, terms: DataFrame, *, generalise_at: float) -> DataFrame | None:
-    """(entity, term, disclosure) of sensitive terms, from counts over all documents; None when no term meets an entity.
+def disclosures(texts: DataFrame, terms: DataFrame, classes: DataFrame, *, generalise_at: float) -> DataFrame | None:
+    """(class, term, disclosure) of sensitive terms, from counts over all documents; None when no term meets an entity.
 
-    ``texts`` has all texts as ``t``; ``terms`` is what ``_entity_terms`` found in them.
+    ``texts`` has all texts as ``t``; ``terms`` is what ``_entity_terms`` found in them, with ``classes`` of its entities.
     """
     spark = texts.sparkSession
-    lines = terms.where("entity is not null").groupBy("entity", "term", "lh").agg(F.count(F.lit(1)).alias("joint"))
-    met = lines.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint"))
-    met = written(met, "entity_terms")
-    pairs = met.where("term <> 0")
+    held = terms.where("entity is not null").select("entity", "place").join(classes.select("entity", "class"), "entity").select("class", "place").distinct()
+    inside = terms.where("place is not null and term is not null").groupBy("place", "term", "lh").agg(F.count(F.lit(1)).alias("joint"))
+    lines = inside.join(held, "place").groupBy("class", "term", "lh").agg(F.sum("joint").alias("joint"))
+    pairs = written(lines.groupBy("class", "term").agg(F.count(F.lit(1)).alias("support"), F.sum("joint").alias("joint")), "class_terms")
     if pairs.isEmpty():
         return None
     wanted = spark.sparkContext.broadcast(_filter_of(pairs))
     counted = written(_term_documents(texts, wanted).groupBy("term").agg(F.sum("documents").alias("documents")), "term_documents")
     total = float(counted.where("term = 0").first()["documents"])
-    entities = met.where("term = 0").select("entity", F.col("joint").alias("entity_documents"))
-    both = pairs.join(counted, "term").join(entities, "entity")
+    entities = classes.where("entity = class").select("class", F.col("documents").alias("entity_documents"))
+    both = pairs.join(counted, "term").join(entities, "class")
     prior = F.col("entity_documents") / F.lit(total)
     s = F.col("support")
     drawn = (F.col("joint") / F.col("documents") * s + prior) / (s + 1)
     gained = F.log(drawn / prior) / -F.log(prior)
     found = both.where(F.col("entity_documents") < total).withColumn("disclosure", gained)
-    return found.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
+    return found.where(F.col("disclosure") >= generalise_at).select("class", "term", "disclosure")
 
 
 def _sensitive_terms(docs: DataFrame, id_col: str, text_col: str, window: int, generalise_at: float, remove_at: float) -> DataFrame:
@@ -294,19 +311,20 @@ def _sensitive_terms(docs: DataFrame, id_col: str, text_col: str, window: int, g
     keyed = docs.withColumn("__av_th", F.xxhash64(text))
     texts = keyed.select(F.col(id_col).cast("long").alias("id"), F.col("__av_th").alias("th"), text.alias("t"))
     terms = written(_entity_terms(texts, window), "entity_contexts")
-    sensitive = disclosures(texts.select("t"), terms, generalise_at=generalise_at)
+    classes = _classes(terms.where("entity is not null").select("entity", "place"))
+    sensitive = disclosures(texts.select("t"), terms, classes, generalise_at=generalise_at)
     none = F.array().cast("array<struct<h:bigint,k:int>>")
     if sensitive is None:
         return keyed.withColumn("__av_terms", none).drop("__av_th")
     action = F.when(F.col("disclosure") >= remove_at, 1).otherwise(0)
-    strongest = sensitive.groupBy("entity", "term").agg(F.max(action).alias("k"))
-    held = terms.where("term = 0").select("id", "th", "entity").distinct()
-    hits = terms.where("entity is null").select("id", "th", "term").join(strongest, "term")  # repeated rows meet below
-    same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.entity") == F.col("h.entity"))
+    strongest = sensitive.groupBy("class", "term").agg(F.max(action).alias("k"))
+    held = terms.where("entity is not null").select("id", "th", "entity").join(classes, "entity").select("id", "th", "class").distinct()
+    hits = terms.where("entity is null and place is null").select("id", "th", "term").join(strongest, "term")  # repeated rows meet below
+    same = F.col("o.id").eqNullSafe(F.col("h.id")) & (F.col("o.th") == F.col("h.th")) & (F.col("o.class") == F.col("h.class"))
     hits = hits.alias("o").join(held.alias("h"), same, "left_semi").groupBy("id", "th", "term").agg(F.max("k").alias("k"))
     lists = hits.groupBy("id", "th").agg(F.collect_list(F.struct(F.col("term").alias("h"), "k")).alias("terms"))
     lists = written(lists, "document_terms")
-    drop_written(terms)
+    drop_written(terms, classes)
     if (lists.agg(F.sum(F.size("terms"))).first()[0] or 0) <= BROADCAST_TERMS:
         lists = F.broadcast(lists)
     both = keyed.alias("d").join(lists.alias("p"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("p.id")) & (F.col("__av_th") == F.col("p.th")), "left")
