@@ -94,6 +94,27 @@ def drop_written(*frames: DataFrame) -> None:
                 path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
+#: Schemes of the stores that tasks can open themselves, and the name under which Arrow knows each.
+STORES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def check_store(uri: str) -> str:
+    """The URI as Arrow takes it. A scheme that tasks can't open is refused, by name, before a job begins."""
+    scheme, gap, rest = uri.partition(":")
+    if not gap or "/" in scheme:
+        return f"file://{uri}"
+    if scheme not in STORES:
+        raise ValueError(f"tasks read and write files under {', '.join(STORES)}, not {scheme}: let spark.checkpoint.dir name such a folder")
+    return f"{STORES[scheme]}:{rest}" if rest.startswith("//") else f"{STORES[scheme]}://{rest}"
+
+
+def open_store(uri: str) -> tuple:
+    """The file system of a URI, and the path in it. Stores beyond the local one take their settings from the environment."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(check_store(uri))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's signed long."""
     return np.ascontiguousarray(x, dtype=np.uint64).view(np.int64)

@@ -6,11 +6,13 @@ document that contains a window has that window's fingerprint, whatever stands a
 window, no shared span of 13 words can be missed. Fingerprints are joined, and each match is extended over the windows
 that carry it, which are compared word for word.
 
-Scale: a benchmark of at most ``block_bytes`` of text, which is measured, is indexed once and broadcast; documents are read
-in one pass without a shuffle, and windows are compared word for word. A larger one is joined: a filter of at most
-``FILTER_WORDS`` words of 64 bits tells a task which of its documents' fingerprints can occur in the benchmark, and only
-these leave it, each with the place and 128 bits of hash of its window. They are joined with the benchmark's windows by
-fingerprint and hash, and hits are merged for each distinct text, and joined back to the documents. A passage that many
+Scale: a benchmark of at most ``block_bytes``, ids and a fixed number of bytes for each item included, which is measured, is
+indexed once and broadcast; documents are read in one pass without a shuffle, and windows are compared word for word. A larger
+one is joined: a filter, a bit in ``BITS_A_WINDOW`` for each of the benchmark's windows, tells a task which of its documents'
+fingerprints can occur there, and only these leave it, each with the place and 128 bits of hash of its window. Beyond
+``FILTER_WORDS`` words of 64 bits there is no filter, and all windows of the lengths that the benchmark has leave it. They are
+joined with the benchmark's windows by fingerprint and hash, and hits are merged for each distinct text, and joined back to
+the documents. Hit spans are merged ranges in order on either path. A passage that many
 documents share is a skewed join key, which adaptive execution splits. Nothing of the benchmark is on the driver but the
 filter, and no text moves. A lost executor only repeats its own part of the scan.
 
@@ -22,7 +24,7 @@ documents give no rows; without a benchmark every document is clean.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -198,28 +200,31 @@ def _scan(docs: DataFrame, text_col: str, carry: list[str], index) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-#: 64-bit words of the filter of fingerprints, a power of two; 16 MB at most.
+#: 64-bit words of the largest filter of fingerprints, a power of two: 16 MB.
 FILTER_WORDS = 1 << 21
+BITS_A_WINDOW = 8
+#: Bytes that an item counts beside its id and text.
+ITEM_BYTES = 64
 
 
-def _window_rows(data: np.ndarray, offsets: np.ndarray, filter_: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """Of some texts: the word counts, and for each window of every length up to WINDOW (whole items only if ``filter_`` is
-    None) that the filter lets pass its text, place, length, fingerprint and two hashes."""
+def _window_rows(data: np.ndarray, offsets: np.ndarray, lengths: list[int] | None = None, filter_: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Of some texts: the word counts, and for each window of the ``lengths`` (None: windows of items, which have their own)
+    that the filter, if there is one, lets pass its text, place, length, fingerprint and two hashes."""
     words = find_words(data, offsets, ALNUM_WORDS)
     counts, n = np.diff(words.bounds), len(words.hashes)
     ends = np.repeat(words.bounds[1:], counts)
     text = np.repeat(np.arange(len(counts)), counts)
     found = []
-    for m in range(1, WINDOW + 1):
+    for m in range(1, WINDOW + 1) if lengths is None else lengths:
         if n < m:
-            break
+            continue
         at = np.arange(n - m + 1)
         at = at[at + m <= ends[at]]
-        if filter_ is None and m < WINDOW:  # an item's own length
+        if lengths is None and m < WINDOW:  # an item's own length
             at = at[counts[text[at]] == m]
         prints = _fingerprints(words.hashes, m)[at] ^ mix(np.full(1, m, np.uint64))
         if filter_ is not None:
-            bits = filter_[(prints >> np.uint64(6)).astype(np.int64) & (FILTER_WORDS - 1)]
+            bits = filter_[(prints >> np.uint64(6)).astype(np.int64) & (len(filter_) - 1)]
             keep = ((bits >> (prints & np.uint64(63))) & np.uint64(1)).astype(bool)
             at, prints = at[keep], prints[keep]
         hashes = [signed(_grams(words.hashes, m, salt, at)) if len(at) else np.zeros(0, np.int64) for salt in (3, 5)]
@@ -230,6 +235,17 @@ def _window_rows(data: np.ndarray, offsets: np.ndarray, filter_: np.ndarray | No
 _WINDOW = "m int, fp long, h1 long, h2 long"
 
 
+def merged_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def _joined_hits(texts: DataFrame, items: DataFrame) -> DataFrame:
     """(th, t) and (i, t) to (th, spans, items): the hits of each distinct text that has any, with the benchmark of any size."""
     spark = texts.sparkSession
@@ -238,28 +254,39 @@ def _joined_hits(texts: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             data, off = text_bytes(batch.column("t"))
             for a, b in steps(off):
-                _, text, _, m, fp, h1, h2 = _window_rows(data, off[a : b + 1], None)
+                _, text, _, m, fp, h1, h2 = _window_rows(data, off[a : b + 1])
                 own = batch.column("i").take(pa.array(text + a))
                 yield pa.RecordBatch.from_arrays([own, pa.array(m, pa.int32()), *map(pa.array, (fp, h1, h2))], names=["i", "m", "fp", "h1", "h2"])
 
     known = written(items.mapInArrow(windows, f"i string, {_WINDOW}").distinct(), "benchmark_windows")
-    word = F.shiftright("fp", 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word")
-    bits = known.select(word, F.expr("shiftleft(1L, cast(fp & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    filter_ = np.zeros(FILTER_WORDS, np.uint64)
-    filter_[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    wanted = spark.sparkContext.broadcast(filter_)
+    n, lengths = known.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("m"))).first()  # at most WINDOW lengths
+    filter_ = None
+    if n * BITS_A_WINDOW <= FILTER_WORDS * 64:
+        size = 1 << max(0, (n * BITS_A_WINDOW // 64).bit_length())
+        word = F.shiftright("fp", 6).bitwiseAND(F.lit(min(size, FILTER_WORDS) - 1)).alias("word")
+        bits = known.select(word, F.expr("shiftleft(1L, cast(fp & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        filter_ = np.zeros(min(size, FILTER_WORDS), np.uint64)
+        filter_[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    wanted = spark.sparkContext.broadcast((lengths, filter_))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_bytes(batch.column("t"))
             for a, b in steps(off):
-                _, text, at, m, fp, h1, h2 = _window_rows(data, off[a : b + 1], wanted.value)
+                _, text, at, m, fp, h1, h2 = _window_rows(data, off[a : b + 1], *wanted.value)
                 own = batch.column("th").take(pa.array(text + a))
                 yield pa.RecordBatch.from_arrays([own, pa.array(at), pa.array(m, pa.int32()), *map(pa.array, (fp, h1, h2))], names=["th", "at", "m", "fp", "h1", "h2"])
 
     met = texts.mapInArrow(candidates, f"th string, at long, {_WINDOW}").distinct().join(known, ["m", "fp", "h1", "h2"])
     span = F.struct(F.col("at").alias("a"), (F.col("at") + F.col("m")).alias("b"))
-    return met.groupBy("th").agg(F.collect_set(span).alias("spans"), F.collect_set("i").alias("items"))
+    hits = met.groupBy("th").agg(F.collect_set(span).alias("spans"), F.collect_set("i").alias("items"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [[{"a": a, "b": b} for a, b in merged_spans((x["a"], x["b"]) for x in own)] for own in batch.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("th"), pa.array(spans, _SPANS), batch.column("items")], names=["th", "spans", "items"])
+
+    return hits.mapInArrow(merge, "th string, spans array<struct<a:long,b:long>>, items array<string>")
 
 
 def _scan_joined(docs: DataFrame, items: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
@@ -294,7 +321,8 @@ def decontaminate(
     ship(docs.sparkSession)
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
     source = docs.select(*dict.fromkeys([*carry, text_col]))
-    if (items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) <= block_bytes:
+    size = F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0)) + ITEM_BYTES
+    if (items.agg(F.sum(size)).first()[0] or 0) <= block_bytes:
         rows = items.toArrow().to_pydict()
         found = _scan(source, text_col, carry, docs.sparkSession.sparkContext.broadcast(build_index(rows["i"], rows["t"])))
     else:

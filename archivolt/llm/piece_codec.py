@@ -7,7 +7,8 @@ So each distinct marked word of the corpus is segmented once and its ids are joi
 1. A pass over the texts (Arrow) names the distinct chunks of each block of ``BLOCK_BYTES`` of text, dealt into parts of the
    table by a checksum of the chunk: rows (part, block, chunks), the chunks in order and compressed.
 2. An exchange by part brings all requests for a chunk to one task, which segments it once and answers every block.
-3. An exchange by block sorts the answers into slots, files of some blocks with small row groups in the shared folder.
+3. An exchange by block sorts the answers into slots, files of some blocks with small row groups in the shared folder. There
+   are more of them for more text, so that neither a slot nor the task that writes it grows with the input.
 4. A second pass cuts the texts into the same blocks, reads each block's answers and joins them by position. A block is known
    by a digest of its chunks, so one that is cut otherwise the second time finds no answers and is segmented on the spot.
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivolt.llm._common import scratch_path, ship, steps, text_bytes, trim_memory
+from archivolt.llm._common import check_store, open_store, scratch_path, ship, steps, text_bytes, trim_memory
 from archivolt.llm.chunks import distinct_chunks
 
 MARK = "▁"
@@ -44,8 +45,10 @@ BLOCK_BYTES = 8_000_000
 PARTS_PER_PARTITION = 4
 #: Chunks that are answered before their answers leave the task.
 ANSWERED = 100_000
-#: Shuffle partitions for each slot of answers, and the bytes of a slot's row groups.
+#: Shuffle partitions for each slot of answers, bytes of text for each where that gives more, and the bytes of a slot's row
+#: groups.
 PARTITIONS_PER_SLOT = 4
+SLOT_BYTES = 128 << 20
 GROUP_BYTES = 4 << 20
 _MARK = MARK.encode()
 
@@ -243,7 +246,7 @@ def _read_block(path: str, slots: int, key: str) -> pa.Table | None:
     """A block's answers: the row groups of its slot that can hold them."""
     import pyarrow.parquet as pq
 
-    fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    fs, inner = open_store(path)
     folder = pafs.FileSelector(f"{inner}/slot={zlib.crc32(key.encode()) % slots}", allow_not_found=True)
     found = []
     for file in (f.path for f in fs.get_file_info(folder) if f.path.endswith(".parquet")):
@@ -278,7 +281,9 @@ def encode_decode(
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in results)])
     parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "chunk_answers")
-    slots = max(1, parts // (PARTS_PER_PARTITION * PARTITIONS_PER_SLOT))
+    check_store(path)
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    slots = max(1, parts // (PARTS_PER_PARTITION * PARTITIONS_PER_SLOT), -(-size // SLOT_BYTES))
     _answers(docs, model_path, text_col, parts, slots, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivolt.llm._common import drop_written, scratch_path, ship, steps, text_bytes, trim_memory, written
+from archivolt.llm._common import check_store, drop_written, open_store, scratch_path, ship, steps, text_bytes, trim_memory, written
 
 ORDER = 5
 SHARD_ROWS = 3_000_000
@@ -189,7 +189,7 @@ def read_shard(path: str, k: int) -> Shard:
     """A shard with the orders that go with all."""
     import pyarrow.parquet as pq
 
-    fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    fs, inner = open_store(path)
     tables = []
     for own in (-1, k):
         for f in fs.get_file_info(pafs.FileSelector(f"{inner}/shard={own}", allow_not_found=True)):
@@ -287,6 +287,7 @@ def classify(
     held = F.pmod(F.xxhash64("th", F.lit(17)), F.lit(HELD_OUT)) == 0
     model = train(source.join(known, "id", "left_semi").where(~held).select("lang", "text"))
     path = scratch_path(spark, "shards")
+    check_store(path)
     n = write_shards(model, shard_rows, path)
     drop_written(model)
     log_ppl = F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes"))

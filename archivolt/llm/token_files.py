@@ -5,7 +5,8 @@ frame with the documents' ids and lengths, then the seek table as a skippable fr
 its decompressed size and the low 32 bits of the XXH64 of its content, and a footer with the number of frames. A reader
 takes the footer, the table and the index, and decompresses only the frames in which requested documents lie.
 
-Writing: documents are range-partitioned by id and sorted, so each file holds a range of ids in ascending order; a task
+Writing: documents are range-partitioned by id and a hash of the text and sorted, so each file holds a range of ids in
+ascending order and an id that a third of all rows share is dealt over files; a task
 streams its documents through a worker's chunk table and holds one frame at a time, and a long document spans frames. Each
 attempt of a task writes a file of its own name in the shared folder, and only files that the manifest names count, so a
 repeated task does no harm. The manifest has one row for each file. Reading back: one task for each file.
@@ -14,8 +15,8 @@ Files grow with the input beyond ``MOST_FILES`` of ``FILE_BYTES`` of text each,
 stays small. Files of attempts that don't count are deleted.
 
 Defined results: null and empty texts have no ids but the end id; a very long text is one vectorised step of its own.
-Documents with a null id come first; equal ids are ordered by a hash of the text and lie in one file. Ids must be numbers
-that fit a long. Other columns, whatever their names, are not read. No documents give no files.
+Documents with a null id come first; equal ids are ordered by a hash of the text, and may fill several files. Equal rows lie
+in one file. Ids must be numbers that fit a long. Other columns, whatever their names, are not read. No documents give no files.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm._common import scratch_path, ship, steps, text_bytes
+from archivolt.llm._common import check_store, open_store, scratch_path, ship, steps, text_bytes
 from archivolt.llm.chunks import ChunkTable, distinct_chunks
 
 FRAME_IDS = 1 << 16
@@ -209,20 +210,17 @@ class TokenFile:
     before: int
 
 
-def _open(uri: str):
-    fs, path = pafs.FileSystem.from_uri(uri)
-    return fs, path
-
-
 def write_token_files(
     docs: DataFrame, tokenizer_path: str, folder: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES
 ) -> list[TokenFile]:
     """Writes all documents' ids, each with the end id, in ascending order of their ids; returns the manifest."""
     ship(docs.sparkSession)
+    check_store(folder)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-total // max(file_bytes, total // MOST_FILES)))
-    dealt = source.repartitionByRange(files, "id").sortWithinPartitions(F.asc_nulls_first("id"), F.xxhash64("text"))
+    keyed = source.withColumn("th", F.xxhash64("text"))
+    dealt = keyed.repartitionByRange(files, F.asc_nulls_first("id"), "th").sortWithinPartitions(F.asc_nulls_first("id"), "th").select("id", "text", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
@@ -234,10 +232,10 @@ def write_token_files(
             data, off = text_bytes(batch.column("text"))
             for a, b in steps(off, 4_000_000):
                 if writer is None:
-                    fs, inner = _open(path)
+                    fs, inner = open_store(path)
                     fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                     stream = fs.open_output_stream(inner, compression=None)
-                    writer, first = TokenFileWriter(stream, encoder.width), ids[a]
+                    writer, first = TokenFileWriter(stream, encoder.width), (ids[a], batch.column("th")[a].as_py())
                 for doc_id, own in zip(ids[a:b], encoder.run(data, off[a : b + 1]), strict=True):
                     writer.add(doc_id, own + end)
         if writer is not None:
@@ -245,20 +243,21 @@ def write_token_files(
             stream.close()
             yield pa.RecordBatch.from_pydict(
                 {
-                    "first": pa.array([first], pa.int64()),
+                    "first": pa.array([first[0]], pa.int64()),
+                    "th": pa.array([first[1]], pa.int64()),
                     "path": [path],
                     "documents": pa.array([len(writer.ids)], pa.int64()),
                     "ids": pa.array([sum(writer.lengths)], pa.int64()),
                 }
             )
 
-    rows = dealt.mapInArrow(run, "first long, path string, documents long, ids long").collect()
+    rows = dealt.mapInArrow(run, "first long, th long, path string, documents long, ids long").collect()
     out, before = [], 0
-    for r in sorted(rows, key=lambda r: (r.first is not None, r.first or 0)):
+    for r in sorted(rows, key=lambda r: (r.first is not None, r.first or 0, r.th)):
         out.append(TokenFile(r.path, r.documents, r.ids, before))
         before += r.ids
     if out:
-        fs, inner = _open(folder)
+        fs, inner = open_store(folder)
         counted = {f.path.rsplit("/", 1)[1] for f in out}
         for f in fs.get_file_info(pafs.FileSelector(inner)):
             if f.base_name not in counted:
@@ -277,7 +276,7 @@ def read_token_files(spark: SparkSession, files: list[TokenFile], *, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist(), strict=True):
-                fs, inner = _open(path)
+                fs, inner = open_store(path)
                 with fs.open_input_file(inner) as stream:
                     reader = TokenFileReader(stream, stream.size())
                     for a in range(0, len(reader.doc_ids), 1000):
@@ -298,7 +297,7 @@ def read_token_files(spark: SparkSession, files: list[TokenFile], *, id_col: str
 
 def read_documents(file: str, doc_ids: list[int]) -> dict[int, np.ndarray]:
     """Ids of the requested documents of one file; only their frames are decompressed."""
-    fs, inner = _open(file)
+    fs, inner = open_store(file)
     with fs.open_input_file(inner) as stream:
         reader = TokenFileReader(stream, stream.size())
         wanted = set(doc_ids)
