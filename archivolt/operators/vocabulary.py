@@ -11,7 +11,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXCLUDE, OTHER = "__exclude__", "Other"
+from archivolt.operators.placement import OTHER, place
+
+EXCLUDE = "__exclude__"
 Norm = Callable[[Column], Column]
 
 
@@ -57,48 +59,6 @@ def split_qualified(records: DataFrame, qualifiers: DataFrame) -> tuple[DataFram
     return flagged, both.where("qualifier is null").withColumn("bare_cs", F.lit(None).cast("string")).drop("qualifier")
 
 
-#: Rules up to this many are folded into one row and sent to every task.
-MOST_RULES = 100_000
-
-
-def _one_row(rules: DataFrame, value: Column) -> DataFrame:
-    """(one, x): all rules' values in one array."""
-    n = rules.count()
-    if n > MOST_RULES:
-        raise ValueError(f"{n} rules; at most {MOST_RULES} can be applied")
-    return rules.agg(F.sort_array(F.collect_list(value)).alias("x")).select(F.lit(1).alias("one"), "x")
-
-
-def place(records: DataFrame, overrides: DataFrame, maps: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Adds theme and placed_by: an override, else the list's map, else the nearest mapped ancestor, else a keyword, else Other.
-
-    ``overrides``: source, source_id, theme. ``maps``: kind ("list" by scheme, "branch" by id), ident, theme. ``keywords``:
-    lang ("cs", "en"), keyword, theme, rank (order of themes, languages and keywords). Maps and keywords are configuration,
-    whose number is checked; they are folded into one row each, so that ancestors and keywords are found within a record
-    and no record moves. Overrides are joined by their key.
-    """
-    own = overrides.select("source", "source_id", F.col("theme").alias("__o")).dropDuplicates(["source", "source_id"])
-    mapped = _one_row(maps, F.struct("kind", "ident", "theme")).select("one", F.col("x").alias("__maps"))
-    words = _one_row(keywords, F.struct("rank", "lang", "keyword", "theme")).select("one", F.col("x").alias("__words"))
-    df = records.join(own, ["source", "source_id"], "left").withColumn("one", F.lit(1))
-    df = df.join(F.broadcast(mapped), "one").join(F.broadcast(words), "one")  # one row each
-    by = lambda kind, ident: F.get(F.filter("__maps", lambda m: (m["kind"] == kind) & (m["ident"] == ident)), F.lit(0))["theme"]
-    chain = F.reverse(F.concat(F.coalesce("broader", F.array().cast("array<string>")), F.array("source_id")))
-    near = F.get(F.filter(F.transform(chain, lambda n: F.struct(n.alias("node"), by("branch", n).alias("theme"))), lambda x: x["theme"].isNotNull()), F.lit(0))
-    label = lambda w: F.lower(F.coalesce(F.when(w["lang"] == "cs", F.col("cs")).otherwise(F.col("en")), F.lit("")))
-    word = F.get(F.filter("__words", lambda w: F.contains(label(w), F.lower(w["keyword"]))), F.lit(0))
-    df = df.withColumns({"__l": by("list", F.col("scheme")), "__near": near, "__w": word})
-    theme = F.coalesce("__o", "__l", "__near.theme", "__w.theme", F.lit(OTHER))
-    rule = (
-        F.when(F.col("__o").isNotNull(), F.concat(F.lit("override:"), "source", F.lit(":"), "source_id"))
-        .when(F.col("__l").isNotNull(), F.concat(F.lit("list:"), "scheme"))
-        .when(F.col("__near").isNotNull(), F.concat(F.lit("branch:"), F.col("__near.node")))
-        .when(F.col("__w").isNotNull(), F.concat(F.lit("keyword:"), F.col("__w.lang"), F.lit(":"), F.col("__w.keyword")))
-        .otherwise("other")
-    )
-    return df.select(*(F.col(c) for c in records.columns), theme.alias("theme"), rule.alias("placed_by"))
-
-
 def rescue(placed: DataFrame, labels: DataFrame, norm: Norm = F.lower) -> DataFrame:
     """Terms that no rule placed take the theme of their label in ``labels`` (norm, theme)."""
     look = labels.select(F.col("norm").alias("__n"), F.col("theme").alias("__t"))

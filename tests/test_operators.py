@@ -310,3 +310,59 @@ def test_stream(spark, tmp_path):
     q = stream_files(spark, f"{tmp_path}/in", "doc_id int, pos int, word string", K.weighted_top_lemmas, f"{tmp_path}/out", f"{tmp_path}/cp")
     q.awaitTermination(60)
     assert one(spark.read.parquet(f"{tmp_path}/out")).keyword == "hrad"
+
+
+def test_placement_takes_the_first_rule_however_many(spark, monkeypatch):
+    """An automaton and a join by pieces give the same keywords; both equal a plain search."""
+    import random
+    import time
+
+    from archivolt.operators import placement
+
+    r = random.Random(3)
+    stems = ["kostel", "hrad", "mince", "Óš", "a", "", "ringy", "ring", "hra", "rád", "ěž"]
+    words = [(lang, w, f"T{i % 5}", i // 2) for i, (lang, w) in enumerate((lang, w) for w in r.sample(stems, len(stems)) for lang in ("cs", "en") if w or lang == "en")]
+    words = [w for w in words if w[1]] + [("en", "zz", None, -1), ("cs", None, "X", -2)]
+    maps = [("branch", "b1", "B1"), ("branch", "b2", "B2"), ("branch", "r7", "Own"), ("list", "s1", "L1"), ("branch", "b2", "A2"), ("list", "s2", None)]
+    over = [("x", "r3", "O3"), ("x", "r3", "N3"), ("y", "r3", "no")]
+    rows = []
+    for i in range(60):
+        broader = r.choice([None, [], ["b1"], ["b1", "b2"], ["b2", "b1"], ["q", "b1", "q2"], ["q"]])
+        rows.append((r.choice(["", None, "Hradní KOSTEL", "string", "ÓŠ", "nic"]), r.choice([None, "", "Ring of zz", "coin", "MINCE"]), "x", f"r{i}", r.choice(["s1", "s2", None, "s3"]), broader))
+    rows.append(rows[3])
+
+    def want(cs, en, source, sid, scheme, broader):
+        themes = sorted(t for s, i, t in over if (s, i) == (source, sid))
+        if themes:
+            return themes[0], f"override:{source}:{sid}"
+        by = lambda kind, ident: min((t for k, i, t in maps if k == kind and i == ident and t), default=None)
+        if by("list", scheme):
+            return by("list", scheme), f"list:{scheme}"
+        for node in [sid, *reversed(broader or [])]:
+            if by("branch", node):
+                return by("branch", node), f"branch:{node}"
+        for rank, lang, w, t in sorted((rank, lang, w, t) for lang, w, t, rank in words if w is not None and t):
+            if w.lower() in ((cs if lang == "cs" else en) or "").lower():
+                return t, f"keyword:{lang}:{w}"
+        return "Other", "other"
+
+    words = [w for w in words if w[2]]
+    frames = (
+        spark.createDataFrame(rows, "cs string, en string, source string, source_id string, scheme string, broader array<string>"),
+        spark.createDataFrame(over, "source string, source_id string, theme string"),
+        spark.createDataFrame(maps, "kind string, ident string, theme string"),
+    )
+    for most in (placement.KEYWORD_BYTES, 0):
+        monkeypatch.setattr(placement, "KEYWORD_BYTES", most)
+        got = placement.place(*frames, spark.createDataFrame(words, "lang string, keyword string, theme string, rank int")).collect()
+        assert sorted((tuple(x) for x in got), key=str) == sorted(((*x, *want(*x)) for x in rows), key=str)
+    monkeypatch.undo()
+    seconds = []
+    for n in (100, 100, 50_000):
+        many = spark.createDataFrame([("en", f"kw{i:06d}q", "T", i) for i in range(n)], "lang string, keyword string, theme string, rank int")
+        maps_ = spark.createDataFrame([("branch", f"n{i}", f"T{i % 9}") for i in range(n)], "kind string, ident string, theme string")
+        terms = spark.range(20_000).selectExpr("'a' as cs", "concat('some kw', lpad(cast(id % 90 as string), 6, '0'), 'q here') as en", "'x' as source", "cast(id as string) as source_id", "'s' as scheme", "array('n1', 'm2') as broader")
+        begin = time.perf_counter()
+        assert placement.place(terms, frames[1], maps_, many).where("theme = 'Other'").count() == 0
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[2] < 5 * seconds[1] + 5
