@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.plans import check_plans, keyword_plans, reader_plans, scoring_plans, text_plans, vocabulary_plans
+from archivolt.plans import check_plans, keyword_plans, reader_plans, scoring_plans, structure_plans, text_plans, vocabulary_plans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (keyword_plans, text_plans, vocabulary_plans, scoring_plans, check_plans, reader_plans)
+_MODULES = (keyword_plans, text_plans, vocabulary_plans, scoring_plans, check_plans, reader_plans, structure_plans)
 
 
 def queries() -> dict[str, Query]:
