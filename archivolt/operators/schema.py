@@ -52,7 +52,7 @@ def kind_of(v: Column) -> Column:
     """null, boolean, integer, number (not an integer), string, array or object."""
     t = F.upper(F.schema_of_variant(v))
     number = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
-    whole = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\\([0-9]+, ?0\\))") | (number & (_double(v) == F.floor(_double(v)).cast("double")))
+    whole = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\\([0-9]+, ?0\\))") | (number & (_double(v) % 1 == 0))
     return (
         F.when(t == "VOID", "null")
         .when(t == "BOOLEAN", "boolean")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from archivolt.operators import schema
+from archivolt.operators import schema, walk
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,11 +81,46 @@ _FAULTS = [
 ]
 _FOUND = " UNION ALL ".join(f"SELECT p_partkey AS id, {i} AS k, '{path}' AS path, '{word}' AS keyword FROM p WHERE {bad}" for i, (path, word, bad) in enumerate(_FAULTS))
 
+# ---- walks
+
+
+def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions, their nations, their suppliers: parent, child, rank and a number for answers."""
+    region, nation, supplier = (_t(spark, sf_dir, n) for n in ("region", "nation", "supplier"))
+    name = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    edges = region.select(F.lit("all").alias("parent"), name("r", "r_regionkey").alias("child"), (F.col("r_regionkey") * 7 + 1).cast("long").alias("num"))
+    edges = edges.union(nation.select(name("r", "n_regionkey"), name("n", "n_nationkey"), (F.col("n_nationkey") * 13 + 5).cast("long")))
+    edges = edges.union(supplier.select(name("n", "s_nationkey"), name("s", "s_suppkey"), F.col("s_suppkey").cast("long")))
+    return edges.withColumn("rank", F.row_number().over(Window.partitionBy("parent").orderBy("num")))
+
+
+def decision_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer placed in the tree of regions, nations and suppliers, by answers in whole numbers."""
+    terms = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    answer = F.pmod(F.col("id") * 31 + F.col("num") * 17, F.lit(101))
+    found = walk.walk(terms, _tree(spark, sf_dir), F.lit("all"), answer, least=F.lit(60), accept=F.lit(85), most_options=3)
+    return found.select("id", "node", "questions")
+
+
+_TREE = """
+k AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY num) AS rank FROM (
+  SELECT 'all' AS parent, 'r' || r_regionkey AS child, CAST(r_regionkey * 7 + 1 AS BIGINT) AS num FROM region
+  UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_nationkey * 13 + 5 FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_suppkey FROM supplier))"""
+
 ORACLES = {
+    "decision_walk": f"""
+WITH RECURSIVE {_TREE},
+w(id, node, score, path) AS (SELECT c_custkey, 'all', CAST(NULL AS BIGINT), CAST([] AS BIGINT[]) FROM customer
+  UNION ALL SELECT w.id, k.child, (w.id * 31 + k.num * 17) % 101, list_concat(w.path, [-((w.id * 31 + k.num * 17) % 101), k.rank]) FROM w JOIN k ON k.parent = w.node
+  WHERE (w.id * 31 + k.num * 17) % 101 >= 60),
+e AS (SELECT id, arg_min(node, list_concat(path, [1000000])) AS node, min(list_concat(path, [1000000])) AS last FROM w WHERE score >= 85 GROUP BY id),
+n AS (SELECT parent, count(*) AS n FROM k GROUP BY parent),
+q AS (SELECT w.id, any_value(e.node) AS node, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS questions FROM w LEFT JOIN e USING (id) LEFT JOIN n ON n.parent = w.node WHERE e.last IS NULL OR w.path < e.last GROUP BY w.id)
+SELECT id, node, questions FROM q""",
     "schema_check": f"""
 WITH p AS (SELECT *, string_split(p_name, ' ') AS w FROM part), f AS ({_FOUND}),
 g AS (SELECT id, arg_min(path, k) AS path, arg_min(keyword, k) AS keyword, count(*) AS n FROM f GROUP BY id)
 SELECT p_partkey AS id, path, keyword, CAST(coalesce(n, 0) AS INTEGER) AS problems FROM p LEFT JOIN g ON g.id = p_partkey""",
 }
 
-QUERIES = {f.__name__: f for f in (schema_check,)}
+QUERIES = {f.__name__: f for f in (schema_check, decision_walk)}
