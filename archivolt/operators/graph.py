@@ -7,8 +7,9 @@ hierarchy of any depth takes as many joins as the logarithm of its depth, and ea
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivolt.functions.scalars import czech_key
@@ -34,17 +35,28 @@ def choose_parents(terms: DataFrame, near: DataFrame, broader: DataFrame) -> Dat
     return both.select(F.col("pos").alias("child"), F.coalesce("first", "second").alias("parent"), via.alias("via"), conflict.alias("conflict"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage in the session's checkpoint folder; a temporary one is set only in local mode where none is named."""
-    sc = df.sparkSession.sparkContext
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a temporary one is set only in local mode where none is named."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="archivolt-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage in the session's checkpoint folder."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the session's checkpoint folder, for tables that a query writes and reads again."""
+    return f"{_checkpoint_folder(spark).rstrip('/')}/archivolt-{uuid.uuid4().hex}"
+
+
 def break_cycles(edges: DataFrame) -> DataFrame:
     """Edges without the one that leaves the smallest node of each cycle.
 

@@ -176,19 +176,3 @@ def template_blocks(blocks: DataFrame, flags: DataFrame, anchor: str) -> DataFra
     if at is None:
         raise ValueError(f"the template must render the block {anchor}")
     return shown.select("place", "name", F.when(F.col("place") <= at[0], "preamble").otherwise("footer").alias("part"), "text").orderBy("place")
-
-
-def replace_table(df: DataFrame, path: str) -> None:
-    """Writes a Parquet table beside ``path`` and renames it into place, so that readers see the old one or the new one."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path  # noqa: N806
-    own, now, old = Path(path), Path(f"{path}.writing"), Path(f"{path}.replaced")
-    fs = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    df.write.mode("overwrite").parquet(now.toString())
-    fs.delete(old, True)
-    if fs.exists(own) and not fs.rename(own, old):
-        raise OSError(f"{path} can't be replaced")
-    if not fs.rename(now, own):
-        raise OSError(f"{path} can't be written")
-    fs.delete(old, True)

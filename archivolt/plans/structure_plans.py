@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from archivolt.operators import schema, walk
+from archivolt.operators import schema, versions, walk
+from archivolt.operators.graph import shared_folder
+from archivolt.sources import harvest
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,12 +104,68 @@ def decision_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "node", "questions")
 
 
+# ---- harvests and versions
+
+
+def _saved_pages(records: DataFrame, folder: str) -> str:
+    """Records (pos, id, cs, en) as eight saved pages of a harvest, written by Spark; each names the next."""
+    place = F.ntile(8).over(Window.orderBy("pos")) - 1  # of one small table, to make its pages
+    record = F.concat(F.lit("<record><identifier>"), "id", F.lit('</identifier><heslo xml:lang="cs">'), "cs", F.lit("</heslo><heslo_en>"), "en", F.lit("</heslo_en></record>"))
+    page = records.select("pos", place.alias("page"), record.alias("x")).groupBy("page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda r: r["x"]), "").alias("body"))
+    token = F.when(F.col("page") < 7, F.concat(F.lit("next/"), F.col("page") + 1)).otherwise("")
+    request = F.when(F.col("page") == 0, harvest.FIRST).otherwise(F.concat(F.lit("next/"), "page"))
+    text = F.concat(F.lit("<OAI>"), "body", F.lit("<resumptionToken>"), token, F.lit("</resumptionToken></OAI>"))
+    page.select(text.alias("value"), request.alias("request")).write.partitionBy("request").text(folder)
+    return folder
+
+
+def _harvested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The table and the changes of two harvests of parts, of which some appear, change or vanish between the two."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    parts = _t(spark, sf_dir, "part").select(key.alias("pos"), key.cast("string").alias("id"), F.col("p_name").alias("cs"), F.col("p_type").alias("en"), size.alias("size"))
+    folder = shared_folder(spark)
+    one = _saved_pages(parts.where("size > 5").drop("size"), f"{folder}/one")
+    again = parts.select("pos", "id", F.lit("late").alias("cs"), "en", (F.col("size") + 0).alias("size")).withColumn("pos", F.col("pos") + 10**9)  # ids that come twice
+    later = parts.withColumn("en", F.when(F.col("size") % 7 == 0, F.upper("cs")).otherwise(F.col("en"))).union(again).where("size < 45")
+    two = _saved_pages(later.drop("size"), f"{folder}/two")
+    harvest.load_or_sync(spark, f"{folder}/labels", one, f"{folder}/first", sync=True)
+    return harvest.load_or_sync(spark, f"{folder}/labels", two, f"{folder}/second", sync=True)
+
+
+def harvest_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels after two harvests through the data source, page by page as a stream; the first record of each id counts."""
+    return _harvested(spark, sf_dir)[0]
+
+
+def harvest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second harvest added, changed and took away."""
+    return _harvested(spark, sf_dir)[1]
+
+
+def versioned_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three commits to a table of parts, and in which of its versions each part stands at what price."""
+    parts = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"), F.col("p_size").alias("size"))
+    path = f"{shared_folder(spark)}/prices"
+    versions.replace_table(parts, path)
+    versions.commit(spark, path, lambda t: t.withColumn("price", F.when(F.col("size") % 3 == 0, F.col("price") * 2).otherwise(F.col("price"))))
+    versions.commit(spark, path, lambda t: t.where("size % 4 > 0"))
+    found = [versions.read(spark, path, n).select("id", "price", F.lit(n).alias("version")) for n in versions.numbers(spark, path)]
+    return found[0].union(found[1]).union(found[2])
+
+
 _TREE = """
 k AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY num) AS rank FROM (
   SELECT 'all' AS parent, 'r' || r_regionkey AS child, CAST(r_regionkey * 7 + 1 AS BIGINT) AS num FROM region
   UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_nationkey * 13 + 5 FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_suppkey FROM supplier))"""
 
 ORACLES = {
+    "harvest_sync": """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS cs, CASE WHEN p_size % 7 = 0 THEN upper(p_name) ELSE p_type END AS en FROM part WHERE p_size < 45""",
+    "harvest_changes": """
+SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size <= 5 THEN 'added' WHEN p_size >= 45 THEN 'gone' ELSE 'changed' END AS change FROM part WHERE p_size <= 5 OR p_size >= 45 OR p_size % 7 = 0""",
+    "versioned_prices": """
+WITH p AS (SELECT p_partkey AS id, p_size, p_retailprice AS one, CASE WHEN p_size % 3 = 0 THEN 2 * p_retailprice ELSE p_retailprice END AS two FROM part)
+SELECT id, one AS price, 1 AS version FROM p UNION ALL SELECT id, two, 2 FROM p UNION ALL SELECT id, two, 3 FROM p WHERE p_size % 4 > 0""",
     "decision_walk": f"""
 WITH RECURSIVE {_TREE},
 w(id, node, score, path) AS (SELECT c_custkey, 'all', CAST(NULL AS BIGINT), CAST([] AS BIGINT[]) FROM customer
@@ -123,4 +181,4 @@ g AS (SELECT id, arg_min(path, k) AS path, arg_min(keyword, k) AS keyword, count
 SELECT p_partkey AS id, path, keyword, CAST(coalesce(n, 0) AS INTEGER) AS problems FROM p LEFT JOIN g ON g.id = p_partkey""",
 }
 
-QUERIES = {f.__name__: f for f in (schema_check, decision_walk)}
+QUERIES = {f.__name__: f for f in (schema_check, decision_walk, harvest_sync, harvest_changes, versioned_prices)}

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivolt.functions.scalars import stems
+from archivolt.operators import versions
 
 LINE = "page string, line string, text string, categ string, quality_score double, lemma string, upos string, unit string"
 RECORD = f"schema_version string, doc_id string, lines array<struct<{LINE.replace(' string', ':string').replace(' double', ':double')}>>, content struct<text:string>"
@@ -129,8 +130,11 @@ def exclusion_key(key: Column) -> Column:
 
 
 def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """A vocabulary table that was built before; reading never builds or harvests one, so a missing table raises."""
+    """A vocabulary table that was built before, its newest version if it has any; reading never builds or harvests one, so a
+    missing table raises."""
     try:
+        if versions.numbers(spark, path):
+            return versions.read(spark, path)
         return spark.read.parquet(path)
     except AnalysisException as problem:
         raise FileNotFoundError(f"{path}: build the vocabulary first") from problem
