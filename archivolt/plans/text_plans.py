@@ -47,6 +47,11 @@ def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.context_windows(_turns(spark, sf_dir)).select("doc_id", "pos", "context")
 
 
+def context_window_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same contexts with documents split over ranges of positions."""
+    return lines.context_windows_split(_turns(spark, sf_dir), partitions=16).select("doc_id", "pos", "context")
+
+
 def word_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping chunks of 400 words of every document."""
     df = _t(spark, sf_dir, "documents").select("doc_id", S.words_of(F.col("text")).alias("w"))
@@ -263,10 +268,12 @@ SELECT doc_id, pos, CASE WHEN pos > coalesce(stop, pos) THEN 'unprocessed' WHEN
   CASE WHEN pos > coalesce(stop, pos) THEN NULL WHEN failed THEN 'no answer' ELSE CAST(length(t) AS VARCHAR) END AS reply FROM r LEFT JOIN a USING (doc_id)""",
 }
 
+ORACLES["context_window_split"] = ORACLES["context_window"]
+
 QUERIES = {
     f.__name__: f
     for f in (
-        page_group, document_text, line_filter, context_window, word_chunks, fitted_chunks, chunk_keywords, best_score_merge, form_lemmas, stem_overlap, stable_units,
+        page_group, document_text, line_filter, context_window, context_window_split, word_chunks, fitted_chunks, chunk_keywords, best_score_merge, form_lemmas, stem_overlap, stable_units,
         normalised_labels, czech_sort, statistical_keywords, mmr_keywords, stub_enrich, stub_replies, abort_points, json_fields,
     )
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import fractions
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +77,40 @@ def test_similarity_is_symmetric_and_exact_test_is_bounded(spark):
     assert got[0] == 1.0 and math.isclose(got[1], 2 / 32) and math.isclose(got[2], 2 * 11 / 1024)
 
 
+def test_binomial_tails_are_exact_at_any_size(spark):
+    r = random.Random(2)
+    pairs = [(b, c) for b in range(0, 26) for c in range(0, 26, 3)] + [(r.randrange(0, 2000), r.randrange(0, 2000)) for _ in range(60)]
+    pairs += [(k, n - k) for n in (1000, 5001) for k in (0, 1, n // 2 - 40, n // 2 - 1, n // 2)]
+    got = spark.createDataFrame([*pairs, (None, 3)], "b long, c long").select("b", "c", S.mcnemar_exact("b", "c").alias("p")).collect()
+    for x in got[:-1]:
+        n, k = x.b + x.c, min(x.b, x.c)
+        want = min(1.0, float(fractions.Fraction(2 * sum(math.comb(n, i) for i in range(k + 1)), 2**n))) if n else 1.0
+        assert math.isclose(x.p, want, rel_tol=1e-10), (x.b, x.c, x.p, want)
+    assert got[-1].p is None
+    large = spark.range(20_000).selectExpr("1000000000L + id as b", "1000060000L as c").select(S.mcnemar_exact("b", "c").alias("p"))
+    begin = time.perf_counter()
+    p = [x.p for x in large.collect()]
+    assert time.perf_counter() - begin < 30 and all(0 < a < b < 1 for a, b in zip(p, p[1:], strict=False))
+    z = 59999.0 / math.sqrt(2_000_060_000)  # continuity corrected
+    assert math.isclose(p[0], math.erfc(z / math.sqrt(2)), rel_tol=1e-4)
+
+
+def test_contexts_of_split_documents(spark):
+    """One document of all lines over many ranges, parts shorter than a frame, repeated headings, noise at the edges."""
+    r = random.Random(7)
+    rows = [("long", i, r.choice(["1", "2", None]), i % 9, r.choice(["text", "", None, " x "]) and f"t{i}", r.choice(["Clear", "Trash", "Header", None, "Empty"])) for i in range(150)]
+    rows += [(d, i, "1", i, f"{d}{i}", r.choice(["Clear", "Trash", "Heading"])) for d in ("a", "b", "z") for i in range(r.randrange(1, 5))]
+    rows += [(None, 1, "1", 1, "null document", "Clear")]
+    df = spark.createDataFrame(rows, "doc_id string, pos long, page string, line int, text string, categ string")
+    for window in (1, 2, 4):
+        want = sorted(map(str, lines.context_windows(df.where("doc_id is not null"), window).collect()))
+        for n in (1, 7, 60):
+            assert sorted(map(str, lines.context_windows_split(df.where("doc_id is not null"), window, n).collect())) == want
+    assert lines.context_windows_split(df.where("false")).count() == 0
+    spread = lines.context_windows_split(df.where("doc_id = 'long'"), 2, 10)
+    assert spread.count() == 150
+
+
 def test_document_ids_and_keys(spark):
     df = spark.createDataFrame([("a/CTX1.alto.xml",), ("b.c.conllu",), ("x.odd.thing",)], "p string")
     assert [r[0] for r in df.select(S.doc_id_of(F.col("p"))).collect()] == ["CTX1", "b.c", "x"]
@@ -313,9 +349,6 @@ def test_stream(spark, tmp_path):
 
 def test_placement_takes_the_first_rule_however_many(spark, monkeypatch):
     """An automaton and a join by pieces give the same keywords; both equal a plain search."""
-    import random
-    import time
-
     from archivolt.operators import placement
 
     r = random.Random(3)
