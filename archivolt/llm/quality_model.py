@@ -5,7 +5,7 @@ the vocabulary, grams are exact 40-bit integers, and no text is out of vocabular
 and digits to 0; a text is preceded by four line ends.
 
 1. Training counts are over all trusted documents but the held-out ones: each task counts its grams, one exchange adds them.
-   Lower orders are continuation counts of the order above. Discounts D1, D2, D3+ follow from each order's counts of counts.
+   Lower orders are continuation counts of the order above. Discounts D1, D2, D3+ follow from each language's and order's counts of counts.
 2. Probabilities are made by joins on (language, context) and (language, suffix), sharded like the counts, and stored with
    back-off weights, so that a gram that was never seen is scored exactly too.
 3. The model is written in shards by the last two context bytes, which every gram of a position shares, each of at most some
@@ -87,15 +87,16 @@ def _gram_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang long, gram long, c long")
 
 
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """D1, D2, D3+ from counts of counts; fixed values where an order has too few."""
-    n = counts.agg(*(F.sum((F.col("c") == i).cast("long")) for i in (1, 2, 3, 4))).first()
-    n1, n2, n3, n4 = (float(x or 0) for x in n)
-    if not (n1 and n2 and n3):
-        return 0.5, 1.0, 1.5
-    y = n1 / (n1 + 2 * n2)
-    found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return tuple(min(max(d, 0.05 * k), 0.95 * k) for k, d in enumerate(found, 1))
+def _discounts(counts: DataFrame) -> DataFrame:
+    """(lang, d1, d2, d3): the discounts of each language from its counts of counts; fixed values where it has too few."""
+    n = counts.groupBy("lang").agg(*(F.sum((F.col("c") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)))
+    some = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    found = []
+    for k, fixed in ((1, 0.5), (2, 1.0), (3, 1.5)):
+        d = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        found.append(F.when(some, F.least(F.greatest(d, F.lit(0.05 * k)), F.lit(0.95 * k))).otherwise(fixed).alias(f"d{k}"))
+    return n.select("lang", *found)
 
 
 def train(trusted: DataFrame) -> DataFrame:
@@ -108,11 +109,11 @@ def train(trusted: DataFrame) -> DataFrame:
         orders[m] = written(above.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")), f"grams{m}")
     parts, lower = [], None
     for m in range(1, ORDER + 1):
-        d1, d2, d3 = _discounts(orders[m])
         c = F.col("c")
-        cut = F.when(c == 1, d1).when(c == 2, d2).otherwise(d3)
+        cut = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))
         ctx = F.shiftright("gram", 8).alias("ctx")
-        own = orders[m].select("lang", "gram", ctx, c.cast("double").alias("c"), cut.alias("d"))
+        limits = _discounts(orders[m])  # a row for each language, MOST_LANGUAGES at most
+        own = orders[m].join(F.broadcast(limits), "lang").select("lang", "gram", ctx, c.cast("double").alias("c"), cut.alias("d"))
         stats = own.groupBy("lang", "ctx").agg(F.sum("c").alias("s"), (F.sum("d") / F.sum("c")).alias("g"))
         joined = own.join(stats, ["lang", "ctx"])
         if lower is None:

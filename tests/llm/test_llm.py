@@ -558,6 +558,17 @@ def test_kneser_ney_equals_its_definition(spark, tmp_path):
         assert abs(shard.log_probabilities(key)[0] - np.log(brute_kneser_ney(text, g))) < 1e-4
 
 
+def test_each_language_has_its_own_discounts(spark, tmp_path):
+    texts = {1: " ".join(words(300, 1, 40)), 2: "abc " * 200 + " ".join(words(50, 2))}
+    model = quality_model.train(spark.createDataFrame([*texts.items()], "lang long, text string"))
+    quality_model.write_shards(model, 10**6, f"file://{tmp_path}/m")
+    shard = quality_model.read_shard(f"file://{tmp_path}/m", 0)
+    for lang, text in texts.items():
+        for g in (b"w1 w2", b" w10 ", b"abc a", b"c abc", b"bc w1", b"zzzzz"):
+            key = np.array([int.from_bytes(g, "big") | lang << 40], np.uint64)
+            assert abs(shard.log_probabilities(key)[0] - np.log(brute_kneser_ney(text, g))) < 1e-4
+
+
 def test_warc_derivatives(spark, tmp_path):
     pages = [(1, "http://a.example/x/", "<html lang='EN'><head><title>T &amp; t</title><style>p{}</style></head><body><p>One<b>two</b> three<br>four &lt;x&gt;<!-- no --><script>var a='</p>';</script><a href='../y'>y</a><p>five"), (2, None, None), (3, "http://[bad", "a < b <i>c</i> <a href='http://[bad2'>z</a> <!-- open")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
