@@ -66,13 +66,45 @@ def abort_points(results: DataFrame, max_consecutive_errors: int = 10) -> DataFr
     return counted.where(F.col("k") == max_consecutive_errors).groupBy("doc_id").agg(F.min("pos").alias("abort_pos"))
 
 
-def checked_reply(reply: Column, schema: str, variants: DataFrame | None = None) -> Column:
+def clamped(value: Column, least: float = 0.0, most: float = 1.0) -> Column:
+    """A number within bounds; null where there is none, as ``least`` and ``greatest`` pass over nulls."""
+    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.lit(least), F.least(F.lit(most), value)))
+
+
+def checked_reply(reply: Column, schema: str) -> Column:
     """Struct of a reply's fields, null where it is no object: confidence clamped to [0, 1]."""
     parsed = F.from_json(reply, schema)
-    confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), parsed["confidence_score"].try_cast("double")))
+    confidence = clamped(parsed["confidence_score"].try_cast("double"))
     return F.when(parsed.isNotNull() & confidence.isNotNull(), parsed.withField("confidence_score", confidence))
 
 
+_REPLY = "category string, keywords_cs array<string>, keywords_en array<string>, confidence_score string"
+
+
+def checked_replies(replies: DataFrame, variants: DataFrame | None = None, *, sentinel: str | None = None) -> DataFrame:
+    """The replies with category, keywords_cs, keywords_en, confidence and problem, read leniently from the JSON in ``reply``.
+
+    Confidence is clamped to [0, 1], whether it is a number or text of one. A category that is a variant is replaced by its
+    label (``variants``: variant, label; of two labels of one variant the smaller). The sentinel, as a category, has no
+    keywords. A reply that is no object, or has no confidence or category, has a problem and nothing else.
+    """
+    text = F.trim("reply")
+    parsed = F.from_json(F.when(F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull(), text), _REPLY)
+    confidence = clamped(parsed["confidence_score"].try_cast("double"))
+    df = replies.withColumn("__r", parsed).withColumn("__said", F.nullif(F.trim("__r.category"), F.lit("")))
+    df = df.withColumn("confidence", confidence)
+    label = F.col("__said")
+    if variants is not None:
+        look = variants.groupBy(F.col("variant").alias("__said")).agg(F.min("label").alias("__label"))
+        df, label = df.join(look, "__said", "left"), F.coalesce("__label", "__said")
+    problem = F.when(F.col("__r").isNull(), "no object").when(F.col("confidence").isNull(), "no confidence").when(label.isNull(), "no category")
+    none = F.array().cast("array<string>")
+    silent = label.eqNullSafe(F.lit(sentinel)) if sentinel is not None else F.lit(False)
+    words = [F.when(silent, none).otherwise(F.coalesce(f"__r.{c}", none)) for c in ("keywords_cs", "keywords_en")]
+    found = {"category": label, "keywords_cs": words[0], "keywords_en": words[1], "confidence": F.col("confidence")}
+    return df.select(*replies.columns, *(F.when(problem.isNull(), v).alias(c) for c, v in found.items()), problem.alias("problem"))
+
+
 def _folded(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(value), r"(?U)\s+", " "))
 
@@ -104,7 +136,7 @@ def repair_replies(replies: DataFrame, allowed: list[str], id_type: str = "long"
     rows = read.where("valid and items is not null").select("doc_id", F.posexplode("items").alias("at", "raw"))
     f = F.from_json(F.when(F.startswith(F.ltrim("raw"), F.lit("{")), F.col("raw")), _FIELDS)
     page = F.nullif(F.trim(F.regexp_replace(f["page"], r"^(-?\d+)\.0+$", "$1")), F.lit(""))
-    confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), f["confidence_score"].try_cast("double")))
+    confidence = clamped(f["confidence_score"].try_cast("double"))
     rows = rows.select(
         "doc_id", "at", f.isNotNull().alias("object"), page.alias("page"), f["category"].alias("said"),
         F.regexp_replace(f["category"], _BARE, "").alias("bare"), _keyword_list(f["keywords"]).alias("keywords"), confidence.alias("confidence"),

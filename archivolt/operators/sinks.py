@@ -31,8 +31,8 @@ def write_keyword_files(ranked: DataFrame, path: str, doc: str = "doc_id") -> No
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """CSV with a fixed header; null is the empty text."""
-    df.select(*columns).coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    """CSV with a fixed header in each file of a folder, as many as the frame has partitions; null is the empty text."""
+    df.select(*columns).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
 def markdown_table(df: DataFrame, columns: Sequence[str], limit: int = 200) -> str:

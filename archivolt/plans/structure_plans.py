@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from archivolt.operators import schema, versions, walk
+from archivolt.operators import enrich, schema, sinks, versions, walk
+from archivolt.operators import records as records_
 from archivolt.operators.graph import shared_folder
 from archivolt.sources import harvest
+from archivolt.sources import records as R
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,12 +155,111 @@ def versioned_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+# ---- files that are written and read again
+
+
+def flat_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as flat vocabulary archives, one of each brand, with markup at the edges of labels."""
+    marked = F.concat(F.lit("**"), "p_name", F.lit(" _"))
+    term = F.struct(F.when(F.col("p_size") % 3 == 0, marked).otherwise(F.col("p_name")).alias("cs"), F.when(F.col("p_size") % 4 == 0, "* _").otherwise(F.col("p_type")).alias("en"), F.col("p_partkey").cast("string").alias("source_id"), F.array("p_brand").alias("broader"), F.col("p_size").alias("sort"))
+    path = f"{shared_folder(spark)}/flat"
+    _t(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_list(term).alias("terms")).select(F.to_json(F.struct("terms")).alias("value"), "p_brand").write.partitionBy("p_brand").text(path)
+    return R.flat_vocabulary(spark, f"{path}/*").select("source_id", "cs", "en", F.array_join("broader", ",").alias("broader"), "sort")
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as a run of each role; the run of one role has a file that breaks off."""
+    text = F.coalesce("text", F.lit(""))
+    first = F.regexp_extract(F.lower(text), "[a-z]{3,}", 0)
+    enriched = F.struct(F.array(first).alias("extracted_keywords_cs"), F.when(F.col("turn") % 2 == 0, first).otherwise("zzzzz").alias("teater_category"), (F.col("turn") / 10).alias("confidence_score"))
+    line = F.struct(F.col("conv_id").cast("string").alias("file_id"), F.when(F.col("turn") % 5 == 4, "x").otherwise("1").alias("page"), F.col("turn").cast("string").alias("line"), text.alias("original_text"), enriched.alias("enrichment"))
+    runs = _t(spark, sf_dir, "conversations").groupBy("role").agg(F.to_json(F.collect_list(line)).alias("value"))
+    broken = runs.where("role = 'assistant'").select(F.expr("left(value, length(value) div 2)").alias("value"), "role")
+    path = f"{shared_folder(spark)}/runs"
+    runs.select("value", "role").write.partitionBy("role").text(path)
+    broken.write.mode("append").partitionBy("role").text(path)
+    return R.run_picks(spark, path, "*/part-*")
+
+
+def run_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Picks of all runs and their support, and how many of a run's files can't be read."""
+    picks, bad = _scanned(spark, sf_dir)
+    found = picks.groupBy("run").agg(F.count(F.lit(1)).alias("picks"), F.count_if("supported").alias("supported"), F.count_distinct("file_id").alias("files"))
+    return found.join(bad.groupBy("run").agg(F.count(F.lit(1)).alias("unreadable")), "run", "left").select(F.split_part("run", F.lit("="), F.lit(2)).alias("run"), "picks", "supported", "files", F.coalesce("unreadable", F.lit(0)).alias("unreadable"))
+
+
+def reviewed_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of part names by a review sheet, without those that are accepted for two names."""
+    part, even = _t(spark, sf_dir, "part"), F.col("p_size") % 2 == 0
+    halves = part.select(F.explode(F.split("p_name", " ")).alias("word"), "p_name", "p_brand", "p_size", "p_partkey")
+    rows = halves.select(
+        F.concat_ws("-", "word", "p_brand", F.col("p_partkey") % 40).alias("half"), F.concat(F.lit(" "), "p_name").alias("composite"),
+        F.when(F.col("p_size") % 7 == 0, "reject").otherwise(" ").alias("verdict"), F.when(even, "accept").otherwise("ambiguous").alias("auto_verdict"),
+    )
+    path = f"{shared_folder(spark)}/sheet"
+    sinks.write_csv(rows, path, ["half", "composite", "verdict", "auto_verdict"])
+    return R.accepted_halves(R.review_sheet(spark, path))
+
+
+def keyword_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts' keywords by brand, written as a folder of CSV for each brand and read again."""
+    ranked = _t(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("doc_id"), F.col("p_name").alias("keyword")).agg(F.sum("p_size").cast("double").alias("score"))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("score"), "keyword")))
+    path = f"{shared_folder(spark)}/keywords"
+    sinks.write_keyword_files(ranked, path)
+    return spark.read.option("header", True).schema("keyword string, score double, doc_id string").csv(path).select("doc_id", "keyword", "score")
+
+
+def migrated_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations' turns as pages of an older schema: indexes, states and scores filled or emptied on reading."""
+    turns = _t(spark, sf_dir, "conversations")
+    label = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("p"), F.col("turn").cast("string"))).otherwise((F.col("turn") - 1).cast("string"))
+    pages = turns.select(
+        F.col("conv_id").alias("doc_id"), label.alias("page"), (F.col("turn") + 1).alias("pos"), F.when(F.col("turn") % 5 == 0, F.lit(99)).alias("page_index"),
+        F.when(F.col("turn") % 4 == 1, "empty").alias("content_status"), F.lit(0.5).alias("quality_score"),
+    )
+    lines = turns.where("length(text) > 40").select(F.col("conv_id").alias("doc_id"), label.alias("page"))
+    return records_.migrated_pages(pages, lines).select("doc_id", "pos", "page_index", "content_status", "quality_score")
+
+
+def checked_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies made of parts: variants to labels, confidence clamped, a sentinel without keywords, and what is wrong."""
+    size = F.col("p_size")
+    confidence = F.when(size % 9 == 0, F.lit("none")).otherwise((size / 20 - 0.5).cast("string"))
+    good = F.to_json(F.struct(F.when(size % 8 > 0, F.col("p_type")).alias("category"), F.split("p_name", " ").alias("keywords_cs"), confidence.alias("confidence_score")))
+    reply = F.when(size % 11 == 0, F.lit("[1]")).when(size % 13 == 0, F.concat(F.lit("{"), "p_name")).otherwise(good)
+    variants = spark.createDataFrame([("ECONOMY", "Economy"), ("STANDARD", "Standard"), ("STANDARD", "Usual")], "variant string, label string")
+    found = enrich.checked_replies(_t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), reply.alias("reply")), variants, sentinel="Standard")
+    return found.select("id", "category", F.array_join("keywords_cs", ",").alias("keywords"), "confidence", "problem")
+
+
 _TREE = """
 k AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY num) AS rank FROM (
   SELECT 'all' AS parent, 'r' || r_regionkey AS child, CAST(r_regionkey * 7 + 1 AS BIGINT) AS num FROM region
   UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_nationkey * 13 + 5 FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_suppkey FROM supplier))"""
 
 ORACLES = {
+    "flat_archive": """
+SELECT CAST(p_partkey AS VARCHAR) AS source_id, p_name AS cs, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_type END AS en, p_brand AS broader, p_size AS sort FROM part""",
+    "run_scan": """
+WITH c AS (SELECT *, coalesce(text, '') AS t, regexp_extract(lower(coalesce(text, '')), '[a-z]{3,}', 0) AS w FROM conversations)
+SELECT role AS run, count(*) AS picks, count(*) FILTER (turn % 2 = 0 AND w <> '') AS supported, count(DISTINCT conv_id) AS files, CAST(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS BIGINT) AS unreadable
+FROM c WHERE turn % 5 <> 4 GROUP BY role""",
+    "reviewed_halves": """
+WITH h AS (SELECT unnest(string_split(p_name, ' ')) || '-' || p_brand || '-' || (p_partkey % 40) AS half, p_name AS composite FROM part WHERE p_size % 7 <> 0 AND p_size % 2 = 0)
+SELECT half, min(composite) AS composite FROM h GROUP BY half HAVING count(DISTINCT composite) = 1""",
+    "keyword_files": "SELECT p_brand AS doc_id, p_name AS keyword, CAST(sum(p_size) AS DOUBLE) AS score FROM part GROUP BY ALL",
+    "migrated_page_rows": """
+WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'p' || turn ELSE CAST(turn - 1 AS VARCHAR) END AS page, text FROM conversations),
+l AS (SELECT DISTINCT conv_id, page FROM c WHERE length(text) > 40),
+p AS (SELECT c.*, coalesce(CASE WHEN turn % 4 = 1 THEN 'empty' END, CASE WHEN l.page IS NOT NULL THEN 'text' ELSE 'empty' END) AS status FROM c LEFT JOIN l USING (conv_id, page))
+SELECT conv_id AS doc_id, turn + 1 AS pos, CAST(CASE WHEN turn % 5 = 0 THEN 99 WHEN turn % 3 > 0 AND turn > 1 THEN turn - 1 ELSE turn + 1 END AS INTEGER) AS page_index, status AS content_status,
+  CASE WHEN status <> 'empty' THEN CAST(0.5 AS DOUBLE) END AS quality_score FROM p""",
+    "checked_replies": """
+WITH p AS (SELECT *, CASE WHEN p_size % 11 = 0 OR p_size % 13 = 0 THEN 'no object' WHEN p_size % 9 = 0 THEN 'no confidence' WHEN p_size % 8 = 0 THEN 'no category' END AS problem,
+  CASE p_type WHEN 'ECONOMY' THEN 'Economy' WHEN 'STANDARD' THEN 'Standard' ELSE p_type END AS label FROM part)
+SELECT p_partkey AS id, CASE WHEN problem IS NULL THEN label END AS category, CASE WHEN problem IS NULL THEN CASE WHEN label = 'Standard' THEN '' ELSE replace(p_name, ' ', ',') END END AS keywords,
+  CASE WHEN problem IS NULL THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, p_size / 20::DOUBLE - 0.5::DOUBLE)) END AS confidence, problem FROM p""",
     "harvest_sync": """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS cs, CASE WHEN p_size % 7 = 0 THEN upper(p_name) ELSE p_type END AS en FROM part WHERE p_size < 45""",
     "harvest_changes": """
@@ -181,4 +282,10 @@ g AS (SELECT id, arg_min(path, k) AS path, arg_min(keyword, k) AS keyword, count
 SELECT p_partkey AS id, path, keyword, CAST(coalesce(n, 0) AS INTEGER) AS problems FROM p LEFT JOIN g ON g.id = p_partkey""",
 }
 
-QUERIES = {f.__name__: f for f in (schema_check, decision_walk, harvest_sync, harvest_changes, versioned_prices)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        schema_check, decision_walk, harvest_sync, harvest_changes, versioned_prices, flat_archive, run_scan, reviewed_halves, keyword_files, migrated_page_rows,
+        checked_replies,
+    )
+}

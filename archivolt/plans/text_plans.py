@@ -170,7 +170,7 @@ def abort_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lenient parse of events' properties: a number clamped to [0, 50], null where there is none."""
     k = F.from_json("props", "k string")["k"].try_cast("double")
-    return _t(spark, sf_dir, "events").select("event_id", F.greatest(F.lit(0.0), F.least(F.lit(50.0), k)).alias("k"))
+    return _t(spark, sf_dir, "events").select("event_id", enrich.clamped(k, 0.0, 50.0).alias("k"))
 
 
 _TURNS = """turns AS (
@@ -253,7 +253,8 @@ WITH r AS (SELECT user_id AS doc_id, event_id AS pos, event_type = 'error' AS fa
     sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events),
 c AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS k FROM r WHERE failed)
 SELECT doc_id, min(pos) AS abort_pos FROM c WHERE k = 2 GROUP BY doc_id""",
-    "json_fields": "SELECT event_id, greatest(0.0::DOUBLE, least(50.0::DOUBLE, try_cast(json_extract_string(props, '$.k') AS DOUBLE))) AS k FROM events",
+    "json_fields": """
+WITH e AS (SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) SELECT event_id, CASE WHEN k IS NOT NULL THEN greatest(0.0::DOUBLE, least(50.0::DOUBLE, k)) END AS k FROM e""",
     "stub_replies": """
 WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations),
 w AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(t), '\\W+'), lambda x: length(x) > 3) AS w, sha256(t) AS h FROM t)

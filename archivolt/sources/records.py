@@ -66,10 +66,10 @@ def taxonomy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
-def run_picks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(picks, unreadable) of run folders ``path``/<run>/*_enriched.json: run, file_id, page, line, category, confidence,
+def run_picks(spark: SparkSession, path: str, pattern: str = "*/*_enriched.json") -> tuple[DataFrame, DataFrame]:
+    """(picks, unreadable) of run folders, ``path``/<run>/*_enriched.json: run, file_id, page, line, category, confidence,
     supported, file, pos. Supported: the category shares a word stem with the line's text or keywords."""
-    raw = spark.read.schema(ENRICHED + ", _corrupt_record string").option("multiLine", True).json(f"{path}/*/*_enriched.json")
+    raw = spark.read.schema(ENRICHED + ", _corrupt_record string").option("multiLine", True).json(f"{path}/{pattern}")
     file = F.col("_metadata.file_path")
     raw = raw.withColumns({"file": F.regexp_extract(file, r"([^/]+)$", 1), "run": F.regexp_extract(file, r"([^/]+)/[^/]+$", 1), "pos": F.monotonically_increasing_id()}).cache()
     e = F.col("enrichment")
@@ -117,6 +117,14 @@ def review_sheet(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("decision", F.coalesce(own("verdict"), own("auto_verdict")))
 
 
+def accepted_halves(sheet: DataFrame) -> DataFrame:
+    """(half, composite) of a review sheet's accepted rows; a half that is accepted for two composites can't map back to one,
+    and is left out."""
+    half, composite = F.trim("half"), F.trim("composite")
+    rows = sheet.where((F.col("decision") == "accept") & (half != "") & (composite != "")).select(half.alias("half"), composite.alias("composite"))
+    return rows.groupBy("half").agg(F.min("composite").alias("composite"), F.max("composite").alias("__m")).where("composite = __m").drop("__m")
+
+
 def exclusion_key(key: Column) -> Column:
     """Canonical form of an exclusion's key: a branch id, or the name of a list."""
     text = F.trim(key)
