@@ -50,22 +50,23 @@ def _latin_bases() -> tuple[str, str]:
     return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
 
 
-def czech_key(label: Column) -> Column:
+#: Private code points: of the alphabet's first letter, before what is no letter, and for a letter with an accent.
+_FIRST_LETTER, _NO_LETTER, _ACCENTED = 0xE000, "\uf8ff", "\ue800"
+
+
+def czech_order(label: Column) -> Column:
     """Sort key by Czech rules: "ch" is a letter and so are letters with a caron that the alphabet lists; other accents break
     ties only, then the label itself; what is no letter of the alphabet comes after it.
 
-    The key has two levels. On the first a letter stands as 0 and its place in the alphabet; the second marks accents.
+    Letters become code points in the alphabet's order, so that strings compare as words do.
     """
-    letters = F.regexp_extract_all(F.lower(label), F.lit("(?s)(ch|.)"), F.lit(1))
-    alphabet = F.array(*map(F.lit, CZECH_LETTERS))
-    accents, plain = "".join(CZECH_ACCENTS), "".join(CZECH_ACCENTS.values())
-    placed = F.transform(letters, lambda c: F.struct(c.alias("c"), F.array_position(alphabet, F.translate(c, accents, plain)).alias("at")))
-    first = F.transform(
-        placed,
-        lambda x: F.when(x["at"] > 0, F.concat(F.lit("0"), F.lpad((x["at"] - 1).cast("string"), 3, "0"))).otherwise(F.concat(F.lit("1"), F.translate(x["c"], *_latin_bases()))),
-    )
-    second = F.transform(placed, lambda x: F.when((x["at"] > 0) & (F.translate(x["c"], accents, plain) != x["c"]), "1").otherwise("0"))
-    return F.concat(F.array_join(first, "\x01"), F.lit("\x00"), F.array_join(second, ""), F.lit("\x00"), label)
+    point = {c: chr(_FIRST_LETTER + i) for i, c in enumerate(CZECH_LETTERS)}
+    low, accents = F.lower(label), "".join(CZECH_ACCENTS)
+    single = [c for c in CZECH_LETTERS if len(c) == 1]
+    letters = F.translate(F.replace(low, F.lit("ch"), F.lit(point["ch"])), "".join(single) + accents, "".join(point[c] for c in [*single, *CZECH_ACCENTS.values()]))
+    last = chr(_FIRST_LETTER + len(CZECH_LETTERS) - 1)
+    words = F.translate(F.regexp_replace(letters, f"(?s)([^{chr(_FIRST_LETTER)}-{last}])", f"{_NO_LETTER}$1"), *_latin_bases())
+    return F.concat(words, F.lit("\x00"), F.translate(low, accents, _ACCENTED * len(accents)), F.lit("\x00"), label)
 
 
 def similarity(a: str | None, b: str | None) -> float:

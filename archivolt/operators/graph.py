@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from archivolt.functions.scalars import czech_key
+from archivolt.functions.scalars import czech_order
 
 RESERVED = ("<this term>", "none_of_these")
 
@@ -114,7 +114,7 @@ def withheld(nodes: DataFrame, edges: DataFrame, forms: DataFrame) -> DataFrame:
 
 def sorted_children(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(parent, child, rank): children in Czech order of their labels (``nodes``: id, label)."""
-    named = edges.join(nodes.select(F.col("id").alias("child"), "label"), "child").withColumn("key", czech_key("label"))
+    named = edges.join(nodes.select(F.col("id").alias("child"), "label"), "child").withColumn("key", czech_order("label"))
     return named.select("parent", "child", F.row_number().over(Window.partitionBy("parent").orderBy("key", "child")).alias("rank"))
 
 

@@ -127,7 +127,7 @@ def czech_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _t(spark, sf_dir, "documents").select(F.explode(F.split(F.trim("text"), r"\s+")).alias("label")).distinct().where("label <> ''")
     from pyspark.sql import Window
 
-    keyed = words.withColumn("key", S.czech_key("label")).withColumn("initial", F.lower(F.substring("label", 1, 1)))
+    keyed = words.withColumn("key", S.czech_order("label")).withColumn("initial", F.lower(F.substring("label", 1, 1)))
     return keyed.select("label", F.row_number().over(Window.partitionBy("initial").orderBy("key")).alias("rank"))
 
 

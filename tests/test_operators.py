@@ -66,7 +66,7 @@ def test_norm_label_folds_beyond_lower(spark):
 def test_czech_order(spark):
     words = ["chata", "cihla", "Čáp", "č", "hrad", "ibis", "dům", "duma"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [r.w for r in df.withColumn("k", S.czech_key("w")).orderBy("k").collect()]
+    got = [r.w for r in df.withColumn("k", S.czech_order("w")).orderBy("k").collect()]
     assert got == ["cihla", "č", "Čáp", "dům", "duma", "hrad", "chata", "ibis"]
 
 
