@@ -1,7 +1,7 @@
 """Exact top-k search by inner product with multi-resolution segment statistics.
 
-Components x become integers floor(scale * x). A vector is cut into 1, 4 and 16 segments; of each segment its mean and
-deviation are known. For two vectors the squared distance is at least the sum over the segments of their lengths times
+Components x become integers floor(scale * x). A vector is cut into 1, 4 and 16 segments, and into segments of two; of each
+segment its mean and deviation are known. For two vectors the squared distance is at least the sum over the segments of their lengths times
 (difference of means)^2 + (difference of deviations)^2, by the inequality of Cauchy and Schwarz on what is left of the means.
 Squared distance and inner product add up to known norms, so each lower bound of the distance is an upper bound of the score:
 the sum of lengths times (product of means + product of deviations). Coarse to fine, pairs whose bound is below a query's k-th
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from archivolt.llm._common import ship, written
 from archivolt.llm.centroids import integer_vector, usable
 
+#: Numbers of segments, coarse to fine; the finest level has segments of two components.
 LEVELS = (1, 4, 16)
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
 STEP_QUERIES, STEP_CANDIDATES = 128, 1024
@@ -41,6 +42,11 @@ MOST_NORM = 1 << 62
 SPARSE = 0.125
 
 
+def levels(dims: int) -> list[int]:
+    """Numbers of segments for vectors of that many components."""
+    return sorted({1, *(s for s in LEVELS if s <= dims // 2), max(1, dims // 2)})
+
+
 def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     """Of each row the segments' means and deviations, each times the root of the segment's length, so that the inner product
     of two rows' features bounds that of the rows from above."""
@@ -65,7 +71,7 @@ class _Side:
         self.order = self.id.fill_null(0).to_numpy()
         self.v = table["v"].combine_chunks().flatten().to_numpy().reshape(len(table), dims)
         self.norm = np.sqrt((self.v.astype(np.float64) ** 2).sum(1))
-        self.features = [segment_features(self.v, s) for s in LEVELS]
+        self.features = [segment_features(self.v, s) for s in levels(dims)]
 
 
 def _best(x: _Side, y: _Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +88,7 @@ def _best(x: _Side, y: _Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
             margin = 1 + 1e-9 * x.norm[own, None] * y.norm[None, b]
             alive = near + margin >= limit[:, None]
             alive &= x.row[own, None] != y.row[None, b]
-            for level in range(1, len(LEVELS)):
+            for level in range(1, len(x.features)):
                 q, c = x.features[level], y.features[level]
                 if alive.sum() > SPARSE * alive.size:
                     alive &= q[own] @ c[b].T + margin >= limit[:, None]
