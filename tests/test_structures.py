@@ -137,6 +137,24 @@ def walked(spark, terms, edges, **how):
     return {r.id: (r.node, r.questions) for r in found.collect()}
 
 
+def test_a_walk_keeps_no_answers_that_it_never_needs(spark, monkeypatch):
+    cut, kept = walk.cut, []
+
+    def measured(df):
+        out = cut(df)
+        if "path" in out.columns:
+            kept.append(out.select(F.max(F.coalesce(F.size(F.flatten(F.transform("path", lambda x: F.coalesce(x["offers"], F.slice(x["offers"], 1, 0))))), F.lit(0)))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(walk, "cut", measured)
+    edges = [("all", "a", 1, 5), ("all", "b", 2, 6)] + [(p, f"{p}{i}", i, i % 10) for p in "ab" for i in range(1, 301)]
+    # b (6) is better than a (5); of b's leaves at 9 the first is b9; those at 4 to 6 fit, but none of them is entered
+    assert walked(spark, [(i, 1) for i in range(5)], edges) == {i: ("b9", 302) for i in range(5)}
+    assert max(kept) <= 4  # terms times options before
+    low = [(p, c, r, min(n, 6)) for p, c, r, n in edges]
+    assert walked(spark, [(1, 1)], low, most_steps=8) == {1: (None, 602)}  # a step for each leaf before
+
+
 def test_walks_stop_go_back_and_end(spark):
     edges = [("all", "a", 1, 6), ("all", "b", 2, 5), ("all", "c", 3, 6), ("a", "a1", 1, 2), ("a", "a2", 2, 4), ("b", "b1", 1, 8), ("c", "c1", 1, 9), ("c1", "c2", 1, None)]
     # 1: a (6, as c, but first) has only a2 at 4, too low to stop; then c, c1 at 9, which stops as c2 has no answer
