@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from archivolt.functions import scalars as S
 from archivolt.operators import enrich, lines, ranking
 from archivolt.operators import keywords as K
+from archivolt.operators.tasks import dealt
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,7 +87,7 @@ def chunk_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_score_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best share of each word over a document's chunks, then the top five."""
-    df = _t(spark, sf_dir, "documents").repartition("doc_id")  # the one exchange: all that follows is within a document
+    df = dealt(_t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id")  # the one exchange: all that follows is within a document
     df = df.select("doc_id", S.words_of(F.lower("text")).alias("w"))
     chunks = df.select("doc_id", F.posexplode(K.word_chunks(F.col("w"))).alias("chunk_no", "c"))
     words = chunks.select("doc_id", "chunk_no", F.size("c").alias("n"), F.explode("c").alias("word")).where(F.length("word") > 3)
