@@ -97,7 +97,7 @@ def best_score_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def form_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent word of each four-letter form, the first seen among equals."""
-    words = K.surface_words(_t(spark, sf_dir, "documents"))
+    words = K.surface_words(dealt(_t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id"))
     tokens = words.select("doc_id", "pos", F.substring("word", 1, 4).alias("form"), F.col("word").alias("lemma"))
     return lines.form_lemmas(tokens)
 
