@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from archivolt.operators import keywords as K
+from archivolt.operators.tasks import dealt
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +14,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ker_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted top keywords of every document."""
-    return K.weighted_top_lemmas(K.surface_words(_docs(spark, sf_dir)))
+    return K.weighted_top_lemmas(K.surface_words(dealt(_docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id")))
 
 
 _STOP = ", ".join(f"'{x}'" for x in K.ADMIN_LEMMAS)
