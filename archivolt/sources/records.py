@@ -162,7 +162,10 @@ def ordered_terms(terms: DataFrame, withheld: DataFrame, sentinel: str) -> DataF
     shown = terms.join(withheld.select(F.col("theme").alias("__t")).distinct(), F.lower("theme") == F.col("__t"), "left_anti")
     own = F.when(F.col("source_id").isNotNull(), F.array(F.struct("source", F.col("source_id").alias("id")))).otherwise(F.array().cast("array<struct<source:string,id:string>>"))
     lost = F.transform("discarded", lambda d: F.struct(d["source"].alias("source"), d["id"].alias("id")))
-    shown = shown.withColumn("ids", F.array_distinct(F.concat(own, F.coalesce(lost, F.array().cast("array<struct<source:string,id:string>>")))))
+    every = F.concat(own, F.coalesce(lost, F.array().cast("array<struct<source:string,id:string>>")))
+    # a set of texts is hashed, one of structs would compare all pairs
+    texts = F.array_distinct(F.transform(every, lambda x: F.to_json(x)))
+    shown = shown.withColumn("ids", F.from_json(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")), "array<struct<source:string,id:string>>"))
     by = Window.partitionBy("theme_rank").orderBy("term_rank", "cs")
     sizes = shown.groupBy("theme_rank").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("theme_rank", F.coalesce(F.sum("n").over(Window.orderBy("theme_rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
