@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivolt.functions.scalars import doc_id_of, safe_double
+from archivolt.operators.tasks import dealt
 
 #: Parts of speech that give keywords.
 KEYWORD_POS = ("NOUN", "PROPN", "ADJ")
@@ -36,7 +37,8 @@ def input_kind(path: Column, text: Column) -> Column:
 
 def text_lines(files: DataFrame) -> DataFrame:
     """Non-empty trimmed lines: (doc_id, pos, page, line, text). A form feed ends a page; lines are numbered from 1 in each."""
-    pages = files.select(doc_id_of(F.col("path")).alias("doc_id"), F.posexplode(F.split("text", "\f")).alias("p", "body"))
+    own = dealt(files.select(doc_id_of(F.col("path")).alias("doc_id"), "text"), "text", "doc_id")
+    pages = own.select("doc_id", F.posexplode(F.split("text", "\f")).alias("p", "body"))
     lines = pages.select("doc_id", (F.col("p") + 1).cast("string").alias("page"), F.col("p"), F.posexplode(F.split("body", r"\r\n|\r|\n")).alias("i", "raw"))
     kept = lines.withColumn("text", F.trim("raw")).where("text <> ''")
     number = F.row_number().over(Window.partitionBy("doc_id", "p").orderBy("i"))
@@ -69,7 +71,8 @@ def line_table(spark: SparkSession, path: str) -> DataFrame:
 
 def conllu_tokens(files: DataFrame) -> DataFrame:
     """(doc_id, sent, pos, and the ten columns) of token lines; comments, short rows and ids with - or . are left out."""
-    lines = files.select(doc_id_of(F.col("path")).alias("doc_id"), F.posexplode(F.split("text", r"\r?\n")).alias("pos", "raw"))
+    own = dealt(files.select(doc_id_of(F.col("path")).alias("doc_id"), "text"), "text", "doc_id")
+    lines = own.select("doc_id", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "raw"))
     blank = (F.trim("raw") == "").cast("int")
     lines = lines.withColumn("sent", F.sum(blank).over(Window.partitionBy("doc_id").orderBy("pos")))
     cols = F.split(F.trim("raw"), "\t")
