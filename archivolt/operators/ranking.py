@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import sys
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -15,9 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from archivolt.operators.graph import cut
+from archivolt.operators.tasks import bounded_batches, dealt
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes of text in a task that ranks keywords, which takes it some seconds.
+RANK_BYTES = 2 << 20
+
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+|[^\w\s]", re.U)
 _END = re.compile(r"(?<=[.!?])\s+")
 
@@ -30,55 +36,66 @@ def statistical_keywords(text: str, top: int, max_words: int = 3, dedup: float =
     """
     sentences = [_TOKEN.findall(s) for s in _END.split(text) if s.strip()]
     tf, upper, where = Counter(), Counter(), defaultdict(list)
-    left, right = defaultdict(Counter), defaultdict(Counter)
-    grams, shown = Counter(), {}
+    left, right, beside, behind = defaultdict(set), defaultdict(set), Counter(), Counter()  # a term's distinct neighbours, and how many it has
+    grams, shown = {}, {}
     for i, tokens in enumerate(sentences):
         low = [t.lower() for t in tokens]
         word = [t[0].isalpha() and len(t) > 2 for t in tokens]
         for j, t in enumerate(tokens):
             if not word[j]:
                 continue
-            tf[low[j]] += 1
-            where[low[j]].append(i)
-            upper[low[j]] += t[0].isupper() and j > 0
+            own = low[j]
+            tf[own] += 1
+            where[own].append(i)
+            if j > 0 and t[0].isupper():
+                upper[own] += 1
             for k in range(max(0, j - window), j):
                 if word[k]:
-                    left[low[j]][low[k]] += 1
-                    right[low[k]][low[j]] += 1
-            for n in range(1, max_words + 1):
-                if j + n <= len(tokens) and all(word[j : j + n]):
-                    gram = " ".join(low[j : j + n])
+                    left[own].add(low[k])
+                    beside[own] += 1
+                    right[low[k]].add(own)
+                    behind[low[k]] += 1
+            for n in range(j + 1, min(j + max_words, len(tokens)) + 1):
+                if not word[n - 1]:
+                    break
+                gram = own if n == j + 1 else " ".join(low[j:n])
+                if gram in grams:
                     grams[gram] += 1
-                    shown.setdefault(gram, " ".join(tokens[j : j + n]))
+                else:
+                    grams[gram], shown[gram] = 1, (i, j, n)
     if not tf:
         return []
     values = np.array(list(tf.values()), float)
     mean, spread, most = values.mean(), values.std(), values.max()
     weight = {}
     for t, n in tf.items():
+        at = where[t]  # ascending
         case = upper[t] / (1 + math.log(n))
-        place = math.log(math.log(3 + float(np.median(where[t]))))
+        place = math.log(math.log(3 + (at[n // 2] if n % 2 else (at[n // 2 - 1] + at[n // 2]) / 2)))
         norm = n / (mean + spread)
-        varied = 1 + (len(left[t]) / max(sum(left[t].values()), 1) + len(right[t]) / max(sum(right[t].values()), 1)) * n / most
-        wide = len(set(where[t])) / len(sentences)
+        varied = 1 + (len(left[t]) / max(beside[t], 1) + len(right[t]) / max(behind[t], 1)) * n / most
+        wide = len(set(at)) / len(sentences)
         weight[t] = (varied * place) / (case + norm / varied + wide / varied)
     scored = []
     for gram, n in grams.items():
         parts = [weight[t] for t in gram.split()]
         scored.append((math.prod(parts) / (n * (1 + sum(parts))), gram))
+    heapq.heapify(scored)
     out: list[tuple[str, float]] = []
-    for score, gram in sorted(scored):
-        if all(_close(gram, g.lower()) < dedup for g, _ in out):
-            out.append((shown[gram], score))
-            if len(out) == top:
-                break
+    while scored and len(out) < top:
+        score, gram = heapq.heappop(scored)
+        if not any(_alike(gram, g.lower(), dedup) for g, _ in out):
+            i, j, n = shown[gram]
+            out.append((" ".join(sentences[i][j:n]), score))
     return out
 
 
-def _close(a: str, b: str) -> float:
-    from difflib import SequenceMatcher
-
-    return SequenceMatcher(None, a, b).ratio()
+def _alike(a: str, b: str, least: float) -> bool:
+    """Whether the character ratio is at least ``least``; its bounds by lengths and by common characters come first."""
+    both = len(a) + len(b)
+    if both and (2.0 * min(len(a), len(b)) / both < least or 2.0 * (Counter(a) & Counter(b)).total() / both < least):
+        return False
+    return SequenceMatcher(None, a, b).ratio() >= least
 
 
 def rank_statistical(docs: DataFrame, top: int = 10, max_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,9 +111,8 @@ def rank_statistical(docs: DataFrame, top: int = 10, max_words: int = 3, id_col:
                 rows += [(doc, i, k, s / best) for i, (k, s) in enumerate(found, 1)]
             yield pd.DataFrame(rows, columns=[id_col, "rank", "keyword", "score"])
 
-    source, cores = docs.select(id_col, text_col), docs.sparkSession.sparkContext.defaultParallelism
-    if source.rdd.getNumPartitions() < cores:  # a small file is dealt out to all cores
-        source = source.repartition(cores)
+    bounded_batches(docs.sparkSession)
+    source = dealt(docs.select(id_col, text_col), text_col, task_bytes=RANK_BYTES)  # even tasks, few enough to be worth a worker
     return source.mapInPandas(run, f"`{id_col}` {kind}, rank int, keyword string, score double")
 
 
@@ -168,6 +184,7 @@ def rank_chunks(chunks: DataFrame, embed: Callable[[list[str]], np.ndarray], top
             rows = [(doc, k, s) for doc, words in zip(pdf[id_col], pdf["words"], strict=True) for k, s in one(list(words))]
             yield pd.DataFrame(rows, columns=[id_col, "keyword", "score"])
 
+    bounded_batches(chunks.sparkSession)
     found = chunks.select(id_col, "words").mapInPandas(run, f"`{id_col}` {kind}, keyword string, score double")
     best = found.groupBy(id_col, "keyword").agg(F.max("score").alias("score"))
     return top_ranked(best, [id_col], top).select(id_col, "rank", "keyword", "score")
