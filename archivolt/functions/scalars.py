@@ -14,10 +14,12 @@ from difflib import SequenceMatcher
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from archivolt.operators.tasks import bounded_batches
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: File-name endings of per-document files; the longest that fits is cut off.
@@ -37,11 +39,16 @@ def _norm(value: str | None) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def norm_label(value: pd.Series) -> pd.Series:
-    """NFC, no-break spaces as spaces, case folded, white space collapsed; null gives the empty string."""
+def _norm_labels(value: pd.Series) -> pd.Series:
     return value.map(_norm, na_action=None)
 
 
+def norm_label(value: Column | str) -> Column:
+    """NFC, no-break spaces as spaces, case folded, white space collapsed; null gives the empty string."""
+    bounded_batches(SparkSession.active())
+    return _norm_labels(value)
+
+
 def _latin_bases() -> tuple[str, str]:
     """Accented Latin letters beyond the Czech alphabet, and the letters that they are without accents."""
     own = set(CZECH_LETTERS) | set(CZECH_ACCENTS)
@@ -80,11 +87,16 @@ def similarity(a: str | None, b: str | None) -> float:
 
 
 @F.pandas_udf(T.DoubleType())
-def gloss_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """See ``similarity``."""
+def _similarities(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def gloss_similarity(a: Column | str, b: Column | str) -> Column:
+    """See ``similarity``."""
+    bounded_batches(SparkSession.active())
+    return _similarities(a, b)
+
+
 #: Nodes and weights of Gauss and Legendre on [0, 1], which integrate polynomials up to a degree of 127 exactly.
 _NODES = [((x + 1) / 2, w / 2) for x, w in zip(*(v.tolist() for v in np.polynomial.legendre.leggauss(64)), strict=True)]
 #: How far Stirling's formula is from log n!, for n below 16.
