@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.operators.tasks import bounded_batches
+
 OTHER = "Other"
 #: Bytes of keywords up to which they are collected, and of the automata made of them up to which these are broadcast.
 KEYWORD_BYTES, AUTOMATON_BYTES = 4 << 20, 256 << 20
@@ -50,6 +52,7 @@ def _by_automaton(df: DataFrame, rows: list) -> DataFrame | None:
     automata = _automata(rows)
     if len(pickle.dumps(automata)) > AUTOMATON_BYTES:
         return None
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((automata, [tuple(r)[:4] for r in rows]))
 
     @F.pandas_udf(_FOUND)
