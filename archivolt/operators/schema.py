@@ -30,6 +30,9 @@ _PROBLEM = "struct<path:string,keyword:string>"
 _NONE = f"array<{_PROBLEM}>"
 _KINDS = ("null", "boolean", "integer", "number", "string", "array", "object")
 
+#: Records that a task checks, about.
+TASK_RECORDS = 10_000
+
 #: Column of the value, and of its path.
 Check = Callable[[Column, Column], list[Column]]
 

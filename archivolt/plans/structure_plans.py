@@ -54,6 +54,7 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 7 == 0, F.struct(F.col("p_type").alias("kind"), F.when(key % 2 == 0, F.lit("c")).alias("code"))).alias("owner"),
     )
     records = _t(spark, sf_dir, "part").select(key.alias("id"), F.to_json(record).alias("record"))
+    records = records.repartition(1 + records.count() // schema.TASK_RECORDS, "id")  # rows that are small to read and long to check
     return schema.schema_problems(records, PART_SCHEMA, json_col="record", key="id")
 
 
