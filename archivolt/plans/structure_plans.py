@@ -168,16 +168,24 @@ def flat_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.flat_vocabulary(spark, f"{path}/*").select("source_id", "cs", "en", F.array_join("broader", ",").alias("broader"), "sort")
 
 
+#: Lines in a file of a run, and records in a page of a harvest, about.
+FILE_LINES, PAGE_RECORDS = 20_000, 100_000
+
+
 def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Conversations as a run of each role; the run of one role has a file that breaks off."""
+    """Conversations as a run of each role, in files of some ``FILE_LINES`` lines; the run of one role has a file that breaks off."""
     text = F.coalesce("text", F.lit(""))
     first = F.regexp_extract(F.lower(text), "[a-z]{3,}", 0)
     enriched = F.struct(F.array(first).alias("extracted_keywords_cs"), F.when(F.col("turn") % 2 == 0, first).otherwise("zzzzz").alias("teater_category"), (F.col("turn") / 10).alias("confidence_score"))
     line = F.struct(F.col("conv_id").cast("string").alias("file_id"), F.when(F.col("turn") % 5 == 4, "x").otherwise("1").alias("page"), F.col("turn").cast("string").alias("line"), text.alias("original_text"), enriched.alias("enrichment"))
-    runs = _t(spark, sf_dir, "conversations").groupBy("role").agg(F.to_json(F.collect_list(line)).alias("value"))
-    broken = runs.where("role = 'assistant'").select(F.expr("left(value, length(value) div 2)").alias("value"), "role")
+    turns = _t(spark, sf_dir, "conversations")
+    file = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(1 + turns.count() // FILE_LINES))
+    runs = turns.groupBy("role", file.alias("file")).agg(F.to_json(F.collect_list(line)).alias("value"))
+    first = runs.where("role = 'assistant'").agg(F.min("file").alias("file"))
+    broken = runs.where("role = 'assistant'").join(first, "file", "left_semi").select(F.expr("left(value, length(value) div 2)").alias("value"), "role")
     path = f"{shared_folder(spark)}/runs"
-    runs.select("value", "role").write.partitionBy("role").text(path)
+    # a file of Spark's JSON reader is a task: no more than a group of lines in each
+    runs.select("value", "role").write.option("maxRecordsPerFile", 1).partitionBy("role").text(path)
     broken.write.mode("append").partitionBy("role").text(path)
     return R.run_picks(spark, path, "*/part-*")
 
