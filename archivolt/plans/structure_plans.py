@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from archivolt.operators import enrich, schema, sinks, versions, walk
 from archivolt.operators import records as records_
-from archivolt.operators.graph import shared_folder
+from archivolt.operators.graph import cut, shared_folder
 from archivolt.sources import harvest
 from archivolt.sources import records as R
 
@@ -111,11 +111,16 @@ def decision_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _saved_pages(records: DataFrame, folder: str) -> str:
-    """Records (pos, id, cs, en) as eight saved pages of a harvest, written by Spark; each names the next."""
-    place = F.ntile(8).over(Window.orderBy("pos")) - 1  # of one small table, to make its pages
+    """Records (pos, id, cs, en) as saved pages of a harvest, eight or more of some ``PAGE_RECORDS``, written by Spark; each names
+    the next. Ranges of positions are pages, numbered without those that got no record."""
+    ranges = max(8, -(-records.count() // PAGE_RECORDS))
+    dealt = cut(records.repartitionByRange(ranges, "pos").withColumn("range", F.spark_partition_id()))
+    numbers = dealt.select("range").distinct().select("range", (F.row_number().over(Window.orderBy("range")) - 1).alias("page"))  # a row for each page
+    last = numbers.count() - 1
+    records, place = dealt.join(F.broadcast(numbers), "range"), F.col("page")
     record = F.concat(F.lit("<record><identifier>"), "id", F.lit('</identifier><heslo xml:lang="cs">'), "cs", F.lit("</heslo><heslo_en>"), "en", F.lit("</heslo_en></record>"))
     page = records.select("pos", place.alias("page"), record.alias("x")).groupBy("page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda r: r["x"]), "").alias("body"))
-    token = F.when(F.col("page") < 7, F.concat(F.lit("next/"), F.col("page") + 1)).otherwise("")
+    token = F.when(F.col("page") < last, F.concat(F.lit("next/"), F.col("page") + 1)).otherwise("")
     request = F.when(F.col("page") == 0, harvest.FIRST).otherwise(F.concat(F.lit("next/"), "page"))
     text = F.concat(F.lit("<OAI>"), "body", F.lit("<resumptionToken>"), token, F.lit("</resumptionToken></OAI>"))
     page.select(text.alias("value"), request.alias("request")).write.partitionBy("request").text(folder)
