@@ -60,7 +60,8 @@ def conllu_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of plain texts, a form feed before every fourth line."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"((?:[^\n]*\n){4})", "$1\f")
+    four = r"\G((?:[^\n]*\n){4})"  # \G, the end of the last match: what follows the last four is not searched again from each of its letters
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), four, "$1\f")
     files = _t(spark, sf_dir, "documents").select(F.concat(F.lit("/in/"), F.col("doc_id"), F.lit(".txt")).alias("path"), text.alias("text"))
     return X.text_lines(files).select("doc_id", "pos", "page", "line", F.md5("text").alias("digest"))
 

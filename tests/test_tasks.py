@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +86,17 @@ def test_lines_move_as_texts(spark, sf_dir):
     assert plan.count("Exchange ") == plan.count("REPARTITION_BY_NUM") == 1
 
 
+def test_long_lines_are_searched_once(spark, tmp_path):
+    line = "word " * 40_000
+    texts = ["", None, "a", "\n", "a\nb\nc\nd", "a\nb\nc\nd\n", "\n\n\n\n\n\n\n\n\n", "a\r\nb\rc\r\nd\n\re\nf\n\n\n\n\n g \n", "a\fb\n\n\n\n\f\nc", "\n".join(map(str, range(23))), line, f"a\nb\nc\n{line}", f"{line}\nb\n\nd\n{line}\nf"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/rows")
+    next((tmp_path / "rows").glob("*.parquet")).rename(tmp_path / "documents.parquet")
+    began = time.monotonic()
+    got = catalog.queries()["text_lines"](spark, str(tmp_path))
+    oracle.compare(got, catalog.oracle_sql()["text_lines"], str(tmp_path))
+    assert time.monotonic() - began < 30  # minutes before: a line of n letters without three more was searched from each of them
+
+
 def test_keywords_are_compared_by_bounds_first():
     from archivolt.operators import ranking
 
